@@ -1,6 +1,6 @@
 """Named queries over the tables of one folder, each with the SQL that checks it where SQL can."""
 
-from qloom.plans import registry, relational  # noqa: F401
+from qloom.plans import prompts, registry, relational  # noqa: F401
 
 QUERIES = registry.QUERIES
 ORACLES = registry.ORACLES

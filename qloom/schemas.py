@@ -1,43 +1,34 @@
-"""Row layouts shared by the jobs."""
+"""Row layouts shared by the jobs, as Spark schema strings."""
 
-from __future__ import annotations
+CORPUS = "row_id long, ddl string, question string, answer string"
 
-from pyspark.sql import types as T
+CATALOG_TABLES = "schema_id long, table_ord int, table_key string, table_name string"
 
-
-def _fields(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
-
-
-CORPUS = _fields("row_id long, ddl string, question string, answer string")
-
-CATALOG_TABLES = _fields("schema_id long, table_ord int, table_key string, table_name string")
-
-CATALOG_COLUMNS = _fields(
+CATALOG_COLUMNS = (
     "schema_id long, table_key string, col_ord int, col_name string, dtype string, precision int, scale int, "
     "family string, is_pk boolean, is_fk boolean, fk_table string, fk_column string"
 )
 
-COLUMN_ROLES = _fields("schema_id long, table_key string, role string, role_ord int, col_name string")
+COLUMN_ROLES = "schema_id long, table_key string, role string, role_ord int, col_name string"
 
-JOIN_EDGES = _fields(
+JOIN_EDGES = (
     "schema_id long, from_table string, edge_ord int, from_col string, to_table string, to_col string, kind string"
 )
 
-JOIN_PATHS = _fields(
+JOIN_PATHS = (
     "schema_id long, from_table string, to_table string, hops int, "
     "steps array<struct<from_table:string,from_col:string,to_table:string,to_col:string>>"
 )
 
-PREDICTIONS = _fields("row_id long, label string, generated string, reference string, latency_ms double")
+PREDICTIONS = "row_id long, label string, generated string, reference string, latency_ms double"
 
-METRIC_LOG = _fields("run_id string, ts timestamp, key string, value double, step long")
+METRIC_LOG = "run_id string, ts timestamp, key string, value double, step long"
 
-SERVING_LOG = _fields(
+SERVING_LOG = (
     "ts timestamp, model_version string, sql string, execution_time_ms double, tokens_generated int"
 )
 
-REPORT = _fields(
+REPORT = (
     "label string, n_samples long, exact_match_accuracy double, resolvability double, bleu4 double, "
     "avg_latency_ms double, p50_latency_ms double, p95_latency_ms double"
 )
