@@ -14,9 +14,3 @@ def mean(col: Column) -> Column:
     """Average as one division of an exact sum by the count (null for no values)."""
     n = F.count(col)
     return F.when(n > 0, F.sum(col).cast("double") / n)
-
-
-def finite_number(col: Column) -> Column:
-    """The value as double, or null where the text is not a finite number."""
-    number = col.try_cast("double")
-    return F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number)
