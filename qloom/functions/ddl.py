@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from qloom.functions.stages import computed
+
 # Type words by family, and the words that give a column its role.
 NUMERIC_TYPES = (
     "INT", "INTEGER", "BIGINT", "SMALLINT", "TINYINT", "DECIMAL", "NUMERIC", "FLOAT", "DOUBLE", "REAL", "SERIAL",
@@ -224,4 +226,4 @@ def with_tables(df: DataFrame, ddl: str = "ddl") -> DataFrame:
     unique = F.when(F.size("_keys") == F.size("_raw"), F.col("_raw")).otherwise(
         F.transform("_keys", lambda k: last(F.filter("_raw", lambda t: t["key"] == k)))
     )
-    return staged.withColumn("tables", F.transform(unique, roles)).drop("_raw", "_keys")
+    return computed(staged, {"tables": F.transform(unique, roles)}).drop("_raw", "_keys")
