@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from qloom.functions.stages import computed
+from qloom.functions.stages import settled
 
 # Type words by family, and the words that give a column its role.
 NUMERIC_TYPES = (
@@ -94,29 +94,54 @@ def top_level_items(body: Column) -> Column:
     return F.aggregate(F.split(body, ","), start, step, finish)
 
 
-def _number(text: Column) -> Column:
-    return text.try_cast("int")
-
-
-def _column(item: Column) -> Column:
-    """One column definition."""
-    dtype = F.upper(F.regexp_extract(item, _COLUMN, 2))
-    precision = _number(F.regexp_extract(item, _COLUMN, 3))
-    scale = _number(F.regexp_extract(item, _COLUMN, 4))
-    decimal = dtype.isin("DECIMAL", "NUMERIC")
-    name = F.regexp_extract(item, _COLUMN, 1)
-    return F.struct(
-        name.alias("name"),
-        F.lower(name).alias("key"),
-        dtype.alias("dtype"),
-        F.when(decimal, F.coalesce(precision, F.lit(10))).alias("precision"),
-        F.when(decimal, F.coalesce(scale, F.lit(0))).alias("scale"),
-        type_family(dtype).alias("family"),
-        item.rlike(r"(?i)PRIMARY\s+KEY").alias("is_pk"),
-        F.nullif(F.regexp_extract(item, f"(?i){_TARGET}", 1), F.lit("")).alias("fk_table"),
-        F.nullif(F.regexp_extract(item, f"(?i){_TARGET}", 2), F.lit("")).alias("fk_column"),
+_MARK = "\u0001"
+
+
+def _columns(items: Column) -> Column:
+    """Column definitions among the items of a table.
+
+    Each step is a transform of its own: inside one array function Spark evaluates a repeated
+    expression every time it is written.
+    """
+    is_column = lambda i: i.rlike(_COLUMN) & ~i.rlike(_CLAUSE)
+    cut = F.transform(
+        F.filter(items, is_column),
+        lambda i: F.struct(
+            F.split(F.regexp_replace(i, f"{_COLUMN}.*$", _MARK.join(("$1", "$2", "$3", "$4"))), _MARK).alias("words"),
+            i.rlike(r"(?i)PRIMARY\s+KEY").alias("is_pk"),
+            F.when(i.rlike("(?i)REFERENCES"), F.regexp_extract(i, f"(?i){_TARGET}", 0)).alias("target"),
+        ),
+    )
+    typed = F.transform(
+        cut,
+        lambda c: F.struct(
+            c["words"][0].alias("name"),
+            F.upper(c["words"][1]).alias("dtype"),
+            # null first: a failed cast costs an exception per column
+            F.nullif(c["words"][2], F.lit("")).try_cast("int").alias("precision"),
+            F.nullif(c["words"][3], F.lit("")).try_cast("int").alias("scale"),
+            c["is_pk"].alias("is_pk"),
+            F.nullif(F.regexp_extract(c["target"], f"(?i){_TARGET}", 1), F.lit("")).alias("fk_table"),
+            F.nullif(F.regexp_extract(c["target"], f"(?i){_TARGET}", 2), F.lit("")).alias("fk_column"),
+        ),
     )
 
+    def finished(c: Column) -> Column:
+        decimal = c["dtype"].isin("DECIMAL", "NUMERIC")
+        return F.struct(
+            c["name"].alias("name"),
+            F.lower(c["name"]).alias("key"),
+            c["dtype"].alias("dtype"),
+            F.when(decimal, F.coalesce(c["precision"], F.lit(10))).alias("precision"),
+            F.when(decimal, F.coalesce(c["scale"], F.lit(0))).alias("scale"),
+            type_family(c["dtype"]).alias("family"),
+            c["is_pk"].alias("is_pk"),
+            c["fk_table"].alias("fk_table"),
+            c["fk_column"].alias("fk_column"),
+        )
+
+    return F.transform(typed, finished)
+
 
 def _key_clauses(items: Column) -> tuple[Column, Column]:
     """Columns of primary-key clauses, and (key, table, column) of foreign-key clauses."""
@@ -139,29 +164,50 @@ def _key_clauses(items: Column) -> tuple[Column, Column]:
     return primary, foreign
 
 
-def _finished_column(col: Column, ord_: Column, table: Column) -> Column:
-    """A column with the key clauses of its table applied, and flags for the roles it may take."""
-    foreign = last(F.filter(table["foreign"], lambda f: f["key"] == col["key"]))
-    is_pk = col["is_pk"] | F.array_contains(table["primary"], col["key"])
-    fk_table = F.coalesce(foreign["fk_table"], col["fk_table"])
-    is_fk = fk_table.isNotNull()
-    shown = is_pk | ~is_fk
-    text = shown & (col["family"] == "text")
-    return F.struct(
-        ord_.alias("ord"),
-        *[col[f].alias(f) for f in ("name", "key", "dtype", "precision", "scale", "family")],
-        is_pk.alias("is_pk"),
-        is_fk.alias("is_fk"),
-        fk_table.alias("fk_table"),
-        F.coalesce(foreign["fk_column"], col["fk_column"]).alias("fk_column"),
-        (text & any_of(col["key"], NAME_WORDS)).alias("as_name"),
-        (text & any_of(col["key"], CATEGORY_WORDS)).alias("as_category"),
-        ((col["family"] == "numeric") & ~is_pk & ~is_fk & ~F.endswith(col["key"], F.lit("_id"))).alias("as_number"),
-        (shown & (col["family"] == "date")).alias("as_date"),
-        text.alias("as_text"),
+def _with_keys(table: Column) -> Column:
+    """Columns of a table with its key clauses applied, and flags for the roles they may take."""
+    plain = ("name", "key", "dtype", "precision", "scale", "family")
+    keyed = F.transform(
+        table["cols"],
+        lambda c: F.struct(
+            *[c[f].alias(f) for f in plain],
+            (c["is_pk"] | F.array_contains(table["primary"], c["key"])).alias("is_pk"),
+            F.coalesce(
+                last(F.filter(table["foreign"], lambda f: f["key"] == c["key"])),
+                F.when(
+                    c["fk_table"].isNotNull(),
+                    F.struct(c["key"].alias("key"), c["fk_table"].alias("fk_table"), c["fk_column"].alias("fk_column")),
+                ),
+            ).alias("target"),
+        ),
+    )
+    return F.transform(
+        keyed,
+        lambda c, i: F.struct(
+            i.alias("ord"),
+            *[c[f].alias(f) for f in plain],
+            c["is_pk"].alias("is_pk"),
+            c["target"].isNotNull().alias("is_fk"),
+            c["target"]["fk_table"].alias("fk_table"),
+            c["target"]["fk_column"].alias("fk_column"),
+            *_role_flags(c),
+        ),
     )
 
 
+def _role_flags(c: Column) -> list[Column]:
+    shown = c["is_pk"] | c["target"].isNull()
+    text = shown & (c["family"] == "text")
+    number = (c["family"] == "numeric") & ~c["is_pk"] & c["target"].isNull()
+    return [
+        (text & any_of(c["key"], NAME_WORDS)).alias("as_name"),
+        (text & any_of(c["key"], CATEGORY_WORDS)).alias("as_category"),
+        (number & ~F.endswith(c["key"], F.lit("_id"))).alias("as_number"),
+        (shown & (c["family"] == "date")).alias("as_date"),
+        text.alias("as_text"),
+    ]
+
+
 def _names(cols: Column, keep) -> Column:
     return F.transform(F.filter(cols, keep), lambda c: c["name"])
 
@@ -186,44 +232,44 @@ def with_tables(df: DataFrame, ddl: str = "ddl") -> DataFrame:
 
     def clauses(t: Column) -> Column:
         primary, foreign = _key_clauses(t["items"])
-        is_column = lambda i: i.rlike(_COLUMN) & ~i.rlike(_CLAUSE)
         return F.struct(
             t["name"].alias("name"),
             F.lower(t["name"]).alias("key"),
             primary.alias("primary"),
             foreign.alias("foreign"),
-            F.transform(F.filter(t["items"], is_column), _column).alias("cols"),
+            _columns(t["items"]).alias("cols"),
         )
 
-    def finished(t: Column) -> Column:
+    def keyed(t: Column) -> Column:
+        return F.struct(t["name"].alias("name"), t["key"].alias("key"), _with_keys(t).alias("cols"))
+
+    def named(t: Column) -> Column:
         return F.struct(
             t["name"].alias("name"),
             t["key"].alias("key"),
-            F.transform(t["cols"], lambda c, i: _finished_column(c, i, t)).alias("cols"),
+            t["cols"].alias("cols"),
+            first(_names(t["cols"], lambda c: c["as_name"])).alias("named"),
         )
 
     def roles(t: Column, ord_: Column) -> Column:
         cols = t["cols"]
-        named = first(_names(cols, lambda c: c["as_name"]))
-        other_text = _names(cols, lambda c: c["as_text"] & ~c["as_category"] & ~c["name"].eqNullSafe(named))
+        other = _names(cols, lambda c: c["as_text"] & ~c["as_category"] & ~c["name"].eqNullSafe(t["named"]))
         return F.struct(
             ord_.alias("ord"),
             t["name"].alias("name"),
             t["key"].alias("key"),
             cols.alias("cols"),
             first(_names(cols, lambda c: c["is_pk"])).alias("id_col"),
-            F.coalesce(named, first(other_text)).alias("name_col"),
+            F.coalesce(t["named"], first(other)).alias("name_col"),
             _names(cols, lambda c: c["as_category"]).alias("category"),
             _names(cols, lambda c: c["as_number"]).alias("numeric"),
             _names(cols, lambda c: c["as_date"]).alias("date"),
-            other_text.alias("text"),
+            other.alias("text"),
         )
 
-    staged = df.withColumn("_raw", raw).withColumn("_raw", F.transform("_raw", clauses))
-    staged = staged.withColumn("_raw", F.transform("_raw", finished))
-    keys = F.array_distinct(F.transform("_raw", lambda t: t["key"]))
-    staged = staged.withColumn("_keys", keys)
+    staged = df.withColumn("_raw", F.transform(F.transform(F.transform(raw, clauses), keyed), named))
+    staged = staged.withColumn("_keys", F.array_distinct(F.transform("_raw", lambda t: t["key"])))
     unique = F.when(F.size("_keys") == F.size("_raw"), F.col("_raw")).otherwise(
         F.transform("_keys", lambda k: last(F.filter("_raw", lambda t: t["key"] == k)))
     )
-    return computed(staged, {"tables": F.transform(unique, roles)}).drop("_raw", "_keys")
+    return settled(staged.withColumn("tables", F.transform(unique, roles)).drop("_raw", "_keys"), "tables")

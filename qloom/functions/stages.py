@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
-def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Add columns that are computed once, here.
+def settled(df: DataFrame, *columns: str) -> DataFrame:
+    """Fix columns that later steps use many times, or filter on.
 
-    Spark may otherwise put a column's whole expression in every place that uses it: into later
-    columns, into the body of array functions (then evaluated per element), and into filters moved
-    down. That multiplies with every stage. A one-element ``inline`` is a step no expression moves
-    across; it needs no shuffle and gives one row per row.
+    Spark may put a column's whole expression in the place of its name: into filters that it moves
+    down, and into the body of array functions, where it runs once per element. Over several stages
+    of text processing that multiplies. A one-element ``inline`` is a step no expression moves across.
+    It needs no shuffle and gives one row per row.
     """
-    fields = [c.alias(n) for n, c in columns.items()]
     kept = [c for c in df.columns if c not in columns]
-    return df.select(*kept, F.inline(F.array(F.struct(*fields))))
+    return df.select(*kept, F.inline(F.array(F.struct(*columns))))

@@ -141,9 +141,9 @@ def join_paths(edges: DataFrame, sources: DataFrame, max_hops: int = 6) -> DataF
     """Shortest join path from each source (schema_id, from_table) to every table it reaches.
 
     Breadth first: each round joins the tables reached last with their edges. Of several paths with
-    the fewest hops, the one whose edges were declared first is kept. A shared column is entered once
-    per source, so a column common to many tables costs one row per table. Rounds are cut by
-    checkpoints, and end when nothing new is reached.
+    the fewest hops, the one whose edges were declared first is kept. A shared column is entered at most
+    once per source and round, so a column common to many tables costs one row per table. Rounds are cut
+    by checkpoints, and end when nothing new is reached.
     """
     enable_checkpoints(edges.sparkSession)
     edges = edges.checkpoint()
@@ -160,10 +160,9 @@ def join_paths(edges: DataFrame, sources: DataFrame, max_hops: int = 6) -> DataF
         F.col("from_table").alias("node"),
         F.array().cast("array<int>").alias("key"),
         no_steps.alias("steps"),
-    ).distinct()
-    start = frontier
+    )
+    start = frontier = frontier.distinct().checkpoint()
     reached: DataFrame | None = None
-    met: DataFrame | None = None
     seen = start.select("schema_id", "source", "node")
 
     def step(source_col: Column, target: Column, target_col: Column) -> Column:
@@ -183,9 +182,7 @@ def join_paths(edges: DataFrame, sources: DataFrame, max_hops: int = 6) -> DataF
             .groupBy("schema_id", "source", "meeting")
             .agg(F.min(F.struct(F.concat("key", F.array("edge_ord")).alias("key"), "node", "from_col", "steps")).alias("e"))
         )
-        if met is not None:
-            entered = entered.join(met, ["schema_id", "source", "meeting"], "left_anti")
-        entered = entered.select("schema_id", "source", "meeting", "e.*").checkpoint()
+        entered = entered.select("schema_id", "source", "meeting", "e.*")
         targets = members.select(
             "schema_id",
             "meeting",
@@ -217,8 +214,6 @@ def join_paths(edges: DataFrame, sources: DataFrame, max_hops: int = 6) -> DataF
         found = frontier.withColumn("hops", F.lit(hop))
         reached = found if reached is None else reached.unionByName(found)
         seen = seen.unionByName(frontier.select("schema_id", "source", "node"))
-        visited = entered.select("schema_id", "source", "meeting")
-        met = visited if met is None else met.unionByName(visited)
     if reached is None:
         reached = start.where(F.lit(False)).withColumn("hops", F.lit(0))
     return reached.select(

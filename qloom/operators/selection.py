@@ -9,35 +9,50 @@ only that bucket is sorted.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Up to this many rows a plain top-n is one small merge, and cheaper than counting first.
 SMALL = 10_000
-# Buckets per group: BLOCK * BLOCK, found with 2 * BLOCK comparisons per value.
+# Buckets that balance a key of unknown spread: BLOCK * BLOCK, found with 2 * BLOCK comparisons.
 BLOCK = 32
+# A percentile is bracketed by approximate ones this share of the group to its left and right.
+MARGIN = 0.0005
+ACCURACY = 10_000
 
 Ranks = Mapping[str, Callable[[Column], Column]]
 
 
-def _quantile_bucket(values: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """Add ``_bucket``: how many of the group's approximate quantiles lie below the value.
+def _with_marks(values: DataFrame, by: Sequence[str], value: str, shares: Sequence[float]) -> DataFrame:
+    """Add ``_cuts``: approximate quantiles of the group's distinct values.
 
-    The quantiles only balance the buckets; every count made with them later is exact.
+    They only decide how rows fall into buckets; every count made with the buckets is exact.
     """
+    marks = values.groupBy(*by).agg(
+        F.percentile_approx(value, F.array(*map(F.lit, shares)), F.lit(ACCURACY)).alias("_cuts")
+    )
+    return values.join(marks, list(by), "inner") if by else values.withColumn("_cuts", marks.scalar())
+
+
+def _even_bucket(values: DataFrame, value: str) -> DataFrame:
+    """Buckets of about equal size: how many of BLOCK * BLOCK - 1 quantiles lie below the value."""
     n = BLOCK * BLOCK
-    shares = F.array(*[F.lit(i / n) for i in range(1, n)])
-    marks = values.groupBy(*by).agg(F.percentile_approx(value, shares, F.lit(10 * n)).alias("_cuts"))
-    if by:
-        joined = values.join(marks, list(by), "inner")
-    else:
-        joined = values.withColumn("_cuts", marks.scalar())
+    marked = _with_marks(values, [], value, [i / n for i in range(1, n)])
     block_ends = F.filter("_cuts", lambda c, i: (i + 1) % BLOCK == 0)
-    block = F.size(F.filter(block_ends, lambda c: c < F.col(value)))
-    joined = joined.withColumn("_block", block)
+    marked = marked.withColumn("_block", F.size(F.filter(block_ends, lambda c: c < F.col(value))))
     inside = F.slice("_cuts", F.col("_block") * BLOCK + 1, F.lit(BLOCK))
     below = F.size(F.filter(inside, lambda c: c < F.col(value)))
-    return joined.withColumn("_bucket", F.col("_block") * BLOCK + below).drop("_block", "_cuts")
+    return marked.withColumn("_bucket", F.col("_block") * BLOCK + below).drop("_block", "_cuts")
+
+
+def _bracket_bucket(values: DataFrame, by: Sequence[str], value: str, shares: Sequence[float]) -> DataFrame:
+    """Narrow buckets around the given shares of each group, wide ones between them."""
+    ends = sorted({min(max(s + side, 0.0), 1.0) for s in shares for side in (-MARGIN, MARGIN)})
+    marked = _with_marks(values, by, value, ends)
+    below = reduce(add, [(F.get("_cuts", F.lit(i)) < F.col(value)).cast("int") for i in range(len(ends))])
+    return marked.withColumn("_bucket", below).drop("_cuts")
 
 
 def _pick(values: DataFrame, by: Sequence[str], keys: Sequence[str], ranks: Ranks) -> DataFrame:
@@ -73,14 +88,9 @@ def _pick(values: DataFrame, by: Sequence[str], keys: Sequence[str], ranks: Rank
     )
 
 
-def value_at_rank(df: DataFrame, by: Sequence[str], value: str, ranks: Ranks) -> DataFrame:
-    """Per group, the value at each named rank of its sorted values (nulls left out).
-
-    ``ranks`` maps a name to a rank, from 0, computed from the number of values. A rank outside the
-    group gives no row. Equal values collapse before the first shuffle.
-    """
-    values = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    return _pick(_quantile_bucket(values, by, value), by, [value], ranks)
+def _counted(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Distinct values with their number; equal values collapse before the first shuffle."""
+    return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
 
 
 def rank_percentiles(
@@ -94,7 +104,8 @@ def rank_percentiles(
     if approximate:
         return df.groupBy(*by).agg(*[F.percentile_approx(value, F.lit(s)).alias(n) for n, s in shares.items()])
     ranks = {name: (lambda n, s=share: F.floor(n * F.lit(s))) for name, share in shares.items()}
-    found = value_at_rank(df, by, value, ranks)
+    values = _bracket_bucket(_counted(df, by, value), by, value, list(shares.values()))
+    found = _pick(values, by, [value], ranks)
     return found.groupBy(*by).agg(
         *[F.max(F.when(F.col("rank_name") == name, F.col(value))).alias(name) for name in shares]
     )
@@ -109,7 +120,8 @@ def first_n(df: DataFrame, key: str, n: int) -> DataFrame:
     """The first ``n`` rows by a unique numeric key."""
     if n <= SMALL:
         return df.orderBy(F.col(key).asc_nulls_last()).limit(n)
-    bound = value_at_rank(df, [], key, {"last": lambda total: F.lit(n - 1)}).select(F.struct(key))
+    values = _even_bucket(_counted(df, [], key), key)
+    bound = _pick(values, [], [key], {"last": lambda total: F.lit(n - 1)}).select(F.struct(key))
     return df.where(F.col(key).isNotNull() & _at_most([key], bound.scalar()))
 
 

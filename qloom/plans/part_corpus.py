@@ -127,7 +127,7 @@ def by_type(texts: dict[str, str], values: dict) -> F.Column:
 
 
 def part_corpus(spark: SparkSession, sf: str) -> DataFrame:
-    """(row_id, ddl, question, answer), one row per part."""
+    """(row_id, kind, ddl, question, answer), one row per part."""
     part = scan(spark, sf, "part").select("p_partkey", "p_type", "p_size")
     words = F.array(*map(F.lit, STATUS_WORDS))
     values = {
@@ -138,6 +138,7 @@ def part_corpus(spark: SparkSession, sf: str) -> DataFrame:
     }
     return part.select(
         F.col("p_partkey").alias("row_id"),
+        F.lower("p_type").alias("kind"),
         by_type({k: s.ddl for k, s in SETTINGS.items()}, values).alias("ddl"),
         by_type({k: s.question for k, s in SETTINGS.items()}, values).alias("question"),
         by_type({k: s.draft for k, s in SETTINGS.items()}, values).alias("answer"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from qloom.operators import catalog, drafts, features
+from qloom.operators import catalog, drafts, features, resolve
 from qloom.plans.part_corpus import (
     EDGES,
     PARTS,
@@ -337,3 +337,46 @@ def shape_profile(spark: SparkSession, sf: str) -> DataFrame:
 )
 def sql_drafts(spark: SparkSession, sf: str) -> DataFrame:
     return drafts.draft_sql(part_corpus(spark, sf))
+
+
+def statements(spark: SparkSession, sf: str) -> DataFrame:
+    """The expected drafts, some with an unknown column (every 7th part) or table (every 11th)."""
+    sql = F.col("answer")
+    sql = F.when(F.col("row_id") % 7 == 0, F.regexp_replace(sql, "^SELECT ", "SELECT ghost, ")).otherwise(sql)
+    sql = F.when(F.col("row_id") % 11 == 0, F.regexp_replace(sql, r"^(.*?) FROM (\w+)", "$1 FROM phantom_$2")).otherwise(sql)
+    return part_corpus(spark, sf).select("row_id", F.col("kind").alias("label"), "ddl", sql.alias("generated"))
+
+
+NAMES = f"""
+    WITH {PARTS}, marked AS (
+      SELECT lower(p_type) AS label, p_partkey % 11 = 0 AS bad_table, p_partkey % 7 = 0 AND p_partkey % 11 <> 0 AS bad_column
+      FROM parts)
+"""
+
+
+@query(
+    "resolvability_rate",
+    f"""
+    {NAMES}
+    SELECT label, CAST(count(*) AS BIGINT) AS n_statements,
+           count(*) FILTER (WHERE NOT bad_table AND NOT bad_column) / CAST(count(*) AS DOUBLE) AS resolvability_rate
+    FROM marked GROUP BY label
+    """,
+)
+def resolvability_rate(spark: SparkSession, sf: str) -> DataFrame:
+    return resolve.resolvability(statements(spark, sf))
+
+
+@query(
+    "hallucination_rate",
+    f"""
+    {NAMES}
+    SELECT label, CAST(count(*) AS BIGINT) AS n_statements,
+           count(*) FILTER (WHERE bad_table OR bad_column) / CAST(count(*) AS DOUBLE) AS hallucination_rate,
+           count(*) FILTER (WHERE bad_table) / CAST(count(*) AS DOUBLE) AS table_rate,
+           count(*) FILTER (WHERE bad_column) / CAST(count(*) AS DOUBLE) AS column_rate
+    FROM marked GROUP BY label
+    """,
+)
+def hallucination_rate(spark: SparkSession, sf: str) -> DataFrame:
+    return resolve.hallucination(statements(spark, sf))
