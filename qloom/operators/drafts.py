@@ -29,6 +29,12 @@ JOINED_CATEGORY_WORDS = (
 )
 # End of fixed values.
 
+# Feature columns that drafts over several tables are made of.
+_JOIN_INPUT = (
+    "tables", "involved", "agg", "comparisons", "says_revenue", "year", "status", "value_words", "limit_n", "tie_col",
+    "tie_dir", "wants_count", "select_all", "order_col", "order_desc",
+)
+
 NO_PATH = "no join path"
 NO_TABLE = "no table"
 
@@ -388,20 +394,21 @@ def draft_sql(corpus: DataFrame, spend_tables: tuple[str, str, str] = ("customer
     Questions that need a join without a usable key get no statement but the reason.
     """
     df = with_shape(with_involved(question_features(corpus.select("row_id", "ddl", "question"))), spend_tables)
-    one = df.withColumn("_t", first(F.col("involved")))
-    one = _spend(_anti(one), spend_tables)
+    df = _spend(_anti(df.withColumn("_t", first(F.col("involved")))), spend_tables)
     sql = (
         F.when(F.col("shape") == "listing", _listing(F.col("_t")))
         .when(F.col("shape") == "aggregate", _aggregate(F.col("_t")))
         .when(F.col("shape") == "anti", F.col("_anti_sql"))
         .when(F.col("shape") == "spend", F.col("_spend_sql"))
     )
-    by_itself = one.where(F.coalesce(F.col("shape") != "join", F.lit(True))).select("row_id", "shape", sql.alias("sql"))
-    # the path search reads these rows several times
+    # Written out once, as the path search reads the join questions several times: a finished draft
+    # keeps its text only, a join question the columns its draft still needs.
     enable_checkpoints(corpus.sparkSession)
-    joined = _joined(df.where(F.col("shape") == "join").checkpoint(), max_hops).select(
-        "row_id", "shape", F.col("_join_sql").alias("sql")
-    )
+    to_join = F.col("shape") == "join"
+    staged = df.select("row_id", "shape", sql.alias("sql"), *[F.when(to_join, F.col(c)).alias(c) for c in _JOIN_INPUT])
+    staged = staged.checkpoint()
+    by_itself = staged.where(~F.coalesce(to_join, F.lit(False))).select("row_id", "shape", "sql")
+    joined = _joined(staged.where(to_join).drop("sql"), max_hops).select("row_id", "shape", F.col("_join_sql").alias("sql"))
     drafts = by_itself.unionByName(joined)
     problem = F.when(F.col("shape").isNull(), NO_TABLE).when(F.col("sql").isNull(), NO_PATH)
     return drafts.withColumn("problem", problem)
