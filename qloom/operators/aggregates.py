@@ -101,14 +101,14 @@ def spend(
     amount: Column | None,
     customer_on: tuple[str, str],
     item_on: tuple[str, str],
-    order_id: str,
     alias: str = "total_spend",
 ) -> DataFrame:
     """Spend and number of distinct orders per customer.
 
     Items shrink to one row per order, then orders to one row per customer, then customers are looked
     up: each table is shuffled once, and a customer or order with very many rows arrives already
-    summed. Without ``amount`` the items are counted. ``keys`` must contain the customer key.
+    summed. Without ``amount`` the items are counted. ``keys`` must contain the customer key. Orders are
+    told apart by the key they share with their items, so counting them needs no exchange of its own.
     """
     customer_key, order_customer = customer_on
     order_key, item_key = item_on
@@ -120,11 +120,10 @@ def spend(
         orders.select(
             F.col(order_key).alias("_key"),
             F.col(order_customer).alias("_customer"),
-            F.col(order_id).alias("_order_id"),
         )
         .join(per_order, F.col("_key") == F.col("_order"), "inner")
         .groupBy("_customer")
-        .agg(F.sum("_spend").alias("_spend"), F.count_distinct("_order_id").alias("_orders"))
+        .agg(F.sum("_spend").alias("_spend"), F.count_distinct("_key").alias("_orders"))
     )
     return (
         customers.join(per_customer, F.col(customer_key) == F.col("_customer"), "inner")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from qloom.functions.numbers import exact, mean
 from qloom.functions.text import contains_all, contains_any, words
 from qloom.operators.bleu import bleu4
+from qloom.operators.joins import join_null_safe
 from qloom.operators.selection import rank_percentiles
 
 
@@ -39,7 +40,7 @@ def latency(df: DataFrame, by: Sequence[str], col: str, approximate: bool = Fals
         F.count(col).alias("n_samples"), mean(exact(col, 6, 24)).alias("avg_latency_ms")
     )
     places = rank_percentiles(df, by, col, {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95}, approximate)
-    return averages.join(places, list(by), "left")
+    return join_null_safe(averages, places, by, "left")
 
 
 def report(preds: DataFrame, resolved: DataFrame | None = None) -> DataFrame:

@@ -26,6 +26,13 @@ def join_on(left: DataFrame, right: DataFrame, on: Keys) -> DataFrame:
     return left.join(right, reduce(operator.and_, [left[a] == right[b] for a, b in on]), "inner")
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal columns where null equals null, as groups do; the columns appear once."""
+    other = right.withColumnsRenamed({c: f"_right_{c}" for c in on})
+    same = reduce(operator.and_, [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on])
+    return left.join(other, same, how).drop(*[f"_right_{c}" for c in on])
+
+
 def shared_key(left: Sequence[str], right: Sequence[str]) -> str:
     """First id column that both tables have, in the order of the left one."""
     names = {c.lower() for c in right}

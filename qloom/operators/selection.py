@@ -3,7 +3,8 @@
 ``ORDER BY ... LIMIT n`` collects n rows in one task, and a ranking window sorts a whole group in
 one. Both fail once n or a group grows with the data. Here rows are first counted per coarse bucket
 of the sort key; the running totals of these few counts tell which bucket holds the wanted rank, and
-only that bucket is sorted.
+only that bucket is sorted. The input is scanned two or three times, and only the rows of that bucket
+are ever shuffled.
 """
 
 from __future__ import annotations
@@ -14,6 +15,9 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from qloom.operators.joins import join_null_safe
+from qloom.session import broadcast_if_small
+
 # Up to this many rows a plain top-n is one small merge, and cheaper than counting first.
 SMALL = 10_000
 # Buckets that balance a key of unknown spread: BLOCK * BLOCK, found with 2 * BLOCK comparisons.
@@ -25,21 +29,23 @@ ACCURACY = 10_000
 Ranks = Mapping[str, Callable[[Column], Column]]
 
 
-def _with_marks(values: DataFrame, by: Sequence[str], value: str, shares: Sequence[float]) -> DataFrame:
-    """Add ``_cuts``: approximate quantiles of the group's distinct values.
+def _with_marks(rows: DataFrame, by: Sequence[str], value: str, shares: Sequence[float]) -> DataFrame:
+    """Add ``_cuts``: approximate quantiles of the group.
 
     They only decide how rows fall into buckets; every count made with the buckets is exact.
     """
-    marks = values.groupBy(*by).agg(
+    marks = rows.groupBy(*by).agg(
         F.percentile_approx(value, F.array(*map(F.lit, shares)), F.lit(ACCURACY)).alias("_cuts")
     )
-    return values.join(marks, list(by), "inner") if by else values.withColumn("_cuts", marks.scalar())
+    if not by:
+        return rows.withColumn("_cuts", marks.scalar())
+    return join_null_safe(rows, broadcast_if_small(marks), by)
 
 
-def _even_bucket(values: DataFrame, value: str) -> DataFrame:
+def _even_bucket(rows: DataFrame, value: str) -> DataFrame:
     """Buckets of about equal size: how many of BLOCK * BLOCK - 1 quantiles lie below the value."""
     n = BLOCK * BLOCK
-    marked = _with_marks(values, [], value, [i / n for i in range(1, n)])
+    marked = _with_marks(rows, [], value, [i / n for i in range(1, n)])
     block_ends = F.filter("_cuts", lambda c, i: (i + 1) % BLOCK == 0)
     marked = marked.withColumn("_block", F.size(F.filter(block_ends, lambda c: c < F.col(value))))
     inside = F.slice("_cuts", F.col("_block") * BLOCK + 1, F.lit(BLOCK))
@@ -47,16 +53,20 @@ def _even_bucket(values: DataFrame, value: str) -> DataFrame:
     return marked.withColumn("_bucket", F.col("_block") * BLOCK + below).drop("_block", "_cuts")
 
 
-def _bracket_bucket(values: DataFrame, by: Sequence[str], value: str, shares: Sequence[float]) -> DataFrame:
+def _bracket_bucket(rows: DataFrame, by: Sequence[str], value: str, shares: Sequence[float]) -> DataFrame:
     """Narrow buckets around the given shares of each group, wide ones between them."""
     ends = sorted({min(max(s + side, 0.0), 1.0) for s in shares for side in (-MARGIN, MARGIN)})
-    marked = _with_marks(values, by, value, ends)
+    marked = _with_marks(rows, by, value, ends)
     below = reduce(add, [(F.get("_cuts", F.lit(i)) < F.col(value)).cast("int") for i in range(len(ends))])
     return marked.withColumn("_bucket", below).drop("_cuts")
 
 
-def _pick(values: DataFrame, by: Sequence[str], keys: Sequence[str], ranks: Ranks) -> DataFrame:
-    """Rows of ``values`` (group, keys, ``_n``, ``_bucket``) that hold the named ranks, from 0."""
+def _pick(rows: DataFrame, by: Sequence[str], keys: Sequence[str], ranks: Ranks) -> DataFrame:
+    """Per group, the keys at the named ranks (from 0) of its rows, sorted by the keys.
+
+    ``rows`` has the group columns, the keys and a ``_bucket`` that does not decrease as the keys grow
+    and takes a bounded number of values per group. A rank outside a group gives no row.
+    """
     whole = Window.partitionBy(*by)
     before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     wanted = F.array(
@@ -66,8 +76,8 @@ def _pick(values: DataFrame, by: Sequence[str], keys: Sequence[str], ranks: Rank
         ]
     )
     targets = (
-        values.groupBy(*by, "_bucket")
-        .agg(F.sum("_n").alias("_size"))
+        rows.groupBy(*by, "_bucket")
+        .agg(F.count(F.lit(1)).alias("_size"))
         .withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
         .withColumn("_total", F.sum("_size").over(whole))
         .withColumn("_rank", F.explode(wanted))
@@ -79,20 +89,20 @@ def _pick(values: DataFrame, by: Sequence[str], keys: Sequence[str], ranks: Rank
             (F.col("_rank.at") - F.col("_start")).alias("_left"),
         )
     )
+    # equal keys collapse before the candidates are sorted
+    candidates = (
+        join_null_safe(rows, broadcast_if_small(targets), [*by, "_bucket"])
+        .groupBy(*by, "rank_name", "_left", *keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
     inside = Window.partitionBy(*by, "rank_name").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        values.join(targets, [*by, "_bucket"], "inner")
-        .withColumn("_upto", F.sum("_n").over(inside))
+        candidates.withColumn("_upto", F.sum("_n").over(inside))
         .where((F.col("_upto") > F.col("_left")) & (F.col("_upto") - F.col("_n") <= F.col("_left")))
         .select(*by, "rank_name", *keys)
     )
 
 
-def _counted(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """Distinct values with their number; equal values collapse before the first shuffle."""
-    return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-
-
 def rank_percentiles(
     df: DataFrame, by: Sequence[str], value: str, shares: Mapping[str, float], approximate: bool = False
 ) -> DataFrame:
@@ -104,8 +114,8 @@ def rank_percentiles(
     if approximate:
         return df.groupBy(*by).agg(*[F.percentile_approx(value, F.lit(s)).alias(n) for n, s in shares.items()])
     ranks = {name: (lambda n, s=share: F.floor(n * F.lit(s))) for name, share in shares.items()}
-    values = _bracket_bucket(_counted(df, by, value), by, value, list(shares.values()))
-    found = _pick(values, by, [value], ranks)
+    rows = df.select(*by, value).where(F.col(value).isNotNull())
+    found = _pick(_bracket_bucket(rows, by, value, list(shares.values())), by, [value], ranks)
     return found.groupBy(*by).agg(
         *[F.max(F.when(F.col("rank_name") == name, F.col(value))).alias(name) for name in shares]
     )
@@ -120,19 +130,15 @@ def first_n(df: DataFrame, key: str, n: int) -> DataFrame:
     """The first ``n`` rows by a unique numeric key."""
     if n <= SMALL:
         return df.orderBy(F.col(key).asc_nulls_last()).limit(n)
-    values = _even_bucket(_counted(df, [], key), key)
-    bound = _pick(values, [], [key], {"last": lambda total: F.lit(n - 1)}).select(F.struct(key))
+    rows = df.select(key).where(F.col(key).isNotNull())
+    bound = _pick(_even_bucket(rows, key), [], [key], {"last": lambda total: F.lit(n - 1)}).select(F.struct(key))
     return df.where(F.col(key).isNotNull() & _at_most([key], bound.scalar()))
 
 
 def _hash_bound(df: DataFrame, id_col: str, rank: Callable[[Column], Column]) -> DataFrame:
     """The (hash, id) pair at a rank. The hash spreads evenly, so its first digits serve as buckets."""
-    values = (
-        df.groupBy("_hash", id_col)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", F.substring("_hash", 1, 4))
-    )
-    return _pick(values, [], ["_hash", id_col], {"last": rank}).select(F.struct("_hash", id_col))
+    rows = df.select("_hash", id_col, F.substring("_hash", 1, 4).alias("_bucket"))
+    return _pick(rows, [], ["_hash", id_col], {"last": rank}).select(F.struct("_hash", id_col))
 
 
 def with_seeded_hash(df: DataFrame, id_col: str, seed: int) -> DataFrame:

@@ -28,21 +28,19 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
     said = F.col("reference")
     parts = F.split(said, " ")
     half = F.array_join(F.slice(parts, F.lit(1), F.floor(F.size(parts) / 2).cast("int")), " ")
-    tuned = answers.select(
-        "row_id",
-        F.lit("tuned").alias("label"),
-        F.lower(F.replace(said, F.lit(" "), F.lit("  "))).alias("generated"),
-        "reference",
-        ((F.length(said) + F.col("row_id") % 7) / 2).alias("latency_ms"),
+    labelled = F.array(
+        F.struct(
+            F.lit("tuned").alias("label"),
+            F.lower(F.replace(said, F.lit(" "), F.lit("  "))).alias("generated"),
+            ((F.length(said) + F.col("row_id") % 7) / 2).alias("latency_ms"),
+        ),
+        F.struct(
+            F.lit("base").alias("label"),
+            F.when(F.col("row_id") % 3 == 0, half).otherwise(said).alias("generated"),
+            ((F.length(said) * 3 + F.col("row_id") % 11) / 2).alias("latency_ms"),
+        ),
     )
-    base = answers.select(
-        "row_id",
-        F.lit("base").alias("label"),
-        F.when(F.col("row_id") % 3 == 0, half).otherwise(said).alias("generated"),
-        "reference",
-        ((F.length(said) * 3 + F.col("row_id") % 11) / 2).alias("latency_ms"),
-    )
-    return tuned.unionByName(base)
+    return answers.select("row_id", "reference", F.inline(labelled))
 
 
 def sql_words(col: str) -> str:

@@ -348,7 +348,6 @@ def spend_query(spark: SparkSession, sf: str, discounted: bool) -> DataFrame:
         aggregates.spend_expression("qty", "price", "discount" if discounted else None, discount_scale=1),
         customer_on=("c_custkey", "o_custkey"),
         item_on=("o_orderkey", "l_orderkey"),
-        order_id="o_orderkey",
     )
     return as_double(aggregates.spend_top_k(spent, 5, "c_custkey"), "total_spend")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Settings a job of this package wants; a cluster's own values win where they are already set.
 DEFAULTS = {
@@ -51,3 +51,15 @@ def work_folder(spark: SparkSession, name: str) -> str:
 def enable_checkpoints(spark: SparkSession) -> None:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
+    """A side of a join, marked for broadcast only if it was counted to be small.
+
+    Meant for narrow results of an aggregate, such as one row per group, whose size no statistics
+    tell in advance. Spark would otherwise shuffle the large side before it learns how small this one
+    is. Above the bound the rows join like any others.
+    """
+    enable_checkpoints(df.sparkSession)
+    done = df.checkpoint()
+    return F.broadcast(done) if done.limit(max_rows + 1).count() <= max_rows else done

@@ -1,0 +1,220 @@
+"""Filters, joins, aggregates and orderings on small frames with nulls, ties and empties."""
+
+import datetime as dt
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from qloom.operators import aggregates, filters, joins, ordering
+from qloom.operators.listing import Roles, joined_listing, listing
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def keys(spark, values, name="k"):
+    return spark.createDataFrame([(v,) for v in values], f"{name} int")
+
+
+@pytest.mark.parametrize(
+    "negatives, kept",
+    [([2, None], []), ([2], [1]), ([], [1, 2, None]), ([None], []), ([2, 2, 2], [1]), ([9], [1, 2])],
+)
+def test_without_follows_not_in(spark, negatives, kept):
+    out = joins.without(keys(spark, [1, 2, None]), keys(spark, negatives, "n"), ("k", "n"))
+    assert rows(out) == sorted([(v,) for v in kept], key=repr)
+
+
+def test_plain_anti_join_would_differ(spark):
+    left, right = keys(spark, [1, 2, None]), keys(spark, [2, None], "n")
+    assert rows(left.join(right, left.k == right.n, "left_anti")) == [(1,), (None,)]
+
+
+@pytest.fixture(scope="module")
+def shop(spark):
+    customers = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d")], "cid int, name string")
+    orders = spark.createDataFrame(
+        [(10, 1, "F"), (11, 1, "F"), (12, 2, "F"), (13, 3, "O"), (14, None, "F"), (15, 1, "O")],
+        "oid int, cust int, status string",
+    )
+    return customers, orders
+
+
+def via(shop, returned, distinct=False, where=None):
+    customers, orders = shop
+    where = F.col("status") == "F" if where is None else where
+    return joins.without_via(customers, orders, returned, ("cid", "cust"), ("oid", "rid"), where, distinct)
+
+
+def test_without_via_keeps_one_row_per_bridge_row(spark, shop):
+    returned = keys(spark, [12, 15], "rid")
+    # order 15 does not qualify, so its return does not rule customer 1 out
+    assert rows(via(shop, returned)) == [(1, "a"), (1, "a")]
+    assert rows(via(shop, returned, distinct=True)) == [(1, "a")]
+
+
+def test_without_via_null_key_among_the_negatives(spark, shop):
+    assert rows(via(shop, keys(spark, [14], "rid"))) == []
+
+
+def test_without_via_no_negatives(spark, shop):
+    assert rows(via(shop, keys(spark, [], "rid"), distinct=True)) == [(1, "a"), (2, "b")]
+
+
+def test_join_path_and_errors(spark):
+    a = spark.createDataFrame([(1, 5)], "a_id int, b_id int")
+    b = spark.createDataFrame([(5, 7)], "b_key int, c_id int")
+    c = spark.createDataFrame([(7, "x")], "c_key int, label string")
+    steps = [("a", "b_id", "b", "b_key"), ("b", "c_id", "c", "c_key")]
+    assert rows(joins.join_path({"a": a, "b": b, "c": c}, "a", steps).select("a_id", "label")) == [(1, "x")]
+    with pytest.raises(joins.NoJoinKey):
+        joins.join_path({"a": a, "b": b, "c": c}, "a", steps[1:])
+    with pytest.raises(joins.NoJoinKey):
+        joins.join_on(a, b, [])
+    with pytest.raises(joins.NoJoinKey):
+        joins.shared_key(["name", "status"], ["name", "status"])
+    assert joins.shared_key(["name", "x_id", "y_id"], ["Y_ID", "X_id"]) == "x_id"
+
+
+def test_join_null_safe(spark):
+    left = spark.createDataFrame([(None, 1), ("a", 2)], "g string, v int")
+    right = spark.createDataFrame([(None, 10), ("b", 20)], "g string, w int")
+    assert rows(joins.join_null_safe(left, right, ["g"])) == [(None, 1, 10)]
+
+
+def test_star_multiplies_rows(spark):
+    p = spark.createDataFrame([(1,)], "id int")
+    x = spark.createDataFrame([(1, 2), (1, 3)], "xid int, x int")
+    y = spark.createDataFrame([(1, 5), (1, 6), (1, 7)], "yid int, y int")
+    assert joins.join_star(p, [(x, [("id", "xid")]), (y, [("id", "yid")])]).count() == 6
+
+
+def test_year_range(spark):
+    df = spark.createDataFrame(
+        [(1, "1996-12-31 23:59:59"), (2, "1997-01-01"), (3, "1997-12-31 23:59:59"), (4, "1998-01-01"), (5, "no date"), (6, None)],
+        "id int, t string",
+    )
+    assert rows(filters.year_filter(df, "t", 1997).select("id")) == [(2,), (3,)]
+    typed = df.withColumn("t", F.try_to_timestamp("t"))
+    assert rows(filters.year_filter(typed, "t", 1997).select("id")) == [(2,), (3,)]
+    days = spark.createDataFrame([(1, dt.date(1997, 5, 1)), (2, dt.date(1998, 1, 1))], "id int, t date")
+    assert rows(filters.year_filter(days, "t", 1997).select("id")) == [(1,)]
+
+
+def test_status_uses_the_first_matching_column(spark):
+    df = spark.createDataFrame([(1, "F", "O"), (2, "O", "F")], "id int, order_status string, ship_status string")
+    assert rows(filters.status_filter(df, "F").select("id")) == [(1,)]
+    assert filters.status_filter(df.select("id"), "F").count() == 2
+    assert filters.conjunction(df, []).count() == 2
+
+
+def test_top_k_ties_and_nulls(spark):
+    df = spark.createDataFrame([(1, 5), (2, None), (3, 5), (4, 9), (5, 5)], "id int, v int")
+    top = ordering.top_k(df, "v", 3, ["id"]).collect()
+    assert [r.id for r in top] == [4, 1, 3]
+    low = ordering.top_k(df, "v", 2, ["id"], descending=False).collect()
+    assert [r.id for r in low] == [2, 1]
+    assert ordering.top_k(df.limit(0), "v", 3, ["id"]).count() == 0
+
+
+def test_order_by_rules(spark):
+    df = spark.createDataFrame([(1, 5, 1), (2, 7, 9)], "id int, a int, b int")
+    assert [r.id for r in ordering.order_by(df, "b", ["a"], "id", descending=False).collect()] == [1, 2]
+    assert [r.id for r in ordering.order_by(df, None, ["a"], "id").collect()] == [2, 1]
+    assert [r.id for r in ordering.order_by(df, None, [], "id").collect()] == [2, 1]
+
+
+def test_listing_columns(spark):
+    df = spark.createDataFrame([(1, "x", "c", "d", 1, 2, 3)], "id int, n string, c1 string, c2 string, a int, b int, e int")
+    roles = Roles(id="id", name="n", category=["c1", "c2"], numeric=["a", "b", "e"])
+    assert listing(df, roles).columns == ["id", "n", "c1", "a", "b"]
+    assert listing(df, Roles()).columns == df.columns[:5]
+    assert listing(df, roles, where=[F.col("a") > 1], limit=3).count() == 0
+    assert joined_listing(df, roles, ["e"]).columns == ["id", "n", "e"]
+    assert joined_listing(df, Roles(), []).columns == df.columns
+
+
+def test_aggregate_names(spark):
+    assert aggregates.alias_for("sum", "amount") == "sum_amount"
+    assert aggregates.alias_for("avg", "Total_amount") == "total_amount"
+    assert aggregates.alias_for("sum", "amount", revenue=True) == "total_revenue"
+
+
+def test_group_agg_nulls_and_approximate(spark):
+    df = spark.createDataFrame([("a", 1, 1), ("a", None, 1), ("b", None, 2), ("a", 4, 3)], "g string, v int, w int")
+    assert rows(aggregates.group_agg(df, ["g"], "count", "v")) == [("a", 2), ("b", 0)]
+    assert rows(aggregates.group_agg(df, ["g"], "avg", "v")) == [("a", 2.5), ("b", None)]
+    assert rows(aggregates.group_agg(df, ["g"], "sum", "v", distinct_col="w")) == [("a", 5, 2), ("b", None, 1)]
+    assert rows(aggregates.group_agg(df, ["g"], "sum", "v", distinct_col="w", approximate=True))[0] == ("a", 5, 2)
+    assert rows(aggregates.group_agg(df.limit(0), [], "sum", "v")) == [(None,)]
+
+
+def skewed(spark, n=3000, seed=1):
+    """Primary rows with repeated keys, and details of which a third belong to one key."""
+    rnd = random.Random(seed)
+    primary = [(k, f"n{k % 7}") for k in range(40)] + [(3, "n3"), (3, "other"), (None, "x")]
+    detail = []
+    for i in range(n):
+        key = 3 if i % 3 == 0 else rnd.choice([None, *range(60)])
+        detail.append((key, rnd.choice([None, *range(50)]), rnd.randrange(9)))
+    return (
+        spark.createDataFrame(primary, "id int, name string"),
+        spark.createDataFrame(detail, "fk int, v int, d int"),
+    )
+
+
+@pytest.mark.parametrize("func", ["sum", "avg", "count"])
+def test_join_group_agg_equals_join_then_aggregate(spark, func):
+    primary, detail = skewed(spark)
+    got = aggregates.join_group_agg(primary, detail, ("id", "fk"), ["id", "name"], func, "v", "out", distinct_col="d")
+    plain = primary.join(detail, primary.id == detail.fk).groupBy("id", "name")
+    calls = {"sum": F.sum("v"), "avg": F.avg("v"), "count": F.count("v")}
+    assert rows(got) == rows(plain.agg(calls[func].alias("out"), F.count_distinct("d").alias("distinct_d")))
+    by_name = aggregates.join_group_agg(primary, detail, ("id", "fk"), ["name"], func, "v", "out")
+    plain = primary.join(detail, primary.id == detail.fk).groupBy("name")
+    assert rows(by_name) == rows(plain.agg(calls[func].alias("out")))
+    with pytest.raises(ValueError):
+        aggregates.join_group_agg(primary, detail, ("id", "fk"), ["name"], func, "v", distinct_col="d")
+
+
+@pytest.mark.parametrize("counted", [False, True])
+def test_spend_equals_plain_join(spark, counted):
+    rnd = random.Random(5)
+    customers = [(i, f"c{i}") for i in range(20)] + [(4, "c4"), (None, "nobody")]
+    orders = [(o, 4 if o % 3 == 0 else rnd.choice([None, *range(25)])) for o in range(200)] + [(7, 4)]
+    items = [(12 if i % 3 == 0 else rnd.choice([None, *range(220)]), rnd.randrange(1, 9), rnd.choice([None, 2, 5])) for i in range(2000)]
+    amount = aggregates.spend_expression("qty", "price")
+    got = aggregates.spend(
+        spark.createDataFrame(customers, "cid int, name string"),
+        spark.createDataFrame(orders, "oid int, cust int"),
+        spark.createDataFrame(items, "iid int, qty int, price int"),
+        ["cid", "name"],
+        None if counted else amount,
+        ("cid", "cust"),
+        ("oid", "iid"),
+    )
+    total, seen = defaultdict(lambda: None), defaultdict(set)
+    for cid, name in customers:
+        for oid, cust in orders:
+            if cid is None or cust != cid:
+                continue
+            for iid, qty, price in items:
+                if iid != oid:
+                    continue
+                seen[cid, name].add(oid)
+                if counted or price is not None:
+                    total[cid, name] = (total[cid, name] or 0) + (1 if counted else qty * price)
+    assert rows(got) == sorted([(c, n, total[c, n], len(seen[c, n])) for c, n in seen], key=repr)
+
+
+def test_discount_scales(spark):
+    df = spark.createDataFrame([(2, 10.0, 25.0, 0.25)], "q int, p double, percent double, share double")
+    out = df.select(
+        aggregates.spend_expression("q", "p"),
+        aggregates.spend_expression("q", "p", "percent"),
+        aggregates.spend_expression("q", "p", "share", discount_scale=1),
+    )
+    assert tuple(out.first()) == (20.0, 15.0, 15.0)
