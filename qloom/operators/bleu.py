@@ -41,7 +41,9 @@ def _ngrams(toks: Column, ours: int, theirs: int) -> Column:
     """All n-grams of a token array as (n, gram, in hypothesis, in reference)."""
 
     def of_order(n: int) -> Column:
-        starts = F.filter(F.sequence(F.lit(1), F.size(toks)), lambda i: i + (n - 1) <= F.size(toks))
+        # a sequence from 1 to 0 would count down
+        places = F.sequence(F.lit(1), F.greatest(F.size(toks), F.lit(1)))
+        starts = F.filter(places, lambda i: i + (n - 1) <= F.size(toks))
         return F.transform(
             starts,
             lambda i: F.struct(
@@ -58,12 +60,16 @@ def _ngrams(toks: Column, ours: int, theirs: int) -> Column:
 def bleu_counts(preds: DataFrame) -> DataFrame:
     """Per label: clipped matches ``m<n>``, n-gram totals ``t<n>``, and both lengths.
 
-    Predictions are spread by row id before their n-grams are listed. Counting per row and gram then
-    needs no further exchange, so the shuffle carries the texts once and not their n-grams.
+    ``row_id`` must be unique per label, as matches are clipped per prediction. Predictions are spread
+    by it before their n-grams are listed. Counting per row and gram then needs no further exchange, so
+    the shuffle carries the texts once and not their n-grams. Rows without a reference are left out.
     """
-    spread = preds.select("label", "row_id", "generated", "reference").repartition("row_id", "label")
-    split = spread.select(
-        "label", "row_id", tokens(F.col("generated")).alias("hyp"), tokens(F.col("reference")).alias("ref")
+    scored = preds.where(F.col("reference").isNotNull()).select("label", "row_id", "generated", "reference")
+    split = scored.repartition("row_id", "label").select(
+        "label",
+        "row_id",
+        tokens(F.coalesce("generated", F.lit(""))).alias("hyp"),
+        tokens(F.col("reference")).alias("ref"),
     )
     # an entry of order 0 keeps labels whose texts are all empty
     blank = F.array(F.struct(F.lit(0).alias("n"), F.lit("").alias("gram"), F.lit(0).alias("h"), F.lit(0).alias("r")))
