@@ -218,7 +218,7 @@ def with_tables(df: DataFrame, ddl: str = "ddl") -> DataFrame:
     A table defined twice keeps its first place and its last definition.
     """
     statements = F.filter(
-        F.split(F.regexp_replace(F.col(ddl), _NOISE, " "), _STATEMENT_END), lambda s: s.rlike(_CREATE)
+        F.split(F.regexp_replace(F.coalesce(ddl, F.lit("")), _NOISE, " "), _STATEMENT_END), lambda s: s.rlike(_CREATE)
     )
     raw = F.transform(
         statements,
