@@ -8,6 +8,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, functions as F
 
 from qloom.functions.text import rstrip, words
+from qloom.session import spread
 
 ORDERS = (1, 2, 3, 4)
 
@@ -65,7 +66,7 @@ def bleu_counts(preds: DataFrame) -> DataFrame:
     the shuffle carries the texts once and not their n-grams. Rows without a reference are left out.
     """
     scored = preds.where(F.col("reference").isNotNull()).select("label", "row_id", "generated", "reference")
-    split = scored.repartition("row_id", "label").select(
+    split = spread(scored, "row_id", "label").select(
         "label",
         "row_id",
         tokens(F.coalesce("generated", F.lit(""))).alias("hyp"),

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from qloom.functions.text import fill
 from qloom.operators.features import STATUS_WORDS
+from qloom.session import spread
 from qloom.sources.tables import scan
 
 
@@ -128,7 +129,8 @@ def by_type(texts: dict[str, str], values: dict) -> F.Column:
 
 def part_corpus(spark: SparkSession, sf: str) -> DataFrame:
     """(row_id, kind, ddl, question, answer), one row per part."""
-    part = scan(spark, sf, "part").select("p_partkey", "p_type", "p_size")
+    # a few bytes per part become a kilobyte of text that is then read with patterns
+    part = spread(scan(spark, sf, "part").select("p_partkey", "p_type", "p_size"), "p_partkey")
     words = F.array(*map(F.lit, STATUS_WORDS))
     values = {
         "n": F.col("p_size").cast("string"),

@@ -15,6 +15,10 @@ DEFAULTS = {
     # split a hot join key even where that costs the next aggregate one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # keep the state of streams on disk, as the number of series has no bound
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
@@ -53,6 +57,15 @@ def enable_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition rows ahead of a step that does much work, or makes many rows, per byte it reads.
+
+    The number of partitions is given, so that adaptive execution does not merge them by their size in
+    bytes, which says little about the work to come.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
     """A side of a join, marked for broadcast only if it was counted to be small.
 
