@@ -58,14 +58,19 @@ def report(preds: DataFrame, resolved: DataFrame | None = None) -> DataFrame:
     return out if resolved is None else out.join(resolved, "label", "left")
 
 
-def delta(
-    scores: DataFrame, better: str, base: str, metrics: Sequence[str] = ("exact_match_accuracy", "bleu4")
-) -> DataFrame:
-    """One row: each metric of label ``better`` less that of label ``base``."""
+METRICS = ("exact_match_accuracy", "resolvability_rate", "bleu4")
+
+
+def delta(scores: DataFrame, better: str, base: str, metrics: Sequence[str] | None = None) -> DataFrame:
+    """One row: each metric of label ``better`` less that of label ``base``.
+
+    Without a list, all of METRICS that the report has.
+    """
 
     def of(label: str, metric: str) -> Column:
         return F.max(F.when(F.col("label") == label, F.col(metric)))
 
+    metrics = metrics or [m for m in METRICS if m in scores.columns]
     return scores.where(F.col("label").isin(better, base)).agg(
         *[(of(better, m) - of(base, m)).alias(f"delta_{m}") for m in metrics]
     )

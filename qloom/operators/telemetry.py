@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from qloom.functions.numbers import exact, mean
+from qloom.functions.text import word_count
 
 
 def param_log(runs: DataFrame, params: str, lists: str | None = None) -> DataFrame:
@@ -61,6 +62,20 @@ def retain_last_k(checkpoints: DataFrame, k: int = 2, by: Sequence[str] = ("run_
     return checkpoints.withColumn("_place", F.row_number().over(newest_first)).where(F.col("_place") <= k).drop("_place")
 
 
+def serving_log(requests: DataFrame, sql: str = "sql", elapsed_ms: str = "elapsed_ms") -> DataFrame:
+    """Serving records out of requests (ts, model_version, statement, time taken).
+
+    The time is the measured one, in hundredths; the size of the answer is its number of words.
+    """
+    return requests.select(
+        "ts",
+        "model_version",
+        F.col(sql).alias("sql"),
+        F.round(elapsed_ms, 2).alias("execution_time_ms"),
+        word_count(F.col(sql)).alias("tokens_generated"),
+    )
+
+
 def serving_rollup(log: DataFrame) -> DataFrame:
     """Requests, average time and tokens per model version."""
     return log.groupBy("model_version").agg(

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from qloom.operators import evaluation
+from qloom.operators import evaluation, resolve
 from qloom.operators.bleu import bleu4
+from qloom.plans.part_corpus import PARTS, SETTINGS, part_corpus, sql_case, sql_template
 from qloom.plans.prompts import PAIRS, SQL_WORDS, pairs
 from qloom.plans.registry import query
 from qloom.sources.tables import scan
@@ -149,6 +150,84 @@ def eval_delta(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+STATEMENTS = PARTS + f""",
+    answered AS (
+      SELECT row_id, {sql_case({k: sql_template(v.draft) for k, v in SETTINGS.items()})} AS reference FROM parts),
+    wrong AS (
+      SELECT row_id, reference, CASE WHEN row_id % 7 = 0 THEN regexp_replace(reference, '^SELECT ', 'SELECT ghost, ')
+                                     ELSE reference END AS said FROM answered),
+    predictions AS (
+      SELECT row_id, 'tuned' AS label, replace(reference, ', ', ' ,  ') AS generated, reference,
+             CAST(length(reference) AS DOUBLE) / 4 AS latency_ms FROM answered
+      UNION ALL
+      SELECT row_id, 'base', CASE WHEN row_id % 11 = 0 THEN regexp_replace(said, '^(.*?) FROM (\\w+)', '\\1 FROM phantom_\\2')
+                                  ELSE said END, reference, CAST(length(reference) AS DOUBLE) / 2 FROM wrong),
+    resolved AS (
+      SELECT label, count(*) FILTER (WHERE label = 'tuned' OR (row_id % 7 <> 0 AND row_id % 11 <> 0))
+                      / CAST(count(*) AS DOUBLE) AS resolvability_rate
+      FROM predictions GROUP BY label)
+"""
+
+
+def statements(spark: SparkSession, sf: str) -> DataFrame:
+    """Predicted statements: the right ones in another spacing, and some with an unknown column or table."""
+    rows = part_corpus(spark, sf).select("row_id", "ddl", F.col("answer").alias("reference"))
+    said = F.col("reference")
+    wrong = F.when(F.col("row_id") % 7 == 0, F.regexp_replace(said, "^SELECT ", "SELECT ghost, ")).otherwise(said)
+    wrong = F.when(
+        F.col("row_id") % 11 == 0, F.regexp_replace(wrong, r"^(.*?) FROM (\w+)", "$1 FROM phantom_$2")
+    ).otherwise(wrong)
+    labelled = F.array(
+        F.struct(
+            F.lit("tuned").alias("label"),
+            F.replace(said, F.lit(", "), F.lit(" ,  ")).alias("generated"),
+            (F.length(said) / 4).alias("latency_ms"),
+        ),
+        F.struct(
+            F.lit("base").alias("label"), wrong.alias("generated"), (F.length(said) / 2).alias("latency_ms")
+        ),
+    )
+    return rows.select("row_id", "ddl", "reference", F.inline(labelled))
+
+
+def statement_scores(spark: SparkSession, sf: str) -> DataFrame:
+    preds = statements(spark, sf)
+    return evaluation.report(preds, resolve.resolvability(preds).drop("n_statements"))
+
+
+@query(
+    "eval_report_statements",
+    f"""
+    WITH {STATEMENTS}, {EXACT}, {BLEU}, {LATENCY}
+    SELECT label, n_samples, exact_match_accuracy, resolvability_rate, round(bleu4, 6) AS bleu4, avg_latency_ms,
+           p50_latency_ms, p95_latency_ms
+    FROM exact JOIN bleu USING (label) JOIN latency USING (label) JOIN resolved USING (label)
+    """,
+)
+def eval_report_statements(spark: SparkSession, sf: str) -> DataFrame:
+    return statement_scores(spark, sf).withColumn("bleu4", F.round("bleu4", 6))
+
+
+@query(
+    "eval_delta_statements",
+    f"""
+    WITH {STATEMENTS}, {EXACT}, {BLEU}, scores AS (
+      SELECT * FROM exact JOIN bleu USING (label) JOIN resolved USING (label))
+    SELECT round(max(exact_match_accuracy) FILTER (WHERE label = 'tuned')
+                 - max(exact_match_accuracy) FILTER (WHERE label = 'base'), 9) AS delta_exact_match_accuracy,
+           round(max(resolvability_rate) FILTER (WHERE label = 'tuned')
+                 - max(resolvability_rate) FILTER (WHERE label = 'base'), 9) AS delta_resolvability_rate,
+           round(max(bleu4) FILTER (WHERE label = 'tuned') - max(bleu4) FILTER (WHERE label = 'base'), 6) AS delta_bleu4
+    FROM scores
+    """,
+)
+def eval_delta_statements(spark: SparkSession, sf: str) -> DataFrame:
+    change = evaluation.delta(statement_scores(spark, sf), "tuned", "base")
+    return change.select(
+        *[F.round(c, 6 if c == "delta_bleu4" else 9).alias(c) for c in change.columns]
+    )
+
+
 @query(
     "latency_percentiles",
     """

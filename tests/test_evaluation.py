@@ -103,6 +103,10 @@ def test_report_and_delta(spark):
     assert (got["old"].avg_latency_ms, got["old"].p50_latency_ms, got["old"].p95_latency_ms) == (15.0, 20.0, 30.0)
     change = evaluation.delta(scores, "new", "old").first()
     assert change.delta_exact_match_accuracy == 0.75
+    assert "delta_resolvability_rate" not in change.asDict()
+    resolved = spark.createDataFrame([("new", 0.9), ("old", 0.5)], "label string, resolvability_rate double")
+    full = evaluation.report(spark.createDataFrame(rows, SCHEMA), resolved)
+    assert evaluation.delta(full, "new", "old").first().delta_resolvability_rate == pytest.approx(0.4)
     assert change.delta_bleu4 == pytest.approx(got["new"].bleu4 - got["old"].bleu4)
 
 

@@ -65,6 +65,12 @@ def test_param_log(spark):
     assert telemetry.param_log(df, "p").count() == 1
 
 
+def test_serving_log(spark):
+    df = spark.createDataFrame([(T0, "v1", "SELECT  a\nFROM t", 1.239)], "ts timestamp, model_version string, sql string, elapsed_ms double")
+    row = telemetry.serving_log(df).first()
+    assert (row.execution_time_ms, row.tokens_generated, row.sql) == (1.24, 4, "SELECT  a\nFROM t")
+
+
 def test_serving_rollup(spark):
     df = spark.createDataFrame([("v1", 2.0, 3), ("v1", 4.0, None), ("v2", None, 1)], "model_version string, execution_time_ms double, tokens_generated int")
     got = {r.model_version: tuple(r)[1:] for r in telemetry.serving_rollup(df).collect()}
