@@ -3,8 +3,8 @@
 ``ORDER BY ... LIMIT n`` collects n rows in one task, and a ranking window sorts a whole group in
 one. Both fail once n or a group grows with the data. Here rows are first counted per coarse bucket
 of the sort key; the running totals of these few counts tell which bucket holds the wanted rank, and
-only that bucket is sorted. The input is scanned two or three times, and only the rows of that bucket
-are ever shuffled.
+only that bucket is sorted. The input is scanned a few times, and only the rows of that bucket are
+ever shuffled.
 """
 
 from __future__ import annotations
@@ -20,8 +20,8 @@ from qloom.session import broadcast_if_small
 
 # Up to this many rows a plain top-n is one small merge, and cheaper than counting first.
 SMALL = 10_000
-# Buckets that balance a key of unknown spread: BLOCK * BLOCK, found with 2 * BLOCK comparisons.
-BLOCK = 32
+# Ranges that one pass over an integer key tells apart, as a power of two.
+RANGE_BITS = 10
 # A percentile is bracketed by approximate ones this share of the group to its left and right.
 MARGIN = 0.0005
 ACCURACY = 10_000
@@ -42,17 +42,6 @@ def _with_marks(rows: DataFrame, by: Sequence[str], value: str, shares: Sequence
     return join_null_safe(rows, broadcast_if_small(marks), by)
 
 
-def _even_bucket(rows: DataFrame, value: str) -> DataFrame:
-    """Buckets of about equal size: how many of BLOCK * BLOCK - 1 quantiles lie below the value."""
-    n = BLOCK * BLOCK
-    marked = _with_marks(rows, [], value, [i / n for i in range(1, n)])
-    block_ends = F.filter("_cuts", lambda c, i: (i + 1) % BLOCK == 0)
-    marked = marked.withColumn("_block", F.size(F.filter(block_ends, lambda c: c < F.col(value))))
-    inside = F.slice("_cuts", F.col("_block") * BLOCK + 1, F.lit(BLOCK))
-    below = F.size(F.filter(inside, lambda c: c < F.col(value)))
-    return marked.withColumn("_bucket", F.col("_block") * BLOCK + below).drop("_block", "_cuts")
-
-
 def _bracket_bucket(rows: DataFrame, by: Sequence[str], value: str, shares: Sequence[float]) -> DataFrame:
     """Narrow buckets around the given shares of each group, wide ones between them."""
     ends = sorted({min(max(s + side, 0.0), 1.0) for s in shares for side in (-MARGIN, MARGIN)})
@@ -126,13 +115,36 @@ def _at_most(keys: Sequence[str], bound: Column) -> Column:
     return F.coalesce(F.struct(*keys) <= bound, F.lit(True))
 
 
+def _integer_at_rank(df: DataFrame, key: str, rank: int) -> int | None:
+    """The value at a rank (from 0) of an integer column, or null beyond its end.
+
+    Each pass counts the values of about a thousand equal ranges and goes on inside the one that holds
+    the rank, until few rows are left. The range is a plain filter, so later passes skip most files.
+    """
+    low, high, total = df.agg(F.min(key), F.max(key), F.count(key)).first()
+    if rank >= total:
+        return None
+    left = total
+    while left > SMALL and low < high:
+        shift = max((high - low).bit_length() - RANGE_BITS, 0)
+        ranges = df.where(F.col(key).between(low, high)).groupBy(F.shiftright(key, shift).alias("range"))
+        for place, left in sorted(tuple(r) for r in ranges.agg(F.count(F.lit(1))).collect()):
+            if rank < left:
+                low, high = max(low, place << shift), min(high, ((place + 1) << shift) - 1)
+                break
+            rank -= left
+    if low == high:
+        return low
+    rest = df.where(F.col(key).between(low, high)).orderBy(key).limit(rank + 1)
+    return rest.agg(F.max(key)).first()[0]
+
+
 def first_n(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The first ``n`` rows by a unique numeric key."""
+    """The first ``n`` rows by a unique integer key."""
     if n <= SMALL:
         return df.orderBy(F.col(key).asc_nulls_last()).limit(n)
-    rows = df.select(key).where(F.col(key).isNotNull())
-    bound = _pick(_even_bucket(rows, key), [], [key], {"last": lambda total: F.lit(n - 1)}).select(F.struct(key))
-    return df.where(F.col(key).isNotNull() & _at_most([key], bound.scalar()))
+    bound = _integer_at_rank(df.select(key), key, n - 1)
+    return df if bound is None else df.where(F.col(key) <= bound)
 
 
 def _hash_bound(df: DataFrame, id_col: str, rank: Callable[[Column], Column]) -> DataFrame:

@@ -58,6 +58,16 @@ def test_first_n(spark, path):
         assert got == sorted(ids)[:n]
 
 
+def test_first_n_over_all_of_64_bits(spark, monkeypatch):
+    monkeypatch.setattr(selection, "SMALL", 3)
+    rnd = random.Random(8)
+    ids = [-(2**63), 2**63 - 1, 0, -1, 1] + [rnd.randrange(-(2**63), 2**63) for _ in range(200)] + list(range(500, 900))
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    for n in (4, 100, 300, 604, 605):
+        got = sorted(r.id for r in selection.first_n(df, "id", n).collect())
+        assert got == sorted(ids)[:n]
+
+
 def test_sample_does_not_depend_on_partitions(spark, path):
     df = spark.range(500)
     a = {r.id for r in selection.sample(df.repartition(3), "id", 40).collect()}
