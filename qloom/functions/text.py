@@ -26,6 +26,11 @@ def words(col: Column) -> Column:
     return F.filter(F.split(col, _BLANKS), lambda w: w != "")
 
 
+def same_words(a: Column, b: Column) -> Column:
+    """Equal word by word, ignoring case and spacing."""
+    return words(F.lower(a)) == words(F.lower(b))
+
+
 def word_count(col: Column) -> Column:
     return F.size(words(col))
 

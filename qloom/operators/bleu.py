@@ -7,7 +7,7 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from qloom.functions.text import rstrip, words
+from qloom.functions.text import rstrip, same_words, words
 from qloom.session import spread
 
 ORDERS = (1, 2, 3, 4)
@@ -59,7 +59,7 @@ def _ngrams(toks: Column, ours: int, theirs: int) -> Column:
 
 
 def bleu_counts(preds: DataFrame) -> DataFrame:
-    """Per label: clipped matches ``m<n>``, n-gram totals ``t<n>``, and both lengths.
+    """Per label: samples, exact matches, clipped n-gram matches ``m<n>``, totals ``t<n>``, and both lengths.
 
     ``row_id`` must be unique per label, as matches are clipped per prediction. Predictions are spread
     by it before their n-grams are listed. Counting per row and gram then needs no further exchange, so
@@ -71,11 +71,14 @@ def bleu_counts(preds: DataFrame) -> DataFrame:
         "row_id",
         tokens(F.coalesce("generated", F.lit(""))).alias("hyp"),
         tokens(F.col("reference")).alias("ref"),
+        same_words(F.coalesce("generated", F.lit("")), F.col("reference")).cast("int").alias("match"),
+    )
+    # one entry of order 0 per prediction carries its exact match, and keeps labels without any word
+    sample = F.array(
+        F.struct(F.lit(0).alias("n"), F.lit("").alias("gram"), F.col("match").alias("h"), F.lit(1).alias("r"))
     )
-    # an entry of order 0 keeps labels whose texts are all empty
-    blank = F.array(F.struct(F.lit(0).alias("n"), F.lit("").alias("gram"), F.lit(0).alias("h"), F.lit(0).alias("r")))
     grams = split.select(
-        "label", "row_id", F.inline(F.concat(blank, _ngrams(F.col("hyp"), 1, 0), _ngrams(F.col("ref"), 0, 1)))
+        "label", "row_id", F.inline(F.concat(sample, _ngrams(F.col("hyp"), 1, 0), _ngrams(F.col("ref"), 0, 1)))
     )
     per_gram = grams.groupBy("row_id", "label", "n", "gram").agg(F.sum("h").alias("h"), F.sum("r").alias("r"))
 
@@ -83,6 +86,8 @@ def bleu_counts(preds: DataFrame) -> DataFrame:
         return F.sum(F.when(F.col("n") == n, col).otherwise(0))
 
     return per_gram.groupBy("label").agg(
+        total(0, F.col("r")).alias("n_samples"),
+        total(0, F.col("h")).alias("matches"),
         *[total(n, F.least("h", "r")).alias(f"m{n}") for n in ORDERS],
         *[total(n, F.col("h")).alias(f"t{n}") for n in ORDERS],
         total(1, F.col("h")).alias("hyp_len"),

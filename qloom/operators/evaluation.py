@@ -7,17 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from qloom.functions.numbers import exact, mean
-from qloom.functions.text import contains_all, contains_any, words
-from qloom.operators.bleu import bleu4
+from qloom.functions.text import contains_all, contains_any, same_words
+from qloom.operators.bleu import bleu_counts, bleu_score
 from qloom.operators.joins import join_null_safe
 from qloom.operators.selection import rank_percentiles
 
 
-def matches(generated: Column, reference: Column) -> Column:
-    """Equal word by word, ignoring case and spacing."""
-    return words(F.lower(generated)) == words(F.lower(reference))
-
-
 def rate(flag: Column) -> Column:
     return F.count_if(flag) / F.count(F.lit(1))
 
@@ -25,7 +20,7 @@ def rate(flag: Column) -> Column:
 def exact_match(preds: DataFrame) -> DataFrame:
     """Share of exact matches per label; rows without a reference are counted apart."""
     scored = F.col("reference").isNotNull()
-    hit = scored & F.coalesce(matches(F.col("generated"), F.col("reference")), F.lit(False))
+    hit = scored & F.coalesce(same_words(F.col("generated"), F.col("reference")), F.lit(False))
     n = F.count_if(scored)
     return preds.groupBy("label").agg(
         n.alias("n_samples"),
@@ -49,12 +44,11 @@ def report(preds: DataFrame, resolved: DataFrame | None = None) -> DataFrame:
     ``resolved`` holds ``label`` and ``resolvability_rate`` where the statements were checked against
     their table definitions.
     """
-    out = (
-        exact_match(preds)
-        .drop("n_skipped")
-        .join(bleu4(preds), "label", "inner")
-        .join(latency(preds, ["label"], "latency_ms").drop("n_samples"), "label", "inner")
+    # one pass over the texts gives both the exact matches and the n-gram counts
+    texts = bleu_counts(preds).select(
+        "label", "n_samples", (F.col("matches") / F.col("n_samples")).alias("exact_match_accuracy"), bleu_score().alias("bleu4")
     )
+    out = texts.join(latency(preds, ["label"], "latency_ms").drop("n_samples"), "label", "inner")
     return out if resolved is None else out.join(resolved, "label", "left")
 
 

@@ -183,3 +183,12 @@ def split(df: DataFrame, id_col: str, train_fraction: float = 0.95, seed: int =
     is_test = first_by_hash(df, id_col, lambda total: F.ceil(total * F.lit(held_out)) - 1, seed)
     hashed = with_seeded_hash(df, id_col, seed)
     return hashed.withColumn("split", F.when(is_test, "test").otherwise("train")).drop("_hash")
+
+
+def held_out_sample(df: DataFrame, id_col: str, n: int, train_fraction: float = 0.95, seed: int = 42) -> DataFrame:
+    """``n`` rows of the test part of the split with the same seed, so that no training row is evaluated.
+
+    The test part is the head of the seeded order, and so is the sample.
+    """
+    test = split(df, id_col, train_fraction, seed).where(F.col("split") == "test").drop("split")
+    return sample(test, id_col, n, seed)

@@ -87,6 +87,17 @@ def seeded_sample(spark: SparkSession, sf: str) -> DataFrame:
     return selection.sample(pairs(spark, sf).select("row_id", "question"), "row_id", CAP)
 
 
+@query(
+    "held_out_sample",
+    f"""
+    WITH {RANKED} SELECT row_id, question FROM ranked JOIN pairs USING (row_id)
+    WHERE place <= held AND place <= 10
+    """,
+)
+def held_out_sample(spark: SparkSession, sf: str) -> DataFrame:
+    return selection.held_out_sample(pairs(spark, sf).select("row_id", "question"), "row_id", 10)
+
+
 @query(
     "format_chat_prompt",
     f"WITH {PAIRS} SELECT row_id, 'chat' AS layout, {sql_fill(prompts.CHAT, **FIELDS)} AS text FROM pairs",

@@ -332,7 +332,7 @@ def shape_profile(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "sql_drafts",
     expected(
-        shape=SHAPES, sql=sql_case({k: sql_template(s.draft) for k, s in SETTINGS.items()}), problem="NULL"
+        shape=SHAPES, sql=sql_case({k: sql_template(s.draft) for k, s in SETTINGS.items()}), problem="CAST(NULL AS VARCHAR)"
     ),
 )
 def sql_drafts(spark: SparkSession, sf: str) -> DataFrame:

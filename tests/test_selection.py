@@ -97,3 +97,11 @@ def test_copies_of_an_id_stay_on_one_side(spark):
 
 def test_no_held_out_part(spark):
     assert selection.split(spark.range(5), "id", train_fraction=1.0).where("split = 'test'").count() == 0
+
+
+def test_held_out_sample_is_part_of_the_test_rows(spark):
+    df = spark.range(400)
+    test = {r.id for r in selection.split(df, "id").where("split = 'test'").collect()}
+    got = {r.id for r in selection.held_out_sample(df, "id", 15).collect()}
+    assert len(test) == 21 and len(got) == 15 and got < test
+    assert {r.id for r in selection.held_out_sample(df, "id", 99).collect()} == test
