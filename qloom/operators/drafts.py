@@ -31,7 +31,7 @@ JOINED_CATEGORY_WORDS = (
 
 # Feature columns that drafts over several tables are made of.
 _JOIN_INPUT = (
-    "tables", "involved", "agg", "comparisons", "says_revenue", "year", "status", "value_words", "limit_n", "tie_col",
+    "tables", "involved", "agg", "agg_stated", "comparisons", "says_revenue", "year", "status", "value_words", "limit_n", "tie_col",
     "tie_dir", "wants_count", "select_all", "order_col", "order_desc",
 )
 
@@ -130,7 +130,7 @@ def _listing(t: Column) -> Column:
 
 
 def _aggregate(t: Column) -> Column:
-    measure = measure_column(t, F.col("spelled"))
+    measure = F.when(F.col("agg_stated"), measure_column(t, F.col("spelled")))
     group = group_column(t, measure)
     total = F.coalesce(_total(measure), F.lit("COUNT(*)"))
     alias = F.coalesce(_alias(measure), F.lit("count_rows"))
@@ -359,7 +359,7 @@ def _joined(df: DataFrame, max_hops: int) -> DataFrame:
     )
     who = F.concat_ws(", ", _qualified(primary, primary["id_col"]), _qualified(primary, primary["name_col"]))
     number = of_first(others, lambda t: first(t["numeric"]))
-    measure = F.coalesce(number, _qualified(primary, first(primary["numeric"])))
+    measure = F.when(F.col("agg_stated"), F.coalesce(number, _qualified(primary, first(primary["numeric"]))))
     total = F.coalesce(_total(measure), F.when(F.col("agg") == "count", F.lit("COUNT(*)")))
     alias = F.coalesce(_alias(F.substring_index(measure, ".", -1)), F.lit("count_rows"))
     distinct = F.when(

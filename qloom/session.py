@@ -37,14 +37,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     Taken from ``spark.checkpoint.dir``. Only a local session may fall back to a temporary folder:
     on a cluster a machine-local path is lost with its executor.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="qloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="qloom-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
@@ -53,8 +52,9 @@ def work_folder(spark: SparkSession, name: str) -> str:
 
 
 def enable_checkpoints(spark: SparkSession) -> None:
+    root = checkpoint_root(spark)
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
+        spark.sparkContext.setCheckpointDir(root)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

@@ -27,6 +27,8 @@ SHOP = """CREATE TABLE customers (customer_id INT PRIMARY KEY, name TEXT, countr
 CHAIN = """CREATE TABLE regions (region_id INT PRIMARY KEY, region_name TEXT, area TEXT);
     CREATE TABLE towns (town_id INT PRIMARY KEY, region_id INT REFERENCES regions(region_id), mayor TEXT);
     CREATE TABLE shops (shop_id INT PRIMARY KEY, town_id INT REFERENCES towns(town_id), revenue DECIMAL(10,2));"""
+GAMES = """CREATE TABLE players (player_id INT PRIMARY KEY, nickname TEXT);
+    CREATE TABLE games (game_id INT PRIMARY KEY, player_id INT, points INT, played DATE);"""
 APART = "CREATE TABLE pens (ink TEXT, price INT); CREATE TABLE cups (clay TEXT, volume INT)"
 
 # definitions, question, draft (None: no usable join key)
@@ -60,6 +62,14 @@ CASES = [
     # a path over a table between
     (CHAIN, "Show the total revenue of regions",
      "SELECT regions.region_id, regions.region_name, SUM(shops.revenue) AS total_revenue FROM regions JOIN towns ON regions.region_id = towns.region_id JOIN shops ON towns.town_id = shops.town_id GROUP BY regions.region_id, regions.region_name ORDER BY total_revenue DESC"),
+    # "how many" counts rows of the tables it names
+    (STAFF, "how many workers per dept in 2020",
+     "SELECT dept, COUNT(*) AS count_rows FROM workers WHERE year(began) = 2020 GROUP BY dept ORDER BY count_rows DESC"),
+    (SHOP, "how many returns for each customer in 2022",
+     "SELECT customers.customer_id, customers.name, COUNT(*) AS count_rows, COUNT(DISTINCT returns.return_id) AS count_distinct FROM customers JOIN orders ON customers.customer_id = orders.customer_id JOIN returns ON orders.order_id = returns.order_id WHERE year(customers.since) = 2022 GROUP BY customers.customer_id, customers.name ORDER BY count_rows DESC"),
+    # no foreign key, but an equal id column
+    (GAMES, "top 3 players by total points in games of 2020",
+     "SELECT players.player_id, players.nickname, SUM(games.points) AS sum_points FROM players JOIN games ON players.player_id = games.player_id WHERE year(games.played) = 2020 GROUP BY players.player_id, players.nickname ORDER BY sum_points DESC LIMIT 3"),
     # spend among seven tables
     (SHOP, "top 5 customers by total spend in 2024, completed orders only, discounts applied, with the number of distinct orders. Customers with the same spend are ordered by name",
      "SELECT customers.customer_id, customers.name, SUM(order_items.quantity * order_items.unit_price * (1 - order_items.discount_percent / 100.0)) AS total_spend, COUNT(DISTINCT orders.order_id) AS distinct_orders FROM customers JOIN orders ON customers.customer_id = orders.customer_id JOIN order_items ON orders.order_id = order_items.order_id WHERE year(orders.order_date) = 2024 AND orders.status = 'completed' GROUP BY customers.customer_id, customers.name ORDER BY total_spend DESC LIMIT 5"),

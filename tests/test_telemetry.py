@@ -144,6 +144,9 @@ def test_cluster_needs_a_shared_folder():
     class Context:
         master = "spark://head:7077"
 
+        def getCheckpointDir(self):
+            return None
+
     class Session:
         conf, sparkContext = Conf(), Context()
 
