@@ -8,7 +8,9 @@ from pyspark.sql.streaming import StreamingQuery
 from qloom.operators.telemetry import metric_latest
 
 
-def metric_stream(spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet", files_per_batch: int = 1000) -> DataFrame:
+def metric_stream(
+    spark: SparkSession, folder: str, schema, pattern: str = "*.parquet", files_per_batch: int = 1000
+) -> DataFrame:
     """Metric files of a folder as a stream; new files are picked up as they arrive."""
     return (
         spark.readStream.schema(schema)
@@ -29,7 +31,8 @@ def latest_stream(metrics: DataFrame, path: str, checkpoint: str) -> StreamingQu
     changed = metrics.groupBy("run_id", "key").agg(last).select("run_id", "key", "last.*")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        # few files of even size, whatever the number of state partitions
+        batch.hint("rebalance").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return (
         changed.writeStream.outputMode("update")

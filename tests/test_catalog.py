@@ -189,3 +189,64 @@ def test_one_column_shared_by_many_tables_stays_linear(spark):
     got = routes(spark, parsed, [(1, "t0")])
     assert len(got) == n - 1
     assert got[1, "t0", "t7"] == [("t0", "hub_id", "t7", "hub_id")]
+
+
+FAMILIES = {"INT": "numeric", "BIGINT": "numeric", "DECIMAL(9,3)": "numeric", "REAL": "numeric", "DATE": "date", "TIMESTAMP": "date",
+            "VARCHAR(30)": "text", "TEXT": "text", "BOOLEAN": "none", "UUID": "none", "JSON": "other", "GEOMETRY(2)": "other"}
+
+
+def random_definition(rnd):
+    """A list of tables and one of many ways to write them down."""
+    tables, texts = [], []
+    for t in range(rnd.randrange(1, 5)):
+        cols = []
+        for c in range(rnd.randrange(1, 7)):
+            cols.append([f"c{t}_{c}" + rnd.choice(["", "_id", "_name", "x"]), rnd.choice(list(FAMILIES)), False, None])
+        primary = rnd.choice(["none", "inline", "clause"])
+        if primary == "inline":
+            cols[0][2] = True
+        clauses = []
+        if primary == "clause":
+            for col in rnd.sample(cols, min(2, len(cols))):
+                col[2] = True
+            names = [c[0] for c in cols if c[2]]
+            clauses.append("PRIMARY  KEY (" + rnd.choice([", ", ","]).join(names) + ")")
+        for col in cols:
+            if tables and rnd.random() < 0.3:
+                target = rnd.choice(tables)
+                col[3] = (target[0], target[1][0][0])
+        lines = []
+        for name, dtype, pk, fk in cols:
+            text = f"{rnd.choice(['', '`', chr(34)])}{name}"
+            text += {"`": "`", '"': '"'}.get(text[0], "") + rnd.choice([" ", "  ", "\t"]) + rnd.choice([dtype, dtype.lower()])
+            if pk and primary == "inline":
+                text += rnd.choice([" PRIMARY KEY", " primary key", " NOT NULL PRIMARY KEY"])
+            if fk and rnd.random() < 0.5:
+                text += f" REFERENCES {fk[0]}({fk[1]})"
+            elif fk:
+                clauses.append(rnd.choice(["", "CONSTRAINT k "]) + f"FOREIGN KEY ({name}) REFERENCES {fk[0]} ({fk[1]})")
+            else:
+                text += rnd.choice(["", " NOT NULL", " DEFAULT 'a, (b'", " CHECK (f(1, 2) > 0)"])
+            lines.append(text)
+        lines += clauses + rnd.choice([[], ["UNIQUE (x, y)"], ["CHECK (a > (b + c(1, 2)))"], ["INDEX i (z)"]])
+        head = rnd.choice(["CREATE TABLE ", "create  table if not exists ", "CREATE TABLE main."])
+        name = f"T{t}"
+        sep = rnd.choice([", ", ",\n  ", " , -- note, more\n"])
+        tables.append((name, cols))
+        texts.append(f"{head}{name} ({sep.join(lines)})")
+    return tables, rnd.choice([";", ";\n\n", "\n"]).join(texts) + rnd.choice(["", ";"])
+
+
+def test_definitions_written_in_many_ways(spark):
+    rnd = random.Random(21)
+    made = [random_definition(rnd) for _ in range(300)]
+    df = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(made)], "schema_id long, ddl string")
+    got = {}
+    for r in catalog.catalog_columns(catalog.parse(df)).collect():
+        got.setdefault((r.schema_id, r.table_key), []).append(r)
+    for i, (tables, text) in enumerate(made):
+        for name, cols in tables:
+            read = sorted(got.pop((i, name.lower())), key=lambda r: r.col_ord)
+            want = [(n, FAMILIES[d], pk, fk and fk[0], fk and fk[1]) for n, d, pk, fk in cols]
+            assert [(r.col_name, r.family, r.is_pk, r.fk_table, r.fk_column) for r in read] == want, text
+    assert not got
