@@ -8,7 +8,6 @@ from operator import add
 from pyspark.sql import Column, DataFrame, functions as F
 
 from qloom.functions.text import rstrip, same_words, words
-from qloom.session import spread
 
 ORDERS = (1, 2, 3, 4)
 
@@ -38,60 +37,80 @@ def tokens(col: Column) -> Column:
     return words(text)
 
 
-def _ngrams(toks: Column, ours: int, theirs: int) -> Column:
-    """All n-grams of a token array as (n, gram, in hypothesis, in reference)."""
+def _longer(grams: Column, toks: Column, n: int) -> Column:
+    """The n-grams that extend (n-1)-grams by one token each."""
+    many = F.greatest(F.size(toks) - (n - 1), F.lit(0))
+    return F.zip_with(
+        F.slice(grams, F.lit(1), many), F.slice(toks, F.lit(n), many), lambda g, t: F.concat(g, F.lit(" "), t)
+    )
+
+
+def _numbered(grams: Column) -> Column:
+    """The same entries with repeats told apart: the second "a" becomes "a" and a mark with 2.
+
+    Equal entries meet by sorting. The one-element arrays name an intermediate result, so that it is
+    worked out once and not inside the inner loops.
+    """
+
+    def runs(ordered: Column) -> Column:
+        first_of_run = lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1))
+        starts = F.filter(F.sequence(F.lit(0), F.size(ordered) - 1), first_of_run)
+
+        def entries(start: Column, stop: Column) -> Column:
+            gram = F.get(ordered, start)
+            return F.transform(
+                F.sequence(F.lit(1), stop - start),
+                lambda k: F.when(k == 1, gram).otherwise(F.concat(gram, F.lit("\u0001"), k.cast("string"))),
+            )
 
-    def of_order(n: int) -> Column:
-        # a sequence from 1 to 0 would count down
-        places = F.sequence(F.lit(1), F.greatest(F.size(toks), F.lit(1)))
-        starts = F.filter(places, lambda i: i + (n - 1) <= F.size(toks))
-        return F.transform(
-            starts,
-            lambda i: F.struct(
-                F.lit(n).alias("n"),
-                F.array_join(F.slice(toks, i, F.lit(n)), " ").alias("gram"),
-                F.lit(ours).alias("h"),
-                F.lit(theirs).alias("r"),
-            ),
-        )
+        ends = lambda s: F.concat(F.slice(s, F.lit(2), F.size(s)), F.array(F.size(ordered)))
+        return F.flatten(F.transform(F.array(starts), lambda s: F.flatten(F.zip_with(s, ends(s), entries))))
 
-    return F.concat(*[of_order(n) for n in ORDERS])
+    return F.flatten(F.transform(F.array(F.sort_array(grams)), runs))
+
+
+def _clipped_matches(ours: Column, theirs: Column) -> Column:
+    """How many n-grams two texts have in common, each counted as often as in the text with fewer of it.
+
+    For equal texts that is all of them, and where one side repeats nothing the plain intersection.
+    """
+    no_repeats = lambda g: F.size(F.array_distinct(g)) == F.size(g)
+    return (
+        F.when(ours == theirs, F.size(ours))
+        .when(no_repeats(ours) | no_repeats(theirs), F.size(F.array_intersect(ours, theirs)))
+        .otherwise(F.size(F.array_intersect(_numbered(ours), _numbered(theirs))))
+    )
 
 
 def bleu_counts(preds: DataFrame) -> DataFrame:
     """Per label: samples, exact matches, clipped n-gram matches ``m<n>``, totals ``t<n>``, and both lengths.
 
-    ``row_id`` must be unique per label, as matches are clipped per prediction. Predictions are spread
-    by it before their n-grams are listed. Counting per row and gram then needs no further exchange, so
-    the shuffle carries the texts once and not their n-grams. Rows without a reference are left out.
+    Matches are clipped within a prediction, so each row is counted by itself and only these counts are
+    shuffled. Rows without a reference are left out.
     """
-    scored = preds.where(F.col("reference").isNotNull()).select("label", "row_id", "generated", "reference")
-    split = spread(scored, "row_id", "label").select(
+    said = F.coalesce("generated", F.lit(""))
+    df = preds.where(F.col("reference").isNotNull()).select(
         "label",
-        "row_id",
-        tokens(F.coalesce("generated", F.lit(""))).alias("hyp"),
-        tokens(F.col("reference")).alias("ref"),
-        same_words(F.coalesce("generated", F.lit("")), F.col("reference")).cast("int").alias("match"),
-    )
-    # one entry of order 0 per prediction carries its exact match, and keeps labels without any word
-    sample = F.array(
-        F.struct(F.lit(0).alias("n"), F.lit("").alias("gram"), F.col("match").alias("h"), F.lit(1).alias("r"))
+        tokens(said).alias("h1"),
+        tokens(F.col("reference")).alias("r1"),
+        same_words(said, F.col("reference")).alias("same"),
     )
-    grams = split.select(
-        "label", "row_id", F.inline(F.concat(sample, _ngrams(F.col("hyp"), 1, 0), _ngrams(F.col("ref"), 0, 1)))
+    for n in ORDERS[1:]:
+        df = df.withColumns({f"{side}{n}": _longer(F.col(f"{side}{n - 1}"), F.col(f"{side}1"), n) for side in "hr"})
+    counted = df.select(
+        "label",
+        "same",
+        *[_clipped_matches(F.col(f"h{n}"), F.col(f"r{n}")).alias(f"m{n}") for n in ORDERS],
+        *[F.size(f"h{n}").alias(f"t{n}") for n in ORDERS],
+        F.size("r1").alias("ref_len"),
     )
-    per_gram = grams.groupBy("row_id", "label", "n", "gram").agg(F.sum("h").alias("h"), F.sum("r").alias("r"))
-
-    def total(n: int, col: Column) -> Column:
-        return F.sum(F.when(F.col("n") == n, col).otherwise(0))
-
-    return per_gram.groupBy("label").agg(
-        total(0, F.col("r")).alias("n_samples"),
-        total(0, F.col("h")).alias("matches"),
-        *[total(n, F.least("h", "r")).alias(f"m{n}") for n in ORDERS],
-        *[total(n, F.col("h")).alias(f"t{n}") for n in ORDERS],
-        total(1, F.col("h")).alias("hyp_len"),
-        total(1, F.col("r")).alias("ref_len"),
+    return counted.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n_samples"),
+        F.count_if("same").alias("matches"),
+        *[F.sum(f"m{n}").alias(f"m{n}") for n in ORDERS],
+        *[F.sum(f"t{n}").alias(f"t{n}") for n in ORDERS],
+        F.sum("t1").alias("hyp_len"),
+        F.sum("ref_len").alias("ref_len"),
     )
 
 

@@ -9,6 +9,7 @@ from qloom.operators.bleu import bleu4
 from qloom.plans.part_corpus import PARTS, SETTINGS, part_corpus, sql_case, sql_template
 from qloom.plans.prompts import PAIRS, SQL_WORDS, pairs
 from qloom.plans.registry import query
+from qloom.session import spread
 from qloom.sources.tables import scan
 
 PREDICTIONS = PAIRS + r""",
@@ -25,7 +26,7 @@ PREDICTIONS = PAIRS + r""",
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Two labels: answers in another case and spacing, and answers of which every third is cut."""
-    answers = pairs(spark, sf).select("row_id", F.col("answer").alias("reference"))
+    answers = spread(pairs(spark, sf).select("row_id", F.col("answer").alias("reference")), "row_id")
     said = F.col("reference")
     parts = F.split(said, " ")
     half = F.array_join(F.slice(parts, F.lit(1), F.floor(F.size(parts) / 2).cast("int")), " ")
