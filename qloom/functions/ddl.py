@@ -220,13 +220,12 @@ def with_tables(df: DataFrame, ddl: str = "ddl") -> DataFrame:
     statements = F.filter(
         F.split(F.regexp_replace(F.coalesce(ddl, F.lit("")), _NOISE, " "), _STATEMENT_END), lambda s: s.rlike(_CREATE)
     )
+    trimmed = lambda i: F.regexp_replace(i, r"^\s+|\s+$", "")
     raw = F.transform(
         statements,
         lambda s: F.struct(
             F.regexp_extract(s, _CREATE, 1).alias("name"),
-            F.transform(top_level_items(F.regexp_extract(s, _CREATE, 2)), lambda i: F.regexp_replace(i, r"^\s+|\s+$", "")).alias(
-                "items"
-            ),
+            F.transform(top_level_items(F.regexp_extract(s, _CREATE, 2)), trimmed).alias("items"),
         ),
     )
 

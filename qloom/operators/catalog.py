@@ -18,7 +18,10 @@ def parse(corpus: DataFrame, id_col: str = "schema_id") -> DataFrame:
 
 def catalog_tables(parsed: DataFrame) -> DataFrame:
     return parsed.select("schema_id", F.explode("tables").alias("t")).select(
-        "schema_id", F.col("t.ord").alias("table_ord"), F.col("t.key").alias("table_key"), F.col("t.name").alias("table_name")
+        "schema_id",
+        F.col("t.ord").alias("table_ord"),
+        F.col("t.key").alias("table_key"),
+        F.col("t.name").alias("table_name"),
     )
 
 

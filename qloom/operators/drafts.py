@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from qloom.functions.ddl import any_of, first, last
 from qloom.operators import catalog
 from qloom.operators.features import (
+    SPEND_TABLES,
     group_column,
     measure_column,
     primary_table,
@@ -31,8 +32,8 @@ JOINED_CATEGORY_WORDS = (
 
 # Feature columns that drafts over several tables are made of.
 _JOIN_INPUT = (
-    "tables", "involved", "agg", "agg_stated", "comparisons", "says_revenue", "year", "status", "value_words", "limit_n", "tie_col",
-    "tie_dir", "wants_count", "select_all", "order_col", "order_desc",
+    "tables", "involved", "agg", "agg_stated", "comparisons", "says_revenue", "year", "status", "value_words",
+    "limit_n", "tie_col", "tie_dir", "wants_count", "select_all", "order_col", "order_desc",
 )
 
 NO_PATH = "no join path"
@@ -173,7 +174,8 @@ def _join(a: Column, b: Column, key: Column) -> Column:
 def _anti(df: DataFrame) -> DataFrame:
     """Columns for "never" questions: who, through which table, and who is ruled out."""
     negative = lambda t: any_of(t["key"], NEGATIVE_WORDS)
-    bridge = lambda t: ~negative(t) & F.contains(t["key"], F.lit("order")) & ~F.contains(t["key"], F.lit("item"))
+    order = lambda t: F.contains(t["key"], F.lit("order")) & ~F.contains(t["key"], F.lit("item"))
+    bridge = lambda t: ~negative(t) & order(t)
     positive = lambda t: ~negative(t) & ~bridge(t) & any_of(t["key"], POSITIVE_WORDS)
     tables = F.col("involved")
     df = df.withColumns(
@@ -297,9 +299,8 @@ def _tie(primary: Column) -> Column:
         F.array_compact(F.array(primary["name_col"], primary["id_col"])), lambda n: F.lower(n) == F.col("tie_col")
     )
     col = F.coalesce(first(asked), primary["id_col"])
-    return F.coalesce(
-        F.when(F.col("tie_col").isNotNull(), _text(", ", _qualified(primary, col), " ", F.upper(F.col("tie_dir")))), F.lit("")
-    )
+    stated = _text(", ", _qualified(primary, col), " ", F.upper(F.col("tie_dir")))
+    return F.coalesce(F.when(F.col("tie_col").isNotNull(), stated), F.lit(""))
 
 
 def _with_paths(df: DataFrame, max_hops: int) -> DataFrame:
@@ -388,7 +389,9 @@ def _joined(df: DataFrame, max_hops: int) -> DataFrame:
     return df.withColumn("_join_sql", F.when(F.col("agg").isNotNull(), aggregate).otherwise(listing))
 
 
-def draft_sql(corpus: DataFrame, spend_tables: tuple[str, str, str] = ("customers", "orders", "order_items"), max_hops: int = 6) -> DataFrame:
+def draft_sql(
+    corpus: DataFrame, spend_tables: tuple[str, str, str] = SPEND_TABLES, max_hops: int = 6
+) -> DataFrame:
     """One draft per corpus row (row_id, ddl, question): row_id, shape, sql, problem.
 
     Questions that need a join without a usable key get no statement but the reason.

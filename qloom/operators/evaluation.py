@@ -46,7 +46,10 @@ def report(preds: DataFrame, resolved: DataFrame | None = None) -> DataFrame:
     """
     # one pass over the texts gives both the exact matches and the n-gram counts
     texts = bleu_counts(preds).select(
-        "label", "n_samples", (F.col("matches") / F.col("n_samples")).alias("exact_match_accuracy"), bleu_score().alias("bleu4")
+        "label",
+        "n_samples",
+        (F.col("matches") / F.col("n_samples")).alias("exact_match_accuracy"),
+        bleu_score().alias("bleu4"),
     )
     out = texts.join(latency(preds, ["label"], "latency_ms").drop("n_samples"), "label", "inner")
     return out if resolved is None else out.join(resolved, "label", "left")
