@@ -4,6 +4,7 @@ import datetime as dt
 import random
 from collections import defaultdict
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +65,37 @@ def test_without_via_no_negatives(spark, shop):
     assert rows(via(shop, keys(spark, [], "rid"), distinct=True)) == [(1, "a"), (2, "b")]
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_anti_joins_equal_duckdb(spark, seed):
+    """Random tables with nulls and one hot key; the seeds put nulls among the negatives or not."""
+    rnd = random.Random(seed)
+    maybe = lambda v, p: None if rnd.random() < p else v
+    customers = [(maybe(i, 0.1), f"c{i}") for i in range(30)]
+    orders = [(i, 3 if i % 3 == 0 else maybe(rnd.randrange(30), 0.05 * (seed % 2)), rnd.choice("FO")) for i in range(90)]
+    returns = [(maybe(rnd.randrange(200), 0.2),) for _ in range(20 * (seed > 0))]
+    con = duckdb.connect()
+    frames = {}
+    for name, rows_, ddl in (
+        ("customers", customers, "cid int, name string"),
+        ("orders", orders, "oid int, cust int, status string"),
+        ("returns", returns, "rid int"),
+    ):
+        frames[name] = spark.createDataFrame(rows_, ddl)
+        con.execute(f"CREATE TABLE {name} ({ddl.replace('string', 'varchar')})")
+        if rows_:
+            con.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(rows_[0]))})", rows_)
+    same = lambda df, sql: rows(df) == sorted(map(tuple, con.execute(sql).fetchall()), key=repr)
+    c, o, r = frames["customers"], frames["orders"], frames["returns"]
+    assert same(joins.without(c, o, ("cid", "cust")), "SELECT * FROM customers WHERE cid NOT IN (SELECT cust FROM orders)")
+    assert same(joins.without(o, r, ("oid", "rid")), "SELECT * FROM orders WHERE oid NOT IN (SELECT rid FROM returns)")
+    bridge = """SELECT {d} cid, name FROM customers JOIN orders o ON cid = o.cust WHERE {w} AND cid NOT IN
+        (SELECT o.cust FROM orders o JOIN returns ON o.oid = rid WHERE {w})"""
+    for where, text in ((F.col("status") == "F", "o.status = 'F'"), (None, "true")):
+        for distinct in (False, True):
+            got = joins.without_via(c, o, r, ("cid", "cust"), ("oid", "rid"), where, distinct)
+            assert same(got, bridge.format(d="DISTINCT" if distinct else "", w=text))
+
+
 def test_join_path_and_errors(spark):
     a = spark.createDataFrame([(1, 5)], "a_id int, b_id int")
     b = spark.createDataFrame([(5, 7)], "b_key int, c_id int")
