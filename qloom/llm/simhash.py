@@ -247,7 +247,8 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One row per document: its id, fingerprint (16 hex digits) and component_id, the smallest id reachable."""
     rows = cut(grouped(docs, doc_id, text, shingle, distance))
-    least = rows.groupBy("label").agg(F.min("id").alias("component_id"))
+    # cut, so that the join stands alone and adaptive execution may split a hot label
+    least = cut(rows.groupBy("label").agg(F.min("id").alias("component_id")))
     return rows.join(least, "label").select(
         F.col("id").alias(doc_id), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
