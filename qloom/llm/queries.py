@@ -6,7 +6,7 @@ import importlib
 
 from qloom.plans.registry import Query
 
-MODULES = "decontamination line_dedup simhash quality_rules".split()
+MODULES = "decontamination line_dedup simhash packing quality_rules".split()
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
