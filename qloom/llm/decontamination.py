@@ -25,7 +25,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from qloom.llm.shared import cut
+from qloom.llm.shared import boxed, cut, unboxed
 from qloom.sources.tables import scan
 
 WINDOW = 8
@@ -154,8 +154,7 @@ def _read(window: int, literals: int, lengths: list[int] | None, wanted: np.ndar
                             at, value = at[hit], value[hit]
                         for p, v in zip(at.tolist(), value.tolist()):
                             rows.append((i, key, p, size, v, _slots(words[p : p + size], not form)))
-            out = pd.DataFrame(rows, columns="id key at size hash slots".split())
-            yield out.astype({"id": "Int64"})
+            yield pd.DataFrame(rows, columns="id key at size hash slots".split())
 
     return run
 
@@ -165,7 +164,7 @@ _ROWS = "id long, key long, at int, size int, hash long, slots array<string>"
 
 def _texts(df: DataFrame, row_id: str, text: str) -> DataFrame:
     return df.select(
-        F.col(f"`{row_id}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("key"), F.col(f"`{text}`").alias("text")
+        boxed(F.col(f"`{row_id}`")).alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("key"), F.col(f"`{text}`").alias("text")
     )
 
 
@@ -215,12 +214,10 @@ def contaminated(
         .agg(F.count("*").alias("n_windows"), F.max("n_slots").alias("n_slots"), F.max("n_changed").alias("n_changed"))
     )
     sizes = F.broadcast(sizes) if small else sizes
-    same = F.col("h.item").eqNullSafe(F.col("s.item")) & (F.col("h.item_key") == F.col("s.item_key"))
     return (
-        held.alias("h")
-        .join(sizes.alias("s"), same)
+        held.join(sizes, ["item", "item_key"])
         .where(F.col("n_windows") >= F.col("item_windows") * coverage)
-        .select(F.col("id").alias("doc_id"), "key", F.col("h.item").alias("item_id"), "n_windows", "item_windows", "n_slots", "n_changed")
+        .select(unboxed(F.col("id")).alias("doc_id"), "key", unboxed(F.col("item")).alias("item_id"), "n_windows", "item_windows", "n_slots", "n_changed")
         .distinct()
     )
 

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from qloom.llm.shared import cut
+from qloom.llm.shared import boxed, cut, unboxed
 from qloom.sources.tables import scan
 
 MIN_WORDS = 50
@@ -100,7 +100,7 @@ def _align(min_words: int):
             for i, h, ri, rh, lines, words, others in zip(f["id"], f["key"], f["ref"], f["ref_key"], f["lines"], f["words"], f["others"]):
                 for start, ref_start, n, w in blocks(list(lines), list(words), list(others), min_words):
                     rows.append((i, h, ri, rh, start, ref_start, n, w))
-            yield pd.DataFrame(rows, columns="id key ref ref_key start ref_start n_lines n_words".split()).astype({"id": "Int64", "ref": "Int64"})
+            yield pd.DataFrame(rows, columns="id key ref ref_key start ref_start n_lines n_words".split())
 
     return run
 
@@ -140,10 +140,11 @@ def aligned_blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .select("p.*", "a.lines", "a.words")
         .alias("p")
         .join(b, same("ref", "ref_key", "b"))
-        .select("p.*", F.col("b.lines").alias("others"))
+        .select(boxed(F.col("p.id")).alias("id"), "p.key", boxed(F.col("p.ref")).alias("ref"), "p.ref_key", "p.lines", "p.words", F.col("b.lines").alias("others"))
     )
     schema = "id long, key long, ref long, ref_key long, start int, ref_start int, n_lines int, n_words int"
-    return both.mapInPandas(_align(min_words), schema)
+    found = both.mapInPandas(_align(min_words), schema)
+    return found.withColumn("id", unboxed(F.col("id"))).withColumn("ref", unboxed(F.col("ref")))
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = None, min_words: int = MIN_WORDS, rare: int = RARE) -> DataFrame:

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from qloom.llm.shared import cut
+from qloom.llm.shared import boxed, cut, unboxed
 from qloom.llm.tokens import Encoder, vocabulary_path
 from qloom.sources.tables import scan
 
@@ -134,7 +134,7 @@ def _pack(path: str, end: int, length: int, sentence: int, inside: int, grid: in
         names = "doc_id start length ids_crc32 doc_tokens sequence offset".split()
 
         def frame(rows: list[tuple]) -> pd.DataFrame:
-            return pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"}).assign(part=part)[[x.split()[0] for x in PIECES.split(", ")]]
+            return pd.DataFrame(rows, columns=names).assign(part=part)[[x.split()[0] for x in PIECES.split(", ")]]
 
         for f in frames:
             rows = []
@@ -162,7 +162,7 @@ def pack(
 
     Sequences are numbered from 0 in the order of the documents.
     """
-    own = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    own = docs.select(boxed(F.col(f"`{doc_id}`")).alias("doc_id"), F.col(f"`{text}`").alias("text"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["doc_id", F.xxhash64("text")]
     run = _pack(tokenizer or vocabulary_path(), end, length, sentence, inside, min(grid, length), buffer)
@@ -175,7 +175,7 @@ def pack(
         base += most + 1
     first = docs.sparkSession.createDataFrame(firsts or [(0, 0)], "part int, first long")
     return pieces.join(F.broadcast(first), "part").select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("first") + F.col("sequence")).alias("sequence_id"), "offset"
+        unboxed(F.col("doc_id")).alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", (F.col("first") + F.col("sequence")).alias("sequence_id"), "offset"
     )
 
 

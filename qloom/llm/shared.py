@@ -20,6 +20,18 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode().split() if text else []
 
 
+# stands for a null id inside Python tasks, where pandas would turn nullable numbers to floats and lose digits
+NO_ID = -(1 << 63)
+
+
+def boxed(column: Column) -> Column:
+    return F.coalesce(column.cast("long"), F.lit(NO_ID))
+
+
+def unboxed(column: Column) -> Column:
+    return F.nullif(column, F.lit(NO_ID))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows, read from the shared checkpoint folder: a lost executor costs no recomputation."""
     enable_checkpoints(df.sparkSession)
@@ -51,11 +63,6 @@ def open_in(path: str):
     return store.open_input_file(inner)
 
 
-def text_key(text: str = "text") -> Column:
-    """With the id, what tells documents apart: a repeated id with another text is another document."""
-    return F.xxhash64(F.col(text))
-
-
 def ranked(df: DataFrame, order: list[Column], rank: str) -> DataFrame:
     """The rows with their 0-based place in a complete order, without a window over all rows.
 

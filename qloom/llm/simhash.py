@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType
 
 from qloom.llm.components import components
-from qloom.llm.shared import cut, text_key
+from qloom.llm.shared import cut
 from qloom.sources.tables import scan
 
 BITS = 64
@@ -238,7 +238,7 @@ def linked(leaves: DataFrame, distance: int = DISTANCE, walk: int = WALK) -> Dat
 def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """(id, key, fp, label): each row's id, the hash of its text, its fingerprint and its component's smallest fingerprint."""
     own = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    marked = cut(own.select("id", text_key().alias("key"), fingerprints(shingle)("text").alias("fp")))
+    marked = cut(own.select("id", F.xxhash64("text").alias("key"), fingerprints(shingle)("text").alias("fp")))
     labels = components(linked(marked.select("fp").distinct(), distance))
     labels = labels.withColumnRenamed("node", "fp")
     return marked.join(labels, "fp", "left").select("id", "key", "fp", F.coalesce("label", "fp").alias("label"))
