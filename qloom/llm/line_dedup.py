@@ -125,8 +125,9 @@ def aligned_blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = cut(lines_of(docs, doc_id, text))
     place = F.struct(F.isnull("id").alias("none"), "id", "key")
     held = rows.select(place.alias("at"), F.explode(F.array_distinct(F.expr("filter(lines, (x, i) -> words[i] > 0)"))).alias("line"))
-    shared = held.groupBy("line").agg(F.count("*").alias("df"), F.min("at").alias("first")).where("df > 1")
-    known = held.join(shared, "line")
+    # both cut, so that the join stands alone and adaptive execution may split a line that very many documents hold
+    shared = cut(held.groupBy("line").agg(F.count("*").alias("df"), F.min("at").alias("first")).where("df > 1"))
+    known = cut(held.join(shared, "line"))
     to_first = known.where("at <> first").select("at", F.col("first").alias("ref"))
     # rare lines only, so that the window never holds more than ``rare`` rows of a line
     few = known.where(F.col("df") <= rare).select("line", "at")
