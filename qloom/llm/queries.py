@@ -6,7 +6,7 @@ import importlib
 
 from qloom.plans.registry import Query
 
-MODULES = "decontamination line_dedup simhash archives token_records packing quality_rules html_text".split()
+MODULES = "decontamination line_dedup simhash archives token_records packing quality_rules resampling html_text".split()
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}

@@ -67,14 +67,14 @@ def ranked(df: DataFrame, order: list[Column], rank: str) -> DataFrame:
     """The rows with their 0-based place in a complete order, without a window over all rows.
 
     Rows are dealt by ranges of the order and numbered inside each part; the counts of the parts (one
-    row each) give the parts' first places.
+    row each) give the parts' first places. Ids in the rows are boxed, as pandas would round nullable ones.
     """
-    schema = df.selectExpr("*", "0 AS part", "0L AS place").schema
+    schema = df.selectExpr("*", "0 AS part", "0L AS inner_place").schema
 
     def number(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, place = TaskContext.get().partitionId(), 0
         for frame in frames:
-            yield frame.assign(part=part, place=range(place, place + len(frame)))
+            yield frame.assign(part=part, inner_place=range(place, place + len(frame)))
             place += len(frame)
 
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -85,4 +85,4 @@ def ranked(df: DataFrame, order: list[Column], rank: str) -> DataFrame:
         starts.append((part, base))
         base += counts[part]
     first = df.sparkSession.createDataFrame(starts or [(0, 0)], "part int, first long")
-    return numbered.join(F.broadcast(first), "part").withColumn(rank, F.col("place") + F.col("first")).drop("part", "place", "first")
+    return numbered.join(F.broadcast(first), "part").withColumn(rank, F.col("inner_place") + F.col("first")).drop("part", "inner_place", "first")
