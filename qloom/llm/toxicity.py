@@ -35,6 +35,7 @@ FOLDS = 5
 SAMPLE_ROWS = 10_000
 MAX_VOTERS = 120
 MIN_SEEN = 5
+FEATURE_SEEN = 10
 BITS = 18
 BEGINNINGS = (4, 5, 6, 7)
 KNOWN = 300_000
@@ -178,11 +179,11 @@ class Features:
         return np.unique(np.concatenate([once, (twice * 5 + 1) & _MASK, (thrice * 9 + 2) & _MASK]).astype(np.int32))
 
 
-def train(rows: list[np.ndarray], chance: np.ndarray, rounds: int = 150, rate: float = 0.3, decay: float = 1e-3) -> tuple[np.ndarray, float]:
-    """(weights, bias) of a logistic regression on soft labels: full-batch Adam, features that occur in fewer than MIN_SEEN documents left out."""
+def train(rows: list[np.ndarray], chance: np.ndarray, rounds: int = 150, rate: float = 0.3, decay: float = 2e-3) -> tuple[np.ndarray, float]:
+    """(weights, bias) of a logistic regression on soft labels: full-batch Adam, features that occur in fewer than FEATURE_SEEN documents left out."""
     at = np.concatenate(rows) if rows else np.zeros(0, np.int32)
     doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
-    often = np.bincount(at, minlength=1 << BITS) >= MIN_SEEN
+    often = np.bincount(at, minlength=1 << BITS) >= FEATURE_SEEN
     use = often[at]
     at, doc = at[use], doc[use]
     weights = np.zeros(1 << BITS)
