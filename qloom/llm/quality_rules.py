@@ -23,6 +23,8 @@ from qloom.sources.tables import scan
 
 WINDOW = 8
 MIN_WORDS = 20
+# documents less likely good than this are rejected: four times likelier bad than good
+THRESHOLD = 0.2
 SYMBOLS = "#*$%&|<>"
 END_MARKS = tuple(".!?…\"'”»:;")
 
@@ -107,7 +109,7 @@ def _share(part: str, whole: str, bad: Callable, good: Callable) -> Callable[[Co
 
 
 # chance of (bad, none, good) votes on a bad and on a good document before any data is seen
-_ON_BAD, _ON_GOOD = (0.45, 0.2, 0.35), (0.03, 0.17, 0.8)
+_ON_BAD, _ON_GOOD = (0.5, 0.1, 0.4), (0.01, 0.14, 0.85)
 
 RULES: dict[str, Callable[[Column], Column]] = {
     "word_length": lambda f: _vote(
@@ -171,7 +173,7 @@ def _model(voted: DataFrame) -> tuple[float, np.ndarray]:
     return fit(np.array([r["votes"] for r in rows]).reshape(-1, len(RULES)), np.array([r["count"] for r in rows], float))
 
 
-def judge(docs: DataFrame, text: str = "text", keep: list[str] = ("doc_id",), threshold: float = 0.5) -> DataFrame:
+def judge(docs: DataFrame, text: str = "text", keep: list[str] = ("doc_id",), threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: the columns in ``keep``, the base features, base_failed, probability, kept."""
     voted = cut(_voted(docs.select(*{*keep, text}), text).withColumn("row", F.struct(*[F.col(f"row.`{c}`") for c in keep])))
     probability = posterior(voted, *_model(voted))
@@ -185,7 +187,7 @@ def judge(docs: DataFrame, text: str = "text", keep: list[str] = ("doc_id",), th
     )
 
 
-def filter_documents(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
+def filter_documents(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the base and the posterior keep, unchanged.
 
     Texts are measured twice, once for the model and once for the verdict, which costs less than to write

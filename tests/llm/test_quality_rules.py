@@ -1,0 +1,94 @@
+import re
+
+import numpy as np
+import pytest
+
+from qloom.llm import quality_rules as q
+from tests.llm import frames
+
+SAMPLES = [t for _, t in frames.ODD] + [
+    "a b c d e f g h " * 3,
+    "x " * 9,
+    "one two\nthree\none two\n\none two\nthree ",
+    "!%$ a### b*** |x| <y>\t\tz\x0bq\x85r",
+    " ".join(str(k % 11) for k in range(200)) + " " + " ".join(map(str, range(50))),
+]
+
+
+def naive(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = [tuple(words[k : k + 8]) for k in range(len(words) - 7)]
+    again = {k + j for k, w in enumerate(windows) if windows.count(w) > 1 for j in range(8)}
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (
+        len(words),
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text or "")),
+        sum(x in lines[:k] for k, x in enumerate(lines)),
+        len(again),
+    )
+
+
+@pytest.mark.parametrize("k", range(len(SAMPLES)))
+def test_base_features_by_definition(k):
+    if SAMPLES[k] != frames.LONG:
+        assert q.measure(SAMPLES[k])[:5] == naive(SAMPLES[k])
+
+
+def test_symbols_count_without_words_too():
+    assert q.measure("\n \t")[:5] == (0, 0, 0, 0, 0)
+
+
+def test_long_repeats():
+    n = len(frames.LONG.split())
+    assert q.measure(frames.LONG)[4] == n
+
+
+def test_em_finds_the_accuracies():
+    rng = np.random.default_rng(1)
+    good = rng.random(20_000) < 0.85
+    on_bad, on_good = rng.uniform(0.3, 0.8, len(q.RULES)), rng.uniform(0.0, 0.05, len(q.RULES))
+    bad_vote = rng.random((20_000, len(q.RULES))) < np.where(good[:, None], on_good, on_bad)
+    votes, counts = np.unique(np.where(bad_vote, -1, 1), axis=0, return_counts=True)
+    share, chance = q.fit(votes, counts.astype(float))
+    assert abs(share - good.mean()) < 0.02
+    assert np.abs(chance[0, :, 0] - on_bad).max() < 0.05
+    assert np.abs(chance[1, :, 0] - on_good).max() < 0.02
+
+
+def test_no_votes_leave_what_was_held_before():
+    share, chance = q.fit(np.zeros((0, len(q.RULES))), np.zeros(0))
+    assert share == 0.8 and chance.shape == (2, len(q.RULES), 3)
+
+
+def test_odd_rows(spark):
+    rows = q.judge(frames.odd(spark)).collect()
+    assert len(rows) == len(frames.ODD)
+    got = {(r["doc_id"], r["n_words"]) for r in rows}
+    assert (2, 0) in got and (3, 0) in got and (None, 0) in got
+    assert all(not r["kept"] for r in rows if r["n_words"] < 20)
+    assert {r["base_failed"] for r in rows if r["doc_id"] == 6} == {True}
+
+
+def test_filter_keeps_rows_unchanged(spark):
+    clean = " ".join(f"word{k} and other{k}{'.' if k % 7 == 0 else ''}" for k in range(60)) + "."
+    docs = frames.documents(spark, [(k, f"Text {k}: {clean}") for k in range(30)] + frames.ODD, clashing=True)
+    kept = q.filter_documents(docs)
+    assert kept.schema == docs.schema
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert set(range(8, 30)) <= set(ids) and None not in ids
+    assert {r["doc_id"] for r in q.judge(docs).where("kept").collect()} == set(ids)
+
+
+def test_empty_table(spark):
+    assert q.judge(frames.nothing(spark)).count() == 0
+    assert q.filter_documents(frames.nothing(spark)).count() == 0
+
+
+def test_labelled_quality_is_found(spark, sf_dir):
+    from qloom.sources.tables import scan
+
+    judged = q.query(spark, sf_dir).join(scan(spark, sf_dir, "labels"), "doc_id").where("n_words >= 20").collect()
+    good = [r["kept"] for r in judged if r["quality"] == 1]
+    bad = [r["kept"] for r in judged if r["quality"] == 0]
+    assert np.mean(good) > 0.95 and np.mean(bad) < 0.1
