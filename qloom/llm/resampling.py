@@ -75,12 +75,13 @@ def _count(buckets: int):
     return run
 
 
-def log_ratio(raw: np.ndarray, target: np.ndarray, smoothing: float = 1.0) -> np.ndarray:
-    """log p_target - log p_raw for each bucket; zeros where there is no target."""
+def log_ratio(raw: np.ndarray, target: np.ndarray, smoothing: float = 0.005) -> np.ndarray:
+    """log p_target - log p_raw for each bucket, the target mixed with a small share of the raw model; zeros where there is no target."""
     if not target.sum() or not raw.sum():
         return np.zeros(len(raw))
-    p = (target + smoothing * raw / raw.sum() * len(raw)) / (target.sum() + smoothing * len(raw))
-    return np.log(np.where(raw > 0, p, 1.0)) - np.log(np.where(raw > 0, raw / raw.sum(), 1.0))
+    q = raw / raw.sum()
+    p = (target / target.sum() + smoothing * q) / (1 + smoothing)
+    return np.log(np.where(raw > 0, p, 1.0)) - np.log(np.where(raw > 0, q, 1.0))
 
 
 def weighted(docs: DataFrame, good_ids: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS, target_rows: int = TARGET_ROWS, seed: int = 42) -> DataFrame:
