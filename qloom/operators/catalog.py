@@ -1,6 +1,6 @@
 """Catalogs and join graphs of a corpus of table definitions.
 
-Input rows are (schema_id, ddl). All but the path search is read out of each row by itself.
+Input rows are (schema_id, ddl). Everything is read out of each row by itself.
 """
 
 from __future__ import annotations
@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from qloom.functions.ddl import with_tables
-from qloom.session import enable_checkpoints
+from qloom.functions.stages import settled
 
 
 def parse(corpus: DataFrame, id_col: str = "schema_id") -> DataFrame:
@@ -89,19 +89,13 @@ def _edge(source: Column, source_col: Column, target: Column, target_col: Column
     )
 
 
-def join_edges(parsed: DataFrame) -> DataFrame:
-    """Edges of the join graph in declaration order.
-
-    A foreign key gives an edge each way. Tables with an equal id column all join each other; listing
-    these pairs grows with the square of the tables, so each table is given one 'shared' edge to the
-    column name as meeting point (``to_table`` null, ``to_col`` the name). ``to_known`` is false where
-    a foreign key names a table that the definitions lack.
-    """
+def with_edges(df: DataFrame) -> DataFrame:
+    """Add ``edges``: the join graph of ``tables`` in declaration order, as ``join_edges`` lists it."""
 
     def id_keys(t: Column) -> Column:
         return F.transform(F.filter(t["cols"], lambda c: F.endswith(c["key"], F.lit("_id"))), lambda c: c["key"])
 
-    staged = parsed.withColumn(
+    staged = df.withColumn(
         "_ids", F.sort_array(F.flatten(F.transform("tables", lambda t: F.array_distinct(id_keys(t)))))
     ).withColumn(
         "_shared", F.array_distinct(F.filter("_ids", lambda k, i: (i > 0) & (k == F.get(F.col("_ids"), i - 1))))
@@ -128,9 +122,21 @@ def join_edges(parsed: DataFrame) -> DataFrame:
         F.flatten(F.transform("tables", foreign)),
         F.flatten(F.transform("tables", shared)),
     )
+    return staged.withColumn("edges", edges).drop("_ids", "_shared")
+
+
+def join_edges(parsed: DataFrame) -> DataFrame:
+    """Edges of the join graph in declaration order.
+
+    A foreign key gives an edge each way. Tables with an equal id column all join each other; listing
+    these pairs grows with the square of the tables, so each table is given one 'shared' edge to the
+    column name as meeting point (``to_table`` null, ``to_col`` the name). ``to_known`` is false where
+    a foreign key names a table that the definitions lack.
+    """
     known = F.transform("tables", lambda t: t["key"])
     return (
-        staged.select("schema_id", known.alias("_known"), F.posexplode(edges).alias("edge_ord", "e"))
+        with_edges(parsed)
+        .select("schema_id", known.alias("_known"), F.posexplode("edges").alias("edge_ord", "e"))
         .select("schema_id", "edge_ord", "e.*", "_known")
         .withColumn("to_known", F.col("to_table").isNull() | F.array_contains("_known", F.col("to_table")))
         .drop("_known")
@@ -138,87 +144,71 @@ def join_edges(parsed: DataFrame) -> DataFrame:
 
 
 _STEP = ("from_table", "from_col", "to_table", "to_col")
+_STEPS = "array<struct<" + ",".join(f"{f}:string" for f in _STEP) + ">>"
 
 
-def join_paths(edges: DataFrame, sources: DataFrame, max_hops: int = 6) -> DataFrame:
-    """Shortest join path from each source (schema_id, from_table) to every table it reaches.
+def _neighbours(edges: Column, node: Column) -> Column:
+    """(to_table, from_col, to_col) of the edges that leave a table, in declaration order; shared columns lead to all their holders."""
 
-    Breadth first: each round joins the tables reached last with their edges. Of several paths with
-    the fewest hops, the one whose edges were declared first is kept. A shared column is entered at most
-    once per source and round, so a column common to many tables costs one row per table. Rounds are cut
-    by checkpoints, and end when nothing new is reached.
-    """
-    enable_checkpoints(edges.sparkSession)
-    edges = edges.checkpoint()
-    direct = edges.where(F.col("kind") == "fk").select(
-        "schema_id", F.col("from_table").alias("node"), "edge_ord", "from_col", F.col("to_table").alias("next"), "to_col"
-    )
-    members = edges.where(F.col("kind") == "shared").select(
-        "schema_id", F.col("from_table").alias("node"), "edge_ord", "from_col", F.col("to_col").alias("meeting")
-    )
-    no_steps = F.array().cast("array<struct<" + ",".join(f"{f}:string" for f in _STEP) + ">>")
-    frontier = sources.select(
-        "schema_id",
-        F.col("from_table").alias("source"),
-        F.col("from_table").alias("node"),
-        F.array().cast("array<int>").alias("key"),
-        no_steps.alias("steps"),
-    )
-    start = frontier = frontier.distinct().checkpoint()
-    reached: DataFrame | None = None
-    seen = start.select("schema_id", "source", "node")
-
-    def step(source_col: Column, target: Column, target_col: Column) -> Column:
-        values = (F.col("node"), source_col, target, target_col)
-        return F.concat("steps", F.array(F.struct(*[v.alias(f) for v, f in zip(values, _STEP)])))
-
-    for hop in range(1, max_hops + 1):
-        by_key = frontier.join(direct, ["schema_id", "node"]).select(
-            "schema_id",
-            "source",
-            F.col("next").alias("node"),
-            F.concat("key", F.array("edge_ord", F.lit(0))).alias("key"),
-            step(F.col("from_col"), F.col("next"), F.col("to_col")).alias("steps"),
+    def to(target: Column, own: Column, theirs: Column) -> Column:
+        return F.struct(target.alias("to_table"), own.alias("from_col"), theirs.alias("to_col"))
+
+    def leads(e: Column) -> Column:
+        holders = F.filter(
+            edges, lambda m: (m["kind"] == "shared") & (m["to_col"] == e["to_col"]) & (m["from_table"] != node)
         )
-        entered = (
-            frontier.join(members, ["schema_id", "node"])
-            .groupBy("schema_id", "source", "meeting")
-            .agg(F.min(F.struct(F.concat("key", F.array("edge_ord")).alias("key"), "node", "from_col", "steps")).alias("e"))
+        return F.when(e["kind"] == "fk", F.array(to(e["to_table"], e["from_col"], e["to_col"]))).otherwise(
+            F.transform(holders, lambda m: to(m["from_table"], e["from_col"], m["from_col"]))
         )
-        entered = entered.select("schema_id", "source", "meeting", "e.*")
-        targets = members.select(
-            "schema_id",
-            "meeting",
-            F.col("node").alias("next"),
-            F.col("edge_ord").alias("next_ord"),
-            F.col("from_col").alias("next_col"),
+
+    return F.flatten(F.transform(F.filter(edges, lambda e: e["from_table"] == node), leads))
+
+
+def paths_from(edges: Column, source: Column) -> Column:
+    """Shortest join paths from a table, as an array of (to_table, steps) that starts with the table itself.
+
+    A breadth-first search inside the row: the array is the queue, and each round of the fold lets one
+    entry of it add the neighbours not met before. There are as many rounds as tables that have edges.
+    Of several paths with the fewest steps, the one whose edges were declared first is kept.
+    """
+    start = F.array(F.struct(source.alias("to_table"), F.array().cast(_STEPS).alias("steps")))
+    rounds = F.sequence(F.lit(0), F.size(F.array_distinct(F.transform(edges, lambda e: e["from_table"]))))
+
+    def visit(queue: Column, at: Column) -> Column:
+        new = F.filter(
+            _neighbours(edges, at["to_table"]), lambda n: ~F.exists(queue, lambda q: q["to_table"] == n["to_table"])
         )
-        by_meeting = (
-            entered.join(targets, ["schema_id", "meeting"])
-            .where(F.col("next") != F.col("node"))
-            .select(
-                "schema_id",
-                "source",
-                F.col("next").alias("node"),
-                F.concat("key", F.array("next_ord")).alias("key"),
-                step(F.col("from_col"), F.col("next"), F.col("next_col")).alias("steps"),
+        # the one-element array names the new entries, so that they are found once
+        once = F.flatten(
+            F.transform(
+                F.array(new),
+                lambda ns: F.filter(
+                    ns, lambda n, k: ~F.exists(F.slice(ns, F.lit(1), k), lambda p: p["to_table"] == n["to_table"])
+                ),
             )
         )
-        frontier = (
-            by_key.unionByName(by_meeting)
-            .join(seen, ["schema_id", "source", "node"], "left_anti")
-            .groupBy("schema_id", "source", "node")
-            .agg(F.min(F.struct("key", "steps")).alias("best"))
-            .select("schema_id", "source", "node", "best.*")
-            .checkpoint()
-        )
-        if frontier.isEmpty():
-            break
-        found = frontier.withColumn("hops", F.lit(hop))
-        reached = found if reached is None else reached.unionByName(found)
-        seen = seen.unionByName(frontier.select("schema_id", "source", "node"))
-    if reached is None:
-        reached = start.where(F.lit(False)).withColumn("hops", F.lit(0))
-    return reached.select(
-        "schema_id", F.col("source").alias("from_table"), F.col("node").alias("to_table"), "hops", "steps", "key"
+
+        def reached(n: Column) -> Column:
+            values = (at["to_table"], n["from_col"], n["to_table"], n["to_col"])
+            step = F.struct(*[v.alias(f) for v, f in zip(values, _STEP)])
+            return F.struct(n["to_table"].alias("to_table"), F.concat(at["steps"], F.array(step)).alias("steps"))
+
+        return F.concat(queue, F.transform(once, reached))
+
+    def round_of(queue: Column, k: Column) -> Column:
+        return F.when(k < F.size(queue), visit(queue, F.get(queue, k))).otherwise(queue)
+
+    return F.aggregate(rounds, start, round_of)
+
+
+def join_paths(parsed: DataFrame, sources: Column) -> DataFrame:
+    """Shortest join path from each source to every table it reaches, of any length.
+
+    ``sources`` is an array of table keys out of the columns of a row.
+    """
+    graph = settled(with_edges(parsed.withColumn("_sources", F.array_distinct(sources))), "edges")
+    searched = graph.select("schema_id", "edges", F.explode("_sources").alias("from_table"))
+    found = searched.select(
+        "schema_id", "from_table", F.inline(F.slice(paths_from(F.col("edges"), F.col("from_table")), 2, 2**31 - 2))
     )
+    return found.select("schema_id", "from_table", "to_table", F.size("steps").alias("hops"), "steps")

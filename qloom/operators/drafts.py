@@ -1,7 +1,7 @@
 """Draft SQL for questions about tables, as weak labels for a corpus.
 
-The drafts are text put together from the catalog and feature columns of each row. Only questions that
-span several tables need more than their own row: their join paths come from ``join_paths``.
+The drafts are text put together from the catalog and feature columns of each row; join paths are
+searched inside the row too.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from qloom.functions.ddl import any_of, first, last
+from qloom.functions.stages import settled
 from qloom.operators import catalog
 from qloom.operators.features import (
     SPEND_TABLES,
@@ -20,7 +21,6 @@ from qloom.operators.features import (
     with_involved,
     with_shape,
 )
-from qloom.session import enable_checkpoints
 
 # Words that name the parts of a "never" question, and columns a value may filter.
 NEGATIVE_WORDS = ("return", "refund", "cancel", "complain")
@@ -303,34 +303,29 @@ def _tie(primary: Column) -> Column:
     return F.coalesce(F.when(F.col("tie_col").isNotNull(), stated), F.lit(""))
 
 
-def _with_paths(df: DataFrame, max_hops: int) -> DataFrame:
-    """Add ``steps`` from the primary table to all other involved ones; null where one cannot be reached."""
-    parsed = df.select(F.col("row_id").alias("schema_id"), "tables")
-    edges = catalog.join_edges(parsed).where("to_known")
-    sources = df.select(F.col("row_id").alias("schema_id"), F.col("_primary.key").alias("from_table"))
-    wanted = df.select(
-        F.col("row_id").alias("schema_id"), F.explode(F.transform("_others", lambda t: t["key"])).alias("to_table")
+def _with_paths(df: DataFrame) -> DataFrame:
+    """Add ``steps`` from the primary table to all other involved ones, nearer ones first; null where one cannot be reached."""
+    df = settled(catalog.with_edges(df), "edges", "_primary", "_others", "involved")
+    known = F.filter(
+        "edges",
+        lambda e: (e["kind"] == "shared") | F.exists("tables", lambda t: t["key"] == e["to_table"]),
     )
-    found = (
-        catalog.join_paths(edges, sources, max_hops)
-        .join(wanted, ["schema_id", "to_table"], "inner")
-        .groupBy("schema_id")
-        .agg(F.array_sort(F.collect_list(F.struct("hops", "key", "steps"))).alias("paths"))
-        .select(
-            F.col("schema_id").alias("row_id"),
-            F.size("paths").alias("_reached"),
-            F.array_distinct(F.flatten(F.transform("paths", lambda p: p["steps"]))).alias("steps"),
-        )
+    df = settled(df.withColumn("_known", known), "_known")
+    paths = F.filter(
+        catalog.paths_from(F.col("_known"), F.col("_primary.key")),
+        lambda p: F.exists("_others", lambda t: t["key"] == p["to_table"]),
     )
-    joined = df.join(found, "row_id", "left")
-    return joined.withColumn("steps", F.when(F.col("_reached") == F.size("_others"), F.col("steps")))
+    df = settled(df.withColumn("_paths", paths), "_paths")
+    steps = F.array_distinct(F.flatten(F.transform("_paths", lambda p: p["steps"])))
+    reached = F.size("_paths") == F.size("_others")
+    return df.withColumn("steps", F.when(reached, steps)).drop("edges", "_known", "_paths")
 
 
-def _joined(df: DataFrame, max_hops: int) -> DataFrame:
+def _joined(df: DataFrame) -> DataFrame:
     """Drafts for questions over several tables."""
     df = df.withColumn("_primary", primary_table(F.col("involved")))
     df = df.withColumn("_others", F.filter("involved", lambda t: t["key"] != F.col("_primary.key")))
-    df = _with_paths(df, max_hops)
+    df = _with_paths(df)
     df = df.withColumn("_ordered", F.concat(F.array("_primary"), "_others"))
     primary, others, ordered = F.col("_primary"), F.col("_others"), F.col("_ordered")
     declared = lambda key: first(F.filter("tables", lambda t: t["key"] == key))["name"]
@@ -389,9 +384,7 @@ def _joined(df: DataFrame, max_hops: int) -> DataFrame:
     return df.withColumn("_join_sql", F.when(F.col("agg").isNotNull(), aggregate).otherwise(listing))
 
 
-def draft_sql(
-    corpus: DataFrame, spend_tables: tuple[str, str, str] = SPEND_TABLES, max_hops: int = 6
-) -> DataFrame:
+def draft_sql(corpus: DataFrame, spend_tables: tuple[str, str, str] = SPEND_TABLES) -> DataFrame:
     """One draft per corpus row (row_id, ddl, question): row_id, shape, sql, problem.
 
     Questions that need a join without a usable key get no statement but the reason.
@@ -404,14 +397,16 @@ def draft_sql(
         .when(F.col("shape") == "anti", F.col("_anti_sql"))
         .when(F.col("shape") == "spend", F.col("_spend_sql"))
     )
-    # Written out once, as the path search reads the join questions several times: a finished draft
-    # keeps its text only, a join question the columns its draft still needs.
-    enable_checkpoints(corpus.sparkSession)
     to_join = F.col("shape") == "join"
-    staged = df.select("row_id", "shape", sql.alias("sql"), *[F.when(to_join, F.col(c)).alias(c) for c in _JOIN_INPUT])
-    staged = staged.checkpoint()
-    by_itself = staged.where(~F.coalesce(to_join, F.lit(False))).select("row_id", "shape", "sql")
-    joined = _joined(staged.where(to_join).drop("sql"), max_hops).select("row_id", "shape", F.col("_join_sql").alias("sql"))
-    drafts = by_itself.unionByName(joined)
+    # a finished draft keeps its text only, a join question the columns its draft still needs
+    staged = settled(
+        df.withColumn("sql", sql).select(
+            "row_id", "shape", "sql", *[F.when(to_join, F.col(c)).alias(c) for c in _JOIN_INPUT]
+        ),
+        "shape",
+        "sql",
+        *_JOIN_INPUT,
+    )
+    drafts = _joined(staged).select("row_id", "shape", F.when(to_join, F.col("_join_sql")).otherwise(F.col("sql")).alias("sql"))
     problem = F.when(F.col("shape").isNull(), NO_TABLE).when(F.col("sql").isNull(), NO_PATH)
     return drafts.withColumn("problem", problem)

@@ -107,10 +107,7 @@ def join_edges(spark: SparkSession, sf: str) -> DataFrame:
 )
 def join_paths(spark: SparkSession, sf: str) -> DataFrame:
     schemas = parsed(spark, sf)
-    sources = catalog.catalog_tables(schemas).where(F.col("table_ord") == 0)
-    found = catalog.join_paths(
-        catalog.join_edges(schemas), sources.select("schema_id", F.col("table_key").alias("from_table"))
-    )
+    found = catalog.join_paths(schemas, F.array(F.col("tables")[0]["key"]))
     step = lambda s: F.concat(
         s["from_table"], F.lit("."), s["from_col"], F.lit(" = "), s["to_table"], F.lit("."), s["to_col"]
     )

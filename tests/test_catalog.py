@@ -109,9 +109,9 @@ def test_unknown_target_is_flagged(parsed):
     assert {r.to_table for r in edges.where("NOT to_known").collect()} == {"nowhere"}
 
 
-def routes(spark, parsed, sources, max_hops=6):
-    df = spark.createDataFrame(sources, "schema_id long, from_table string")
-    found = catalog.join_paths(catalog.join_edges(parsed), df, max_hops)
+def routes(spark, parsed, sources):
+    starts = spark.createDataFrame(sources, "schema_id long, from_table string").groupBy("schema_id").agg(F.collect_list("from_table").alias("starts"))
+    found = catalog.join_paths(parsed.join(starts, "schema_id"), F.col("starts"))
     out = {}
     for r in found.collect():
         out[r.schema_id, r.from_table, r.to_table] = [tuple(s) for s in r.steps]
@@ -128,7 +128,14 @@ def test_paths(spark, parsed):
     assert got[1, "refunds", "lines"] == [("refunds", "visit_id", "lines", "visit_id")]
     assert got[1, "members", "nowhere"][-1] == ("refunds", "other_id", "nowhere", "id")
     assert not any(k[0] == 5 for k in got)
-    assert (1, "members", "lines") not in routes(spark, parsed, [(1, "members")], max_hops=1)
+
+
+def test_long_chains_are_searched_to_their_end(spark):
+    n = 10
+    ddl = ";".join(f"CREATE TABLE t{i} (id INT PRIMARY KEY" + (f", up INT REFERENCES t{i - 1}(id))" if i else ")") for i in range(n))
+    got = routes(spark, catalog.parse(spark.createDataFrame([(1, ddl)], "schema_id long, ddl string")), [(1, "t0")])
+    assert sorted(got) == [(1, "t0", f"t{i}") for i in range(1, n)]
+    assert len(got[1, "t0", "t9"]) == 9
 
 
 def queue_search(tables, start):
@@ -178,7 +185,7 @@ def test_paths_equal_queue_search(spark):
         for target, path in queue_search(tables, start).items():
             want[schema, start, target] = path
     parsed = catalog.parse(spark.createDataFrame(ddls, "schema_id long, ddl string"))
-    assert routes(spark, parsed, sources, max_hops=8) == want
+    assert routes(spark, parsed, sources) == want
 
 
 def test_one_column_shared_by_many_tables_stays_linear(spark):

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qloom import schemas
@@ -15,7 +16,6 @@ def results(spark):
     corpus = spark.createDataFrame([(1, DDL, "total n of a per name")], "row_id long, ddl string, question string")
     parsed = catalog.parse(corpus, "row_id")
     edges = catalog.join_edges(parsed)
-    sources = spark.createDataFrame([(1, "a")], "schema_id long, from_table string")
     preds = spark.createDataFrame([(1, "m", "x", "x", 1.0)], schemas.PREDICTIONS)
     requests = spark.createDataFrame(
         [(dt.datetime(2024, 1, 1), "v", "s", 1.0)], "ts timestamp, model_version string, sql string, elapsed_ms double"
@@ -25,7 +25,7 @@ def results(spark):
         "CATALOG_COLUMNS": catalog.catalog_columns(parsed),
         "COLUMN_ROLES": catalog.column_roles(parsed),
         "JOIN_EDGES": edges,
-        "JOIN_PATHS": catalog.join_paths(edges, sources),
+        "JOIN_PATHS": catalog.join_paths(parsed, F.array(F.lit("a"))),
         "QUESTION_FEATURES": features.question_features(corpus).select("row_id", *features.FEATURES),
         "DRAFTS": drafts.draft_sql(corpus),
         "REPORT": evaluation.report(preds),
