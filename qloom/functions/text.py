@@ -31,8 +31,14 @@ def same_words(a: Column, b: Column) -> Column:
     return words(F.lower(a)) == words(F.lower(b))
 
 
+def is_match(said: Column, wanted: Column) -> Column:
+    """Whether an answer has the words of a reference; a missing answer has not."""
+    return F.coalesce(same_words(said, wanted), F.lit(False))
+
+
 def word_count(col: Column) -> Column:
-    return F.size(words(col))
+    """Number of words, null for null; no array of words is made."""
+    return F.regexp_count(col, F.lit(r"(?U)\S+"))
 
 
 def fill(template: str, values: Mapping[str, Column]) -> Column:

@@ -7,7 +7,7 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from qloom.functions.text import rstrip, same_words, words
+from qloom.functions.text import is_match, rstrip, words
 
 ORDERS = (1, 2, 3, 4)
 
@@ -83,29 +83,32 @@ def _clipped_matches(ours: Column, theirs: Column) -> Column:
 
 
 def bleu_counts(preds: DataFrame) -> DataFrame:
-    """Per label: samples, exact matches, clipped n-gram matches ``m<n>``, totals ``t<n>``, and both lengths.
+    """Per label: samples, rows skipped, exact matches, clipped n-gram matches ``m<n>``, totals ``t<n>``, and both lengths.
 
     Matches are clipped within a prediction, so each row is counted by itself and only these counts are
-    shuffled. Rows without a reference are left out.
+    shuffled. Rows without a reference are skipped: they count as such and have no tokens.
     """
-    said = F.coalesce("generated", F.lit(""))
-    df = preds.where(F.col("reference").isNotNull()).select(
+    scored = F.col("reference").isNotNull()
+    df = preds.select(
         "label",
-        tokens(said).alias("h1"),
-        tokens(F.col("reference")).alias("r1"),
-        same_words(said, F.col("reference")).alias("same"),
+        scored.alias("scored"),
+        tokens(F.when(scored, F.coalesce("generated", F.lit(""))).otherwise("")).alias("h1"),
+        tokens(F.coalesce("reference", F.lit(""))).alias("r1"),
+        (scored & is_match(F.col("generated"), F.col("reference"))).alias("same"),
     )
     for n in ORDERS[1:]:
         df = df.withColumns({f"{side}{n}": _longer(F.col(f"{side}{n - 1}"), F.col(f"{side}1"), n) for side in "hr"})
     counted = df.select(
         "label",
+        "scored",
         "same",
         *[_clipped_matches(F.col(f"h{n}"), F.col(f"r{n}")).alias(f"m{n}") for n in ORDERS],
         *[F.size(f"h{n}").alias(f"t{n}") for n in ORDERS],
         F.size("r1").alias("ref_len"),
     )
     return counted.groupBy("label").agg(
-        F.count(F.lit(1)).alias("n_samples"),
+        F.count_if("scored").alias("n_samples"),
+        F.count_if(~F.col("scored")).alias("n_skipped"),
         F.count_if("same").alias("matches"),
         *[F.sum(f"m{n}").alias(f"m{n}") for n in ORDERS],
         *[F.sum(f"t{n}").alias(f"t{n}") for n in ORDERS],
@@ -115,7 +118,7 @@ def bleu_counts(preds: DataFrame) -> DataFrame:
 
 
 def bleu_score() -> Column:
-    """Score from 0 to 100 out of the counts: exponential smoothing, effective order."""
+    """Score from 0 to 100 out of the counts: exponential smoothing, effective order; null without a sample."""
     logs, zeros = [], F.lit(0)
     for n in ORDERS:
         match, total = F.col(f"m{n}"), F.col(f"t{n}")
@@ -127,7 +130,8 @@ def bleu_score() -> Column:
         F.col("hyp_len") < F.col("ref_len"), F.exp(1 - F.col("ref_len") / F.col("hyp_len"))
     ).otherwise(1.0)
     any_match = reduce(add, [F.col(f"m{n}") for n in ORDERS]) > 0
-    return F.when(any_match, brevity * F.exp(reduce(add, logs) / order)).otherwise(0.0)
+    score = F.when(any_match, brevity * F.exp(reduce(add, logs) / order)).otherwise(0.0)
+    return F.when(F.col("n_samples") > 0, score)
 
 
 def bleu4(preds: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from qloom.functions.numbers import exact, mean
-from qloom.functions.text import contains_all, contains_any, same_words
+from qloom.functions.text import contains_all, contains_any, is_match
 from qloom.operators.bleu import bleu_counts, bleu_score
 from qloom.operators.joins import join_null_safe
 from qloom.operators.selection import rank_percentiles
@@ -20,7 +20,7 @@ def rate(flag: Column) -> Column:
 def exact_match(preds: DataFrame) -> DataFrame:
     """Share of exact matches per label; rows without a reference are counted apart."""
     scored = F.col("reference").isNotNull()
-    hit = scored & F.coalesce(same_words(F.col("generated"), F.col("reference")), F.lit(False))
+    hit = scored & is_match(F.col("generated"), F.col("reference"))
     n = F.count_if(scored)
     return preds.groupBy("label").agg(
         n.alias("n_samples"),
@@ -31,15 +31,20 @@ def exact_match(preds: DataFrame) -> DataFrame:
 
 def latency(df: DataFrame, by: Sequence[str], col: str, approximate: bool = False) -> DataFrame:
     """Average, middle and 95 % position of a latency column per group."""
-    averages = df.groupBy(*by).agg(
+    # one narrow exchange that all passes share, so that what lies below runs once
+    rows = df.select(*by, col).hint("rebalance")
+    averages = rows.groupBy(*by).agg(
         F.count(col).alias("n_samples"), mean(exact(col, 6, 24)).alias("avg_latency_ms")
     )
-    places = rank_percentiles(df, by, col, {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95}, approximate)
-    return join_null_safe(averages, places, by, "left")
+    places = rank_percentiles(rows, by, col, {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95}, approximate)
+    if by:
+        return join_null_safe(averages, places, by, "left")
+    # two sides of one row each
+    return averages.select("*", *[places.select(c).scalar().alias(c) for c in places.columns])
 
 
 def report(preds: DataFrame, resolved: DataFrame | None = None) -> DataFrame:
-    """One row per label with all scores.
+    """One row per label, the missing label too, with all scores; a label without references has no text scores.
 
     ``resolved`` holds ``label`` and ``resolvability_rate`` where the statements were checked against
     their table definitions.
@@ -48,11 +53,12 @@ def report(preds: DataFrame, resolved: DataFrame | None = None) -> DataFrame:
     texts = bleu_counts(preds).select(
         "label",
         "n_samples",
-        (F.col("matches") / F.col("n_samples")).alias("exact_match_accuracy"),
+        "n_skipped",
+        F.when(F.col("n_samples") > 0, F.col("matches") / F.col("n_samples")).alias("exact_match_accuracy"),
         bleu_score().alias("bleu4"),
     )
-    out = texts.join(latency(preds, ["label"], "latency_ms").drop("n_samples"), "label", "inner")
-    return out if resolved is None else out.join(resolved, "label", "left")
+    out = join_null_safe(texts, latency(preds, ["label"], "latency_ms").drop("n_samples"), ["label"])
+    return out if resolved is None else join_null_safe(out, resolved, ["label"], "left")
 
 
 METRICS = ("exact_match_accuracy", "resolvability_rate", "bleu4")

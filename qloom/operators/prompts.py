@@ -102,52 +102,45 @@ def render_conversations(
     turns: DataFrame,
     generation_prompt: bool = False,
     date: str = DATE,
-    segment_turns: int = 10_000,
+    part_turns: int = 1_000,
 ) -> DataFrame:
-    """Conversations (conv_id, turn, role, text) as rendered text.
+    """Conversations (conv_id, turn, role, text) as rendered text, one row (conv_id, text) each.
 
-    A leading system turn moves into the opening header. Turns are put together per segment of
-    ``segment_turns`` turn numbers, so that no task ever holds a conversation of unlimited length: the
-    full text is the concatenation of its segments in order (a single segment 0 in the usual case).
+    A system message at the first turn moves into the opening header; where several messages share a turn, a system
+    message comes first, then the order of their texts. Missing roles and texts count as empty. Messages are joined
+    per range of ``part_turns`` turn numbers first, so that only finished texts meet in one place, never
+    lists of single messages; the number changes nothing in the result.
     """
-    first = turns.groupBy("conv_id").agg(F.min_by(F.struct("role", "text"), "turn").alias("m"), F.min("turn").alias("turn"))
-    leads = F.col("m.role") == "system"
-    opening = first.select(
+    said = turns.select(
         "conv_id",
         "turn",
-        F.lit(0).alias("place"),
-        leads.alias("replaces"),
-        F.concat(
-            F.lit(BEGIN + HEADER.format(role="system") + "\n\n" + CUTOFF_LINE + DATE_LINE.format(date=date)),
-            F.when(leads, strip(F.col("m.text"))).otherwise(""),
-            F.lit(END_OF_TURN),
-        ).alias("body"),
+        (F.coalesce("role", F.lit("")) != "system").alias("later"),
+        F.coalesce("text", F.lit("")).alias("text"),
+        F.coalesce("role", F.lit("")).alias("role"),
     )
-    said = turns.select(
+    messages = F.array_sort(F.collect_list(F.struct("turn", "later", "text", "role")))
+    parts = said.groupBy("conv_id", F.floor(F.col("turn") / part_turns).alias("part")).agg(messages.alias("m"))
+    body = lambda m: message(m["role"], m["text"])
+    parts = parts.select(
         "conv_id",
-        "turn",
-        F.lit(1).alias("place"),
-        F.lit(False).alias("replaces"),
-        message(F.col("role"), F.col("text")).alias("body"),
+        "part",
+        (~F.col("m")[0]["later"]).alias("leads"),
+        F.col("m")[0]["text"].alias("rules"),
+        body(F.col("m")[0]).alias("first"),
+        F.array_join(F.transform(F.slice("m", 2, 2**31 - 2), body), "").alias("rest"),
+    )
+    whole = parts.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("part", "leads", "rules", "first", "rest"))).alias("p"))
+    head = F.col("p")[0]
+    text = F.concat(
+        F.lit(BEGIN + HEADER.format(role="system") + "\n\n" + CUTOFF_LINE + DATE_LINE.format(date=date)),
+        F.when(head["leads"], strip(head["rules"])).otherwise(""),
+        F.lit(END_OF_TURN),
+        F.when(head["leads"], "").otherwise(head["first"]),
+        head["rest"],
+        F.array_join(F.transform(F.slice("p", 2, 2**31 - 2), lambda p: F.concat(p["first"], p["rest"])), ""),
+        F.lit(ASSISTANT_MARK + "\n\n" if generation_prompt else ""),
     )
-    parts = opening.unionByName(said)
-    if generation_prompt:
-        parts = parts.unionByName(
-            turns.groupBy("conv_id")
-            .agg(F.max("turn").alias("turn"))
-            .select(
-                "conv_id",
-                "turn",
-                F.lit(2).alias("place"),
-                F.lit(False).alias("replaces"),
-                F.lit(ASSISTANT_MARK + "\n\n").alias("body"),
-            )
-        )
-    ordered = F.array_sort(F.collect_list(F.struct("turn", "place", "replaces", "body")))
-    grouped = parts.groupBy("conv_id", F.floor(F.col("turn") / segment_turns).alias("segment")).agg(ordered.alias("p"))
-    # where the opening took over the first message, that message is the entry after it
-    kept = F.filter("p", lambda e, i: ~((i == 1) & F.col("p")[0]["replaces"]))
-    return grouped.select("conv_id", "segment", F.array_join(F.transform(kept, lambda e: e["body"]), "").alias("text"))
+    return whole.select("conv_id", text.alias("text"))
 
 
 def evaluation_prompt(df: DataFrame, template: str = CHAT, system: str = SYSTEM) -> DataFrame:

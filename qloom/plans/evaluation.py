@@ -9,7 +9,6 @@ from qloom.operators.bleu import bleu4
 from qloom.plans.part_corpus import PARTS, SETTINGS, part_corpus, sql_case, sql_template
 from qloom.plans.prompts import PAIRS, SQL_WORDS, pairs
 from qloom.plans.registry import query
-from qloom.session import spread
 from qloom.sources.tables import scan
 
 PREDICTIONS = PAIRS + r""",
@@ -26,7 +25,7 @@ PREDICTIONS = PAIRS + r""",
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Two labels: answers in another case and spacing, and answers of which every third is cut."""
-    answers = spread(pairs(spark, sf).select("row_id", F.col("answer").alias("reference")), "row_id")
+    answers = pairs(spark, sf).select("row_id", F.col("answer").alias("reference"))
     said = F.col("reference")
     parts = F.split(said, " ")
     half = F.array_join(F.slice(parts, F.lit(1), F.floor(F.size(parts) / 2).cast("int")), " ")
@@ -113,7 +112,7 @@ LATENCY = """
 """
 REPORT = """
     report AS (
-      SELECT label, n_samples, exact_match_accuracy, round(bleu4, 6) AS bleu4, avg_latency_ms, p50_latency_ms, p95_latency_ms
+      SELECT label, n_samples, CAST(0 AS BIGINT) AS n_skipped, exact_match_accuracy, round(bleu4, 6) AS bleu4, avg_latency_ms, p50_latency_ms, p95_latency_ms
       FROM exact JOIN bleu USING (label) JOIN latency USING (label))
 """
 
@@ -133,6 +132,40 @@ def eval_report(spark: SparkSession, sf: str) -> DataFrame:
     return evaluation.report(predictions(spark, sf)).withColumn("bleu4", F.round("bleu4", 6))
 
 
+GAPS = PREDICTIONS.replace("predictions AS", "complete AS") + """,
+    gaps AS (
+      SELECT row_id, CASE WHEN row_id % 5 = 0 THEN '(none)' WHEN row_id % 7 = 0 THEN 'unscored' ELSE label END AS label,
+             CASE WHEN row_id % 11 = 0 THEN '' ELSE generated END AS generated,
+             CASE WHEN row_id % 5 > 0 AND row_id % 7 = 0 OR row_id % 13 = 0 THEN NULL ELSE reference END AS reference,
+             latency_ms
+      FROM complete),
+    predictions AS (SELECT * REPLACE (row_number() OVER () AS row_id) FROM gaps WHERE reference IS NOT NULL)
+"""
+
+
+@query(
+    "eval_report_gaps",
+    f"""
+    WITH {GAPS}, {EXACT}, {BLEU}, {LATENCY.replace("FROM predictions", "FROM gaps")}
+    SELECT nullif(latency.label, '(none)') AS label, coalesce(n_samples, 0) AS n_samples, n - coalesce(n_samples, 0) AS n_skipped,
+           exact_match_accuracy, round(bleu4, 6) AS bleu4, avg_latency_ms, p50_latency_ms, p95_latency_ms
+    FROM latency JOIN (SELECT label, count(*) AS n FROM gaps GROUP BY label) USING (label)
+         LEFT JOIN exact USING (label) LEFT JOIN bleu USING (label)
+    """,
+)
+def eval_report_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """The report over rows some of which lack a label, a reference or an answer."""
+    row = F.col("row_id")
+    gaps = predictions(spark, sf).withColumns(
+        {
+            "label": F.when(row % 5 == 0, F.lit(None)).when(row % 7 == 0, "unscored").otherwise(F.col("label")),
+            "generated": F.when(row % 11 > 0, F.col("generated")),
+            "reference": F.when(~(((row % 5 > 0) & (row % 7 == 0)) | (row % 13 == 0)), F.col("reference")),
+        }
+    )
+    return evaluation.report(gaps).withColumn("bleu4", F.round("bleu4", 6))
+
+
 @query(
     "eval_delta",
     f"""
@@ -200,7 +233,7 @@ def statement_scores(spark: SparkSession, sf: str) -> DataFrame:
     "eval_report_statements",
     f"""
     WITH {STATEMENTS}, {EXACT}, {BLEU}, {LATENCY}
-    SELECT label, n_samples, exact_match_accuracy, resolvability_rate, round(bleu4, 6) AS bleu4, avg_latency_ms,
+    SELECT label, n_samples, CAST(0 AS BIGINT) AS n_skipped, exact_match_accuracy, resolvability_rate, round(bleu4, 6) AS bleu4, avg_latency_ms,
            p50_latency_ms, p95_latency_ms
     FROM exact JOIN bleu USING (label) JOIN latency USING (label) JOIN resolved USING (label)
     """,

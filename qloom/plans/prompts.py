@@ -14,7 +14,7 @@ CAP = 100
 
 PAIRS = f"""
     pairs AS (
-      SELECT a.conv_id * 1000 + a.turn AS row_id, '{DDL}' AS ddl, a.text AS question, b.text AS answer
+      SELECT a.conv_id * 4294967296 + a.turn AS row_id, '{DDL}' AS ddl, a.text AS question, b.text AS answer
       FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1
       WHERE a.role = 'user' AND b.role = 'assistant')
 """
@@ -170,7 +170,7 @@ OPENING = (
                        || {sql_strip("text")} || '<|eot_id|>' END AS body,
              {sql_strip("text")} AS said
       FROM conversations c JOIN firsts f ON c.conv_id = f.conv_id)
-    SELECT conv_id, CAST(0 AS BIGINT) AS segment,
+    SELECT conv_id,
            {sql_text(OPENING)} || coalesce(max(said) FILTER (WHERE leads), '') || '<|eot_id|>'
              || string_agg(body, '' ORDER BY turn)
              || '<|start_header_id|>assistant<|end_header_id|>' || chr(10) || chr(10) AS text

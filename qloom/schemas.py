@@ -38,6 +38,6 @@ METRIC_LOG = "run_id string, ts timestamp, key string, value double, step long"
 SERVING_LOG = "ts timestamp, model_version string, sql string, execution_time_ms double, tokens_generated int"
 
 REPORT = (
-    "label string, n_samples long, exact_match_accuracy double, bleu4 double, avg_latency_ms double, "
+    "label string, n_samples long, n_skipped long, exact_match_accuracy double, bleu4 double, avg_latency_ms double, "
     "p50_latency_ms double, p95_latency_ms double"
 )

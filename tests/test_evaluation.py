@@ -132,3 +132,19 @@ def test_no_stop_word_is_lost_in_patterns():
 
     kept = {c for c in map(chr, range(33, 127)) if not c.isalnum() and not re.fullmatch(SPLITS[0][0], c)}
     assert kept == set(".,-'")
+
+
+def test_report_keeps_missing_labels_and_rows_without_reference(spark):
+    rows = [(1, None, "a b", "a b", 1.0), (2, "x", None, "a", 2.0), (3, "x", "a", "A", 4.0), (4, "y", "q", None, 3.0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r.label: r for r in evaluation.report(df).collect()}
+    assert set(got) == {None, "x", "y"}
+    assert (got[None].n_samples, got["x"].n_samples, got["y"].n_samples, got["y"].n_skipped) == (1, 2, 0, 1)
+    assert got["y"].bleu4 is None and got["y"].exact_match_accuracy is None and got["y"].p50_latency_ms == 3.0
+    matches = {r.label: r.exact_match_accuracy for r in evaluation.exact_match(df).collect()}
+    assert matches == {k: r.exact_match_accuracy for k, r in got.items()} == {None: 1.0, "x": 0.5, "y": None}
+
+
+def test_latency_without_groups(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(10)], "ms double")
+    assert tuple(evaluation.latency(df, [], "ms").first()) == (10, 4.5, 5.0, 9.0)

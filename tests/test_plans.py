@@ -45,10 +45,15 @@ def test_row_local_jobs_add_no_shuffle(spark, sf_dir, name):
 
 
 def test_ngrams_are_not_shuffled(spark, sf_dir):
-    """Above the step that spreads the texts, only the counts per label are exchanged."""
+    """Above the join that pairs the turns, only the counts per label are exchanged."""
     text = plan(QUERIES["bleu4"](spark, sf_dir))
-    above = text[: text.index("REPARTITION_BY_NUM")]
-    assert above.count("Exchange hashpartitioning(label") == 1 and above.count("Exchange") == 2
+    above = text[: text.index("Join")]
+    assert above.count("Exchange hashpartitioning(label") == 1 and above.count("Exchange") == 1
+
+
+def test_report_reads_its_rows_once_per_use(spark, sf_dir):
+    text = plan(QUERIES["eval_report"](spark, sf_dir))
+    assert text.count("Checkpoint") == 0 and "LogicalRDD" not in text and "Scan ExistingRDD" not in text
 
 
 def test_sources_hold_no_local_checkpoint():

@@ -51,7 +51,7 @@ TURNS = [
 def render(spark, **options):
     df = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string").repartition(3)
     out = {}
-    for r in prompts.render_conversations(df, **options).orderBy("conv_id", "segment").collect():
+    for r in prompts.render_conversations(df, **options).collect():
         out.setdefault(r.conv_id, []).append(r.text)
     return out
 
@@ -64,23 +64,36 @@ def test_render_conversations(spark):
     assert got[2] == [head + "<|eot_id|>" + said("user", "only")]
 
 
-def test_segments_join_to_the_whole(spark):
+def test_parts_do_not_show(spark):
     whole = render(spark, generation_prompt=True)
-    parts = render(spark, generation_prompt=True, segment_turns=2)
-    assert len(parts[1]) == 2
-    assert {k: ["".join(v)] for k, v in parts.items()} == whole
+    assert render(spark, generation_prompt=True, part_turns=2) == whole
     assert whole[2][0].endswith("<|start_header_id|>assistant<|end_header_id|>\n\n")
 
 
+def test_long_conversations_are_one_row(spark):
+    df = spark.range(25_000).selectExpr("1L AS conv_id", "id AS turn", "'user' AS role", "cast(id AS string) AS text")
+    (row,) = prompts.render_conversations(df.repartition(5)).collect()
+    said = "".join(f"<|start_header_id|>user<|end_header_id|>\n\n{i}<|eot_id|>" for i in range(25_000))
+    assert row.text.endswith(said)
+
+
+def test_shared_turns_and_missing_texts(spark):
+    rows = [(1, 0, "user", "b"), (1, 0, "system", "rules"), (1, 0, "user", "a"), (1, 1, "user", None), (1, 2, None, "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    (row,) = prompts.render_conversations(df).collect()
+    said = lambda role, text: f"<|start_header_id|>{role}<|end_header_id|>\n\n{text}<|eot_id|>"
+    assert row.text.endswith("rules<|eot_id|>" + said("user", "a") + said("user", "b") + said("user", "") + said("", "x"))
+
+
 def test_pairs_of_conversations(spark):
     df = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string")
-    assert [tuple(r) for r in pairs_of_conversations(df, "D").collect()] == [(1001, "D", "hi\n", "yes")]
+    assert [tuple(r) for r in pairs_of_conversations(df, "D").collect()] == [((1 << 32) + 1, "D", "hi\n", "yes")]
 
 
 def test_lengths(spark):
     df = spark.createDataFrame([("a", "x  y\tz"), ("a", ""), ("a", "w " * 300), ("b", None)], "g string, t string")
     counts = [r.n_tokens for r in lengths.token_count(df, "t").collect()]
-    assert counts == [3, 0, 300, None] or counts == [3, 0, 300, -1]
+    assert counts == [3, 0, 300, None]
     got = {(r.g, r.from_tokens): (r.n_texts, r.over_2) for r in lengths.length_profile(df, "t", ["g"], limits=[2]).where("g = 'a'").collect()}
     assert got == {("a", 0): (2, 1), ("a", 256): (1, 1)}
 

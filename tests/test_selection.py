@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from qloom.operators import selection
 
@@ -68,6 +69,45 @@ def test_first_n_over_all_of_64_bits(spark, monkeypatch):
         assert got == sorted(ids)[:n]
 
 
+def test_equal_and_null_keys_give_exactly_n_rows(spark, path):
+    same = spark.createDataFrame([(7, k % 3) for k in range(20)], "id long, x int").repartition(4)
+    for take in (selection.first_n, selection.sample):
+        got = sorted(r.x for r in take(same, "id", 5).collect())
+        assert len(got) == 5 and len(take(same, "id", 20).collect()) == len(take(same, "id", 30).collect()) == 20
+    some = spark.createDataFrame([(i, 0) for i in [None] * 5 + list(range(10))], "id long, x int").repartition(4)
+    got = [r.id for r in selection.first_n(some, "id", 12).collect()]
+    assert sorted(i for i in got if i is not None) == list(range(10)) and got.count(None) == 2
+    assert selection.sample(some, "id", 12).count() == 12 and selection.sample(some, "id", 0).count() == 0
+
+
+def test_both_ways_take_the_same_rows(spark, monkeypatch):
+    df = spark.createDataFrame([(k // 4, k) for k in range(200)], "id long, x int").repartition(3)
+    ways = []
+    for small in (10_000, -1):
+        monkeypatch.setattr(selection, "SMALL", small)
+        ways.append([{r.x for r in take(df, "id", n).collect()} for take in (selection.first_n, selection.sample) for n in (1, 50, 101)])
+    assert ways[0] == ways[1]
+
+
+@pytest.mark.parametrize("kind", ["int", "long", "float", "double", "decimal(9,3)", "date", "timestamp"])
+def test_percentiles_of_all_number_types(spark, kind):
+    rnd = random.Random(2)
+    df = spark.createDataFrame([(rnd.randrange(-9000, 9000) / 7,) for _ in range(301)] + [(-0.0,), (0.0,)], "v double")
+    text = {"date": "date_add(date'2000-01-01', cast(v as int))", "timestamp": "timestamp_micros(cast(v * 1e9 as long))"}
+    df = df.selectExpr(f"{text.get(kind, f'cast(v as {kind})')} AS v").repartition(3)
+    values = sorted(r.v for r in df.collect())
+    got = selection.rank_percentiles(df, [], "v", {"a": 0.0, "b": 0.31, "c": 0.99}).first()
+    assert tuple(got) == tuple(values[int(len(values) * q)] for q in (0.0, 0.31, 0.99))
+
+
+def test_nothing_runs_before_the_result_is_asked_for(spark):
+    df = spark.range(10).select(F.col("id"), F.raise_error(F.lit("ran")).cast("double").alias("v"))
+    selection.rank_percentiles(df, ["id"], "v", {"a": 0.5})
+    selection.split(df, "id")
+    selection.held_out_sample(df, "id", 3)
+    selection.first_n(df, "id", 10**6)
+
+
 def test_sample_does_not_depend_on_partitions(spark, path):
     df = spark.range(500)
     a = {r.id for r in selection.sample(df.repartition(3), "id", 40).collect()}
