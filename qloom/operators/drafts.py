@@ -12,6 +12,7 @@ from qloom.functions.ddl import any_of, first, last
 from qloom.functions.stages import settled
 from qloom.operators import catalog
 from qloom.operators.features import (
+    ANTI_PHRASES,
     SPEND_TABLES,
     group_column,
     measure_column,
@@ -178,12 +179,22 @@ def _anti(df: DataFrame) -> DataFrame:
     bridge = lambda t: ~negative(t) & order(t)
     positive = lambda t: ~negative(t) & ~bridge(t) & any_of(t["key"], POSITIVE_WORDS)
     tables = F.col("involved")
-    df = df.withColumns(
-        {
-            "_who": F.coalesce(last(F.filter(tables, positive)), first(tables)),
-            "_via": last(F.filter(tables, bridge)),
-        }
+    # the entity stands before the "never": "teams that never won a game" lists teams
+    lead = F.regexp_extract("said", "^(.*?)(?:" + "|".join(ANTI_PHRASES) + ")", 1)
+    before = lambda t: F.regexp_like(
+        lead, F.concat(F.lit(r"\b"), F.regexp_replace(t["key"], "s+$", ""), F.lit(r"s*\b"))
+    )
+    entity = lambda t: ~negative(t) & before(t)
+    df = df.withColumn(
+        "_who",
+        F.coalesce(
+            first(F.filter(tables, lambda t: entity(t) & ~bridge(t))),
+            last(F.filter(tables, positive)),
+            first(F.filter(tables, entity)),
+            first(tables),
+        ),
     )
+    df = df.withColumn("_via", last(F.filter(tables, lambda t: bridge(t) & (t["key"] != F.col("_who.key")))))
     others = F.filter(tables, lambda t: t["key"] != F.col("_who.key"))
     df = df.withColumn("_not", F.coalesce(last(F.filter(tables, negative)), last(others)))
     who, via, ruled_out = F.col("_who"), F.col("_via"), F.col("_not")
@@ -203,7 +214,8 @@ def _anti(df: DataFrame) -> DataFrame:
     columns = F.when(shown != "", shown).otherwise(_text(who["name"], ".*"))
 
     def ruled(key: Column, negatives: Column) -> Column:
-        return _text(_qualified(who, F.coalesce(who["id_col"], key["left"])), " NOT IN (", negatives, ")")
+        # the same key on both sides, which need not be the entity's own id
+        return _text(_qualified(who, key["left"]), " NOT IN (", negatives, ")")
 
     through = _text(
         "SELECT ",
@@ -294,13 +306,14 @@ def _spend(df: DataFrame, names: tuple[str, str, str]) -> DataFrame:
 
 
 def _tie(primary: Column) -> Column:
-    """Second sort key: the column and direction the question asks for, on the entity it lists."""
+    """Second sort key: the column and direction the question asks for, on the entity it lists; its id needs no direction."""
     asked = F.filter(
         F.array_compact(F.array(primary["name_col"], primary["id_col"])), lambda n: F.lower(n) == F.col("tie_col")
     )
     col = F.coalesce(first(asked), primary["id_col"])
     stated = _text(", ", _qualified(primary, col), " ", F.upper(F.col("tie_dir")))
-    return F.coalesce(F.when(F.col("tie_col").isNotNull(), stated), F.lit(""))
+    by_id = F.when(F.col("tie_col") == F.lower(primary["id_col"]), _text(", ", _qualified(primary, primary["id_col"]), " ASC"))
+    return F.coalesce(F.when(F.col("tie_col").isNotNull(), stated), by_id, F.lit(""))
 
 
 def _with_paths(df: DataFrame) -> DataFrame:

@@ -112,3 +112,18 @@ def test_total(spark, tables, answers, sf_dir):
     con = oracle.connect(sf_dir)
     want = con.execute("SELECT o_orderstatus, count(*) FROM orders WHERE year(o_orderdate) = 1998 GROUP BY 1").fetchall()
     assert rows(spark.sql(answers["total"])) == sorted((STATUS[s], n) for s, n in want)
+
+
+def test_never_names_the_right_entities(spark):
+    """Key and id differ, and the entity is the one before the "never"."""
+    from qloom.operators import drafts
+
+    ddl = """CREATE TABLE clubs (club_id INT PRIMARY KEY, club_name TEXT);
+        CREATE TABLE members (member_id INT PRIMARY KEY, nickname TEXT, club_id INT REFERENCES clubs(club_id));"""
+    asked = {1: "clubs that never had members", 2: "members that never had clubs"}
+    corpus = spark.createDataFrame([(i, ddl, q) for i, q in asked.items()], "row_id long, ddl string, question string")
+    sql = {r.row_id: r.sql for r in drafts.draft_sql(corpus).collect()}
+    spark.createDataFrame([(1, "red"), (2, "blue"), (30, "green")], "club_id int, club_name string").createOrReplaceTempView("clubs")
+    spark.createDataFrame([(30, "ann", 1), (31, "bo", 2), (1, "cy", 99)], "member_id int, nickname string, club_id int").createOrReplaceTempView("members")
+    assert [tuple(r) for r in spark.sql(sql[1]).collect()] == [(30, "green")]
+    assert [tuple(r) for r in spark.sql(sql[2]).collect()] == [(1, "cy")]

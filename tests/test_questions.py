@@ -14,16 +14,15 @@ LABS = "CREATE TABLE samples (code INT, weight INT)"
 TICKETS = "CREATE TABLE tickets (ticket_id INT PRIMARY KEY, subject TEXT, priority TEXT)"
 TEAMS = """CREATE TABLE squads (squad_id INT PRIMARY KEY, squad_name TEXT, dept TEXT);
     CREATE TABLE players (player_id INT PRIMARY KEY, nickname TEXT, squad_id INT REFERENCES squads(squad_id), score INT, joined DATE);"""
-SHOP = """CREATE TABLE customers (customer_id INT PRIMARY KEY, name TEXT, country TEXT, since DATE);
-    CREATE TABLE categories (category_id INT PRIMARY KEY, category_name TEXT);
-    CREATE TABLE products (product_id INT PRIMARY KEY, product_name TEXT, category_id INT REFERENCES categories(category_id),
-        price DECIMAL(10,2));
-    CREATE TABLE orders (order_id INT PRIMARY KEY, customer_id INT, order_date DATE, status TEXT,
+SHOP = """CREATE TABLE customers (customer_id INT PRIMARY KEY, name TEXT, town TEXT, since DATE);
+    CREATE TABLE makers (maker_id INT PRIMARY KEY, maker_label TEXT, founded DATE);
+    CREATE TABLE lamps (lamp_id INT PRIMARY KEY, lamp_title TEXT, maker_id INT REFERENCES makers(maker_id), watts INT);
+    CREATE TABLE orders (order_id INT PRIMARY KEY, customer_id INT, order_date DATE, status TEXT, courier TEXT,
         FOREIGN KEY (customer_id) REFERENCES customers(customer_id));
-    CREATE TABLE order_items (order_id INT REFERENCES orders(order_id), product_id INT REFERENCES products(product_id),
-        quantity INT, unit_price DECIMAL(10,2), discount_percent DECIMAL(5,2), PRIMARY KEY (order_id, product_id));
-    CREATE TABLE payments (payment_id INT PRIMARY KEY, order_id INT REFERENCES orders(order_id), paid_on DATE, amount DECIMAL(12,2));
-    CREATE TABLE returns (return_id INT PRIMARY KEY, order_id INT REFERENCES orders(order_id), back_on DATE, reason TEXT);"""
+    CREATE TABLE order_items (order_id INT REFERENCES orders(order_id), lamp_id INT REFERENCES lamps(lamp_id),
+        quantity INT, unit_price DECIMAL(10,2), discount_percent DECIMAL(5,2), PRIMARY KEY (order_id, lamp_id));
+    CREATE TABLE repairs (repair_id INT PRIMARY KEY, lamp_id INT REFERENCES lamps(lamp_id), mended_on DATE, cost DECIMAL(12,2));
+    CREATE TABLE returns (return_id INT PRIMARY KEY, order_id INT REFERENCES orders(order_id), back_on DATE, fault TEXT);"""
 CHAIN = """CREATE TABLE regions (region_id INT PRIMARY KEY, region_name TEXT, area TEXT);
     CREATE TABLE towns (town_id INT PRIMARY KEY, region_id INT REFERENCES regions(region_id), mayor TEXT);
     CREATE TABLE shops (shop_id INT PRIMARY KEY, town_id INT REFERENCES towns(town_id), revenue DECIMAL(10,2));"""
@@ -71,14 +70,19 @@ CASES = [
     (GAMES, "top 3 players by total points in games of 2020",
      "SELECT players.player_id, players.nickname, SUM(games.points) AS sum_points FROM players JOIN games ON players.player_id = games.player_id WHERE year(games.played) = 2020 GROUP BY players.player_id, players.nickname ORDER BY sum_points DESC LIMIT 3"),
     # spend among seven tables
-    (SHOP, "top 5 customers by total spend in 2024, completed orders only, discounts applied, with the number of distinct orders. Customers with the same spend are ordered by name",
+    (SHOP, "Which top 5 customers had the largest total spend on completed orders of 2024 once discounts are off? Give the number of distinct orders; equal spend is ranked by town",
      "SELECT customers.customer_id, customers.name, SUM(order_items.quantity * order_items.unit_price * (1 - order_items.discount_percent / 100.0)) AS total_spend, COUNT(DISTINCT orders.order_id) AS distinct_orders FROM customers JOIN orders ON customers.customer_id = orders.customer_id JOIN order_items ON orders.order_id = order_items.order_id WHERE year(orders.order_date) = 2024 AND orders.status = 'completed' GROUP BY customers.customer_id, customers.name ORDER BY total_spend DESC LIMIT 5"),
+    (SHOP, "total spent by customers on orders, ties broken by customer_id",
+     "SELECT customers.customer_id, customers.name, SUM(order_items.quantity * order_items.unit_price) AS total_spend FROM customers JOIN orders ON customers.customer_id = orders.customer_id JOIN order_items ON orders.order_id = order_items.order_id GROUP BY customers.customer_id, customers.name ORDER BY total_spend DESC, customers.customer_id ASC"),
+    (SHOP, "total spent by customers on orders; sort ties by name ascending",
+     "SELECT customers.customer_id, customers.name, SUM(order_items.quantity * order_items.unit_price) AS total_spend FROM customers JOIN orders ON customers.customer_id = orders.customer_id JOIN order_items ON orders.order_id = order_items.order_id GROUP BY customers.customer_id, customers.name ORDER BY total_spend DESC, customers.name ASC"),
     (SHOP, "total spent by customers on orders; the same amount should be sorted by name desc",
      "SELECT customers.customer_id, customers.name, SUM(order_items.quantity * order_items.unit_price) AS total_spend FROM customers JOIN orders ON customers.customer_id = orders.customer_id JOIN order_items ON orders.order_id = order_items.order_id GROUP BY customers.customer_id, customers.name ORDER BY total_spend DESC, customers.name DESC"),
     # "never" questions
     (SHOP, "customers with pending orders in 2023 who never returned anything",
      "SELECT customers.customer_id, customers.name FROM customers JOIN orders ON customers.customer_id = orders.customer_id WHERE year(orders.order_date) = 2023 AND orders.status = 'pending' AND customers.customer_id NOT IN (SELECT orders.customer_id FROM orders JOIN returns ON orders.order_id = returns.order_id WHERE year(orders.order_date) = 2023 AND orders.status = 'pending')"),
-    (TEAMS, "squads that never had players", "SELECT players.player_id, players.nickname FROM players WHERE players.player_id NOT IN (SELECT squads.squad_id FROM squads)"),
+    (TEAMS, "squads that never had players", "SELECT squads.squad_id, squads.squad_name FROM squads WHERE squads.squad_id NOT IN (SELECT players.squad_id FROM players)"),
+    (TEAMS, "players that never had squads", "SELECT players.player_id, players.nickname FROM players WHERE players.squad_id NOT IN (SELECT squads.squad_id FROM squads)"),
     # tables without any key between them
     (APART, "total price of pens and cups", None),
 ]
