@@ -53,13 +53,18 @@ def best_checkpoint(metrics: DataFrame, key: str = "eval_loss") -> DataFrame:
     )
 
 
-def retain_last_k(checkpoints: DataFrame, k: int = 2, by: Sequence[str] = ("run_id",)) -> DataFrame:
-    """The last ``k`` steps of every run.
+def retain_last_k(
+    checkpoints: DataFrame, k: int = 2, by: Sequence[str] = ("run_id",), best: DataFrame | None = None
+) -> DataFrame:
+    """The last ``k`` distinct steps of every run, and the ``best`` ones (run, step) beside them.
 
-    The rank is compared with a constant, so every map task passes on at most ``k`` rows per run.
+    A log has many rows per step, so steps are made distinct first. The rank is compared with a constant, so every
+    task passes on at most ``k`` rows per run.
     """
+    steps = checkpoints.select(*by, "step").where(F.col("step").isNotNull()).distinct()
     newest_first = Window.partitionBy(*by).orderBy(F.col("step").desc())
-    return checkpoints.withColumn("_place", F.row_number().over(newest_first)).where(F.col("_place") <= k).drop("_place")
+    kept = steps.withColumn("_place", F.row_number().over(newest_first)).where(F.col("_place") <= k).drop("_place")
+    return kept if best is None else kept.unionByName(best.select(*by, "step")).distinct()
 
 
 def serving_log(requests: DataFrame, sql: str = "sql", elapsed_ms: str = "elapsed_ms") -> DataFrame:

@@ -9,6 +9,8 @@ from qloom.operators.bleu import bleu4
 from qloom.plans.part_corpus import PARTS, SETTINGS, part_corpus, sql_case, sql_template
 from qloom.plans.prompts import PAIRS, SQL_WORDS, pairs
 from qloom.plans.registry import query
+from qloom.session import work_folder
+from qloom.sources.logs import write_report
 from qloom.sources.tables import scan
 
 PREDICTIONS = PAIRS + r""",
@@ -132,6 +134,15 @@ def eval_report(spark: SparkSession, sf: str) -> DataFrame:
     return evaluation.report(predictions(spark, sf)).withColumn("bleu4", F.round("bleu4", 6))
 
 
+@query("report_file", f"WITH {PREDICTIONS}, {EXACT}, {BLEU}, {LATENCY}, {REPORT} SELECT * FROM report")
+def report_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The report written as JSON lines to the shared folder and read back."""
+    path = f"{work_folder(spark, 'report')}/report"
+    scores = eval_report(spark, sf)
+    write_report(scores, path)
+    return spark.read.schema(scores.schema).json(path)
+
+
 GAPS = PREDICTIONS.replace("predictions AS", "complete AS") + """,
     gaps AS (
       SELECT row_id, CASE WHEN row_id % 5 = 0 THEN '(none)' WHEN row_id % 7 = 0 THEN 'unscored' ELSE label END AS label,

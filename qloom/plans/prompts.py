@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from qloom.operators import lengths, prompts, selection
 from qloom.plans.registry import query
-from qloom.sources.corpus import pairs_of_conversations
+from qloom.session import work_folder
+from qloom.sources.corpus import pairs_of_conversations, read_corpus
 from qloom.sources.tables import scan
 
 DDL = "  CREATE TABLE turns (conv_id BIGINT, turn INT, said TEXT);\n"
@@ -54,6 +55,14 @@ def corpus_scan(spark: SparkSession, sf: str) -> DataFrame:
     return pairs(spark, sf).select("row_id", "ddl", "question", "answer")
 
 
+@query("corpus_file", f"WITH {PAIRS} SELECT row_id, ddl, question, answer FROM pairs")
+def corpus_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The corpus written to the shared folder and loaded with its fixed layout."""
+    path = f"{work_folder(spark, 'corpus')}/corpus"
+    corpus_scan(spark, sf).write.parquet(path)
+    return read_corpus(spark, path)
+
+
 @query("corpus_cap", f"WITH {PAIRS} SELECT row_id, question FROM pairs ORDER BY row_id LIMIT {CAP}")
 def corpus_cap(spark: SparkSession, sf: str) -> DataFrame:
     return selection.first_n(pairs(spark, sf).select("row_id", "question"), "row_id", CAP)

@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from qloom.operators import telemetry
 from qloom.plans.registry import query
 from qloom.session import work_folder
+from qloom.sources.logs import append_metrics, read_metrics
 from qloom.sources.tables import scan
-from qloom.streaming.metrics import latest_stream, metric_stream, read_latest
+from qloom.streaming.metrics import compact_latest, latest_stream, read_latest, table_stream
 
 
 def as_metrics(events: DataFrame) -> DataFrame:
@@ -126,8 +127,56 @@ def serving_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("metric_stream_latest", LATEST)
 def metric_stream_latest(spark: SparkSession, sf: str) -> DataFrame:
-    schema = scan(spark, sf, "events").schema
-    stream = as_metrics(metric_stream(spark, sf, schema, "events.parquet"))
+    stream = as_metrics(table_stream(spark, f"{sf.rstrip('/')}/events.parquet"))
     folder = work_folder(spark, "metric-latest")
     latest_stream(stream, f"{folder}/table", f"{folder}/checkpoint").awaitTermination()
+    compact_latest(spark, f"{folder}/table")
     return read_latest(spark, f"{folder}/table")
+
+
+@query("metric_log", LATEST)
+def metric_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Metric rows appended to a shared log in two parts, and read back."""
+    rows = as_metrics(scan(spark, sf, "events"))
+    # one run per event type, as a run has a folder of its own
+    log = rows.select(F.col("key").alias("run_id"), "ts", F.col("run_id").alias("key"), "value", "step")
+    folder = f"{work_folder(spark, 'metric-log')}/log"
+    append_metrics(log.where("step % 2 = 0"), folder)
+    append_metrics(log.where("step % 2 = 1"), folder)
+    back = read_metrics(spark, folder)
+    swapped = back.select(F.col("key").alias("run_id"), "ts", F.col("run_id").alias("key"), "value", "step")
+    return telemetry.metric_latest(swapped)
+
+
+@query(
+    "serving_log",
+    """
+    SELECT ts, event_type AS model_version, props AS sql, round(value, 2) AS execution_time_ms,
+           len(list_filter(string_split_regex(props, '\s+'), lambda w: w <> '')) AS tokens_generated
+    FROM events
+    """,
+)
+def serving_log(spark: SparkSession, sf: str) -> DataFrame:
+    requests = scan(spark, sf, "events").select(
+        "ts", F.col("event_type").alias("model_version"), F.col("props").alias("sql"), F.col("value").alias("elapsed_ms")
+    )
+    return telemetry.serving_log(requests).withColumn("tokens_generated", F.col("tokens_generated").cast("long"))
+
+
+@query(
+    "retain_last_and_best",
+    """
+    WITH steps AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS run_id, event_id // 10 AS step FROM events),
+    last AS (SELECT run_id, step FROM (
+      SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY step DESC) AS place FROM steps) WHERE place <= 2),
+    best AS (SELECT run_id, step FROM (
+      SELECT CAST(user_id AS VARCHAR) AS run_id, event_id // 10 AS step,
+             row_number() OVER (PARTITION BY user_id ORDER BY value, event_id // 10) AS place
+      FROM events WHERE event_type = 'error') WHERE place = 1)
+    SELECT run_id, step FROM last UNION SELECT run_id, step FROM best
+    """,
+)
+def retain_last_and_best(spark: SparkSession, sf: str) -> DataFrame:
+    """Ten events a step: the last two steps of a run, and its best one."""
+    logged = as_metrics(scan(spark, sf, "events")).withColumn("step", F.expr("step div 10"))
+    return telemetry.retain_last_k(logged, best=telemetry.best_checkpoint(logged, "error"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,6 +21,18 @@ def metric_stream(
     )
 
 
+def table_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+    """The files of a parquet table as a stream, whether the table is one file or a folder of part files."""
+    table = spark.read.parquet(path)
+    file = path.rstrip("/").rsplit("/", 1)[1]
+    single = any(f.rsplit("/", 1)[1] == file for f in table.inputFiles()[:1])
+    folder, pattern = (path.rstrip("/").rsplit("/", 1)[0], file) if single else (path, "*.parquet")
+    return metric_stream(spark, folder, table.schema, pattern, files_per_batch)
+
+
+LATEST = "run_id string, key string, step long, ts timestamp, value double"
+
+
 def latest_stream(metrics: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Keep the last value per run and key up to date in a table of changes at ``path``.
 
@@ -29,6 +42,8 @@ def latest_stream(metrics: DataFrame, path: str, checkpoint: str) -> StreamingQu
     """
     last = F.max(F.struct("step", "ts", "value")).alias("last")
     changed = metrics.groupBy("run_id", "key").agg(last).select("run_id", "key", "last.*")
+    # there is a table to read even where no batch has rows
+    metrics.sparkSession.createDataFrame([], LATEST).write.mode("overwrite").parquet(f"{path}/batch=-1")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # few files of even size, whatever the number of state partitions
@@ -43,6 +58,43 @@ def latest_stream(metrics: DataFrame, path: str, checkpoint: str) -> StreamingQu
     )
 
 
+def _states(spark: SparkSession, path: str) -> DataFrame | None:
+    """The compacted states beside a table of changes."""
+    try:
+        return spark.read.schema(LATEST + ", upto long").parquet(f"{path}-whole")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _rows(spark: SparkSession, path: str) -> DataFrame:
+    """The newest compacted state and the changes after it."""
+    changes = spark.read.schema(LATEST + ", batch long").parquet(path)
+    states = _states(spark, path)
+    if states is None:
+        return changes.drop("batch")
+    # a state without rows stands for no more than the changes before it
+    newest = states.agg(F.coalesce(F.max("upto"), F.lit(-1).cast("long"))).scalar()
+    state = states.where(F.col("upto") == newest).drop("upto")
+    return state.unionByName(changes.where(F.col("batch") > newest).drop("batch"))
+
+
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
     """Last value per run and key out of the table of changes."""
-    return metric_latest(spark.read.parquet(path).drop("batch"))
+    return metric_latest(_rows(spark, path))
+
+
+def compact_latest(spark: SparkSession, path: str) -> None:
+    """Merge the table of changes to one row per run and key, beside it, up to its newest batch.
+
+    Readers then take the merged state and the batches after it; older folders may go. A compaction without newer
+    batches does nothing, so it never writes to the state it reads.
+    """
+    last = spark.read.schema(LATEST + ", batch long").parquet(path).agg(F.max("batch")).first()[0]
+    states = _states(spark, path)
+    done = states.agg(F.max("upto")).first()[0] if states is not None else None
+    if last is not None and (done is None or done < last):
+        latest = F.max(F.struct("step", "ts", "value")).alias("last")
+        merged = _rows(spark, path).groupBy("run_id", "key").agg(latest).select("run_id", "key", "last.*")
+        merged.hint("rebalance").write.mode("overwrite").parquet(f"{path}-whole/upto={last}")

@@ -9,7 +9,7 @@ from qloom.operators import telemetry
 from qloom.schemas import METRIC_LOG
 from qloom.session import work_folder
 from qloom.sources.logs import append_metrics, read_metrics, write_report
-from qloom.streaming.metrics import latest_stream, metric_stream, read_latest
+from qloom.streaming.metrics import compact_latest, latest_stream, metric_stream, read_latest, table_stream
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -152,3 +152,48 @@ def test_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError):
         checkpoint_root(Session())
+
+
+def test_steps_are_distinct_and_the_best_stays(spark):
+    rows = [("a", s) for s in (10, 20, 20, 20, 5)] + [("b", 1), ("b", None)]
+    df = spark.createDataFrame(rows, "run_id string, step long")
+    assert sorted(map(tuple, telemetry.retain_last_k(df).collect())) == [("a", 10), ("a", 20), ("b", 1)]
+    best = spark.createDataFrame([("a", 5), ("b", 1)], "run_id string, step long")
+    assert sorted(map(tuple, telemetry.retain_last_k(df, best=best).collect())) == [("a", 5), ("a", 10), ("a", 20), ("b", 1)]
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_tables_of_one_file_and_of_many_stream_alike(spark, tmp_path, parts):
+    import os
+
+    rows = log(90)
+    folder = tmp_path / "t.parquet"
+    spark.createDataFrame(rows, METRIC_LOG).repartition(parts).write.parquet(str(folder))
+    path = str(folder)
+    if parts == 1:
+        (file,) = [f for f in os.listdir(folder) if f.endswith(".parquet")]
+        path = f"{folder}/{file}"
+    out = work_folder(spark, "table-stream")
+    latest_stream(table_stream(spark, path), f"{out}/table", f"{out}/state").awaitTermination()
+    assert as_dict(read_latest(spark, f"{out}/table")) == latest(rows)
+
+
+def test_no_input_and_compaction(spark, tmp_path):
+    rows = log(300)
+    folder, out = tmp_path / "in", work_folder(spark, "compacted")
+    folder.mkdir()
+
+    def run():
+        stream = metric_stream(spark, str(folder), METRIC_LOG)
+        latest_stream(stream, f"{out}/table", f"{out}/state").awaitTermination()
+
+    run()
+    compact_latest(spark, f"{out}/table")
+    assert read_latest(spark, f"{out}/table").count() == 0
+    for part in range(3):
+        chunk = rows[part * 100 : (part + 1) * 100]
+        spark.createDataFrame(chunk, METRIC_LOG).coalesce(1).write.mode("append").parquet(str(folder))
+        run()
+        for _ in range(part):
+            compact_latest(spark, f"{out}/table")
+        assert as_dict(read_latest(spark, f"{out}/table")) == latest(rows[: (part + 1) * 100])
