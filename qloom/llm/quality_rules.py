@@ -83,10 +83,15 @@ def measure(text: str | None) -> tuple[int, ...]:
 
 
 @F.pandas_udf(StructType([StructField(name, LongType()) for name in FEATURES]))
-def features(texts: pd.Series) -> pd.DataFrame:
+def _features(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([measure(x) for x in texts], columns=FEATURES, dtype="int64")
 
 
+def features(text: Column) -> Column:
+    # said to be nondeterministic, else a filter on it would have every text measured twice
+    return _features.asNondeterministic()(text)
+
+
 def base_failed(f: Column) -> Column:
     return (f.n_words < MIN_WORDS) | (100 * f.n_repeat_words > 30 * f.n_words)
 
