@@ -29,18 +29,41 @@ CATEGORY_WORDS = (
 )
 # End of fixed values.
 
-_NAME = r'["`\[]?(\w+)["`\]]?'
-_PREFIX = r'(?:["`\[]?\w+["`\]]?\s*\.\s*)*'
-_CREATE = rf"(?is)^\s*CREATE\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?{_PREFIX}{_NAME}\s*\((.*)\)"
-_STATEMENT_END = r"(?i);|(?=\bCREATE\s+TABLE\b)"
+# stands for a blank inside a quoted name
+_BLANK = "\u0002"
+_NAME = r'["`\[]?([\w\x02]+)["`\]]?'
+_PREFIX = r'(?:["`\[]?[\w\x02]+["`\]]?\s*\.\s*)*'
+_TABLE = r"CREATE\s+(?:OR\s+REPLACE\s+)?(?:(?:GLOBAL|LOCAL)\s+)?(?:(?:TEMP|TEMPORARY|EXTERNAL|UNLOGGED)\s+)?TABLE\b"
+_CREATE = rf"(?is)^\s*{_TABLE}\s*(?:IF\s+NOT\s+EXISTS\s+)?{_PREFIX}{_NAME}\s*\((.*)\)"
+_STATEMENT_END = rf"(?i);|(?=\b{_TABLE})"
 _NOISE = r"(?s)'[^']*'|--[^\n]*|/\*.*?\*/"
 _PRIMARY = r"(?i)^PRIMARY\s+KEY\s*\(([^)]+)\)"
 _TARGET = rf"REFERENCES\s+{_PREFIX}{_NAME}\s*\(\s*{_NAME}\s*\)"
-_FOREIGN = rf"(?i)^(?:CONSTRAINT\s+\w+\s+)?FOREIGN\s+KEY\s*\(\s*{_NAME}\s*\)\s*{_TARGET}"
+_FOREIGN = rf"(?i)^(?:CONSTRAINT\s+\S+\s+)?FOREIGN\s+KEY\s*\(([^)]+)\)\s*REFERENCES\s+{_PREFIX}{_NAME}\s*\(([^)]+)\)"
 _CLAUSE = r"(?i)^(?:(?:CONSTRAINT|CHECK|INDEX|UNIQUE|PRIMARY|FOREIGN)\b|KEY\s+\w+\s*\(\s*[\"`\[]?[a-z_])"
 _COLUMN = rf"(?is)^{_NAME}\s+(\w+)(?:\s*\(\s*(\d+)\s*(?:,\s*(\d+)\s*)?\))?"
 
 
+def _plain(name: Column) -> Column:
+    """A name as it is read, with its blanks."""
+    return F.translate(name, _BLANK, " ")
+
+
+def _listed(names: Column) -> Column:
+    """The names of a comma-separated list, without quotes."""
+    return F.transform(F.split(names, ","), lambda c: _plain(F.regexp_replace(c, r"[^\w\x02]", "")))
+
+
+def _blanks_marked(text: Column) -> Column:
+    """The text with the blanks of quoted names marked, so that a quoted name is one word."""
+    for quote in ('"', "`"):
+        parts = F.transform(
+            F.split(text, quote, -1), lambda p, i: F.when(i % 2 == 1, F.translate(p, " ", _BLANK)).otherwise(p)
+        )
+        text = F.array_join(parts, quote)
+    return F.regexp_replace(text, r"(?<=\[[^\[\]]{0,100}) (?=[^\[\]]*\])", _BLANK)
+
+
 def any_of(col: Column, words: tuple[str, ...]) -> Column:
     """Whether a text contains one of the given words."""
     return col.rlike("|".join(words))
@@ -115,14 +138,14 @@ def _columns(items: Column) -> Column:
     typed = F.transform(
         cut,
         lambda c: F.struct(
-            c["words"][0].alias("name"),
+            _plain(c["words"][0]).alias("name"),
             F.upper(c["words"][1]).alias("dtype"),
             # null first: a failed cast costs an exception per column
             F.nullif(c["words"][2], F.lit("")).try_cast("int").alias("precision"),
             F.nullif(c["words"][3], F.lit("")).try_cast("int").alias("scale"),
             c["is_pk"].alias("is_pk"),
-            F.nullif(F.regexp_extract(c["target"], f"(?i){_TARGET}", 1), F.lit("")).alias("fk_table"),
-            F.nullif(F.regexp_extract(c["target"], f"(?i){_TARGET}", 2), F.lit("")).alias("fk_column"),
+            _plain(F.nullif(F.regexp_extract(c["target"], f"(?i){_TARGET}", 1), F.lit(""))).alias("fk_table"),
+            _plain(F.nullif(F.regexp_extract(c["target"], f"(?i){_TARGET}", 2), F.lit(""))).alias("fk_column"),
         ),
     )
 
@@ -148,18 +171,22 @@ def _key_clauses(items: Column) -> tuple[Column, Column]:
     primary = F.flatten(
         F.transform(
             F.filter(items, lambda i: i.rlike(_PRIMARY)),
-            lambda i: F.transform(
-                F.split(F.regexp_extract(i, _PRIMARY, 1), ","), lambda c: F.lower(F.regexp_replace(c, r"\W", ""))
-            ),
+            lambda i: F.transform(_listed(F.regexp_extract(i, _PRIMARY, 1)), F.lower),
         )
     )
-    foreign = F.transform(
-        F.filter(items, lambda i: i.rlike(_FOREIGN)),
-        lambda i: F.struct(
-            F.lower(F.regexp_extract(i, _FOREIGN, 1)).alias("key"),
-            F.regexp_extract(i, _FOREIGN, 2).alias("fk_table"),
-            F.regexp_extract(i, _FOREIGN, 3).alias("fk_column"),
-        ),
+    foreign = F.flatten(
+        F.transform(
+            F.filter(items, lambda i: i.rlike(_FOREIGN)),
+            lambda i: F.zip_with(
+                _listed(F.regexp_extract(i, _FOREIGN, 1)),
+                _listed(F.regexp_extract(i, _FOREIGN, 3)),
+                lambda own, theirs: F.struct(
+                    F.lower(own).alias("key"),
+                    _plain(F.regexp_extract(i, _FOREIGN, 2)).alias("fk_table"),
+                    theirs.alias("fk_column"),
+                ),
+            ),
+        )
     )
     return primary, foreign
 
@@ -218,7 +245,8 @@ def with_tables(df: DataFrame, ddl: str = "ddl") -> DataFrame:
     A table defined twice keeps its first place and its last definition.
     """
     statements = F.filter(
-        F.split(F.regexp_replace(F.coalesce(ddl, F.lit("")), _NOISE, " "), _STATEMENT_END), lambda s: s.rlike(_CREATE)
+        F.split(_blanks_marked(F.regexp_replace(F.coalesce(ddl, F.lit("")), _NOISE, " ")), _STATEMENT_END),
+        lambda s: s.rlike(_CREATE),
     )
     trimmed = lambda i: F.regexp_replace(i, r"^\s+|\s+$", "")
     raw = F.transform(
@@ -232,8 +260,8 @@ def with_tables(df: DataFrame, ddl: str = "ddl") -> DataFrame:
     def clauses(t: Column) -> Column:
         primary, foreign = _key_clauses(t["items"])
         return F.struct(
-            t["name"].alias("name"),
-            F.lower(t["name"]).alias("key"),
+            _plain(t["name"]).alias("name"),
+            F.lower(_plain(t["name"])).alias("key"),
             primary.alias("primary"),
             foreign.alias("foreign"),
             _columns(t["items"]).alias("cols"),

@@ -26,14 +26,22 @@ _AFTER_SOURCES = (
 _SOURCES = rf"(?s)\b(?:from|join)\s+([^()]*?)(?=\b(?:{_AFTER_SOURCES})\b|[();]|$)"
 _SOURCE = r"^(?:\w+\.)*(\w+)(?:\s+(?:as\s+)?(\w+))?"
 _QUALIFIED = r"(?<![\w.])([a-z_]\w*)\.([a-z_]\w*)"
+# names that a WITH clause declares
+_DECLARED = r"(?:\bwith\s+(?:recursive\s+)?|\)\s*,\s*)([a-z_]\w*)\s*(?:\([^()]*\)\s*)?as\s+(?:(?:not\s+)?materialized\s+)?\("
+# an alias without AS: two words, or a bracket and a word, before a comma or FROM
+_SILENT_ALIAS = r"(\w+|\))\s+([a-z_]\w*)\s*(?=,|\bfrom\b)"
 _BARE = r"(?<![\w.])([a-z_]\w*)(?!\w)(?!\s*[(.])"
 
 
+def _keywords() -> Column:
+    return F.array(*map(F.lit, KEYWORDS))
+
+
 def with_unresolved(df: DataFrame, sql: str = "generated", ddl: str = "ddl") -> DataFrame:
     """Add ``unresolved``: the unknown names as (kind 'table' or 'column', name), and ``tables``.
 
-    Aliases are followed to their tables. Where a table is unknown or a subquery, loose column names may
-    be its own and are not counted against the statement.
+    Aliases are followed to their tables. Where a table is unknown, a subquery or declared by WITH, loose column
+    names may be its own and are not counted against the statement.
     """
     df = with_tables(df, ddl)
     df = df.withColumn("_sql", F.lower(F.regexp_replace(F.regexp_replace(F.col(sql), _NOISE, " "), r'["`\[\]]', "")))
@@ -48,7 +56,18 @@ def with_unresolved(df: DataFrame, sql: str = "generated", ddl: str = "ddl") ->
             "_sources": F.filter(sources, lambda s: s["name"] != ""),
             "_derived": F.regexp_extract_all(text, F.lit(r"\)\s+(?:as\s+)?([a-z_]\w*)\b(?!\s*\()"), F.lit(1)),
             "_nested": text.rlike(r"\b(?:from|join)\s*\("),
-            "_shown": F.regexp_extract_all(text, F.lit(r"\bas\s+(\w+)"), F.lit(1)),
+            "_shown": F.concat(
+                F.regexp_extract_all(text, F.lit(r"\bas\s+(\w+)"), F.lit(1)),
+                F.transform(
+                    F.filter(
+                        F.regexp_extract_all(text, F.lit(_SILENT_ALIAS), F.lit(0)),
+                        lambda m: ~F.array_contains(_keywords(), F.regexp_extract(m, r"^(\w+|\))", 1))
+                        | F.startswith(m, F.lit("end")),
+                    ),
+                    lambda m: F.regexp_extract(m, r"(\w+)\s*$", 1),
+                ),
+            ),
+            "_declared": F.regexp_extract_all(text, F.lit(_DECLARED), F.lit(1)),
             "_pairs": F.transform(
                 F.regexp_extract_all(text, F.lit(_QUALIFIED), F.lit(0)),
                 lambda m: F.struct(
@@ -64,7 +83,7 @@ def with_unresolved(df: DataFrame, sql: str = "generated", ddl: str = "ddl") ->
         }
     )
     names = F.transform("_sources", lambda s: s["name"])
-    unknown = F.array_distinct(F.array_except(names, F.col("_keys")))
+    unknown = F.array_distinct(F.array_except(names, F.array_union("_keys", "_declared")))
     used = F.filter("tables", lambda t: F.array_contains(names, t["key"]))
     df = df.withColumns(
         {
@@ -73,7 +92,7 @@ def with_unresolved(df: DataFrame, sql: str = "generated", ddl: str = "ddl") ->
             "_aliases": F.array_except(
                 F.flatten(F.transform("_sources", lambda s: F.array(s["name"], s["alias"]))), F.array(F.lit(""))
             ),
-            "_derived": F.array_except("_derived", F.array(*map(F.lit, KEYWORDS))),
+            "_derived": F.array_union(F.array_except("_derived", _keywords()), F.col("_declared")),
         }
     )
     df = settled(df.drop("_sql", "_keys"), *[c for c in df.columns if c.startswith("_") and c not in ("_sql", "_keys")])
@@ -90,16 +109,17 @@ def with_unresolved(df: DataFrame, sql: str = "generated", ddl: str = "ddl") ->
     strange = F.filter("_pairs", lambda p: outside(p["of"]) & ~F.array_contains("_aliases", p["col"]))
     missing = F.filter(
         "_pairs",
-        lambda p: F.array_contains("_aliases", p["of"]) & ~F.array_contains("_unknown", table_of(p["of"])) & ~has_column(p),
+        lambda p: F.array_contains("_aliases", p["of"]) & ~F.array_contains("_unknown", table_of(p["of"]))
+        & ~F.array_contains("_declared", table_of(p["of"])) & ~has_column(p),
     )
     loose = F.filter(
         "_loose",
         lambda w: outside(w)
-        & ~F.array_contains(F.array(*map(F.lit, KEYWORDS)), w)
+        & ~F.array_contains(_keywords(), w)
         & ~F.array_contains("_shown", w)
         & ~F.array_contains("_columns", w),
     )
-    whole = (F.size("_unknown") == 0) & ~F.col("_nested")
+    whole = (F.size("_unknown") == 0) & ~F.col("_nested") & (F.size("_declared") == 0)
 
     def of_kind(kind: str, items: Column) -> Column:
         return F.transform(items, lambda n: F.struct(F.lit(kind).alias("kind"), n.alias("name")))

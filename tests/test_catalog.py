@@ -257,3 +257,15 @@ def test_definitions_written_in_many_ways(spark):
             want = [(n, FAMILIES[d], pk, fk and fk[0], fk and fk[1]) for n, d, pk, fk in cols]
             assert [(r.col_name, r.family, r.is_pk, r.fk_table, r.fk_column) for r in read] == want, text
     assert not got
+
+
+def test_quoted_temporary_and_several_column_keys(spark):
+    ddl = """CREATE TEMPORARY TABLE "sales days" ("day no" INT, `shop id` INT, note VARCHAR(9) DEFAULT "x y", PRIMARY KEY ("day no", `shop id`));
+        CREATE OR REPLACE TABLE visits ([visit no] INT PRIMARY KEY, d INT, s INT, CONSTRAINT fk FOREIGN KEY (d, s) REFERENCES "sales days"("day no", `shop id`))
+        CREATE TEMP TABLE IF NOT EXISTS x (a INT)"""
+    parsed = catalog.parse(spark.createDataFrame([(1, ddl)], "schema_id long, ddl string"))
+    assert [r.table_name for r in catalog.catalog_tables(parsed).orderBy("table_ord").collect()] == ["sales days", "visits", "x"]
+    cols = {(r.table_key, r.col_name): r for r in catalog.catalog_columns(parsed).collect()}
+    assert cols["sales days", "day no"].dtype == "INT" and cols["sales days", "shop id"].is_pk and cols["sales days", "note"].dtype == "VARCHAR"
+    assert cols["visits", "visit no"].is_pk
+    assert [(cols["visits", c].fk_table, cols["visits", c].fk_column) for c in "ds"] == [("sales days", "day no"), ("sales days", "shop id")]

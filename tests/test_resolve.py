@@ -24,6 +24,11 @@ CASES = [
     ("SELECT `name` FROM \"head\" -- ghost\n WHERE born BETWEEN 1 AND 2 AND name IS NOT NULL", []),
     ("SELECT CASE WHEN born > 1 THEN 'a' ELSE name END FROM main.head", []),
     ("SELECT name, CAST(born AS int) FROM head WHERE born >= 1.5", []),
+    ("WITH young AS (SELECT name FROM head WHERE born > 1) SELECT name FROM young", []),
+    ("WITH a AS (SELECT id FROM head), b (k) AS (SELECT head_id FROM nowhere) SELECT a.id, b.k FROM a JOIN b ON a.id = b.k", [("table", "nowhere")]),
+    ("SELECT name who, count(*) total FROM head GROUP BY name ORDER BY total, who", []),
+    ("SELECT CASE WHEN born > 1 THEN 1 ELSE 0 END flag, name FROM head ORDER BY flag", []),
+    ("SELECT DISTINCT ghost FROM head", [("column", "ghost")]),
     ("", []),
 ]
 
