@@ -150,7 +150,7 @@ def metric_log(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "serving_log",
-    """
+    r"""
     SELECT ts, event_type AS model_version, props AS sql, round(value, 2) AS execution_time_ms,
            len(list_filter(string_split_regex(props, '\s+'), lambda w: w <> '')) AS tokens_generated
     FROM events

@@ -15,6 +15,10 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even where that costs the next aggregate one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # keys that a filtered side keeps are tested in the scan of the other side, ahead of its aggregate and exchange,
+    # also where the filtered side is large
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "10g",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1g",
     "spark.sql.session.timeZone": "UTC",
     # keep the state of streams on disk, as the number of series has no bound
     "spark.sql.streaming.stateStore.providerClass": (

@@ -60,3 +60,21 @@ def test_sources_hold_no_local_checkpoint():
     for path in (ROOT / "qloom").rglob("*.py"):
         text = path.read_text()
         assert "localCheckpoint(" not in text and "crossJoin(" not in text and ".rdd" not in text, path
+
+
+@pytest.mark.parametrize("name", ["spend_discounted_top_k", "anti_join_bridge"])
+def test_details_shrink_to_the_wanted_orders_in_their_scan(spark, sf_dir, name):
+    """With shuffled joins and thresholds for small tables, the filter of the orders is tested on the other side's scan."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    }
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        text = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "might_contain" in text and text.index("might_contain") < text.rindex("l_orderkey")
