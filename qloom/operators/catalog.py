@@ -135,7 +135,7 @@ def join_edges(parsed: DataFrame) -> DataFrame:
     """
     known = F.transform("tables", lambda t: t["key"])
     return (
-        with_edges(parsed)
+        settled(with_edges(parsed), "edges", "tables")
         .select("schema_id", known.alias("_known"), F.posexplode("edges").alias("edge_ord", "e"))
         .select("schema_id", "edge_ord", "e.*", "_known")
         .withColumn("to_known", F.col("to_table").isNull() | F.array_contains("_known", F.col("to_table")))
@@ -172,7 +172,8 @@ def paths_from(edges: Column, source: Column) -> Column:
     Of several paths with the fewest steps, the one whose edges were declared first is kept.
     """
     start = F.array(F.struct(source.alias("to_table"), F.array().cast(_STEPS).alias("steps")))
-    rounds = F.sequence(F.lit(0), F.size(F.array_distinct(F.transform(edges, lambda e: e["from_table"]))))
+    nodes = F.size(F.array_distinct(F.transform(edges, lambda e: e["from_table"])))
+    rounds = F.sequence(F.lit(0), nodes)
 
     def visit(queue: Column, at: Column) -> Column:
         new = F.filter(
@@ -196,7 +197,9 @@ def paths_from(edges: Column, source: Column) -> Column:
         return F.concat(queue, F.transform(once, reached))
 
     def round_of(queue: Column, k: Column) -> Column:
-        return F.when(k < F.size(queue), visit(queue, F.get(queue, k))).otherwise(queue)
+        # once all tables are met there is nothing to add
+        open_ = (k < F.size(queue)) & (F.size(queue) < F.greatest(nodes, F.lit(2)))
+        return F.when(open_, visit(queue, F.get(queue, k))).otherwise(queue)
 
     return F.aggregate(rounds, start, round_of)
 
