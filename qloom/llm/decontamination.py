@@ -74,37 +74,49 @@ class Reader:
 
     def __init__(self, window: int, literals: int):
         self.window, self.literals = window, literals
-        self.known: dict[bytes, tuple[int, int, bool, bool]] = {}
+        # a word's row in the tables; rows beyond KNOWN are lent to the text at hand
+        self.known: dict[bytes, int] = {}
+        self.token = np.zeros((2, KNOWN), np.uint64)
+        self.literal = np.zeros((2, KNOWN), bool)
         powers = [1]
         for _ in range(window):
             powers.append(powers[-1] * int(_BASE) & (2**64 - 1))
         self.powers = np.array(powers, np.uint64)
 
-    def _learn(self, word: bytes) -> tuple[int, int, bool, bool]:
-        named, folded = (canonical(word.decode(), names)[0] for names in (True, False))
-        got = (
-            xxhash.xxh64_intdigest(named) if named else 0,
-            xxhash.xxh64_intdigest(folded) if folded else 0,
-            named not in _PLACE,
-            folded not in _PLACE,
-        )
+    def _learn(self, word: bytes, lent: dict[bytes, int]) -> int:
+        row = lent.get(word)
+        if row is not None:
+            return row
         if len(self.known) < KNOWN:
-            self.known[word] = got
-        return got
+            row = self.known[word] = len(self.known)
+        else:
+            row = lent[word] = KNOWN + len(lent)
+            if row >= self.token.shape[1]:
+                self.token = np.pad(self.token, ((0, 0), (0, row)))
+                self.literal = np.pad(self.literal, ((0, 0), (0, row)))
+        token, value = canonical(word.decode())
+        self.token[:, row] = xxhash.xxh64_intdigest(token) if token else 0
+        self.literal[:, row] = bool(token) and token not in _PLACE
+        if token == NAME:  # without names it is the word itself
+            self.token[1, row], self.literal[1, row] = xxhash.xxh64_intdigest(value), True
+        return row
 
     def tokens(self, text: str | None) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """The words that are tokens; their hashes and whether they are literal, one row each with and without names."""
         words = text.encode().split() if text else []
-        get, learn = self.known.get, self._learn
-        marks = [get(w) or learn(w) for w in words]
-        if any(m[0] == 0 for m in marks):
-            words = [w for w, m in zip(words, marks) if m[0]]
-            marks = [m for m in marks if m[0]]
-        n = len(marks)
-        token = np.empty((2, n), np.uint64)
-        literal = np.empty((2, n), bool)
-        if n:
-            token[0], token[1], literal[0], literal[1] = zip(*marks)
+        rows = [*map(self.known.get, words)]
+        if None in rows:
+            lent: dict[bytes, int] = {}
+            for k, row in enumerate(rows):
+                if row is None:
+                    row = self.known.get(words[k])
+                    rows[k] = self._learn(words[k], lent) if row is None else row
+        at = np.array(rows, np.int64)
+        token, literal = self.token[:, at], self.literal[:, at]
+        if not token[0].all():
+            marks = token[0] != 0
+            words = [w for w, m in zip(words, marks.tolist()) if m]
+            token, literal = token[:, marks], literal[:, marks]
         return words, token, literal
 
     def windows(self, token: np.ndarray, literal: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -136,6 +148,10 @@ def _read(window: int, literals: int, lengths: list[int] | None, wanted: np.ndar
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader(window, literals)
+        # most windows are told apart by a few bits of their hash, before the wanted ones are searched
+        hint = np.zeros(1 << 20, bool)
+        if wanted is not None:
+            hint[wanted.view(np.uint64) >> np.uint64(44)] = True
         for frame in frames:
             rows = []
             for i, key, text in zip(frame["id"], frame["key"], frame["text"]):
@@ -146,6 +162,8 @@ def _read(window: int, literals: int, lengths: list[int] | None, wanted: np.ndar
                     folded, folded_ok = reader.windows(token[1], literal[1], size)
                     # a window without names is the same in both forms
                     for form, value, ok in ((0, named, named_ok), (1, folded, folded_ok & (folded != named))):
+                        if wanted is not None:
+                            ok = ok & hint[value.view(np.uint64) >> np.uint64(44)]
                         at = np.flatnonzero(ok)
                         value = value[at]
                         if wanted is not None and len(at):
