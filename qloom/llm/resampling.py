@@ -31,7 +31,7 @@ from qloom.sources.tables import scan
 BUCKETS = 1 << 16
 TARGET_ROWS = 20_000
 # words remembered per task
-KNOWN = 300_000
+KNOWN = 150_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -99,10 +99,13 @@ def weighted(docs: DataFrame, good_ids: DataFrame, doc_id: str = "doc_id", text:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = Hasher(buckets)
         for f in frames:
-            grams = [hasher.grams(t) for t in f["text"]]
-            # rounded, so that the order of a sum doesn't show
-            weight = [round(float(ratio.value[g].sum()), 6) for g in grams]
-            yield pd.DataFrame({"id": f["id"], "key": f["key"], "log_weight": weight, "n_grams": [len(g) for g in grams]})
+            weight, size = [], []
+            for text in f["text"]:
+                grams = hasher.grams(text)
+                # rounded, so that the order of a sum doesn't show
+                weight.append(round(float(ratio.value[grams].sum()), 6))
+                size.append(len(grams))
+            yield pd.DataFrame({"id": f["id"], "key": f["key"], "log_weight": weight, "n_grams": size})
 
     keyed = own.select("id", F.xxhash64("text").alias("key"), "text")
     out = keyed.mapInPandas(run, "id long, key long, log_weight double, n_grams long")
