@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even where that costs the next aggregate one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # checkpoint files go once nothing refers to their rows any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # keys that a filtered side keeps are tested in the scan of the other side, ahead of its aggregate and exchange,
     # also where the filtered side is large
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "10g",

@@ -199,3 +199,12 @@ def test_one_schema_for_most_questions(spark):
     df = spark.createDataFrame(rows, "row_id long, ddl string, question string")
     got = {r.row_id: r.limit_n for r in features.question_features(df).collect()}
     assert got == {i: i + 1 for i in range(300)}
+
+
+def test_tables_and_phrases_are_whole_words(spark):
+    asked = {1: "customers ordered by name", 2: "order by name the customers", 3: "orders of customers not interested in lamps", 4: "order items with quantity over 3"}
+    df = spark.createDataFrame([(i, SHOP, q) for i, q in asked.items()], "row_id long, ddl string, question string")
+    got = {r.row_id: r for r in features.question_features(df).collect()}
+    assert got[1].tables_named == ["customers"] and got[2].tables_named == ["customers"]
+    assert got[3].tables_named == ["customers", "lamps", "orders"] and not got[3].wants_anti
+    assert "order_items" in got[4].tables_named
