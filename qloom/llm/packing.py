@@ -142,6 +142,7 @@ def _pack(path: str, end: int, length: int, sentence: int, inside: int, grid: in
                 rows.extend(packer.add(doc_id, np.append(encoder.ids(text).astype(np.uint32), np.uint32(end))))
             yield frame(rows)
         yield frame(list(packer.flush(True)))
+        encoder.forget()
 
     return run
 

@@ -113,6 +113,7 @@ def _write(folder: str, tokenizer: str, end: int, file_bytes: int):
                     place, writer = place + 1, None
         if writer:
             yield pd.DataFrame([writer.close()], columns=columns)
+        encoder.forget()
 
     return run
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
 # words remembered by one task
-KNOWN = 500_000
+KNOWN = 400_000
 # punctuation that the tokenizer cuts from a letter or digit before it
 _TAIL = b".,;:!?%&$#*|"
 
@@ -39,26 +40,28 @@ class Encoder:
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.known: dict[bytes, bytes] = {}
         self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        probe = "Straßenfêtes"
+        self.tokenize = self.tokenizer.model.tokenize
         self.plain = False
-        self.plain = self._both(probe)
+        self.plain = all(map(self._both, ("Straßenfêtes", "Words")))
 
     def _both(self, probe: str) -> bool:
         """Whether this tokenizer file treats a word of letters as the short way does."""
+        self.plain = False
         whole = self._encode(probe.encode())
         self.plain = True
         return self._encode(probe.encode()) == whole
 
     def _encode(self, word: bytes) -> bytes:
         text = word.decode()
-        if self.plain and text.isalpha() and max(text) < "\u0100":
+        if self.plain and word.isalpha():  # ASCII letters
+            ids = [t.id for t in self.tokenize(text.lower())]
+        elif self.plain and text.isalpha() and max(text) < "\u0100":
             # letters of Latin-1 alone are one piece: the vocabulary is asked without the steps that would change nothing
             text = unicodedata.normalize("NFC", text).lower()
-            piece = text if text.isascii() else self.bytes.pre_tokenize_str(text)[0][0]
-            ids = [t.id for t in self.tokenizer.model.tokenize(piece)]
+            ids = [t.id for t in self.tokenize(self.bytes.pre_tokenize_str(text)[0][0])]
         else:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, self.dtype).tobytes()
+        return struct.pack(f"<{len(ids)}{self.dtype.char}", *ids)
 
     def _keep(self, word: bytes, ids: bytes) -> bytes:
         if len(self.known) < KNOWN:
@@ -71,30 +74,41 @@ class Encoder:
         tail = word[len(stem) :]
         if stem and stem.isascii():
             stem = stem.lower()
-        if tail and stem and stem.decode()[-1].isalnum():
-            got = self.known.get(stem)
-            if got is None:
-                got = self._keep(stem, self._encode(stem))
-            end = self.known.get(tail)
-            if end is None:
-                end = self._keep(tail, self._encode(tail))
-            return got + end
-        if tail:
+        if tail and not (stem and (stem[-1:].isalnum() or stem.decode()[-1].isalnum())):
             return self._keep(word, self._encode(word))
         got = self.known.get(stem)
-        return got if got is not None else self._keep(stem, self._encode(stem))
+        if got is None:
+            got = self._keep(stem, self._encode(stem))
+            if tail:
+                got += self._ending(tail)
+            return got
+        if tail:
+            got += self._ending(tail)
+        # a stem met before: this form of it may come again
+        return self._keep(word, got)
+
+    def _ending(self, tail: bytes) -> bytes:
+        got = self.known.get(tail)
+        return got if got is not None else self._keep(tail, self._encode(tail))
 
     def ids(self, text: str | None) -> np.ndarray:
         """The ids of one text; null and empty texts have none."""
         if not text:
             return np.zeros(0, self.dtype)
-        get, learn = self.known.get, self._learn
         words = text.encode().split()
-        parts = [get(w) for w in words]
+        parts = list(map(self.known.get, words))
         if None in parts:
+            learn = self._learn
             parts = [learn(w) if p is None else p for w, p in zip(words, parts)]
         return np.frombuffer(b"".join(parts), self.dtype)
 
+    def forget(self) -> None:
+        """Give the memory back at the end of a task, as its process stays for the next one."""
+        import pyarrow
+
+        self.known.clear()
+        pyarrow.default_memory_pool().release_unused()
+
     def sentence_ends(self) -> np.ndarray:
         """For each id whether a sentence may end with it."""
         out = np.zeros(self.tokenizer.get_vocab_size(), bool)
