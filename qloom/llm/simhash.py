@@ -156,11 +156,13 @@ def _walk(distance: int):
             turns = frame["turn"].to_numpy()
             leaves = frame["leaf"].to_numpy().view(np.uint64)
             for turn in np.unique(turns):
-                now = np.sort(leaves[turns == turn])
+                now = leaves[turns == turn]
                 if turn == held_turn:
                     now = np.concatenate([held, now])
                 elif len(held):
                     yield edges(held_turn, held)
+                # Spark sorts by block only, so what was held and what comes are sorted together
+                now = np.sort(now)
                 # the last node may go on in the next batch
                 head = now >> np.uint64(BITS - lengths[turn])
                 stop = int(np.searchsorted(head, head[-1]))

@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 
@@ -74,6 +75,38 @@ def test_walk_gives_exactly_the_linked_pairs():
     assert set(zip(i.tolist(), j.tolist())) == want and len(i) == len(want)
 
 
+def test_blocks_that_run_over_arrow_batches(spark):
+    # one block; the two differing bits of a pair lie in both others, so that no other rotation finds it
+    rng = np.random.default_rng(3)
+    alone = [int(x) for x in rng.integers(0, 1 << 42, 60)]
+    values = sorted({*alone, *(x ^ (1 << (22 + k % 20)) ^ (1 << (k % 22)) for k, x in enumerate(alone))})
+    want = naive_components(values, 2)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "7")
+    try:
+        frame = spark.createDataFrame([(v,) for v in values[1::2] + values[::2]], "fp long")
+        got = {r["node"]: r["label"] for r in components(q.linked(frame)).collect()}
+    finally:
+        spark.conf.set(size, before)
+    assert {v: got.get(v, v) for v in values} == want
+
+
+@pytest.mark.parametrize("size", [1, 7, 50])
+def test_walk_over_batches_gives_the_components_of_one(size):
+    rng = np.random.default_rng(size)
+    values = rng.permutation(np.unique(rng.integers(0, 1 << 14, 300) << 9 | rng.integers(0, 4, 300) << 40))
+    rows = pd.DataFrame({"turn": 0, "leaf": values})
+    batches = [rows[k : k + size] for k in range(0, len(rows), size)]
+
+    def edges(frames):
+        found = pd.concat(q._walk(2)(iter(frames)))
+        return q._forest(len(values), *(np.searchsorted(np.sort(values), found[c].to_numpy()) for c in "ab"))
+
+    for got, want in zip(edges(batches), edges([rows.sort_values("leaf")])):
+        assert got.tolist() == want.tolist()
+
+
 def test_chain_of_nodes(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(200)] + [(500, 501), (501, 500), (7, 7)], "a long, b long")
     got = {r["node"]: r["label"] for r in components(edges).collect()}
