@@ -2,8 +2,9 @@
 
 Lines are cut at "\\n". Two documents are aligned where they share a line: a rare line (at most ``rare``
 documents hold it) points from each of its documents to the one before and to the first, a more frequent
-line to the first alone, so the pairs grow with the lines and not with the square of their frequency. Each
-pair is aligned by patience diff over all its lines, rare or not. Blocks of aligned lines with ``min_words``
+line to the first alone, so the pairs grow with the lines and not with the square of their frequency. The shortest
+runs of lines that reach ``min_words`` from each line on, and back from each line, point to the first document that
+holds the whole run; every block that an earlier document holds is made of such runs. Each pair is aligned by patience diff over all its lines, rare or not. Blocks of aligned lines with ``min_words``
 words or more are deleted from the later document; as a line's first holder keeps it, no line vanishes.
 
 Documents are ordered by id, then by the hash of their text; null ids come last. Rows with the same id and
@@ -17,14 +18,52 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from qloom.llm.shared import boxed, cut, unboxed
 from qloom.sources.tables import scan
 
 MIN_WORDS = 50
 RARE = 5
+# an odd number and its inverse modulo 2 ** 64
+_BASE = 0x9E3779B97F4A7C15
+_BACK = pow(_BASE, -1, 2**64)
+
+
+def runs(lines: list[int], words: list[int], min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, stops, hashes) of the shortest runs of lines with enough words from each line with words on, and back from each."""
+    n = len(lines)
+    counts = np.asarray(words, np.int64)
+    so_far = np.concatenate([[0], np.cumsum(counts)])
+    least = max(min_words, 1)
+    own = np.flatnonzero(counts > 0)
+    stop = np.searchsorted(so_far, so_far[own] + least)
+    start = np.searchsorted(so_far, so_far[own + 1] - least, "right") - 1
+    starts = np.concatenate([own[stop <= n], start[start >= 0]])
+    stops = np.concatenate([stop[stop <= n], own[start >= 0] + 1])
+    # a polynomial of the line hashes, modulo 2 ** 64, brought to the run's start
+    terms = np.asarray(lines, np.int64).view(np.uint64) * np.cumprod(np.full(n, _BASE, np.uint64))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms)])
+    back = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, _BACK, np.uint64)]))
+    value = (total[stops] - total[starts]) * back[starts]
+    value = (value ^ (value >> np.uint64(29))) * np.uint64(_BASE) + (stops - starts).astype(np.uint64)
+    return starts, stops, value.view(np.int64)
+
+
+def _run_keys(min_words: int):
+    @F.pandas_udf(ArrayType(LongType()))
+    def of(lines: pd.Series, words: pd.Series) -> pd.Series:
+        out = []
+        for x, w in zip(lines, words):
+            starts, stops, hashes = runs(x, w, min_words)
+            # a run of one line has that line's key
+            out.append(np.unique(hashes[stops - starts > 1]))
+        return pd.Series(out, dtype=object)
+
+    return of
 
 
 def _matches(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -124,13 +163,15 @@ def aligned_blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """One row per block to delete: the later document (id, key), the earlier (ref, ref_key), where it starts in each (0-based line), its lines and words."""
     rows = cut(lines_of(docs, doc_id, text))
     place = F.struct(F.isnull("id").alias("none"), "id", "key")
-    held = rows.select(place.alias("at"), F.explode(F.array_distinct(F.expr("filter(lines, (x, i) -> words[i] > 0)"))).alias("line"))
+    single = F.transform(F.array_distinct(F.expr("filter(lines, (x, i) -> words[i] > 0)")), lambda x: F.struct(x.alias("line"), F.lit(False).alias("run")))
+    long = F.transform(_run_keys(min_words)("lines", "words"), lambda x: F.struct(x.alias("line"), F.lit(True).alias("run")))
+    held = rows.select(place.alias("at"), F.explode(F.concat(single, long)).alias("x")).select("at", "x.*")
     # both cut, so that the join stands alone and adaptive execution may split a line that very many documents hold
-    shared = cut(held.groupBy("line").agg(F.count("*").alias("df"), F.min("at").alias("first")).where("df > 1"))
-    known = cut(held.join(shared, "line"))
+    shared = cut(held.groupBy("line", "run").agg(F.count("*").alias("df"), F.min("at").alias("first")).where("df > 1"))
+    known = cut(held.join(shared, ["line", "run"]))
     to_first = known.where("at <> first").select("at", F.col("first").alias("ref"))
     # rare lines only, so that the window never holds more than ``rare`` rows of a line
-    few = known.where(F.col("df") <= rare).select("line", "at")
+    few = known.where(~F.col("run") & (F.col("df") <= rare)).select("line", "at")
     to_last = few.withColumn("ref", F.lag("at").over(Window.partitionBy("line").orderBy("at"))).where("ref is not null").select("at", "ref")
     pairs = to_first.unionByName(to_last).distinct()
     pairs = pairs.select(F.col("at.id").alias("id"), F.col("at.key").alias("key"), F.col("ref.id").alias("ref"), F.col("ref.key").alias("ref_key"))

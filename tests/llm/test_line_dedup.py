@@ -60,6 +60,12 @@ def test_block_whose_lines_have_different_first_holders(spark):
     assert (4, "four") in texts(q.deduplicate(docs)) and (3, f"{a}\n{b}\nthree") in texts(q.deduplicate(docs))
 
 
+def test_passage_whose_frequent_lines_have_other_first_holders(spark):
+    a, b, c = line(1, 30), line(2, 30), line(3, 10)
+    rows = [(1, a), (2, b), (3, c)] + [(k, f"{a}\n{b}\n{c}\nonly {k}") for k in range(4, 24)]
+    assert texts(q.deduplicate(frames.documents(spark, rows))) == {*rows[:4], *((k, f"only {k}") for k in range(5, 24))}
+
+
 def test_no_line_vanishes(spark):
     rng = random.Random(5)
     pool = [line(k, rng.choice([5, 20, 55, 80])) for k in range(40)]
