@@ -4,7 +4,8 @@ Lines are cut at "\\n". Two documents are aligned where they share a line: a rar
 documents hold it) points from each of its documents to the one before and to the first, a more frequent
 line to the first alone, so the pairs grow with the lines and not with the square of their frequency. The shortest
 runs of lines that reach ``min_words`` from each line on, and back from each line, point to the first document that
-holds the whole run; every block that an earlier document holds is made of such runs. Each pair is aligned by patience diff over all its lines, rare or not. Blocks of aligned lines with ``min_words``
+holds the whole run; every block that an earlier document holds is made of such runs. Each pair is aligned by patience diff over all its lines, rare or not; lines left over are aligned again where they lie in a
+run of ``min_words`` that the earlier document holds at any place, repeated or in another order. Blocks of aligned lines with ``min_words``
 words or more are deleted from the later document; as a line's first holder keeps it, no line vanishes.
 
 Documents are ordered by id, then by the hash of their text; null ids come last. Rows with the same id and
@@ -119,7 +120,13 @@ def _longest_rise(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def blocks(later: list[int], words: list[int], earlier: list[int], min_words: int) -> list[tuple[int, int, int, int]]:
-    """(start in the later, start in the earlier, lines, words) of the aligned runs with enough words."""
+    """(start in the later, start in the earlier, lines, words) of the aligned runs with enough words.
+
+    Runs that no rising alignment holds, as they are repeated or in another order, come after those of the diff.
+    """
+    common = set(earlier)
+    if sum(w for x, w in zip(later, words) if x in common) < min_words:
+        return []
     out: list[tuple[int, int, int, int]] = []
     run: list[int] | None = None
     for i, k in _matches(later, earlier):
@@ -129,7 +136,35 @@ def blocks(later: list[int], words: list[int], earlier: list[int], min_words: in
         else:
             run = [i, k, 1, words[i]]
             out.append(run)  # type: ignore[arg-type]
-    return [tuple(r) for r in out if r[3] >= min_words]
+    found = [tuple(r) for r in out if r[3] >= min_words]
+    return found + _rest(later, words, earlier, min_words, found)
+
+
+def _rest(later: list[int], words: list[int], earlier: list[int], min_words: int, found: list) -> list[tuple[int, int, int, int]]:
+    """Blocks for the lines outside the given ones that lie in a run with enough words that the earlier document holds anywhere."""
+    done = np.zeros(len(later), bool)
+    for start, _, n, _ in found:
+        done[start : start + n] = True
+    common = set(earlier)
+    done |= np.fromiter((not w or x not in common for x, w in zip(later, words)), bool, len(later))
+    if done.all():
+        return []
+    # a line that the later lacks ends any run of the earlier: no hash of it is looked up
+    known = dict(zip(later, words))
+    starts, _, hashes = runs(earlier, [known.get(x, max(min_words, 1)) for x in earlier], min_words)
+    at = dict(zip(hashes.tolist(), starts.tolist()))
+    out = []
+    for start, stop, h in zip(*(x.tolist() for x in runs(later, words, min_words))):
+        k = at.get(h)
+        if k is None or done[start:stop].all() or later[start:stop] != earlier[k : k + stop - start]:
+            continue
+        while start and k and later[start - 1] == earlier[k - 1]:
+            start, k = start - 1, k - 1
+        while stop < len(later) and k + stop - start < len(earlier) and later[stop] == earlier[k + stop - start]:
+            stop += 1
+        done[start:stop] = True
+        out.append((start, k, stop - start, sum(words[start:stop])))
+    return out
 
 
 def _align(min_words: int):

@@ -66,6 +66,34 @@ def test_passage_whose_frequent_lines_have_other_first_holders(spark):
     assert texts(q.deduplicate(frames.documents(spark, rows))) == {*rows[:4], *((k, f"only {k}") for k in range(5, 24))}
 
 
+@pytest.mark.parametrize("first,later", [("ab ab", "ab"), ("ab", "ab ab"), ("ab cd", "cd ab"), ("abab", "baba"), ("ab cd ab", "cd abx ab cd")])
+def test_repeated_and_swapped_passages(first, later):
+    words = {k: 30 for k in map(ord, "abcdx")} | {ord(" "): 2}
+    a, b = [*map(ord, later)], [*map(ord, first)]
+    found = q.blocks(a, [words[x] for x in a], b, 50)
+    held = {k for i in range(len(a)) for j in range(i, len(a)) if sum(words[x] for x in a[i : j + 1]) >= 50 and later[i : j + 1] in first for k in range(i, j + 1)}
+    assert {k for start, _, n, _ in found for k in range(start, start + n)} == held
+    assert all(a[i : i + n] == b[k : k + n] and w == sum(words[x] for x in a[i : i + n]) for i, k, n, w in found)
+
+
+def test_deleted_lines_are_those_in_runs_that_an_earlier_document_holds(spark):
+    rng = random.Random(11)
+    pool = [line(k, rng.choice([5, 20, 30, 55])) for k in range(6)]
+    rows = [(k, "\n".join(rng.choices(pool, k=rng.randrange(1, 12)))) for k in range(60)]
+    want, before = set(), []
+    for k, text in sorted(rows):
+        lines = text.split("\n")
+        gone = set()
+        for i in range(len(lines)):
+            for j in range(i, len(lines)):
+                part = lines[i : j + 1]
+                if len(" ".join(part).split()) >= 50 and any(part == other[m : m + len(part)] for other in before for m in range(len(other))):
+                    gone.update(range(i, j + 1))
+        want.add((k, "\n".join(x for m, x in enumerate(lines) if m not in gone)))
+        before.append(lines)
+    assert texts(q.deduplicate(frames.documents(spark, rows))) == want
+
+
 def test_no_line_vanishes(spark):
     rng = random.Random(5)
     pool = [line(k, rng.choice([5, 20, 55, 80])) for k in range(40)]
