@@ -6,7 +6,7 @@ import importlib
 
 from qloom.plans.registry import Query
 
-MODULES = "decontamination line_dedup simhash archives token_records packing quality_rules toxicity resampling html_text lloyd".split()
+MODULES = "decontamination line_dedup simhash archives token_records packing quality_rules toxicity resampling html_text lloyd whitening chosen_path".split()
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
