@@ -29,14 +29,15 @@ CATEGORY_WORDS = (
 )
 # End of fixed values.
 
-# stands for a blank inside a quoted name
-_BLANK = "\u0002"
+# stands on both sides of the number of a quoted name
+_PLACE = "\u0002"
+# strings, comments and quoted names, in the order of the text
+_QUOTES = r"""(?s)'(?:[^']|'')*'|--[^\n]*|/\*.*?\*/|"(?:[^"]|"")*"|`(?:[^`]|``)*`|\[[^\[\]\d][^\[\]]*\]"""
 _NAME = r'["`\[]?([\w\x02]+)["`\]]?'
 _PREFIX = r'(?:["`\[]?[\w\x02]+["`\]]?\s*\.\s*)*'
 _TABLE = r"CREATE\s+(?:OR\s+REPLACE\s+)?(?:(?:GLOBAL|LOCAL)\s+)?(?:(?:TEMP|TEMPORARY|EXTERNAL|UNLOGGED)\s+)?TABLE\b"
 _CREATE = rf"(?is)^\s*{_TABLE}\s*(?:IF\s+NOT\s+EXISTS\s+)?{_PREFIX}{_NAME}\s*\((.*)\)"
 _STATEMENT_END = rf"(?i);|(?=\b{_TABLE})"
-_NOISE = r"(?s)'[^']*'|--[^\n]*|/\*.*?\*/"
 _PRIMARY = r"(?i)^PRIMARY\s+KEY\s*\(([^)]+)\)"
 _TARGET = rf"REFERENCES\s+{_PREFIX}{_NAME}\s*\(\s*{_NAME}\s*\)"
 _FOREIGN = rf"(?i)^(?:CONSTRAINT\s+\S+\s+)?FOREIGN\s+KEY\s*\(([^)]+)\)\s*REFERENCES\s+{_PREFIX}{_NAME}\s*\(([^)]+)\)"
@@ -45,8 +46,9 @@ _COLUMN = rf"(?is)^{_NAME}\s+(\w+)(?:\s*\(\s*(\d+)\s*(?:,\s*(\d+)\s*)?\))?"
 
 
 def _plain(name: Column) -> Column:
-    """A name as it is read, with its blanks."""
-    return F.translate(name, _BLANK, " ")
+    """A name as it was declared: a quoted one is put back from its numbered place."""
+    place = F.translate(name, _PLACE, "").try_cast("int")
+    return F.when(F.startswith(name, F.lit(_PLACE)), F.get("_quoted", place)).otherwise(name)
 
 
 def _listed(names: Column) -> Column:
@@ -54,14 +56,24 @@ def _listed(names: Column) -> Column:
     return F.transform(F.split(names, ","), lambda c: _plain(F.regexp_replace(c, r"[^\w\x02]", "")))
 
 
-def _blanks_marked(text: Column) -> Column:
-    """The text with the blanks of quoted names marked, so that a quoted name is one word."""
-    for quote in ('"', "`"):
-        parts = F.transform(
-            F.split(text, quote, -1), lambda p, i: F.when(i % 2 == 1, F.translate(p, " ", _BLANK)).otherwise(p)
-        )
-        text = F.array_join(parts, quote)
-    return F.regexp_replace(text, r"(?<=\[[^\[\]]{0,100}) (?=[^\[\]]*\])", _BLANK)
+def _unquoted(token: Column) -> Column:
+    """The name in a quoted token, null for strings and comments; a doubled quote stands for one."""
+    mark = F.substring(token, 1, 1)
+    inner = F.substring(token, F.lit(2), F.length(token) - 2)
+    return F.when(mark.isin('"', "`"), F.replace(inner, F.concat(mark, mark), mark)).when(mark == "[", inner)
+
+
+def _with_places(df: DataFrame, ddl: str) -> DataFrame:
+    """Add ``_quoted``, the quoted names, and ``_text`` with a numbered place for each of them, and a blank for each string and comment."""
+    text = F.coalesce(ddl, F.lit(""))
+    df = df.withColumn("_quoted", F.transform(F.regexp_extract_all(text, F.lit(_QUOTES), F.lit(0)), _unquoted))
+    df = settled(df, "_quoted")
+    name = lambda i: F.concat(F.lit('"' + _PLACE), i.cast("string"), F.lit(_PLACE + '"'))
+    filled = F.transform(
+        F.split(text, _QUOTES, -1),
+        lambda p, i: F.concat(p, F.when(i >= F.size("_quoted"), "").when(F.get("_quoted", i).isNull(), " ").otherwise(name(i))),
+    )
+    return df.withColumn("_text", F.array_join(filled, ""))
 
 
 def any_of(col: Column, words: tuple[str, ...]) -> Column:
@@ -244,10 +256,8 @@ def with_tables(df: DataFrame, ddl: str = "ddl") -> DataFrame:
 
     A table defined twice keeps its first place and its last definition.
     """
-    statements = F.filter(
-        F.split(_blanks_marked(F.regexp_replace(F.coalesce(ddl, F.lit("")), _NOISE, " ")), _STATEMENT_END),
-        lambda s: s.rlike(_CREATE),
-    )
+    df = _with_places(df, ddl)
+    statements = F.filter(F.split("_text", _STATEMENT_END), lambda s: s.rlike(_CREATE))
     trimmed = lambda i: F.regexp_replace(i, r"^\s+|\s+$", "")
     raw = F.transform(
         statements,
@@ -299,4 +309,4 @@ def with_tables(df: DataFrame, ddl: str = "ddl") -> DataFrame:
     unique = F.when(F.size("_keys") == F.size("_raw"), F.col("_raw")).otherwise(
         F.transform("_keys", lambda k: last(F.filter("_raw", lambda t: t["key"] == k)))
     )
-    return settled(staged.withColumn("tables", F.transform(unique, roles)).drop("_raw", "_keys"), "tables")
+    return settled(staged.withColumn("tables", F.transform(unique, roles)).drop("_raw", "_keys", "_quoted", "_text"), "tables")

@@ -204,6 +204,35 @@ def paths_from(edges: Column, source: Column) -> Column:
     return F.aggregate(rounds, start, round_of)
 
 
+def known_edges() -> Column:
+    """The edges of a row whose two tables are among its definitions."""
+    return F.filter("edges", lambda e: (e["kind"] == "shared") | F.exists("tables", lambda t: t["key"] == e["to_table"]))
+
+
+def join_tree(edges: Column, keys: Column, wanted: Column) -> Column:
+    """The smallest connected part of the join graph that holds all wanted tables, as steps away from one of its tables; null if there is none.
+
+    Two tables are joined by the shortest path between them. For more, each table in turn is tried as the place where shortest
+    paths to all of them meet, and the meeting place whose paths have the fewest different steps is taken, which is
+    least possible for three tables, and for any number where the graph has no cycles.
+    """
+    steps = lambda paths: F.array_distinct(F.flatten(F.transform(paths, lambda p: p["steps"])))
+
+    def meeting(at: Column) -> Column:
+        # the one-element array names the paths, so that they are searched once
+        return F.flatten(
+            F.transform(
+                F.array(F.filter(paths_from(edges, at), lambda p: F.array_contains(wanted, p["to_table"]))),
+                lambda ps: F.when(F.size(ps) == F.size(wanted), F.array(steps(ps))).otherwise(F.array().cast(f"array<{_STEPS}>")),
+            )
+        )
+
+    places = F.when(F.size(wanted) <= 2, F.slice(wanted, 1, 1)).otherwise(F.array_union(wanted, keys))
+    found = F.flatten(F.transform(places, meeting))
+    least = F.array_min(F.transform(found, lambda s, i: F.struct(F.size(s).alias("size"), i.alias("place"))))
+    return F.get(found, least["place"])
+
+
 def join_paths(parsed: DataFrame, sources: Column) -> DataFrame:
     """Shortest join path from each source to every table it reaches, of any length.
 

@@ -33,12 +33,14 @@ JOINED_CATEGORY_WORDS = (
 
 # Feature columns that drafts over several tables are made of.
 _JOIN_INPUT = (
-    "tables", "involved", "agg", "agg_stated", "comparisons", "says_revenue", "year", "status", "value_words",
-    "limit_n", "tie_col", "tie_dir", "wants_count", "select_all", "order_col", "order_desc",
-)
+    "tables", "involved", "asked", "edges", "tree", "agg", "agg_stated", "comparisons", "measures", "says_revenue", "years", "status",
+    "status_not", "value_words", "limit_n", "tie_col", "tie_dir", "wants_count", "select_all", "order_col", "order_desc", "group_col",
+    "group_words", "cols_named", "text_order",
+)
 
 NO_PATH = "no join path"
 NO_TABLE = "no table"
+LEFT_OUT = "left out: "
 
 
 def _text(*parts) -> Column:
@@ -60,12 +62,23 @@ def _direction(descending: Column) -> Column:
     return F.when(descending, " DESC").otherwise(" ASC")
 
 
-def _equals(col: Column, value: Column) -> Column:
-    return _text(col, " = '", value, "'")
+def _equals(col: Column, value: Column, negated: Column | None = None) -> Column:
+    sign = F.lit(" = '") if negated is None else F.when(negated, " <> '").otherwise(" = '")
+    return _text(col, sign, value, "'")
+
+
+def _has_status(col: Column) -> Column:
+    return _equals(col, F.col("status"), F.col("status_not"))
 
 
 def _in_year(col: Column) -> Column:
-    return _text("year(", col, ") = ", F.col("year").cast("string"))
+    """The bounds of the years asked for; several plain years are alternatives. Null without a year or a column."""
+    plain = F.filter("years", lambda y: y["op"] == "=")
+    single = lambda y: _text("year(", col, ") ", y["op"], " ", y["year"].cast("string"))
+    several = _text("year(", col, ") IN (", F.array_join(F.transform(plain, lambda y: y["year"].cast("string")), ", "), ")")
+    rest = F.transform(F.filter("years", lambda y: (y["op"] != "=") | (F.size(plain) == 1)), single)
+    parts = F.concat(rest, F.when(F.size(plain) > 1, F.array(several)).otherwise(F.array().cast("array<string>")))
+    return F.when(col.isNotNull() & (F.size("years") > 0), F.array_join(parts, " AND "))
 
 
 def _named(table: Column, part: str) -> Column:
@@ -88,6 +101,7 @@ def _comparisons(tables: Column, qualify: bool) -> Column:
 
 
 def _alias(measure: Column) -> Column:
+    measure = F.regexp_replace(measure, r"\W", "_")
     return (
         F.when(F.col("says_revenue"), "total_revenue")
         .when(F.startswith(F.lower(measure), F.lit("total_")), F.lower(measure))
@@ -104,7 +118,7 @@ def _single_where(t: Column) -> Column:
         "WHERE",
         _comparisons(F.col("involved"), qualify=False),
         _in_year(first(t["date"])),
-        _equals(_named(t, "status"), F.col("status")),
+        _has_status(_named(t, "status")),
         _equals(first(t["category"]), first(F.col("value_words"))),
         sep=" AND ",
     )
@@ -124,8 +138,9 @@ def _listing(t: Column) -> Column:
     head = F.transform(F.slice(t["cols"], 1, 5), lambda c: c["name"])
     columns = F.when(F.col("select_all"), F.array(F.lit("*"))).when(F.size(chosen) > 0, chosen).otherwise(head)
     hinted = first(F.filter(t["cols"], lambda c: c["name"] == F.col("order_col")))["name"]
+    worded = first(F.filter(t["cols"], lambda c: c["name"] == F.col("text_order")))["name"]
     lead = F.coalesce(hinted, first(t["numeric"]))
-    order = F.coalesce(_text(lead, _direction(F.col("order_desc"))), _text(t["id_col"], " DESC"))
+    order = F.coalesce(_text(worded, " ASC"), _text(lead, _direction(F.col("order_desc"))), _text(t["id_col"], " DESC"))
     return _text(
         "SELECT ", F.array_join(columns, ", "), " FROM ", t["name"], _single_where(t), _clause("ORDER BY", order), _limit()
     )
@@ -208,7 +223,7 @@ def _anti(df: DataFrame) -> DataFrame:
     wanted = F.concat_ws(
         " AND ",
         _in_year(_qualified(via, first(via["date"]))),
-        _equals(_qualified(via, _named(via, "status")), F.col("status")),
+        _has_status(_qualified(via, _named(via, "status"))),
     )
     shown = F.concat_ws(", ", _qualified(who, who["id_col"]), _qualified(who, who["name_col"]))
     columns = F.when(shown != "", shown).otherwise(_text(who["name"], ".*"))
@@ -293,7 +308,7 @@ def _spend(df: DataFrame, names: tuple[str, str, str]) -> DataFrame:
         _clause(
             "WHERE",
             _in_year(_qualified(orders, first(orders["date"]))),
-            _equals(_qualified(orders, _named(orders, "status")), F.col("status")),
+            _has_status(_qualified(orders, _named(orders, "status"))),
             sep=" AND ",
         ),
         " GROUP BY ",
@@ -317,90 +332,315 @@ def _tie(primary: Column) -> Column:
 
 
 def _with_paths(df: DataFrame) -> DataFrame:
-    """Add ``steps`` from the primary table to all other involved ones, nearer ones first; null where one cannot be reached."""
-    df = settled(catalog.with_edges(df), "edges", "_primary", "_others", "involved")
-    known = F.filter(
-        "edges",
-        lambda e: (e["kind"] == "shared") | F.exists("tables", lambda t: t["key"] == e["to_table"]),
-    )
-    df = settled(df.withColumn("_known", known), "_known")
-    paths = F.filter(
-        catalog.paths_from(F.col("_known"), F.col("_primary.key")),
+    """Add ``paths`` (to_table, steps) from the primary table to all other involved ones, nearer ones first, and their ``steps``; null where one cannot be reached."""
+    both_ways = F.flatten(
+        F.transform(
+            "tree",
+            lambda e: F.array(
+                F.struct(*[e[f].alias(f) for f in ("from_table", "from_col", "to_table", "to_col")], F.lit("fk").alias("kind")),
+                F.struct(
+                    e["to_table"].alias("from_table"), e["to_col"].alias("from_col"), e["from_table"].alias("to_table"),
+                    e["from_col"].alias("to_col"), F.lit("fk").alias("kind"),
+                ),
+            ),
+        )
+    )
+    df = settled(df.withColumn("_graph", F.coalesce(both_ways, catalog.known_edges())), "_graph", "_primary", "_others", "involved")
+    found = F.filter(
+        catalog.paths_from(F.col("_graph"), F.col("_primary.key")),
         lambda p: F.exists("_others", lambda t: t["key"] == p["to_table"]),
     )
-    df = settled(df.withColumn("_paths", paths), "_paths")
-    steps = F.array_distinct(F.flatten(F.transform("_paths", lambda p: p["steps"])))
-    reached = F.size("_paths") == F.size("_others")
-    return df.withColumn("steps", F.when(reached, steps)).drop("edges", "_known", "_paths")
+    df = settled(df.withColumn("paths", found), "paths")
+    steps = F.array_distinct(F.flatten(F.transform("paths", lambda p: p["steps"])))
+    reached = F.size("paths") == F.size("_others")
+    return df.withColumn("steps", F.when(reached, steps)).drop("edges", "tree", "_graph")
+
+
+def _declared(key: Column) -> Column:
+    return first(F.filter("tables", lambda t: t["key"] == key))["name"]
+
+
+def _step_text(s: Column) -> Column:
+    return _text(" JOIN ", _declared(s["to_table"]), " ON ", _declared(s["from_table"]), ".", s["from_col"], " = ", _declared(s["to_table"]), ".", s["to_col"])
+
+
+def _of_first(tables: Column, column) -> Column:
+    """(table, name), name qualified: the column of the first table that has one."""
+    return first(
+        F.filter(F.transform(tables, lambda t: F.struct(t["key"].alias("table"), _qualified(t, column(t)).alias("name"))), lambda c: c["name"].isNotNull())
+    )
+
+
+def _group(df: DataFrame) -> DataFrame:
+    """Add ``_group`` (table, name): what totals are grouped by, a column or (name null) the entity of a table; null if the question doesn't say."""
+
+    def base(c: Column) -> Column:
+        return F.replace(F.replace(c["key"], F.lit("_id"), F.lit("")), F.lit("_name"), F.lit(""))
+
+    def column(t: Column, c: Column) -> Column:
+        return F.struct(t["key"].alias("table"), c["name"].alias("name"))
+
+    def columns(keep) -> Column:
+        return first(F.flatten(F.transform("involved", lambda t: F.transform(F.filter(t["cols"], keep), lambda c: column(t, c)))))
+
+    stem = lambda t: F.regexp_replace(t["key"], "s+$", "")
+    entity = first(F.filter("involved", lambda t: F.exists("group_words", lambda w: F.regexp_replace(w, "s+$", "") == stem(t))))
+    hinted = columns(lambda c: c["name"] == F.col("group_col"))
+    spoken = columns(lambda c: ~c["is_pk"] & ~c["is_fk"] & ~c["as_number"] & (F.length(base(c)) >= 2) & F.array_contains("group_words", base(c)))
+    table = F.when(entity.isNotNull(), F.struct(entity["key"].alias("table"), F.lit(None).cast("string").alias("name")))
+    return settled(df.withColumn("_group", F.when(F.col("agg").isNotNull(), F.coalesce(hinted, table, spoken))), "_group")
+
+
+def _sum_of(agg: str, alias: Column, table: Column) -> Column:
+    """A total over rows of a derived table, each of which holds the totals of one key."""
+    cell = _text(table, ".", alias)
+    return {"avg": _text("SUM(", cell, ") / SUM(", table, ".n_", alias, ")"), "max": _text("MAX(", cell, ")"), "min": _text("MIN(", cell, ")")}.get(
+        agg, _text("SUM(", cell, ")")
+    )
 
 
 def _joined(df: DataFrame) -> DataFrame:
-    """Drafts for questions over several tables."""
-    df = df.withColumn("_primary", primary_table(F.col("involved")))
+    """Drafts for questions over several tables.
+
+    A foreign key says that many rows of its table belong to one of the other. Where totals of a table would meet more
+    details than their own on the way from the listed rows, each table with totals is added up by its key in a query of its own
+    first, and tables that only restrict are tested by IN, so that no row is counted twice.
+    """
+    df = _group(df)
+    chosen = first(F.filter("involved", lambda t: t["key"] == F.col("_group.table")))
+    df = df.withColumn("_primary", F.coalesce(chosen, primary_table(F.col("involved"))))
     df = df.withColumn("_others", F.filter("involved", lambda t: t["key"] != F.col("_primary.key")))
     df = _with_paths(df)
     df = df.withColumn("_ordered", F.concat(F.array("_primary"), "_others"))
     primary, others, ordered = F.col("_primary"), F.col("_others"), F.col("_ordered")
-    declared = lambda key: first(F.filter("tables", lambda t: t["key"] == key))["name"]
-    joins = F.transform(
-        "steps",
-        lambda s: _text(
-            " JOIN ", declared(s["to_table"]), " ON ", declared(s["from_table"]), ".", s["from_col"], " = ",
-            declared(s["to_table"]), ".", s["to_col"],
-        ),
-    )
-    source = _text(primary["name"], F.array_join(joins, ""))
-
-    def of_first(tables: Column, column) -> Column:
-        """Qualified column of the first table that has one."""
-        return first(F.array_compact(F.transform(tables, lambda t: _qualified(t, column(t)))))
+    asked = F.filter("_others", lambda t: F.array_contains("asked", t["key"]))
+    df = settled(df.withColumn("_asked", F.concat(asked, F.filter("_others", lambda t: ~F.array_contains("asked", t["key"])))), "_asked", "steps", "_ordered", "_primary", "_others")
 
+    # filters, each with the table it is about
     category = lambda t: first(
         F.filter(t["cols"], lambda c: (c["family"] == "text") & any_of(c["key"], JOINED_CATEGORY_WORDS))
     )["name"]
-    where = _clause(
-        "WHERE",
-        _comparisons(F.col("involved"), qualify=True),
-        _in_year(of_first(ordered, lambda t: first(t["date"]))),
-        _equals(of_first(ordered, lambda t: _named(t, "status")), F.col("status")),
-        _equals(of_first(ordered, category), first(F.col("value_words"))),
-        sep=" AND ",
+    said_date = lambda t: first(F.filter(t["cols"], lambda c: c["as_date"] & F.array_contains("cols_named", c["key"])))["name"]
+    lead = F.coalesce(first(F.col("measures"))["table"], first(F.filter("involved", lambda t: F.exists(t["cols"], lambda c: c["name"] == F.col("order_col"))))["key"])
+    leading = F.concat(F.filter("_ordered", lambda t: t["key"] == lead), "_ordered")
+    date = F.coalesce(_of_first(ordered, said_date), _of_first(leading, lambda t: first(t["date"])))
+    status = _of_first(leading, lambda t: _named(t, "status"))
+    value = _of_first(ordered, category)
+    cond = lambda table, text: F.struct(table.alias("table"), text.alias("text"))
+    compared = F.transform(
+        "comparisons",
+        lambda c: F.transform(F.array(resolve_numeric(F.col("involved"), c["col"])), lambda f: cond(F.lower(f["table"]), _text(f["table"], ".", f["name"], " ", c["op"], " ", c["number"])))[0],
     )
-    who = F.concat_ws(", ", _qualified(primary, primary["id_col"]), _qualified(primary, primary["name_col"]))
-    number = of_first(others, lambda t: first(t["numeric"]))
-    measure = F.when(F.col("agg_stated"), F.coalesce(number, _qualified(primary, first(primary["numeric"]))))
-    total = F.coalesce(_total(measure), F.when(F.col("agg") == "count", F.lit("COUNT(*)")))
-    alias = F.coalesce(_alias(F.substring_index(measure, ".", -1)), F.lit("count_rows"))
+    plain = F.array(
+        cond(date["table"], _in_year(date["name"])),
+        cond(status["table"], _has_status(status["name"])),
+        cond(value["table"], _equals(value["name"], first(F.col("value_words")))),
+    )
+    df = settled(df.withColumn("_conds", F.filter(F.concat(compared, plain), lambda c: c["text"].isNotNull())), "_conds")
+
+    # totals, each with the table it is taken from
+    number = _of_first(F.col("_asked"), lambda t: first(t["numeric"]))
+    own = F.struct(F.col("_primary.key").alias("table"), _qualified(primary, first(primary["numeric"])).alias("name"))
+    named = F.transform(
+        F.filter("measures", lambda m: F.exists("involved", lambda t: t["key"] == m["table"])),
+        lambda m: F.struct(m["table"].alias("table"), _text(_declared(m["table"]), ".", m["name"]).alias("name")),
+    )
+    some = F.array_compact(F.array(F.coalesce(number, F.when(own["name"].isNotNull(), own))))
+    totals = F.when(F.col("agg_stated") & (F.col("agg") != "count"), F.when(F.size(named) > 0, named).otherwise(some)).otherwise(
+        F.array().cast("array<struct<table:string,name:string>>")
+    )
+    df = settled(df.withColumn("_totals", totals), "_totals")
+    measured = F.array_distinct(
+        F.when(F.size("_totals") > 0, F.transform("_totals", lambda m: m["table"])).otherwise(
+            F.transform(F.filter("_asked", lambda t: F.array_contains("asked", t["key"])), lambda t: t["key"])
+        )
+    )
+    holds_key = lambda s: F.exists(
+        "tables",
+        lambda t: (t["key"] == s["to_table"])
+        & F.exists(t["cols"], lambda c: (c["name"] == s["to_col"]) & ((c["is_fk"] & (F.lower(c["fk_table"]) == s["from_table"])) | (~c["is_pk"] & ~c["is_fk"]))),
+    )
+    df = settled(df.withColumns({"_measured": measured, "_down": F.transform(F.filter("steps", holds_key), lambda s: s["to_table"])}), "_measured", "_down")
+
+    on_path = lambda m: F.flatten(F.transform(F.filter("paths", lambda p: p["to_table"] == m), lambda p: F.transform(p["steps"], lambda s: s["to_table"])))
+    off_path = lambda m: F.size(F.array_except("_down", on_path(m))) > 0
+    fans_out = F.coalesce(F.exists("_measured", off_path), F.lit(False)) & (F.size("_totals") > 0) | (
+        (F.size("_totals") == 0) & (F.size("_measured") > 1) & F.exists("_measured", off_path)
+    )
+    df = settled(df.withColumn("_fans", F.col("agg").isNotNull() & F.coalesce(fans_out, F.lit(False))), "_fans")
+
+    source = _text(primary["name"], F.array_join(F.transform("steps", _step_text), ""))
+    where = _clause("WHERE", F.nullif(F.array_join(F.transform("_conds", lambda c: c["text"]), " AND "), F.lit("")), sep=" AND ")
+    entity = F.concat_ws(", ", _qualified(primary, primary["id_col"]), _qualified(primary, primary["name_col"]))
+    who = F.coalesce(_qualified(primary, F.col("_group.name")), entity)
+    df = settled(df.withColumns({"_source": source, "_where": where, "_who": who}), "_source", "_where", "_who")
+    source, where, who = F.col("_source"), F.col("_where"), F.col("_who")
+
+    alias_of = lambda name: _alias(F.substring_index(name, ".", -1))
+    sums = F.transform("_totals", lambda m: _text(_total(m["name"]), " AS ", alias_of(m["name"])))
+    rows = F.when((F.size("_totals") == 0) & (F.col("agg") == "count"), F.array(F.lit("COUNT(*) AS count_rows"))).otherwise(F.array().cast("array<string>"))
+    lead_alias = F.coalesce(alias_of(first(F.col("_totals"))["name"]), F.when(F.col("agg") == "count", F.lit("count_rows")))
     distinct = F.when(
-        F.col("wants_count"), _text("COUNT(DISTINCT ", of_first(others, lambda t: t["id_col"]), ") AS count_distinct")
+        F.col("wants_count"), _text("COUNT(DISTINCT ", _of_first(F.col("_asked"), lambda t: t["id_col"])["name"], ") AS count_distinct")
     )
+    tie = F.when(F.col("_group.name").isNull(), _tie(primary)).otherwise("")
     aggregate = _text(
         "SELECT ",
-        F.concat_ws(", ", F.nullif(who, F.lit("")), _text(total, " AS ", alias), distinct),
+        F.concat_ws(", ", F.nullif(who, F.lit("")), F.concat(sums, rows), distinct),
         " FROM ",
         source,
         where,
         F.when(who != "", _text(" GROUP BY ", who)).otherwise(""),
-        F.coalesce(F.when(total.isNotNull(), _text(" ORDER BY ", alias, " DESC", _tie(primary))), F.lit("")),
+        F.coalesce(_text(" ORDER BY ", lead_alias, " DESC", tie), F.lit("")),
         _limit(),
     )
-    listed = F.concat_ws(", ", F.nullif(who, F.lit("")), number)
+    listed_number = F.coalesce(first(F.transform(F.filter("measures", lambda m: m["table"] != F.col("_primary.key")), lambda m: _text(_declared(m["table"]), ".", m["name"]))), _of_first(others, lambda t: first(t["numeric"]))["name"])
+    listed = F.concat_ws(", ", F.nullif(entity, F.lit("")), listed_number)
     columns = (
         F.when(F.col("select_all"), "*").when(listed != "", listed).otherwise(_text(primary["name"], ".*"))
     )
-    hinted = of_first(ordered, lambda t: first(F.filter(t["cols"], lambda c: c["name"] == F.col("order_col")))["name"])
-    lead = F.coalesce(hinted, _qualified(primary, first(primary["numeric"])))
+    hinted = _of_first(ordered, lambda t: first(F.filter(t["cols"], lambda c: c["name"] == F.col("order_col")))["name"])["name"]
+    lead_by = F.coalesce(hinted, _qualified(primary, first(primary["numeric"])))
+    worded = _of_first(ordered, lambda t: first(F.filter(t["cols"], lambda c: c["name"] == F.col("text_order")))["name"])["name"]
     listing = _text(
         "SELECT ", columns, " FROM ", source, where,
-        _clause("ORDER BY", _text(lead, _direction(F.col("order_desc")))), _limit(),
+        _clause("ORDER BY", F.coalesce(_text(worded, " ASC"), _text(lead_by, _direction(F.col("order_desc"))))), _limit(),
     )
-    return df.withColumn("_join_sql", F.when(F.col("agg").isNotNull(), aggregate).otherwise(listing))
+    sql = F.when(F.col("_fans"), _added_up(primary, who, tie)).when(F.col("agg").isNotNull(), aggregate).otherwise(listing)
+    unused = F.array(
+        F.when((F.size("years") > 0) & date["name"].isNull(), _said_years()),
+        F.when(status["name"].isNull(), F.col("status")),
+        F.when(F.col("agg").isNotNull(), _text("order by ", F.col("order_col"))),
+        F.when(F.col("agg").isNull() & F.col("text_order").isNull(), _text("by ", F.col("group_col"))),
+    )
+    values = F.slice("value_words", F.when(value["name"].isNull(), 1).otherwise(2), F.lit(1 << 30))
+    lost = F.filter("comparisons", lambda c: resolve_numeric(F.col("involved"), c["col"]).isNull())
+    return df.withColumns({"_join_sql": sql, "_join_unused": F.concat(F.array_compact(unused), values, _said_comparisons(lost))})
+
+
+def _added_up(primary: Column, who: Column, tie: Column) -> Column:
+    """The statement whose totals are added up by key before they meet. Totals of the listed table itself are plain."""
+    agg = F.col("agg")
+    here = F.col("_primary.key")
+    path_of = lambda m: first(F.filter("paths", lambda p: p["to_table"] == m))["steps"]
+    measured = F.filter("_measured", lambda m: m != here)
+    on_paths = F.array_distinct(F.flatten(F.transform(measured, lambda m: F.transform(path_of(m), lambda s: s["to_table"]))))
+    conds = lambda keys: F.transform(F.filter("_conds", lambda c: F.array_contains(keys, c["table"])), lambda c: c["text"])
+    joined = lambda parts, word, sep: F.when(F.size(parts) > 0, _text(f" {word} ", F.array_join(parts, sep))).otherwise("")
+
+    def below(r: Column) -> Column:
+        """Steps beyond the table a step leads to."""
+        return F.filter(
+            "steps",
+            lambda s: (s["to_table"] != r["to_table"]) & F.exists("paths", lambda p: (p["to_table"] == s["to_table"]) & F.exists(p["steps"], lambda x: x["to_table"] == r["to_table"])),
+        )
+
+    def tests(keys: Column) -> Column:
+        """Tables off all ways to totals that hang on one of the given tables, as tests by IN."""
+        off = F.filter("steps", lambda s: F.array_contains(keys, s["from_table"]) & ~F.array_contains(on_paths, s["to_table"]))
+        return F.transform(
+            off,
+            lambda r: _text(
+                _declared(r["from_table"]), ".", r["from_col"], " IN (SELECT ", _declared(r["to_table"]), ".", r["to_col"], " FROM ",
+                _declared(r["to_table"]), F.array_join(F.transform(below(r), _step_text), ""),
+                joined(conds(F.concat(F.array(r["to_table"]), F.transform(below(r), lambda s: s["to_table"]))), "WHERE", " AND "), ")",
+            ),
+        )
+
+    name_of = lambda m: F.substring_index(m["name"], ".", -1)
+    is_avg = agg == "avg"
+    totals_of = lambda m: F.filter("_totals", lambda x: x["table"] == m)
+
+    def cells(m: Column) -> Column:
+        """Totals of a derived table: avg as sum and number, so that they can be added on."""
+        one = lambda x: F.when(
+            is_avg, _text("SUM(", x["name"], ") AS ", _alias(name_of(x)), ", COUNT(", x["name"], ") AS n_", _alias(name_of(x)))
+        ).otherwise(_text(_total(x["name"]), " AS ", _alias(name_of(x))))
+        return F.when(F.size(totals_of(m)) > 0, F.array_join(F.transform(totals_of(m), one), ", ")).otherwise(_text("COUNT(*) AS count_", m))
+
+    def derived(m: Column) -> Column:
+        path = path_of(m)
+        keys = F.transform(path, lambda s: s["to_table"])
+        head = first(path)
+        link = _text(_declared(head["to_table"]), ".", head["to_col"])
+        return _text(
+            F.when(F.size(measured) > 1, " LEFT JOIN (SELECT ").otherwise(" JOIN (SELECT "), link, " AS link, ", cells(m), " FROM ", _declared(head["to_table"]),
+            F.array_join(F.transform(F.slice(path, 2, 1 << 30), _step_text), ""), joined(F.concat(conds(keys), tests(keys)), "WHERE", " AND "),
+            " GROUP BY ", link, ") AS per_", m, " ON ", primary["name"], ".", head["from_col"], " = per_", m, ".link",
+        )
+
+    def outer(m: Column) -> Column:
+        table = _text("per_", m)
+
+        def one(x: Column) -> Column:
+            a = _alias(name_of(x))
+            made = F.when(agg == "avg", _sum_of("avg", a, table)).when(agg == "max", _sum_of("max", a, table)).when(agg == "min", _sum_of("min", a, table)).otherwise(_sum_of("sum", a, table))
+            return _text(made, " AS ", a)
+
+        return F.when(F.size(totals_of(m)) > 0, F.array_join(F.transform(totals_of(m), one), ", ")).otherwise(_text("SUM(", table, ".count_", m, ") AS count_", m))
+
+    plain = F.transform(totals_of(here), lambda x: _text(_total(x["name"]), " AS ", _alias(name_of(x))))
+    lead = F.coalesce(_alias(name_of(first(F.col("_totals")))), _text("count_", first(measured)))
+    return _text(
+        "SELECT ", F.concat_ws(", ", F.nullif(who, F.lit("")), F.concat(plain, F.transform(measured, outer))), " FROM ", primary["name"],
+        F.array_join(F.transform(measured, derived), ""), joined(F.concat(conds(F.array(here)), tests(F.array(here))), "WHERE", " AND "),
+        F.when(who != "", _text(" GROUP BY ", who)).otherwise(""), " ORDER BY ", lead, " DESC", tie, _limit(),
+    )
+
+
+def _said_years() -> Column:
+    return F.array_join(F.transform("years", lambda y: _text("year ", y["op"], " ", y["year"].cast("string"))), ", ")
+
+
+def _said_comparisons(items: Column) -> Column:
+    return F.transform(items, lambda c: F.concat_ws(" ", F.nullif(c["col"], F.lit("")), c["op"], c["number"]))
+
+
+def _unused(t: Column) -> Column:
+    """What a question over one table, a "never" question or one about spend asks for beyond what its draft says."""
+    single = F.col("shape").isin("listing", "aggregate")
+    anti, spend = F.col("shape") == "anti", F.col("shape") == "spend"
+    date = F.when(single, first(t["date"])).when(anti, first(F.col("_via.date"))).otherwise(first(F.col("_orders.date")))
+    status = F.when(single, _named(t, "status")).when(anti, _named(F.col("_via"), "status")).otherwise(_named(F.col("_orders"), "status"))
+    has_col = lambda name: F.exists(t["cols"], lambda c: c["name"] == F.col(name))
+    listing = F.col("shape") == "listing"
+    parts = F.array(
+        F.when((F.size("years") > 0) & date.isNull(), _said_years()),
+        F.when(status.isNull(), F.col("status")),
+        F.when(~(listing & has_col("order_col")), _text("order by ", F.col("order_col"))),
+        F.when(
+            ~((F.col("shape") == "aggregate") & has_col("group_col")) & ~(listing & F.col("text_order").isNotNull()) & ~spend,
+            _text("by ", F.col("group_col")),
+        ),
+        F.when(anti, _text("limit ", F.col("limit_n").cast("string"))),
+    )
+    taken = F.when(single & (F.size(t["category"]) > 0), 2).otherwise(1)
+    lost = F.filter("comparisons", lambda c: ~single | resolve_numeric(F.col("involved"), c["col"]).isNull())
+    return F.concat(F.array_compact(parts), F.slice("value_words", taken, F.lit(1 << 30)), _said_comparisons(lost))
+
+
+def _quoted(sql: Column) -> Column:
+    """The statement with names that are no plain words in quotes: each is replaced by its place first, so that none is quoted inside another."""
+    odd = F.sort_array(
+        F.array_distinct(
+            F.transform(
+                F.filter(F.flatten(F.transform("tables", lambda t: F.concat(F.array(t["name"]), F.transform(t["cols"], lambda c: c["name"])))), lambda n: n.rlike(r"\W|^\d")),
+                lambda n: F.struct(-F.length(n), n.alias("name")),
+            )
+        )
+    )
+    place = lambda i: F.concat(F.lit("\u0002"), i.cast("string"), F.lit("\u0002"))
+    numbered = F.transform(odd, lambda n, i: F.struct(n["name"].alias("name"), place(i).alias("place")))
+    marked = F.aggregate(numbered, sql, lambda text, n: F.replace(text, n["name"], n["place"]))
+    in_quotes = lambda n: F.concat(F.lit('"'), F.replace(n, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.when(F.size(odd) == 0, sql).otherwise(F.aggregate(numbered, marked, lambda text, n: F.replace(text, n["place"], in_quotes(n["name"]))))
 
 
 def draft_sql(corpus: DataFrame, spend_tables: tuple[str, str, str] = SPEND_TABLES) -> DataFrame:
     """One draft per corpus row (row_id, ddl, question): row_id, shape, sql, problem.
 
-    Questions that need a join without a usable key get no statement but the reason.
+    Questions that need a join without a usable key get no statement but the reason. Where a draft leaves out a part of the
+    question that was understood, ``problem`` names that part beside the statement.
     """
     df = with_shape(with_involved(question_features(corpus.select("row_id", "ddl", "question"))), spend_tables)
     df = _spend(_anti(df.withColumn("_t", first(F.col("involved")))), spend_tables)
@@ -411,15 +651,26 @@ def draft_sql(corpus: DataFrame, spend_tables: tuple[str, str, str] = SPEND_TABL
         .when(F.col("shape") == "spend", F.col("_spend_sql"))
     )
     to_join = F.col("shape") == "join"
+    unused = F.when(~to_join, _unused(F.col("_t")))
     # a finished draft keeps its text only, a join question the columns its draft still needs
     staged = settled(
-        df.withColumn("sql", sql).select(
-            "row_id", "shape", "sql", *[F.when(to_join, F.col(c)).alias(c) for c in _JOIN_INPUT]
+        df.withColumns({"sql": sql, "_unused": unused}).select(
+            "row_id", "shape", "sql", "_unused", "tables", *[F.when(to_join, F.col(c)).alias(c) for c in _JOIN_INPUT if c != "tables"]
         ),
         "shape",
         "sql",
+        "_unused",
         *_JOIN_INPUT,
     )
-    drafts = _joined(staged).select("row_id", "shape", F.when(to_join, F.col("_join_sql")).otherwise(F.col("sql")).alias("sql"))
-    problem = F.when(F.col("shape").isNull(), NO_TABLE).when(F.col("sql").isNull(), NO_PATH)
-    return drafts.withColumn("problem", problem)
+    drafts = _joined(staged).select(
+        "row_id",
+        "shape",
+        _quoted(F.when(to_join, F.col("_join_sql")).otherwise(F.col("sql"))).alias("sql"),
+        F.when(to_join, F.col("_join_unused")).otherwise(F.col("_unused")).alias("_left"),
+    )
+    problem = (
+        F.when(F.col("shape").isNull(), NO_TABLE)
+        .when(F.col("sql").isNull(), NO_PATH)
+        .when(F.size("_left") > 0, _text(LEFT_OUT, F.array_join("_left", ", ")))
+    )
+    return drafts.withColumn("problem", problem).drop("_left")

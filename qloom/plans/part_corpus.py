@@ -112,7 +112,7 @@ SETTINGS = {
         question="Show {n} cheapest songs by play count with rating_{n} below {n}.5 since {y}",
         draft=(
             "SELECT song_id, title, genre, play_count, rating_{n}, released FROM songs "
-            "WHERE rating_{n} < {n}.5 AND year(released) = {y} ORDER BY play_count ASC LIMIT {n}"
+            "WHERE rating_{n} < {n}.5 AND year(released) >= {y} ORDER BY play_count ASC LIMIT {n}"
         ),
     ),
 }

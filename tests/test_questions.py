@@ -57,7 +57,7 @@ CASES = [
     (TEAMS, "Find top 7 players of squads in the Sales dept with score over 10",
      "SELECT players.player_id, players.nickname FROM players JOIN squads ON players.squad_id = squads.squad_id WHERE players.score > 10 AND squads.dept = 'Sales' ORDER BY players.score DESC LIMIT 7"),
     (TEAMS, "total score for each squad",
-     "SELECT players.player_id, players.nickname, SUM(players.score) AS sum_score FROM players JOIN squads ON players.squad_id = squads.squad_id GROUP BY players.player_id, players.nickname ORDER BY sum_score DESC"),
+     "SELECT squads.squad_id, squads.squad_name, SUM(players.score) AS sum_score FROM squads JOIN players ON squads.squad_id = players.squad_id GROUP BY squads.squad_id, squads.squad_name ORDER BY sum_score DESC"),
     # a path over a table between
     (CHAIN, "Show the total revenue of regions",
      "SELECT regions.region_id, regions.region_name, SUM(shops.revenue) AS total_revenue FROM regions JOIN towns ON regions.region_id = towns.region_id JOIN shops ON towns.town_id = shops.town_id GROUP BY regions.region_id, regions.region_name ORDER BY total_revenue DESC"),
