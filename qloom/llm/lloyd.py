@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from qloom.llm.shared import cut
+from qloom.llm.shared import cut, in_place, placed
 from qloom.sources.tables import scan
 
 CLUSTERS = 8
@@ -56,8 +56,7 @@ def column_blocks(distinct: DataFrame, width: int, block: int) -> DataFrame:
     """(block, vec, part, n): each vector's slices, dealt by block and vector and kept in that order."""
     slices = F.transform(F.sequence(F.lit(0), F.lit((width - 1) // block)), lambda b: F.struct(b.alias("block"), F.slice("x", b * block + 1, block).alias("part")))
     rows = distinct.select("vec", "n", F.explode(slices).alias("s")).select("s.block", "vec", "s.part", "n")
-    tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut(rows.repartition(tasks, "block", "vec").sortWithinPartitions("block", "vec"))
+    return in_place(placed(rows, "block", "vec"))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:

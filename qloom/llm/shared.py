@@ -38,6 +38,27 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def in_place(df: DataFrame) -> DataFrame:
+    """The same rows cut, remembered as lying where they lie, for joins and groupings by the keys they are dealt and sorted by.
+
+    A checkpoint remembers that only if its plan was fixed before it ran, so this one is.
+    """
+    conf, adaptive = df.sparkSession.conf, "spark.sql.adaptive.enabled"
+    before = conf.get(adaptive)
+    conf.set(adaptive, "false")
+    try:
+        # planned anew under the setting
+        return cut(df.select("*"))
+    finally:
+        conf.set(adaptive, before)
+
+
+def placed(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows dealt by the keys and sorted by them: with ``in_place``, later joins by these keys move the other side alone."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys).sortWithinPartitions(*keys)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared root, as a URI that pyarrow reads too."""
     folder = work_folder(spark, name)
