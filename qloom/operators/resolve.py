@@ -12,123 +12,259 @@ from qloom.functions.ddl import first, with_tables
 from qloom.functions.stages import settled
 from qloom.operators.evaluation import rate
 
-# Words of the language that are never reported as names.
+# Words of the language that are never reported as names.
 KEYWORDS = (
-    "all and any as asc between by case cast cross current_date current_timestamp desc distinct else end escape "
-    "except exists false first from full group having in inner intersect interval is join last left like limit "
-    "natural not null nulls offset on or order outer right select some then true union using values when where with"
+    "all and any as asc between by case cast cross current_date current_time current_timestamp desc distinct else end escape "
+    "except exists false fetch filter first for from full group having ilike in inner intersect interval into is join last lateral left like limit "
+    "natural next not null nulls offset on only or order outer over qualify recursive right rows select some then ties true union using values when "
+    "where window with within"
 ).split()
+# words of a window's definition
+WINDOW_WORDS = "partition rows range groups preceding following current row unbounded exclude no others order by".split()
+CAST_FUNCTIONS = ("cast", "try_cast", "safe_cast", "convert")
+LITERAL_TYPES = ("date", "time", "timestamp", "interval")
+# End of fixed values.
 
-_NOISE = r"(?s)'[^']*'|--[^\n]*|/\*.*?\*/"
-_AFTER_SOURCES = (
-    "where|group|order|having|limit|join|inner|left|right|full|cross|natural|on|using|union|intersect|except"
+_TOKEN = (
+    r"""(?s)'(?:[^']|'')*'|--[^\n]*|/\*.*?\*/|"(?:[^"]|"")*"|`(?:[^`]|``)*`|\[[^\[\]\d][^\[\]]*\]|[\p{L}_][\p{L}\p{N}_$]*|\d[\p{L}\p{N}_.]*|::|[^\s\w]"""
 )
-_SOURCES = rf"(?s)\b(?:from|join)\s+([^()]*?)(?=\b(?:{_AFTER_SOURCES})\b|[();]|$)"
-_SOURCE = r"^(?:\w+\.)*(\w+)(?:\s+(?:as\s+)?(\w+))?"
-_QUALIFIED = r"(?<![\w.])([a-z_]\w*)\.([a-z_]\w*)"
-# names that a WITH clause declares
-_DECLARED = r"(?:\bwith\s+(?:recursive\s+)?|\)\s*,\s*)([a-z_]\w*)\s*(?:\([^()]*\)\s*)?as\s+(?:(?:not\s+)?materialized\s+)?\("
-# an alias without AS: two words, or a bracket and a word, before a comma or FROM
-_SILENT_ALIAS = r"(\w+|\))\s+([a-z_]\w*)\s*(?=,|\bfrom\b)"
-_BARE = r"(?<![\w.])([a-z_]\w*)(?!\w)(?!\s*[(.])"
+_SUBQUERY = "("
+_LEVEL = "struct<scope:int,root:int,kind:string,infrom:boolean,src:int>"
+_STATE = {
+    "now": _LEVEL, "stack": f"array<{_LEVEL}>", "parents": "array<int>", "outer": "array<int>", "prev": "string", "prev2": "string", "last": "string",
+    "with_depth": "int", "want": "boolean", "union": "boolean", "sources": "array<struct<scope:int,name:string,alias:string>>",
+    "names": "array<struct<scope:int,kind:string,name:string>>", "refs": "array<struct<scope:int,of:string,col:string>>",
+}
 
 
-def _keywords() -> Column:
-    return F.array(*map(F.lit, KEYWORDS))
+def _struct(kind: str, *values) -> Column:
+    fields = [f.split(":")[0] for f in kind[len("struct<") : -1].split(",")]
+    return F.struct(*[(v if isinstance(v, Column) else F.lit(v)).alias(f) for f, v in zip(fields, values)]).cast(kind)
+
+
+def _all_but_last(items: Column) -> Column:
+    return F.slice(items, F.lit(1), F.greatest(F.size(items) - 1, F.lit(0)))
+
+
+def _words_of(sql: Column) -> Column:
+    """Lower-case tokens: names without their quotes, a quote for a string, no comments."""
+    raw = F.filter(F.regexp_extract_all(F.lower(sql), F.lit(_TOKEN), F.lit(0)), lambda t: ~t.rlike(r"^(?:--|/\*)"))
+    inner = lambda t: F.regexp_replace(F.substring(t, F.lit(2), F.length(t) - 2), r'""|``', '"')
+    return F.transform(raw, lambda t: F.when(F.startswith(t, F.lit("'")), "'").when(t.rlike(r"^[\"`]|^\[."), inner(t)).otherwise(t))
+
+
+def _read(sql: Column) -> Column:
+    """Scopes, sources, declared names and references of a statement, by one fold over its words.
+
+    Every SELECT has a scope of its own whose parent is the one around its bracket; brackets of other kinds (functions, casts,
+    windows, lists of columns) keep the scope. A level of brackets knows whether it is in a FROM clause, and whether a
+    source (1), its alias (2) or the rest of a dotted name (3) is due.
+    """
+    level = _struct(_LEVEL, 0, 0, "select", False, 0)
+    empty = {"string": F.lit(""), "boolean": F.lit(False), "int": F.lit(-1), _LEVEL: level}
+    start = F.struct(
+        *[(F.array(F.lit(-1)) if f in ("parents", "outer") else empty.get(k, F.array())).cast(k).alias(f) for f, k in _STATE.items()]
+    )
+    done = F.aggregate(_words_of(sql), start, _step)
+    return F.struct(*[done[f].alias(f) for f in ("parents", "outer", "sources", "names", "refs")])
+
+
+def _step(s: Column, t: Column) -> Column:
+    now, prev, last = s["now"], s["prev"], s["last"]
+    kind, src = now["kind"], now["src"]
+    scope = now["scope"]
+    keyword = t.isin(*KEYWORDS)
+    ident = t.rlike(r"^[\p{L}_]|\W.|^\d+[\p{L}_]") & ~keyword & (t != "::") & ~t.rlike(r"^[\d.]+$")
+    opens, closes, selects = t == "(", t == ")", t == "select"
+    back = F.try_element_at(s["stack"], F.lit(-1))
+    in_select = kind == "select"
+    depth = F.size(s["stack"])
+    # what a name is, the first that holds
+    window_word = (kind == "window") & t.isin(*WINDOW_WORDS)
+    due = F.when(~ident | window_word, "")
+    due = (
+        due.when(s["want"], "cte")
+        .when(kind == "list", "name")
+        .when((kind == "cast") & (prev == "as") | (last == "type"), "type")
+        .when((prev == "::") | (prev == "over") | ((kind == "extract") & (prev == "(")), "type")
+        .when((prev == ".") & (src == 3), "rest")
+        .when(prev == ".", "column")
+        .when(in_select & (src == 1), "source")
+        .when(in_select & (src == 2), "alias")
+        .when((prev == "window") | ((last == "windows") & (prev == ",")), "window")
+        .when((prev == "as") & (kind != "cast"), "name")
+        .when(in_select & (last.isin("ref", "name") | prev.isin(")", "'", "end") | prev.rlike(r"^\d")), "name")
+        .otherwise("ref")
+    )
+    is_due = lambda *w: due.isin(*w)
+    called = opens & (last == "ref")
+    literal = (t == "'") & (last == "ref") & prev.isin(*LITERAL_TYPES)
+    refs = (
+        F.when(is_due("ref"), F.concat(s["refs"], F.array(_ref(scope, F.lit(""), t))))
+        .when(is_due("column") & (last == "ref"), F.concat(_all_but_last(s["refs"]), F.array(_ref(scope, s["prev2"], t))))
+        .when(called | literal, _all_but_last(s["refs"]))
+        .otherwise(s["refs"])
+    )
+    one = F.try_element_at(s["sources"], F.lit(-1))
+    source = lambda sc, name, alias: F.array(_struct("struct<scope:int,name:string,alias:string>", sc, name, alias))
+    derived = closes & (back["src"] == 1) & in_select
+    sources = (
+        F.when(is_due("source"), F.concat(s["sources"], source(scope, t, "")))
+        .when(is_due("rest"), F.concat(_all_but_last(s["sources"]), source(one["scope"], t, "")))
+        .when(is_due("alias"), F.concat(_all_but_last(s["sources"]), source(one["scope"], one["name"], t)))
+        .when(derived, F.concat(s["sources"], source(back["scope"], _SUBQUERY, "")))
+        # a table function
+        .when(opens & in_select & (src == 2) & (last == "source"), F.concat(_all_but_last(s["sources"]), source(one["scope"], _SUBQUERY, "")))
+        .otherwise(s["sources"])
+    )
+    declares = F.when(is_due("cte"), "cte").when(is_due("name", "window"), "name")
+    names = F.when(declares.isNotNull(), F.concat(s["names"], F.array(_struct("struct<scope:int,kind:string,name:string>", scope, declares, t)))).otherwise(s["names"])
+
+    nested = (selects | (t == "with")) & (prev == "(")
+    beside = selects & ~nested & s["union"]
+    parent = F.when(nested, scope).otherwise(F.get(s["parents"], scope))
+    parents = F.when(nested | beside, F.concat(s["parents"], F.array(parent))).otherwise(s["parents"])
+    # a subquery that is a source, or declared by WITH, doesn't see the sources around it
+    apart = nested & ((back["src"] == 1) | (s["with_depth"] == depth - 1))
+    beyond = F.when(nested & ~apart, scope).otherwise(F.get(s["outer"], scope))
+    outer = F.when(nested | beside, F.concat(s["outer"], F.array(beyond))).otherwise(s["outer"])
+    new_scope = F.size(s["parents"])
+    inner_kind = (
+        F.when((prev == "over") | ((prev == "as") & (last == "windows")), "window")
+        .when(prev.isin(*CAST_FUNCTIONS), "cast")
+        .when(prev == "extract", "extract")
+        .when(last.isin("cte", "alias"), "list")
+        .otherwise("bracket")
+    )
+    ends_from = t.isin("where", "group", "having", "order", "limit", "window", "union", "except", "intersect", "qualify", "offset", "fetch")
+    new_src = (
+        F.when((t == "from") | (t == "join") | ((t == ",") & now["infrom"]), 1)
+        .when(ends_from | t.isin("on", "using"), 0)
+        .when(is_due("source", "rest"), 2)
+        .when((t == ".") & (src == 2) & last.isin("source", "rest"), 3)
+        .when(is_due("alias"), 0)
+        .otherwise(src)
+    )
+    new_now = (
+        F.when(opens, _struct(_LEVEL, scope, scope, inner_kind, False, 0))
+        # what closed was the source that a FROM clause waited for
+        .when(closes, F.when(back["src"] == 1, _struct(_LEVEL, back["scope"], back["root"], back["kind"], back["infrom"], 2)).otherwise(back))
+        .when(nested, _struct(_LEVEL, new_scope, new_scope, "select", False, 0))
+        .when(beside, _struct(_LEVEL, new_scope, now["root"], "select", False, 0))
+        .when(selects, _struct(_LEVEL, scope, now["root"], "select", False, 0))
+        # an ORDER BY after UNION speaks of the first SELECT's columns
+        .when(in_select, _struct(_LEVEL, F.when(t == "order", now["root"]).otherwise(scope), now["root"], kind, F.when(ends_from, False).when(t == "from", True).otherwise(now["infrom"]), new_src))
+        .otherwise(now)
+    )
+    with_ = (t == "with") & prev.isin("", "(", ";")
+    listed = (s["with_depth"] == depth) & (t == ",") & (now["infrom"] == F.lit(False))
+    new_last = (
+        F.when(ident, F.when(due == "column", "ref").when(due == "window", "windows").otherwise(due))
+        .when((t == "interval") | literal & (prev == "interval") | ((last == "interval") & t.rlike(r"^\d")), F.when(t == "interval", "interval").otherwise("type"))
+        .when((t == ".") & last.isin("ref", "source", "rest"), last)
+        .when((last == "windows") & (t.isin("as", ",")), "windows")
+        .when(closes & (kind == "window") & (back["kind"] == "select") & (s["prev2"] != "over"), "windows")
+        .when((last == "cte") & (t == "as"), "")
+        .otherwise("")
+    )
+    new = {
+        "now": new_now,
+        "stack": F.when(opens, F.concat(s["stack"], F.array(now))).when(closes, _all_but_last(s["stack"])).otherwise(s["stack"]),
+        "parents": parents,
+        "outer": outer,
+        "prev": t,
+        # of a dotted name the part before the dot
+        "prev2": F.when(t == ".", prev).otherwise(F.when(prev == ".", s["prev2"]).otherwise(prev)),
+        "last": new_last,
+        "with_depth": F.when(with_, depth).when(selects & (s["with_depth"] == depth), -1).otherwise(s["with_depth"]),
+        "want": F.when(with_ | listed, True).when(t == "recursive", s["want"]).otherwise(False),
+        "union": F.when(t.isin("union", "except", "intersect"), True).when(selects, False).otherwise(s["union"]),
+        "sources": sources,
+        "names": names,
+        "refs": refs,
+    }
+    # a bracket that closes too often changes nothing
+    return F.when(closes & (depth == 0), s).otherwise(F.struct(*[new[f].cast(k).alias(f) for f, k in _STATE.items()]))
+
+
+def _ref(scope: Column, of: Column, col: Column) -> Column:
+    return _struct("struct<scope:int,of:string,col:string>", scope, of, col)
 
 
 def with_unresolved(df: DataFrame, sql: str = "generated", ddl: str = "ddl") -> DataFrame:
     """Add ``unresolved``: the unknown names as (kind 'table' or 'column', name), and ``tables``.
 
-    Aliases are followed to their tables. Where a table is unknown, a subquery or declared by WITH, loose column
-    names may be its own and are not counted against the statement.
+    Names count in the scope of their SELECT and in those nested in it: sources and their aliases, names declared by WITH or
+    WINDOW, and the names a SELECT gives its columns. Where a source is unknown, a subquery or declared by WITH, loose column names
+    may be its own and are not counted against the statement.
     """
     df = with_tables(df, ddl)
-    df = df.withColumn("_sql", F.lower(F.regexp_replace(F.regexp_replace(F.col(sql), _NOISE, " "), r'["`\[\]]', "")))
-    text = F.col("_sql")
-    listed = F.flatten(F.transform(F.regexp_extract_all(text, F.lit(_SOURCES), F.lit(1)), lambda s: F.split(s, ",")))
-    sources = F.transform(
-        F.transform(listed, lambda s: F.trim(F.regexp_replace(s, r"\s+", " "))),
-        lambda s: F.struct(F.regexp_extract(s, _SOURCE, 1).alias("name"), F.regexp_extract(s, _SOURCE, 2).alias("alias")),
-    )
-    df = df.withColumns(
-        {
-            "_sources": F.filter(sources, lambda s: s["name"] != ""),
-            "_derived": F.regexp_extract_all(text, F.lit(r"\)\s+(?:as\s+)?([a-z_]\w*)\b(?!\s*\()"), F.lit(1)),
-            "_nested": text.rlike(r"\b(?:from|join)\s*\("),
-            "_shown": F.concat(
-                F.regexp_extract_all(text, F.lit(r"\bas\s+(\w+)"), F.lit(1)),
-                F.transform(
-                    F.filter(
-                        F.regexp_extract_all(text, F.lit(_SILENT_ALIAS), F.lit(0)),
-                        lambda m: ~F.array_contains(_keywords(), F.regexp_extract(m, r"^(\w+|\))", 1))
-                        | F.startswith(m, F.lit("end")),
-                    ),
-                    lambda m: F.regexp_extract(m, r"(\w+)\s*$", 1),
-                ),
-            ),
-            "_declared": F.regexp_extract_all(text, F.lit(_DECLARED), F.lit(1)),
-            "_pairs": F.transform(
-                F.regexp_extract_all(text, F.lit(_QUALIFIED), F.lit(0)),
-                lambda m: F.struct(
-                    F.regexp_extract(m, _QUALIFIED, 1).alias("of"), F.regexp_extract(m, _QUALIFIED, 2).alias("col")
-                ),
-            ),
-            "_loose": F.array_distinct(
-                F.regexp_extract_all(
-                    F.regexp_replace(F.regexp_replace(text, _SOURCES, " "), _QUALIFIED, " "), F.lit(_BARE), F.lit(1)
-                )
+    df = settled(df.withColumn("_read", _read(F.coalesce(F.col(sql), F.lit("")))), "_read")
+    df = df.withColumns({f"_{f}": F.col(f"_read.{f}") for f in ("parents", "outer", "sources", "names", "refs")}).drop("_read")
+
+    def chains(up: str) -> Column:
+        """Each scope with those around it."""
+        return F.transform(
+            up,
+            lambda p, i: F.aggregate(
+                up, F.array(i), lambda chain, _: F.when(F.element_at(chain, -1) < 0, chain).otherwise(F.concat(chain, F.array(F.get(up, F.element_at(chain, -1)))))
             ),
-            "_keys": F.transform("tables", lambda t: t["key"]),
-        }
+        )
+
+    df = df.withColumns({"_around": chains("_parents"), "_view": chains("_outer")}).drop("_outer")
+    df = settled(df, "_around", "_view", "_sources", "_names", "_refs", "_parents")
+
+    def seen_from(scope: Column, source: Column) -> Column:
+        return F.array_contains(F.get("_view", scope), source["scope"])
+
+    def declared(source: Column) -> Column:
+        return F.exists("_names", lambda n: (n["kind"] == "cte") & (n["name"] == source["name"]) & F.array_contains(F.get("_around", source["scope"]), n["scope"]))
+
+    # of each source: its columns, null where they aren't known
+    sources = F.transform(
+        "_sources",
+        lambda s: F.struct(
+            s["scope"].alias("scope"),
+            s["name"].alias("name"),
+            s["alias"].alias("alias"),
+            (s["name"] == _SUBQUERY).alias("derived"),
+            declared(s).alias("declared"),
+            F.when(
+                (s["name"] != _SUBQUERY) & ~declared(s),
+                first(F.transform(F.filter("tables", lambda t: t["key"] == s["name"]), lambda t: F.transform(t["cols"], lambda c: c["key"]))),
+            ).alias("cols"),
+        ),
     )
-    names = F.transform("_sources", lambda s: s["name"])
-    unknown = F.array_distinct(F.array_except(names, F.array_union("_keys", "_declared")))
-    used = F.filter("tables", lambda t: F.array_contains(names, t["key"]))
-    df = df.withColumns(
-        {
-            "_unknown": unknown,
-            "_columns": F.flatten(F.transform(used, lambda t: F.transform(t["cols"], lambda c: c["key"]))),
-            "_aliases": F.array_except(
-                F.flatten(F.transform("_sources", lambda s: F.array(s["name"], s["alias"]))), F.array(F.lit(""))
-            ),
-            "_derived": F.array_union(F.array_except("_derived", _keywords()), F.col("_declared")),
-        }
+    df = settled(df.withColumn("_known", sources), "_known")
+    unknown = F.array_distinct(
+        F.transform(F.filter("_known", lambda s: s["cols"].isNull() & ~s["derived"] & ~s["declared"]), lambda s: s["name"])
     )
-    df = settled(df.drop("_sql", "_keys"), *[c for c in df.columns if c.startswith("_") and c not in ("_sql", "_keys")])
-
-    def table_of(qualifier: Column) -> Column:
-        """Name of the table behind a qualifier."""
-        return first(F.filter("_sources", lambda s: (s["alias"] == qualifier) | (s["name"] == qualifier)))["name"]
 
-    def has_column(pair: Column) -> Column:
-        table = table_of(pair["of"])
-        return F.exists("tables", lambda t: (t["key"] == table) & F.exists(t["cols"], lambda c: c["key"] == pair["col"]))
+    def behind(r: Column) -> Column:
+        """Sources that a reference's qualifier may mean."""
+        return F.filter("_known", lambda s: seen_from(r["scope"], s) & ((s["alias"] == r["of"]) | (s["name"] == r["of"])))
 
-    outside = lambda name: ~F.array_contains("_aliases", name) & ~F.array_contains("_derived", name)
-    strange = F.filter("_pairs", lambda p: outside(p["of"]) & ~F.array_contains("_aliases", p["col"]))
+    strange = F.filter("_refs", lambda r: (r["of"] != "") & (F.size(behind(r)) == 0))
     missing = F.filter(
-        "_pairs",
-        lambda p: F.array_contains("_aliases", p["of"]) & ~F.array_contains("_unknown", table_of(p["of"]))
-        & ~F.array_contains("_declared", table_of(p["of"])) & ~has_column(p),
+        "_refs",
+        lambda r: (r["of"] != "") & (F.size(behind(r)) > 0) & F.forall(behind(r), lambda s: s["cols"].isNotNull() & ~F.array_contains(s["cols"], r["col"])),
     )
+    same_level = lambda r, n: (n["scope"] == r["scope"]) | (F.get("_parents", n["scope"]) == F.get("_parents", r["scope"]))
     loose = F.filter(
-        "_loose",
-        lambda w: outside(w)
-        & ~F.array_contains(_keywords(), w)
-        & ~F.array_contains("_shown", w)
-        & ~F.array_contains("_columns", w),
+        "_refs",
+        lambda r: (r["of"] == "")
+        & ~F.exists("_known", lambda s: seen_from(r["scope"], s) & (s["cols"].isNull() | F.array_contains(s["cols"], r["col"]) | (s["alias"] == r["col"]) | (s["name"] == r["col"])))
+        & ~F.exists("_names", lambda n: (n["kind"] == "name") & (n["name"] == r["col"]) & same_level(r, n)),
     )
-    whole = (F.size("_unknown") == 0) & ~F.col("_nested") & (F.size("_declared") == 0)
 
     def of_kind(kind: str, items: Column) -> Column:
         return F.transform(items, lambda n: F.struct(F.lit(kind).alias("kind"), n.alias("name")))
 
     found = F.concat(
-        of_kind("table", F.col("_unknown")),
-        of_kind("table", F.transform(strange, lambda p: p["of"])),
-        of_kind("column", F.transform(missing, lambda p: p["col"])),
-        of_kind("column", F.when(whole, loose).otherwise(F.array().cast("array<string>"))),
+        of_kind("table", unknown),
+        of_kind("table", F.transform(strange, lambda r: r["of"])),
+        of_kind("column", F.transform(missing, lambda r: r["col"])),
+        of_kind("column", F.transform(loose, lambda r: r["col"])),
     )
     done = df.withColumn("unresolved", F.array_distinct(found))
     return settled(done.drop(*[c for c in done.columns if c.startswith("_")]), "unresolved")

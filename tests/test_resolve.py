@@ -29,6 +29,30 @@ CASES = [
     ("SELECT name who, count(*) total FROM head GROUP BY name ORDER BY total, who", []),
     ("SELECT CASE WHEN born > 1 THEN 1 ELSE 0 END flag, name FROM head ORDER BY flag", []),
     ("SELECT DISTINCT ghost FROM head", [("column", "ghost")]),
+    # fields, casts, literals and windows
+    ("SELECT EXTRACT(YEAR FROM born) FROM head", []),
+    ("SELECT EXTRACT(YEAR FROM ghost) FROM head", [("column", "ghost")]),
+    ("SELECT born::date, name::varchar(5) FROM head WHERE born > DATE '2020-01-01' + INTERVAL '1' DAY", []),
+    ("SELECT SUM(id) OVER (PARTITION BY name ORDER BY born ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS s FROM head", []),
+    ("SELECT rank() OVER w FROM head WINDOW w AS (PARTITION BY ghost ORDER BY born DESC)", [("column", "ghost")]),
+    ("SELECT CAST(ghost AS decimal(9, 2)) FROM head", [("column", "ghost")]),
+    ("SELECT trim(both ' ' from name) FROM head", [("column", "both")]),
+    # every SELECT has its own names, and those around it
+    ("SELECT name FROM head WHERE id IN (SELECT t.head_id FROM management t) AND t.acting", [("table", "t")]),
+    ("SELECT name FROM head WHERE EXISTS (SELECT 1 FROM management m WHERE m.head_id = head.id AND born > 1)", []),
+    ("SELECT head_id FROM head WHERE id IN (SELECT head_id FROM management)", [("column", "head_id")]),
+    ("SELECT h.name FROM head h WHERE h.id = (SELECT max(h.head_id) FROM management h)", []),
+    ("SELECT (SELECT n.ghost FROM management n) FROM head", [("column", "ghost")]),
+    ("SELECT name FROM head UNION ALL SELECT department_id FROM management ORDER BY name", []),
+    ("SELECT name FROM head UNION SELECT name FROM management", [("column", "name")]),
+    ("SELECT x.k FROM (SELECT id AS k FROM head) x JOIN management ON head_id = x.k", []),
+    ("SELECT a.name FROM head a, (SELECT head_id FROM management) b WHERE a.id = b.head_id", []),
+    ("WITH a AS (SELECT ghost FROM head), b AS (SELECT x FROM a) SELECT x FROM b", [("column", "ghost")]),
+    ("WITH RECURSIVE r (k) AS (SELECT id FROM head UNION ALL SELECT k FROM r) SELECT k FROM r", []),
+    ("SELECT name FROM (WITH a AS (SELECT name FROM head) SELECT name FROM a) s; SELECT a.name FROM a", [("table", "a")]),
+    ("SELECT \"name\" FROM \"Head\" ORDER BY [born]", []),
+    ("SELECT count(*) FILTER (WHERE born > 1) FROM head GROUP BY ROLLUP (name)", []),
+    ("SELECT name FROM head)) WHERE ghost", [("column", "ghost")]),
     ("", []),
 ]
 
