@@ -1,24 +1,30 @@
 """Main text of web pages by equivalence classes of template tokens.
 
-A page is read as containers (block elements that hold others, named by tag, class and id, each with the path of
-containers around it) and the text blocks inside them. Tokens are the containers' openings and the text blocks
-outside articles. For all pages of a host, a token's occurrence vector is how often it occurs on each page; it is kept as
-a count and a sum of hashes of (page, times), which is combined before it moves, so that a host of any size is one row per
-token and task. Tokens with equal vectors are an equivalence class. A class is valid if it occurs on at least
-``support`` of the host's pages (and on two pages or more); the valid classes, nested by the paths of their containers, are
-the host's template. Text blocks that belong to valid classes are the template's own words. What remains are the slots.
-
-The main slot of a host is decided once from the template: its article or main container, else the innermost
-container that holds all slots, but those in containers whose tags or names tell them to be a menu, header, footer, sidebar,
-notice, advert, form or comments. A name counts whole or by its last part, and never on a container that holds an article,
-a main element or most of the page's text. Inside the main slot, such containers are left out as well. A page that lacks the host's main slot, and a host
-without a template (one page only), is read by the same rules from the page alone. Words of the template are
-left out only where the main slot is no article: an article that a host repeats is still its text.
+A page is read as containers (block elements that hold others) and the text blocks in them. A container's token
+is its chain of tags and names with its place among siblings of one name, so that siblings are told apart. A text block
+outside articles is a token by its container and words. For all pages of a host, a token's occurrence vector says on which
+pages it is, how often; it is kept as a count and a sum of hashes of (page, times), which is combined before it moves, so that a host
+of any size is one row per token and task. Tokens with equal vectors are an equivalence class. A class is valid if it occurs on at
+least ``support`` of the host's pages (and on two pages or more). The valid classes, each in the order of its tokens on the page, nested where
+one's containers enclose another's, are the host's template; text blocks of valid classes are the template's own words.
+
+What lies directly in a template's container, or below it in containers that are no part of the template, is a slot. A slot
+holds data if its text varies: it has more than half as many different contents as the host has different pages. Menus, headers and footers repeat, so they are no data, whatever their tags
+and names. Where several slots vary, tags and names decide between them: slots in an article or main element go before others,
+containers without a telling tag, name or heading are no data beside a slot with ``BESIDE`` times as long texts, and slots in elements that tell by tag, role or name to be a menu, header, footer, sidebar, notice, advert, form or comments
+are left out, inside articles too. The text of a page is that of its data slots and of containers that the template doesn't know, less the
+template's own words outside articles: an article that a host repeats is still its text.
+
+Where a host has no slot that varies (one page, or copies of one), or a page lacks its data slots, the page is read alone: its article
+or main element, else the innermost container that holds all text outside the frame. A name frames whole, by its last part, or
+by its first part before a word like "box", but never what holds an article, a main element or most of the page's text; an article or
+main element with a frame's whole name ("comment") is no main element.
 
 Scripts, styles, comments and markup are never text; character references are decoded once; white space inside a block
 becomes one space; blocks are joined by one space in page order. Null and empty pages give an empty text, a page without
 any container but with text gives that text; URLs without a host, null ones too, count as one host each page. Unclosed and stray tags are
-tolerated; repeated rows and page ids are rows each; very long pages are read whole.
+tolerated, what follows a tag cut off by the page's end is no text; repeated rows and page ids are rows each; very long pages are read whole, in
+time that grows with their length.
 """
 
 from __future__ import annotations
@@ -39,241 +45,431 @@ SUPPORT = 0.5
 # hosts' templates up to so many rows are broadcast; more are shuffled
 BROADCAST_HOSTS = 20_000
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|math|iframe|object|canvas|textarea|select)\b[^>]*?(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
-    r"|<(?P<end>/)?(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>",
-    re.S | re.I,
-)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+_OPEN = re.compile(r"<(?:!--|!\[CDATA\[|[!?]|/?[a-zA-Z])", re.I)
+_TAG_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+# one attribute with its value, or what may stand between attributes; never backtracks over what it has read
+_ATTRIBUTE = re.compile(r"[\s/]*([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*)?))?")
+# elements whose content is no text; those of the first line reach to the page's end if they aren't closed
+_SWALLOWS = frozenset("script style".split())
+_RAW = _SWALLOWS | frozenset("noscript template svg math iframe object canvas textarea select".split())
+_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# elements that the start of another block, or of one of their kind, ends
+_IMPLIED = {"p": None, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}, "option": {"option"}}
 CONTAINERS = frozenset("html head body div section article main nav header footer aside form ul ol dl table menu dialog fieldset figure details".split())
 # elements that end a block of text where they start or end
 BLOCKS = CONTAINERS | frozenset(
     "p h1 h2 h3 h4 h5 h6 li dt dd tr td th thead tbody tfoot caption blockquote pre hr br figcaption summary address center title option legend label button".split()
 )
 _SKIPPED_TAGS = frozenset("head nav header footer aside form menu dialog button".split())
-_SKIPPED_NAME = re.compile(
-    r"^(?P<before>.*-|)(?:nav|navbar|navigation|menu|header|masthead|footer|sidebar|side|aside|ad|ads|advert|adverts|advertisement|"
-    r"sponsor|sponsored|promo|banner|notice|cookie|cookies|consent|gdpr|popup|modal|newsletter|subscribe|signup|login|form|search|"
-    r"comment|comments|respond|disqus|discussion|reply|replies|share|sharing|social|related|recommended|breadcrumb|breadcrumbs|"
-    r"pagination|pager|widget|toolbar|tags|hidden|copyright|legal)$"
+_FRAME_WORDS = (
+    "nav|navbar|navigation|menu|header|masthead|footer|sidebar|side|aside|ad|ads|advert|adverts|advertisement|"
+    "sponsor|sponsored|promo|banner|notice|cookie|cookies|consent|gdpr|popup|modal|newsletter|subscribe|signup|login|form|search|"
+    "comment|comments|commentlist|respond|disqus|discussion|reply|replies|share|sharing|social|related|recommended|breadcrumb|breadcrumbs|"
+    "pagination|pager|widget|toolbar|tags|hidden|copyright|legal"
+)
+_SKIPPED_NAME = re.compile(rf"^(?P<before>.*-|)(?:{_FRAME_WORDS})$")
+_SKIPPED_START = re.compile(
+    r"^(?:ad|ads|advert|advertisement|sponsor|sponsored|cookie|cookies|consent|newsletter|subscribe|comment|comments|reply|share|sharing|social|"
+    r"related|recommended|breadcrumb|breadcrumbs|popup|sidebar|nav|menu|footer)-(?:slot|box|container|wrapper|wrap|unit|block|area|list|section|bar|links?|items?|"
+    r"buttons?|inner|top|bottom|left|right|text|\d+)$"
 )
 _MAIN = ("article", "main")
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# a plain container is no data slot beside one whose texts are so many times as long
+BESIDE = 8
 _SPACE = re.compile(r"\s+")
 
 
-def _names(attributes: str) -> tuple[list[str], bool]:
+def _names(attributes: list[tuple[str, str]]) -> tuple[list[str], bool]:
     """(class and id names, whether the element is hidden or has a role of the page's frame)."""
     names: list[str] = []
     framed = False
-    for m in _ATTRIBUTE.finditer(attributes):
-        key, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
+    for key, value in attributes:
+        value = value.lower()
         if key in ("class", "id"):
             names += re.sub(r"[_\s]+", " ", value.replace("_", "-").replace("--", "-")).split()
         elif key == "role":
             framed |= value in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "menu", "dialog", "alert")
         elif key == "hidden":
-            framed |= "hidden" not in value or value == "hidden"
+            framed |= value != "until-found"
         elif key == "aria-hidden":
             framed |= value == "true"
-        elif "display:none" in value.replace(" ", ""):
+        elif key == "style" and "display:none" in value.replace(" ", ""):
             framed = True
     return names, framed
 
 
+_TOLD = frozenset("class id role hidden aria-hidden style".split())
+
+
+def _tags_of(source: str) -> Iterator[tuple[int, int, str, bool, bool, list[tuple[str, str]]]]:
+    """(start, end, tag, whether it ends an element, whether it closes itself, attributes that tell something) of each tag.
+
+    Comments, declarations and elements without text are one span with an empty tag. Reads on where a span ended, and looks for an end
+    that isn't there once, so that time grows with the length.
+    """
+    at, size = 0, len(source)
+    lower: str | None = None
+    lacks: set[str] = set()
+    while True:
+        m = _OPEN.search(source, at)
+        if not m:
+            return
+        start, opened = m.start(), m[0].lower()
+        if opened in ("<!--", "<![cdata[", "<!", "<?"):
+            mark = {"<!--": "-->", "<![cdata[": "]]>"}.get(opened, ">")
+            end = source.find(mark, m.end())
+            at = size if end < 0 else end + len(mark)
+            yield start, at, "", False, False, []
+            continue
+        name = _TAG_NAME.match(source, start)
+        tag, end, told = name[1].lower(), name.end(), []
+        while True:
+            found = _ATTRIBUTE.match(source, end)
+            if not found:
+                break
+            end = found.end()
+            if source[end : end + 1] in ("'", '"') and found[2] is found[3] is found[4] is None and found[0].rstrip().endswith("="):
+                end = size  # a quoted value without an end
+                break
+            key = found[1].lower()
+            if key in _TOLD:
+                told.append((key, found[2] or found[3] or found[4] or ""))
+        end = source.find(">", end)
+        if end < 0:
+            yield start, size, "", False, False, []
+            return
+        closes = source[start + 1] == "/"
+        alone = source[end - 1] == "/" and source[end - 2 : end - 1] != "="
+        at = end + 1
+        if tag in _RAW and not closes and not alone and tag not in lacks:
+            lower = source.lower() if lower is None else lower
+            stop = lower.find(f"</{tag}", at) if len(lower) == size else source.find(f"</{tag}", at)
+            if stop < 0 and tag not in _SWALLOWS:
+                lacks.add(tag)
+            elif stop < 0:
+                yield start, size, "", False, False, []
+                return
+            else:
+                close = source.find(">", stop)
+                at = size if close < 0 else close + 1
+                yield start, at, "", False, False, []
+                continue
+        yield start, at, tag, closes, alone, told
+
+
 class Page:
-    """A page as blocks of text, each with the path of the containers around it."""
+    """A page as containers and blocks of text, each with the container around it (-1: none)."""
 
     def __init__(self, html: str | None):
-        # path, whether it lies in a part of the frame, text
-        self.blocks: list[tuple[str, bool, str]] = []
-        self.containers: Counter[str] = Counter()
-        # of each container: tag, path, the one around it (-1 for none), framed for sure, framed if its names count, within what it
-        # has to hold most text (-1 for the page) for its names not to count
-        found: list[tuple[str, str, int, bool, bool, int]] = []
-        holds: set[int] = set()  # articles and main elements outside articles, and what is around them
-        texts: list[tuple[int, str]] = []
+        self.tags: list[str] = []
+        self.parent: list[int] = []
+        # a container's chain of names, and with places among siblings of one name, which tells it from all others of the host
+        self.path: list[int] = []
+        self.mark: list[int] = []
+        self.is_main: list[bool] = []
+        # a container of no telling tag or name, and without a heading of its own
+        self.plain: list[bool] = []
+        # the outermost article or main element around or at a container (-1: none), and whether an article is
+        self.top: list[int] = []
+        self.in_article: list[bool] = []
+        sure: list[bool] = []
+        named: list[bool] = []
+        outer: list[int] = []
+        holds: set[int] = set()
+        self.blocks: list[tuple[int, str]] = []
+        seen: Counter[tuple[int, str]] = Counter()
         stack: list[int] = []
+        opened: Counter[str] = Counter()
         parts: list[str] = []
-        title_depth = 0
+        in_title = False
 
         def close() -> None:
             text = _SPACE.sub(" ", entities.unescape("".join(parts))).strip()
             parts.clear()
             if text:
-                texts.append((stack[-1] if stack else -1, text))
+                self.blocks.append((stack[-1] if stack else -1, text))
+
+        def leave() -> None:
+            opened[self.tags[stack.pop()]] -= 1
 
         at, source = 0, html if isinstance(html, str) else ""
-        for m in _TOKEN.finditer(source):
-            if m.start() > at and not title_depth:
-                parts.append(source[at : m.start()])
-            at = m.end()
-            tag = (m["tag"] or "").lower()
+        for start, end, tag, closes, alone, attributes in _tags_of(source):
+            if start > at and not in_title:
+                parts.append(source[at:start])
+            at = end
             if tag == "title":
-                title_depth = 0 if m["end"] else 1
-            if tag not in BLOCKS:
+                in_title = not closes
+            block = tag in BLOCKS
+            if block and not closes and stack:
+                # a framed paragraph or item ends where the next begins
+                last = self.tags[stack[-1]]
+                if last in _IMPLIED and (_IMPLIED[last] is None or tag in _IMPLIED[last]):
+                    close()
+                    leave()
+            if closes:
+                if block:
+                    close()
+                if opened[tag]:
+                    close()
+                    while self.tags[stack[-1]] != tag:
+                        leave()
+                    leave()
                 continue
-            close()
-            if tag not in CONTAINERS and tag != "button":
+            if block:
+                close()
+                if stack and tag in _HEADINGS:
+                    self.plain[stack[-1]] = False
+            names, framed = _names(attributes) if attributes else ([], False)
+            skipped = [x for x in map(_SKIPPED_NAME.match, names) if x]
+            starts = any(map(_SKIPPED_START.match, names))
+            # any element may tell by its name to be no text, inside a text by its whole name
+            told = framed or (tag not in CONTAINERS and (starts or any(not x["before"] for x in skipped)))
+            if (tag not in CONTAINERS and tag != "button" and not told) or alone or tag in _VOID or not tag:
                 continue
-            if m["end"]:
-                for k in range(len(stack) - 1, -1, -1):
-                    if found[stack[k]][0] == tag:
-                        del stack[k:]
-                        break
-            elif not m["attributes"].endswith("/"):
-                names, framed = _names(m["attributes"])
-                if tag == "body" and stack and found[stack[-1]][0] == "head":
-                    stack.pop()
-                name = ".".join([tag, *names])
-                around = stack[-1] if stack else -1
-                path = f"{found[around][1]}/{name}" if stack else name
-                sure = framed or (around >= 0 and found[around][3])
-                # an article's own header holds its title
-                inside = any(found[k][0] in _MAIN for k in stack)
-                sure |= tag in _SKIPPED_TAGS and not (tag == "header" and inside)
-                skipped = [m for m in map(_SKIPPED_NAME.match, names) if m]
-                named = tag not in ("html", "body") and bool(skipped) and not (inside and tag == "header")
-                # comments and the like of an article may be longer than it
-                whole = inside and not all(m["before"] for m in skipped)
-                outer = next(k for k in stack if found[k][0] in _MAIN) if whole else -1
-                stack.append(len(found))
-                found.append((tag, path, around, sure, named, outer))
-                if tag in _MAIN and not sure and not any(found[k][0] == "article" for k in stack[:-1]):
-                    holds.update(stack)
-                self.containers[path] += 1
-        if at < len(source) and not title_depth:
+            if told and not block:
+                close()
+            if tag == "body" and stack and self.tags[stack[-1]] == "head":
+                leave()
+            k, around = len(self.tags), stack[-1] if stack else -1
+            inside = around >= 0 and self.top[around] >= 0
+            # an article named as a comment or an advert is no main element
+            is_main = tag in _MAIN and not any(not x["before"] for x in skipped) and not starts
+            name = ".".join([tag, *(re.sub(r"\d+", "", x) for x in names)])
+            seen[(around, name)] += 1
+            path, mark = (self.path[around], self.mark[around]) if around >= 0 else (0, 0)
+            self.tags.append(tag)
+            self.parent.append(around)
+            self.path.append(xxhash.xxh64_intdigest(f"{path}/{name}") >> 1)
+            self.mark.append(xxhash.xxh64_intdigest(f"{mark}/{name}/{seen[(around, name)]}") >> 1)
+            self.is_main.append(is_main)
+            self.plain.append(tag in ("div", "ul", "ol", "dl", "table") and not names)
+            self.top.append(self.top[around] if inside else k if is_main else -1)
+            within = around >= 0 and self.in_article[around]
+            self.in_article.append(within or (is_main and tag == "article"))
+            # an article's own header holds its title
+            titles = tag == "header" and inside
+            sure.append(framed or (around >= 0 and sure[around]) or (tag in _SKIPPED_TAGS and not titles))
+            named.append(tag not in ("html", "body") and (bool(skipped) or starts) and not titles)
+            # what a container has to hold most text of for its names not to count: comments and the like of an article may be longer than it
+            whole = inside and (starts or not all(x["before"] for x in skipped))
+            outer.append(self.top[around] if whole else -1)
+            stack.append(k)
+            opened[tag] += 1
+            if is_main and not sure[k] and not within:
+                # stops at what is marked already
+                x = k
+                while x >= 0 and x not in holds:
+                    holds.add(x)
+                    x = self.parent[x]
+        if at < len(source) and not in_title:
             parts.append(source[at:])
         close()
 
         # names never frame what holds an article or most of the page's text
-        amounts = [0] * (len(found) + 1)  # the last is the page
-        for k, text in texts:
-            amounts[k] += 0 if k >= 0 and found[k][3] else len(text)
-        for k in range(len(found) - 1, -1, -1):
-            amounts[found[k][2]] += amounts[k]
-        frames = [False] * (len(found) + 1)
-        for k, (_, _, around, sure, named, outer) in enumerate(found):
-            most = 2 * amounts[k] > amounts[-1] if outer < 0 else amounts[k] == amounts[outer]
-            frames[k] = sure or frames[around] or (named and k not in holds and not most)
-        self.blocks += [(found[k][1] if k >= 0 else "", frames[k], text) for k, text in texts]
-
-    def amounts(self) -> Counter[str]:
-        """The amount of text outside the frame in or below each path that has some; the empty path is the whole page."""
-        out: Counter[str] = Counter()
-        for path, framed, text in self.blocks:
-            if not framed:
-                out[""] += len(text)
-                while path:
-                    out[path] += len(text)
-                    path = path.rpartition("/")[0]
+        amounts = [0] * (len(self.tags) + 1)  # the last is the page
+        for k, text in self.blocks:
+            amounts[k] += 0 if k >= 0 and sure[k] else len(text)
+        for k in range(len(self.tags) - 1, -1, -1):
+            amounts[self.parent[k]] += amounts[k]
+        self.framed = [False] * (len(self.tags) + 1)
+        for k, around in enumerate(self.parent):
+            most = 2 * amounts[k] > amounts[-1] if outer[k] < 0 else amounts[k] == amounts[outer[k]]
+            self.framed[k] = sure[k] or self.framed[around] or (named[k] and k not in holds and not most)
+
+    def in_main(self, k: int) -> bool:
+        return k >= 0 and self.top[k] >= 0
+
+    def token(self, k: int, text: str) -> int:
+        return xxhash.xxh64_intdigest(f"{self.mark[k] if k >= 0 else 0}\n{text}") >> 1
+
+    def own_texts(self) -> dict[int, list[str]]:
+        """Texts that lie directly in each container."""
+        out: dict[int, list[str]] = {}
+        for k, text in self.blocks:
+            out.setdefault(k, []).append(text)
         return out
 
-    def tokens(self) -> Counter[tuple[str, int, bool]]:
-        """(container or text, hash, whether it is text) -> times on the page. Text is a token where no article holds it."""
-        out: Counter = Counter()
-        for path, n in self.containers.items():
-            out[(path, 0, False)] = n
-        for path, _, text in self.blocks:
-            if not _in_main(path):
-                out[(path, xxhash.xxh64_intdigest(f"{path}\n{text}") >> 1, True)] += 1
-        return out
-
-
-def _tags(path: str) -> list[str]:
-    return [x.split(".", 1)[0] for x in path.split("/")]
-
-
-def _in_main(path: str) -> bool:
-    tags = _tags(path)
-    return "article" in tags or "main" in tags
-
-
-def _main_path(paths: dict[str, float]) -> str | None:
-    """The main slot among paths with the amount of text in or below each: the outermost article or main, else the innermost with all text, the empty path being the whole page."""
-    for tag in _MAIN:
-        named = [p for p in paths if _tags(p)[-1] == tag and tag not in _tags(p)[:-1]]
-        if named:
-            # several articles side by side are one slot, named alike; the fullest wins
-            return max(named, key=lambda p: (paths[p], p))
-    if not paths:
-        return None
-    most = max(paths.values())
-    near = [p for p, n in paths.items() if n == most]
-    return max(near, key=lambda p: (p.count("/"), paths[p], p))
-
-
-def _below(path: str, main: str) -> bool:
-    return not main or path == main or path.startswith(main + "/")
-
-
-def main_text(page: Page, main: str | None, template: frozenset[int]) -> str:
-    """The text in a page's main slot: the host's where the page has it, else the page's own."""
-    if main is None or (main and main not in page.containers):
-        main = _main_path(page.amounts())
+    def main_alone(self) -> int:
+        """The main container as the page alone tells: its outermost and fullest article or main element, else the innermost with all text outside the frame."""
+        amounts = [0] * (len(self.tags) + 1)
+        for k, text in self.blocks:
+            if not self.framed[k]:
+                amounts[k] += len(text)
+        for k in range(len(self.tags) - 1, -1, -1):
+            amounts[self.parent[k]] += amounts[k]
+        for tag in _MAIN:
+            # outermost ones: an article in a main element is inside no article, a main element may be in none at all
+            tops = [
+                k
+                for k, t in enumerate(self.tags)
+                if t == tag and self.is_main[k] and amounts[k] and not self.framed[k]
+                and (self.top[k] == k or (tag == "article" and not (self.parent[k] >= 0 and self.in_article[self.parent[k]])))
+            ]
+            if tops:
+                return max(tops, key=lambda k: (amounts[k], -k))
+        most, best = amounts[-1], -1
+        for k, around in enumerate(self.parent):
+            # children follow their containers
+            if most and amounts[k] == most and around == best:
+                best = k
+        return best
+
+
+def main_text(
+    page: Page, data: frozenset[int] = frozenset(), ways: frozenset[int] = frozenset(), known: frozenset[int] = frozenset(), words: frozenset[int] = frozenset()
+) -> str:
+    """The text of a page: in the host's data slots where it has any, else in its own main container.
+
+    data, ways and known are marks of containers: those whose slot varies, those around them, and all of the host's template; words are its own texts.
+    """
+    n, alone = len(page.tags), page.main_alone()
+    mine = [k for k, m in enumerate(page.mark) if m in data]
+    article = any(page.in_main(k) for k in mine)
+    inside = [False] * (n + 1)
+    if mine and (article or not page.in_main(alone)):
+        # containers that the template doesn't know are the page's own, where they lie on the way to data
+        way = [False] * n + [True]
+        inside[-1] = not article
+        for k, around in enumerate(page.parent):
+            m = page.mark[k]
+            way[k] = m in data or m in ways if m in known else way[around]
+            new = way[around] and (page.in_main(k) or not article)
+            inside[k] = m in data if m in known else inside[around] or new
+    else:
+        # several articles side by side, named alike, are one slot
+        same = page.path[alone] if page.in_main(alone) else None
+        inside[-1] = alone < 0
+        for k, around in enumerate(page.parent):
+            inside[k] = inside[around] or k == alone or page.path[k] == same
     out = []
-    article = main is not None and _in_main(main)
-    for path, framed, text in page.blocks:
-        if framed or (main is not None and not _below(path, main)):
-            continue
-        if not article and template and (xxhash.xxh64_intdigest(f"{path}\n{text}") >> 1) in template:
-            continue
-        out.append(text)
+    for k, text in page.blocks:
+        if inside[k] and not page.framed[k] and not (words and not page.in_main(k) and page.token(k, text) in words):
+            out.append(text)
     return " ".join(out)
 
 
-_TOKENS = "host string, path string, text_hash long, is_text boolean, times long, vector long, chars long"
+_TOKENS = "host string, token long, around long, is_text boolean, content long, chars long, place long, framed boolean, main boolean, plain boolean, vector long"
+# stands for the page as a whole
+_PAGE = 0
 
 
 def _occurrences(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Each page's tokens, with the hash of (page, times) and the slot text in or below each container."""
+    """Each page's tokens: containers with what lies directly in them, and text blocks outside articles, with the hash of (page, times)."""
+    names = [x.split()[0] for x in _TOKENS.split(", ")]
     for f in frames:
         rows = []
         for mark, host, source in zip(f["mark"], f["host"], f["html"]):
             page = Page(source)
-            amounts = page.amounts()
-            # the page as a whole is a container of every page
-            for (path, h, is_text), n in [(("", 0, False), 1), *page.tokens().items()]:
-                vector = xxhash.xxh64_intdigest(f"{mark}:{n}") >> 24  # 40 bits, so that sums of 2 ** 23 pages stay exact
-                rows.append((host, path, h, is_text, n, vector, 0 if is_text else amounts[path]))
-        yield pd.DataFrame(rows, columns=[x.split()[0] for x in _TOKENS.split(", ")])
+
+            def part(n: int, mark=mark) -> int:
+                return xxhash.xxh64_intdigest(f"{mark}:{n}") >> 24  # 40 bits, so that sums of 2 ** 23 pages stay exact
+
+            texts = page.own_texts()
+            whole = xxhash.xxh64_intdigest("\n".join(t for _, t in page.blocks)) >> 1
+            rows.append((host, _PAGE, -1, False, whole, 0, -1, False, False, False, part(1)))
+            for k, m in enumerate(page.mark):
+                own = "\n".join(texts.get(k, ()))
+                around = page.mark[page.parent[k]] if page.parent[k] >= 0 else _PAGE
+                rows.append((host, m, around, False, xxhash.xxh64_intdigest(own) >> 1, len(own), k, page.framed[k], page.in_main(k), page.plain[k], part(1)))
+            counts = Counter(page.token(k, t) for k, t in page.blocks if not page.in_main(k))
+            rows += [(host, t, 0, True, 0, 0, 0, False, False, False, part(n)) for t, n in counts.items()]
+            if len(rows) > 20_000:
+                yield pd.DataFrame(rows, columns=names)
+                rows = []
+        yield pd.DataFrame(rows, columns=names)
 
 
 def templates(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
-    """One row per host of two pages or more: its main slot and the hashes of its template's own texts.
+    """One row per host of two pages or more: (host, slots, data, ways, known, words).
 
-    ``pages`` has the columns mark (unlike for any two pages), host and html.
+    ``pages`` has the columns mark (unlike for any two pages), host and html. slots are the template's containers with text of their
+    own, in page order: (class, container, around, variation, chars, data); data, ways and known are marks of containers, words the hashes of the template's own texts.
     """
     seen = pages.where("host is not null").mapInPandas(_occurrences, _TOKENS)
     hosts = pages.where("host is not null").groupBy("host").agg(F.count("*").alias("n_pages")).where("n_pages > 1")
+    contents = seen.groupBy("host", "token", "is_text", "content").agg(
+        F.count("*").alias("on_pages"),
+        F.sum(F.col("vector").cast("decimal(38,0)")).alias("vector"),
+        F.sum("chars").alias("chars"),
+        F.sum("place").alias("place"),
+        F.sum(F.col("framed").cast("long")).alias("framed"),
+        F.max("main").alias("main"),
+        F.min("plain").alias("plain"),
+        F.max("around").alias("around"),
+    )
     tokens = cut(
-        seen.groupBy("host", "path", "text_hash", "is_text").agg(
-            F.count("*").alias("on_pages"),
-            F.sum("times").alias("times"),
-            F.sum(F.col("vector").cast("decimal(38,0)")).alias("vector"),
-            F.sum("chars").alias("chars"),
+        contents.groupBy("host", "token", "is_text").agg(
+            F.sum("on_pages").alias("on_pages"),
+            F.count("*").alias("contents"),
+            *[F.sum(c).alias(c) for c in ("vector", "chars", "place", "framed")],
+            F.max("main").alias("main"),
+            F.min("plain").alias("plain"),
+            F.max("around").alias("around"),
         )
     )
-    # classes: equal vectors of one host; a token's own figures follow from its class
     valid = tokens.join(hosts, "host").where(F.col("on_pages") >= F.greatest(F.lit(2), F.col("n_pages") * support))
-    classes = valid.groupBy("host", "on_pages", "times", "vector").agg(
-        F.collect_list(F.when(~F.col("is_text"), F.struct("path", "chars"))).alias("containers"),
-        F.collect_list(F.when(F.col("is_text"), F.col("text_hash"))).alias("texts"),
+    # classes: equal vectors of one host
+    container = F.struct(F.col("vector").cast("string").alias("class"), *[c for c in ("token", "around", "contents", "on_pages", "chars", "place", "framed", "main", "plain")])
+    classes = valid.groupBy("host", "on_pages", "vector").agg(
+        F.collect_list(F.when(~F.col("is_text"), container)).alias("containers"), F.collect_list(F.when(F.col("is_text"), F.col("token"))).alias("words")
     )
     # at most pages' tokens / support of them, whatever the number of pages
-    template = classes.groupBy("host").agg(F.flatten(F.collect_list("containers")).alias("containers"), F.flatten(F.collect_list("texts")).alias("texts"))
+    template = classes.groupBy("host").agg(F.flatten(F.collect_list("containers")).alias("classes"), F.flatten(F.collect_list("words")).alias("words"))
+    slot = "struct<class:int,container:long,around:long,variation:double,chars:long,data:boolean>"
 
     def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            mains = []
-            for found in f["containers"]:
-                free = {c["path"]: float(c["chars"]) for c in found if c["chars"]}
-                mains.append(_main_path(free))
-            yield pd.DataFrame({"host": f["host"], "main": mains, "texts": f["texts"]})
+            rows = []
+            for host, found, words in zip(f["host"], f["classes"], f["words"]):
+                groups: dict[tuple, list[dict]] = {}
+                for c in found:
+                    groups.setdefault((c["on_pages"], c["class"]), []).append(c)
+                rows.append((host, *_slots(list(groups.values())), list(words)))
+            yield pd.DataFrame(rows, columns=["host", "slots", "data", "ways", "known", "words"])
+
+    return template.mapInPandas(choose, f"host string, slots array<{slot}>, data array<long>, ways array<long>, known array<long>, words array<long>")
+
+
+def _slots(classes: list[list[dict]]) -> tuple[list[dict], list[int], list[int], list[int]]:
+    """(slots in page order, marks of those that hold data, of containers around them, of all containers) of a host's valid classes."""
+    # outer classes first: by the mean place of their first token
+    ordered = sorted((sorted(g, key=lambda c: c["place"] / c["on_pages"]) for g in classes if g), key=lambda g: g[0]["place"] / g[0]["on_pages"])
+    pages = next((c["contents"] for g in ordered for c in g if c["token"] == _PAGE), 1)
+    containers = [(i, c) for i, g in enumerate(ordered) for c in g if c["token"] != _PAGE]
+    varies = [
+        (i, c)
+        for i, c in containers
+        if c["chars"] and c["contents"] > 1 and 2 * c["contents"] > pages * c["on_pages"] / max(x["on_pages"] for _, x in containers) and 2 * c["framed"] <= c["on_pages"]
+    ]
+    around, ways = {c["token"]: c["around"] for _, c in containers}, set()
+
+    def chain(token: int) -> set[int]:
+        out = set()
+        while token in around and token not in out:
+            out.add(token)
+            token = around[token]
+        return out
 
-    return template.mapInPandas(choose, "host string, main string, texts array<long>")
+    # tags decide between slots that vary, then length
+    varies = [x for x in varies if x[1]["main"]] or varies
+    if varies:
+        fullest = max((c for _, c in varies), key=lambda c: (c["chars"] / c["on_pages"], -c["token"]))
+        over, mean = chain(fullest["token"]), fullest["chars"] / fullest["on_pages"]
+        varies = [
+            (i, c) for i, c in varies
+            if not c["plain"] or BESIDE * c["chars"] / c["on_pages"] >= mean or c["token"] in over or fullest["token"] in chain(c["token"])
+        ]
+    data = [c["token"] for _, c in varies]
+    chosen = set(data)
+    slots = [
+        {"class": i, "container": c["token"], "around": c["around"], "variation": c["contents"] / max(pages, 1), "chars": c["chars"], "data": c["token"] in chosen}
+        for i, c in containers
+        if c["chars"]
+    ]
+    for token in data:
+        ways |= chain(token) - ways
+    return slots, data, sorted(ways), list(around)
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", support: float = SUPPORT, broadcast_hosts: int = BROADCAST_HOSTS) -> DataFrame:
@@ -284,16 +480,16 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     )
     # two rows alike in everything have equal vectors whichever is which
     marked = own.select(F.xxhash64("page_id", "url", "html").alias("mark"), "host", "html")
-    known = cut(templates(marked, support))
-    small = known.limit(broadcast_hosts + 1).count() <= broadcast_hosts
-    joined = own.join(F.broadcast(known) if small else known, "host", "left").select("page_id", "url", "html", "main", "texts")
+    known = cut(templates(marked, support)).select("host", "data", "ways", "known", "words")
+    # rows and marks are both counted, so that what is broadcast has a bound in bytes
+    size = known.agg(F.count("*").alias("n"), F.sum(F.size("data") + F.size("ways") + F.size("known") + F.size("words")).alias("marks")).first()
+    small = size["n"] <= broadcast_hosts and (size["marks"] or 0) <= 50 * broadcast_hosts
+    joined = own.join(F.broadcast(known) if small else known, "host", "left").select("page_id", "url", "html", "data", "ways", "known", "words")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sets = lambda x: frozenset() if x is None else frozenset(x.tolist() if hasattr(x, "tolist") else x)
         for f in frames:
-            out = []
-            for source, main, texts in zip(f["html"], f["main"], f["texts"]):
-                own_words = frozenset(texts.tolist() if hasattr(texts, "tolist") else texts) if texts is not None else frozenset()
-                out.append(main_text(Page(source), main, own_words))
+            out = [main_text(Page(source), *map(sets, marks)) for source, *marks in zip(f["html"], f["data"], f["ways"], f["known"], f["words"])]
             yield pd.DataFrame({"page_id": f["page_id"], "url": f["url"], "text": out, "n_chars": [len(x) for x in out]})
 
     done = joined.mapInPandas(run, "page_id long, url string, text string, n_chars long")
