@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from qloom.operators import telemetry
+from qloom.operators import sketches, telemetry
 from qloom.plans.registry import query
 from qloom.session import work_folder
 from qloom.sources.logs import append_metrics, read_metrics
@@ -136,13 +136,13 @@ def metric_stream_latest(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("metric_log", LATEST)
 def metric_log(spark: SparkSession, sf: str) -> DataFrame:
-    """Metric rows appended to a shared log in two parts, and read back."""
+    """Metric rows appended to a shared log in two batches, one of them twice, and read back."""
     rows = as_metrics(scan(spark, sf, "events"))
     # one run per event type, as a run has a folder of its own
     log = rows.select(F.col("key").alias("run_id"), "ts", F.col("run_id").alias("key"), "value", "step")
     folder = f"{work_folder(spark, 'metric-log')}/log"
-    append_metrics(log.where("step % 2 = 0"), folder)
-    append_metrics(log.where("step % 2 = 1"), folder)
+    for batch in ("even", "odd", "even"):
+        append_metrics(log.where("step % 2 = 0" if batch == "even" else "step % 2 = 1"), folder, batch)
     back = read_metrics(spark, folder)
     swapped = back.select(F.col("key").alias("run_id"), "ts", F.col("run_id").alias("key"), "value", "step")
     return telemetry.metric_latest(swapped)
@@ -180,3 +180,33 @@ def retain_last_and_best(spark: SparkSession, sf: str) -> DataFrame:
     """Ten events a step: the last two steps of a run, and its best one."""
     logged = as_metrics(scan(spark, sf, "events")).withColumn("step", F.expr("step div 10"))
     return telemetry.retain_last_k(logged, best=telemetry.best_checkpoint(logged, "error"))
+
+
+@query(
+    "latency_sketch",
+    """
+    WITH units AS (
+      SELECT event_type AS model_version, value, CAST(round(value * 1000000) AS BIGINT) AS u FROM events WHERE value IS NOT NULL),
+    sized AS (SELECT *, CAST(1 AS BIGINT) << greatest(length(bin(abs(u))) - 8, 0) AS step FROM units),
+    buckets AS (
+      SELECT model_version, u - u % step AS low, min(step) AS step, count(*) AS n, sum(CAST(value AS DECIMAL(24,6))) AS total
+      FROM sized GROUP BY 1, 2),
+    running AS (
+      SELECT *, sum(n) OVER (PARTITION BY model_version ORDER BY low) AS upto, sum(n) OVER (PARTITION BY model_version) AS n_all,
+             sum(total) OVER (PARTITION BY model_version) AS total_all, (low + sign(low) * (step - 1) / 2.0) / 1000000 AS middle FROM buckets)
+    SELECT model_version, CAST(any_value(n_all) AS BIGINT) AS n_samples, CAST(any_value(total_all) AS DOUBLE) / any_value(n_all) AS avg_latency_ms,
+           arg_min(middle, low) FILTER (WHERE upto > floor(n_all * 0.5)) AS p50_latency_ms,
+           arg_min(middle, low) FILTER (WHERE upto > floor(n_all * CAST(0.95 AS DOUBLE))) AS p95_latency_ms
+    FROM running GROUP BY model_version
+    """,
+)
+def latency_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    """Latencies appended as sketches in four batches, one of them twice, with a compaction between, and read without their rows."""
+    rows = scan(spark, sf, "events").select("event_id", F.col("event_type").alias("model_version"), "value")
+    folder, by = work_folder(spark, "latency-sketch"), "model_version string"
+    for batch in (0, 1, 1, 2, 3):
+        sketches.append_sketch(rows.where(F.col("event_id") % 4 == batch), folder, str(batch), ["model_version"], "value")
+        if batch == 2:
+            sketches.compact_sketch(spark, folder, by)
+    places = {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95}
+    return sketches.sketch_percentiles(sketches.read_sketch(spark, folder, by), ["model_version"], places)

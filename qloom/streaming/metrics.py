@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from qloom.operators.telemetry import metric_latest
+from qloom.sources import committed
 
 
 def metric_stream(
@@ -34,20 +34,17 @@ LATEST = "run_id string, key string, step long, ts timestamp, value double"
 
 
 def latest_stream(metrics: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep the last value per run and key up to date in a table of changes at ``path``.
+    """Keep the last value per run and key up to date in a committed table of changes at ``path``.
 
-    The running maximum lives in the stream's state. Each batch writes only the series it changed, to
-    a folder named by the batch. A batch that is run again after a failure overwrites its own folder,
-    so the table is the same as if it had run once.
+    The running maximum lives in the stream's state. Each batch writes only the series it changed, to a folder of its own, and
+    commits it under the batch's number. A batch that is run again after a failure is committed once.
     """
     last = F.max(F.struct("step", "ts", "value")).alias("last")
     changed = metrics.groupBy("run_id", "key").agg(last).select("run_id", "key", "last.*")
-    # there is a table to read even where no batch has rows
-    metrics.sparkSession.createDataFrame([], LATEST).write.mode("overwrite").parquet(f"{path}/batch=-1")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # few files of even size, whatever the number of state partitions
-        batch.hint("rebalance").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        committed.append(batch.hint("rebalance"), path, str(batch_id))
 
     return (
         changed.writeStream.outputMode("update")
@@ -58,43 +55,19 @@ def latest_stream(metrics: DataFrame, path: str, checkpoint: str) -> StreamingQu
     )
 
 
-def _states(spark: SparkSession, path: str) -> DataFrame | None:
-    """The compacted states beside a table of changes."""
-    try:
-        return spark.read.schema(LATEST + ", upto long").parquet(f"{path}-whole")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
-def _rows(spark: SparkSession, path: str) -> DataFrame:
-    """The newest compacted state and the changes after it."""
-    changes = spark.read.schema(LATEST + ", batch long").parquet(path)
-    states = _states(spark, path)
-    if states is None:
-        return changes.drop("batch")
-    # a state without rows stands for no more than the changes before it
-    newest = states.agg(F.coalesce(F.max("upto"), F.lit(-1).cast("long"))).scalar()
-    state = states.where(F.col("upto") == newest).drop("upto")
-    return state.unionByName(changes.where(F.col("batch") > newest).drop("batch"))
-
-
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
     """Last value per run and key out of the table of changes."""
-    return metric_latest(_rows(spark, path))
+    return metric_latest(committed.read(spark, path, LATEST))
 
 
 def compact_latest(spark: SparkSession, path: str) -> None:
-    """Merge the table of changes to one row per run and key, beside it, up to its newest batch.
+    """Merge the changes in force to one row per run and key, in one folder that takes their place.
 
-    Readers then take the merged state and the batches after it; older folders may go. A compaction without newer
-    batches does nothing, so it never writes to the state it reads.
+    Batches that are committed meanwhile stay beside it. Readers that began before go on with the old folders, until
+    ``committed.clean`` deletes them. One folder alone is left as it is.
     """
-    last = spark.read.schema(LATEST + ", batch long").parquet(path).agg(F.max("batch")).first()[0]
-    states = _states(spark, path)
-    done = states.agg(F.max("upto")).first()[0] if states is not None else None
-    if last is not None and (done is None or done < last):
+    old = committed.newest(spark, path)
+    if len(old.folders) > 1:
         latest = F.max(F.struct("step", "ts", "value")).alias("last")
-        merged = _rows(spark, path).groupBy("run_id", "key").agg(latest).select("run_id", "key", "last.*")
-        merged.hint("rebalance").write.mode("overwrite").parquet(f"{path}-whole/upto={last}")
+        merged = committed.read(spark, path, LATEST, old).groupBy("run_id", "key").agg(latest).select("run_id", "key", "last.*")
+        committed.replace(spark, path, old, merged.hint("rebalance"))

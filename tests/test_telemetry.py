@@ -5,11 +5,12 @@ import random
 
 import pytest
 
-from qloom.operators import telemetry
+from qloom.operators import sketches, telemetry
 from qloom.schemas import METRIC_LOG
 from qloom.session import work_folder
+from qloom.sources import committed
 from qloom.sources.logs import append_metrics, read_metrics, write_report
-from qloom.streaming.metrics import compact_latest, latest_stream, metric_stream, read_latest, table_stream
+from qloom.streaming.metrics import LATEST, compact_latest, latest_stream, metric_stream, read_latest, table_stream
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -118,12 +119,12 @@ def test_stream_equals_batch_and_goes_on(spark, tmp_path):
 
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     rows = log(100)
-    df = spark.createDataFrame(rows, METRIC_LOG)
     path = str(tmp_path / "table")
-    for batch, part in ((0, rows[:50]), (1, rows), (1, rows)):
-        telemetry.metric_latest(spark.createDataFrame(part, METRIC_LOG)).join(
-            df.select("run_id", "key", "step", "value", "ts"), ["run_id", "key", "step", "value"]
-        ).write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    for batch, part in (("0", rows[:50]), ("1", rows[50:]), ("1", rows[50:])):
+        df = spark.createDataFrame(part, METRIC_LOG).select("run_id", "key", "step", "ts", "value")
+        new = batch not in committed.newest(spark, path).batches
+        assert committed.append(df, path, batch) == new
+    assert committed.newest(spark, path).number == 1 and committed.read(spark, path, LATEST).count() == 100
     assert as_dict(read_latest(spark, path)) == latest(rows)
 
 
@@ -197,3 +198,96 @@ def test_no_input_and_compaction(spark, tmp_path):
         for _ in range(part):
             compact_latest(spark, f"{out}/table")
         assert as_dict(read_latest(spark, f"{out}/table")) == latest(rows[: (part + 1) * 100])
+
+
+def test_an_append_that_broke_off_is_repeated_once(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = [("a", T0, "loss", 1.0, 1), ("b", T0, "loss", 2.0, 2)]
+    df = spark.createDataFrame(rows, METRIC_LOG)
+    # a writer that broke off: rows in a folder that nobody committed
+    df.write.partitionBy("run_id").parquet(f"{path}-batches/part=broken")
+    assert read_metrics(spark, path).count() == 0
+    for _ in range(3):
+        append_metrics(df, path, "b1")
+    append_metrics(df, path, "b2")
+    assert sorted(tuple(r) for r in read_metrics(spark, path).select("run_id", "ts", "key", "value", "step").collect()) == sorted(rows * 2)
+    # beside rows without a batch id
+    append_metrics(df, path)
+    assert read_metrics(spark, path).count() == 6
+    assert committed.clean(spark, f"{path}-batches") == [] and committed.clean(spark, f"{path}-batches", -1) == ["part=broken"]
+    assert read_metrics(spark, path).count() == 6
+
+
+def test_two_writers_of_one_generation(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([("a", "k", 1, T0, 1.0)], LATEST)
+    committed.append(df, path, "0")
+    old = committed.newest(spark, path)
+    # another writer commits between reading and committing
+    calls = []
+
+    def step(now):
+        if not calls:
+            calls.append(1)
+            committed.append(df, path, "1")
+        return {**now.folders, "part=x": ("2",)}
+
+    df.write.parquet(f"{path}/part=x")
+    done = committed.change(spark, path, step)
+    assert done.batches == {"0", "1", "2"} and done.number == 2
+    # a compaction of the older generation keeps what came since
+    committed.replace(spark, path, old, df)
+    assert committed.newest(spark, path).batches == {"0", "1", "2"} and committed.read(spark, path, LATEST).count() == 3
+    # and does nothing where its folders were replaced already
+    assert committed.replace(spark, path, old, df).number == 3
+
+
+def test_readers_go_on_while_folders_are_replaced_and_cleaned(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "t")
+    rows = log(120)
+    for k in range(4):
+        part = spark.createDataFrame(rows[k * 30 : k * 30 + 30], METRIC_LOG).select("run_id", "key", "step", "ts", "value")
+        committed.append(part, path, str(k))
+    begun = read_latest(spark, path)
+    before = set(os.listdir(path))
+    compact_latest(spark, path)
+    assert committed.clean(spark, path, 3600) == []
+    assert as_dict(begun) == latest(rows)
+    gone = committed.clean(spark, path, 0)
+    assert set(gone) == {f for f in before if f.startswith("part=")}
+    assert sum(f.startswith("part=") for f in os.listdir(path)) == 1
+    assert as_dict(read_latest(spark, path)) == latest(rows)
+    assert committed.newest(spark, path).batches == {"0", "1", "2", "3"}
+    # nothing is counted twice and no number used again
+    assert not committed.append(spark.createDataFrame([], LATEST), path, "2")
+    committed.append(spark.createDataFrame([("n", "k", 1, T0, 1.0)], LATEST), path, "4")
+    assert committed.newest(spark, path).number == 5
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_sketches_of_batches_are_within_their_bound(spark, tmp_path, seed):
+    rnd = random.Random(seed)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice([None, 0.0, -3.5, round(rnd.expovariate(1 / 50), 3), rnd.random() * 10**rnd.randrange(6)])) for _ in range(900)]
+    schema, path, by = "model_version string, ms double", str(tmp_path / "s"), "model_version string"
+    for k in (0, 1, 1, 2):
+        sketches.append_sketch(spark.createDataFrame(rows[k * 300 : k * 300 + 300], schema).repartition(3), path, str(k), ["model_version"], "ms")
+        if k == 1:
+            sketches.compact_sketch(spark, path, by)
+    places = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99}
+    got = {r.model_version: r for r in sketches.sketch_percentiles(sketches.read_sketch(spark, path, by), ["model_version"], places).collect()}
+    for version in ("a", "b", None):
+        values = sorted(v for m, v in rows if m == version and v is not None)
+        r = got[version]
+        assert r.n_samples == len(values) and r.avg_latency_ms == pytest.approx(sum(values) / len(values), abs=1e-6)
+        for name, q in places.items():
+            true = values[int(len(values) * q)]
+            assert abs(r[name] - true) <= abs(true) / 2**sketches.BITS + 1e-6
+
+
+def test_empty_sketch(spark, tmp_path):
+    path = str(tmp_path / "s")
+    assert sketches.read_sketch(spark, path, "model_version string").count() == 0
+    sketches.append_sketch(spark.createDataFrame([("a", None)], "model_version string, ms double"), path, "0", ["model_version"], "ms")
+    assert sketches.read_sketch(spark, path, "model_version string").count() == 0
