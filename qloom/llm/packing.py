@@ -71,8 +71,8 @@ def cuts(places: np.ndarray, penalties: np.ndarray, length: int) -> list[int]:
 class Packer:
     """Packs documents that come in order; gives pieces as soon as their windows are final."""
 
-    def __init__(self, length: int, sentence_ends: np.ndarray, sentence: int, inside: int, grid: int, buffer: int):
-        self.length, self.ends = length, sentence_ends
+    def __init__(self, length: int, sentence_ends: np.ndarray, sentence: int, inside: int, grid: int, buffer: int, marks: list[np.ndarray] = ()):
+        self.length, self.ends, self.marks = length, sentence_ends, marks
         self.sentence, self.inside, self.grid, self.buffer = sentence, inside, grid, max(buffer, 4 * length)
         self.docs: deque[list] = deque()  # [doc id, ids left, start of those in the document, all its ids]
         self.size = 0
@@ -89,6 +89,11 @@ class Packer:
         ids = np.concatenate([d[1] for d in self.docs])
         fee = np.full(len(ids), -1, np.int64)
         fee[self.ends[np.minimum(ids, len(self.ends) - 1)]] = self.sentence
+        for mark in self.marks:  # those of several ids
+            at = np.flatnonzero(ids[len(mark) - 1 :] == mark[-1]) + len(mark) - 1
+            for back in range(1, len(mark)):
+                at = at[ids[at - back] == mark[-1 - back]]
+            fee[at] = self.sentence
         fee[np.cumsum([len(d[1]) for d in self.docs]) - 1] = 0
         fee[-1] = 0
         place = np.flatnonzero(fee >= 0) + 1
@@ -129,7 +134,7 @@ class Packer:
 def _pack(path: str, end: int, length: int, sentence: int, inside: int, grid: int, buffer: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(path)
-        packer = Packer(length, encoder.sentence_ends(), sentence, inside, grid, buffer)
+        packer = Packer(length, encoder.sentence_ends(), sentence, inside, grid, buffer, encoder.sentence_marks())
         part = TaskContext.get().partitionId()
         names = "doc_id start length ids_crc32 doc_tokens sequence offset".split()
 
