@@ -47,7 +47,9 @@ FIELDS = {c: sql_strip(c) for c in ("ddl", "question", "answer")}
 
 
 def pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return pairs_of_conversations(scan(spark, sf, "conversations"), DDL)
+    found = pairs_of_conversations(scan(spark, sf, "conversations"), DDL)
+    # the tables' conversation ids are small numbers
+    return found.withColumn("row_id", F.col("row_id").cast("long"))
 
 
 @query("corpus_scan", f"WITH {PAIRS} SELECT row_id, ddl, question, answer FROM pairs")

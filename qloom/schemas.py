@@ -22,7 +22,7 @@ JOIN_PATHS = (
 )
 
 QUESTION_FEATURES = (
-    "row_id long, limit_n int, year int, status string, agg string, wants_distinct boolean, wants_count boolean, "
+    "row_id long, limit_n int, year int, years array<struct<op:string,year:int>>, status string, status_not boolean, agg string, wants_distinct boolean, wants_count boolean, "
     "wants_anti boolean, has_discount boolean, select_all boolean, order_desc boolean, order_col string, "
     "group_col string, tie_col string, tie_dir string, "
     "comparisons array<struct<col:string,op:string,value:decimal(18,4),number:string>>, value_words array<string>, "

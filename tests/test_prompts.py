@@ -90,6 +90,14 @@ def test_pairs_of_conversations(spark):
     assert [tuple(r) for r in pairs_of_conversations(df, "D").collect()] == [((1 << 32) + 1, "D", "hi\n", "yes")]
 
 
+def test_conversation_ids_of_any_size(spark):
+    ids = [2**31, -(2**63), 2**63 - 1, 5]
+    rows = [(i, t, ("user", "assistant")[t % 2], f"{t}") for i in ids for t in (0, 1, 2, 3)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = sorted(int(r.row_id) for r in pairs_of_conversations(df, "D").collect())
+    assert got == sorted(i * 2**32 + t for i in ids for t in (0, 2))
+
+
 def test_lengths(spark):
     df = spark.createDataFrame([("a", "x  y\tz"), ("a", ""), ("a", "w " * 300), ("b", None)], "g string, t string")
     counts = [r.n_tokens for r in lengths.token_count(df, "t").collect()]
