@@ -33,11 +33,15 @@ _REACH = 3
 _BOUND_REACH = 2
 _TOKEN = rf"[<>]=?|{NUMBER}(?![\p{{L}}\p{{N}}_])|[\p{{L}}\p{{N}}_][\p{{L}}\p{{N}}_'’-]*|[.;?!,]"
 
+# kinds of tokens; those from ODD on are words, and an odd one (with a hyphen, or a digit first) names no column
+NUM, YEAR_NUM, SIGN, STOP, COMMA = 1, 2, 3, 4, 5
+ODD, WORD, OPENS, NEGATES, NOT, STATUS, BOUND, TO, LIMIT, THE, IS, IN, OF, AND = range(9, 23)
+
 _COMPARISON = "struct<col:string,op:string,value:decimal(18,4),number:string>"
 _STATE = {
-    "prev": "string", "prev2": "string", "col": "string", "op": "string", "ends": "int", "low": "string", "bound": "string",
-    "bound_left": "int", "neg": "int", "found": f"array<{_COMPARISON}>", "years": "array<struct<op:string,year:int>>",
-    "statuses": "array<struct<word:string,negated:boolean>>", "words": "array<string>",
+    "prev": "string", "kind": "int", "prev2": "string", "kind2": "int", "col": "string", "op": "string", "ends": "int", "low": "string",
+    "low_year": "boolean", "bound": "string", "bound_left": "int", "neg": "int", "found": f"array<{_COMPARISON}>",
+    "years": "array<struct<op:string,year:int>>", "statuses": "array<struct<word:string,negated:boolean>>", "words": "array<string>",
 }
 
 
@@ -54,8 +58,23 @@ def _marked(text: Column) -> Column:
     return text
 
 
-def _one_of(word: Column, words) -> Column:
-    return word.isin(*words)
+def _kind(t: Column, status_words: tuple[str, ...]) -> Column:
+    """The kind of a token, told once, so that the fold compares numbers only."""
+    negating = tuple(w for w in NEGATION_WORDS if w != "not")
+    return (
+        F.when(t.rlike(r"^\d+(?:\.\d+)?$"), F.when(t.rlike(f"^{YEAR}$"), YEAR_NUM).otherwise(NUM))
+        .when(t.isin("<", ">", "<=", ">="), SIGN)
+        .when(t.isin(".", ";", "?", "!"), STOP)
+        .when(t == ",", COMMA)
+        .when(t.isin(*status_words), STATUS)
+        .when(t.isin(*negating), NEGATES)
+        .when(t.isin(*(w for w in YEAR_BOUNDS if w != "to")), BOUND)
+        .when(t.isin(*LIMIT_WORDS), LIMIT)
+        .when(t.isin(*INTERVAL_WORDS), OPENS)
+        .when(t.isin("not", "to", "the", "is", "in", "during", "of", "and"), F.when(t == "not", NOT).when(t == "to", TO).when(t == "the", THE).when(t == "is", IS).when(t == "of", OF).when(t == "and", AND).otherwise(IN))
+        .when(t.rlike(r"^\D\w*$"), WORD)
+        .otherwise(ODD)
+    )
 
 
 def read_words(text: Column, names: Column, status_words: tuple[str, ...]) -> Column:
@@ -66,10 +85,11 @@ def read_words(text: Column, names: Column, status_words: tuple[str, ...]) -> Co
     A number that is compared, or that says how many rows are wanted, is no year; two years between which something lies are
     bounds, unless the word before is one of ``names``.
     """
-    tokens = F.regexp_extract_all(_marked(text), F.lit(_TOKEN), F.lit(0))
-    none = {"string": F.lit(""), "int": F.lit(0)}
-    start = F.struct(*[none.get(kind, F.array() if kind.startswith("array") else F.lit(None)).cast(kind).alias(f) for f, kind in _STATE.items()])
-    done = F.aggregate(tokens, start, lambda s, t: _step(s, t, names, status_words))
+    raw = F.regexp_extract_all(_marked(text), F.lit(_TOKEN), F.lit(0))
+    tokens = F.transform(raw, lambda t: F.struct(t.alias("t"), _kind(t, status_words).alias("k")))
+    none = {"string": F.lit(""), "int": F.lit(0), "boolean": F.lit(False)}
+    start = F.struct(*[none.get(kind, F.array()).cast(kind).alias(f) for f, kind in _STATE.items()])
+    done = F.aggregate(tokens, start, lambda s, t: _step(s, t["t"], t["k"], names))
     return F.struct(*[done[f].alias(f) for f in ("found", "years", "statuses", "words")])
 
 
@@ -83,64 +103,55 @@ def _years(*pairs) -> Column:
     return F.array(*made)
 
 
-def _step(s: Column, t: Column, names: Column, status_words: tuple[str, ...]) -> Column:
-    number = t.rlike(r"^\d+(?:\.\d+)?$")
-    year = t.rlike(f"^{YEAR}$")
-    sign = _one_of(t, ("<", ">", "<=", ">="))
-    stop = _one_of(t, (".", ";", "?", "!"))
-    comma = t == ","
-    word = ~number & ~sign & ~stop & ~comma
-    opens = _one_of(t, INTERVAL_WORDS)
+def _step(s: Column, t: Column, k: Column, names: Column) -> Column:
+    k1, k2, found, words = s["kind"], s["kind2"], s["found"], s["words"]
+    number, word = k <= YEAR_NUM, k >= ODD
+    opening = (k == SIGN) | (k == OPENS)
     # the word that a comparison is about stands before it, or before its "is"
-    about = F.when(s["prev"] == "is", s["prev2"]).otherwise(s["prev"])
-    about = F.when(about.rlike(r"^\w+$") & ~about.rlike(r"^\d"), about).otherwise("")
-    counted = _one_of(s["prev"], LIMIT_WORDS) | ((s["prev"] == "the") & _one_of(s["prev2"], LIMIT_WORDS))
+    about = F.when(k1 == IS, F.when(k2 >= WORD, s["prev2"]).otherwise("")).when(k1 >= WORD, s["prev"]).otherwise("")
     compared = number & (s["op"] != "")
-    closes = number & ~compared & (s["ends"] == 1)
-    in_years = closes & year & s["low"].rlike(f"^{YEAR}$") & ~F.array_contains(names, s["col"])
-    dated = number & ~compared & year & (s["ends"] == 0) & ~counted
-    bound = F.when(s["bound_left"] > 0, s["bound"]).otherwise("=")
-    bound = F.when((bound == "=") & (s["prev2"] == "not") & _one_of(s["prev"], ("in", "during")), "<>").otherwise(bound)
-    # "from 2019 to 2021": "to" bounds only what follows a number
-    bounds = reduce(lambda c, kv: c.when(t == kv[0], kv[1]), ((k, v) for k, v in YEAR_BOUNDS.items() if k != "to"), F.when((t == "to") & s["prev"].rlike(r"^\d"), "<="))
-    is_bound = bounds.isNotNull()
-    status = word & _one_of(t, status_words)
-    negates = word & _one_of(t, NEGATION_WORDS)
+    free = number & (s["op"] == "")
+    closes = free & (s["ends"] == 1)
+    in_years = (k == YEAR_NUM) & s["low_year"] & ~F.array_contains(names, s["col"])
+    dated = (k == YEAR_NUM) & free & (s["ends"] == 0) & (k1 != LIMIT) & ~((k1 == THE) & (k2 == LIMIT))
+    bound = F.when(s["bound_left"] > 0, s["bound"]).when((k1 == IN) & (k2 == NOT), "<>").otherwise("=")
     # a comparison about no column is about the column named right behind its number: "over 5 minutes"
-    said = F.try_element_at(s["found"], F.lit(-1))
-    unit = word & F.array_contains(names, t) & (said["number"] == s["prev"]) & ~F.array_contains(names, said["col"])
-    renamed = F.concat(F.slice(s["found"], F.lit(1), F.greatest(F.size(s["found"]) - 1, F.lit(0))), F.array(_comparison(t, said["op"], said["number"])))
-    found = (
-        F.when(compared, F.concat(s["found"], F.array(_comparison(s["col"], s["op"], t))))
-        .when(closes & ~in_years, F.concat(s["found"], F.array(_comparison(s["col"], ">=", s["low"]), _comparison(s["col"], "<=", t))))
-        .when(unit, renamed)
-        .otherwise(s["found"])
-    )
-    years = (
-        F.when(in_years, F.concat(s["years"], _years((">=", s["low"]), ("<=", t))))
-        .when(dated, F.concat(s["years"], _years((bound, t))))
-        .otherwise(s["years"])
-    )
-    last = F.try_element_at(s["words"], F.lit(-1))
+    said = F.try_element_at(found, F.lit(-1))
+    unit = word & (k1 <= YEAR_NUM) & (F.size(found) > 0) & (said["number"] == s["prev"]) & F.array_contains(names, t) & ~F.array_contains(names, said["col"])
+    all_but_last = lambda items: F.slice(items, F.lit(1), F.size(items) - 1)
+    bounds = F.when(t == "x", "")
+    for said_word, op in YEAR_BOUNDS.items():
+        bounds = bounds.when(t == said_word, op)
+    # "from 2019 to 2021": "to" bounds only what follows a number
+    is_bound = (k == BOUND) | ((k == TO) & (k1 >= NUM) & (k1 <= YEAR_NUM))
     # the word a comparison is about goes with it
-    taken = F.size(s["words"]) - F.when(s["prev"] == "is", 2).otherwise(1)
-    words = F.when((sign | opens) & (about != "") & (last == s["prev"]), F.slice(s["words"], F.lit(1), F.greatest(taken, F.lit(0)))).when(
-        word & ~opens, F.concat(s["words"], F.array(t))
-    ).otherwise(s["words"])
+    taken = F.greatest(F.size(words) - F.when(k1 == IS, 2).otherwise(1), F.lit(0))
     new = {
         "prev": t,
+        "kind": k,
         "prev2": s["prev"],
-        "col": F.when(sign | opens, about).otherwise(s["col"]),
-        "op": F.when(sign, t).when(number | stop, "").otherwise(s["op"]),
+        "kind2": k1,
+        "col": F.when(opening, about).otherwise(s["col"]),
+        "op": F.when(k == SIGN, t).when(number | (k == STOP), "").otherwise(s["op"]),
         # only "and" or "to" may stand between the ends of an interval, and nothing before them
-        "ends": F.when(opens, 2).when(stop | comma | (word & ((s["ends"] == 2) | ~_one_of(t, ("and", "to")))), 0).when(number & ~compared & (s["ends"] > 0), s["ends"] - 1).otherwise(s["ends"]),
+        "ends": F.when(k == OPENS, 2).when(s["ends"] == 0, 0).when(number, F.when(compared, s["ends"]).otherwise(s["ends"] - 1)).when(
+            (s["ends"] == 1) & ((k == AND) | (k == TO)), 1
+        ).otherwise(0),
         "low": F.when(number & (s["ends"] == 2), t).otherwise(s["low"]),
+        "low_year": F.when(number & (s["ends"] == 2), k == YEAR_NUM).otherwise(s["low_year"]),
         "bound": F.when(is_bound, bounds).otherwise(s["bound"]),
-        "bound_left": F.when(is_bound, _BOUND_REACH).when(stop | number | _one_of(t, ("in", "during", "of")), 0).otherwise(F.greatest(s["bound_left"] - 1, F.lit(0))),
-        "neg": F.when(negates, _REACH).when(stop | comma | status, 0).when(word, F.greatest(s["neg"] - 1, F.lit(0))).otherwise(s["neg"]),
-        "found": found,
-        "years": years,
-        "statuses": F.when(status, F.concat(s["statuses"], F.array(F.struct(t.alias("word"), (s["neg"] > 0).alias("negated"))))).otherwise(s["statuses"]),
-        "words": words,
+        "bound_left": F.when(is_bound, _BOUND_REACH).when((s["bound_left"] == 0) | (k < ODD) | (k == IN) | (k == OF), 0).otherwise(s["bound_left"] - 1),
+        "neg": F.when((k == NOT) | (k == NEGATES), _REACH).when((s["neg"] == 0) | (k == STOP) | (k == COMMA) | (k == STATUS), 0).when(word, s["neg"] - 1).otherwise(s["neg"]),
+        "found": F.when(compared, F.concat(found, F.array(_comparison(s["col"], s["op"], t))))
+        .when(closes & ~in_years, F.concat(found, F.array(_comparison(s["col"], ">=", s["low"]), _comparison(s["col"], "<=", t))))
+        .when(unit, F.concat(all_but_last(found), F.array(_comparison(t, said["op"], said["number"]))))
+        .otherwise(found),
+        "years": F.when(closes & in_years, F.concat(s["years"], _years((">=", s["low"]), ("<=", t))))
+        .when(dated, F.concat(s["years"], _years((bound, t))))
+        .otherwise(s["years"]),
+        "statuses": F.when(k == STATUS, F.concat(s["statuses"], F.array(F.struct(t.alias("word"), (s["neg"] > 0).alias("negated"))))).otherwise(s["statuses"]),
+        "words": F.when(word & (k != OPENS), F.concat(words, F.array(t)))
+        .when(opening & (about != ""), F.slice(words, F.lit(1), taken))
+        .otherwise(words),
     }
     return F.struct(*[new[f].cast(kind).alias(f) for f, kind in _STATE.items()])

@@ -29,10 +29,18 @@ _TOKEN = (
     r"""(?s)'(?:[^']|'')*'|--[^\n]*|/\*.*?\*/|"(?:[^"]|"")*"|`(?:[^`]|``)*`|\[[^\[\]\d][^\[\]]*\]|[\p{L}_][\p{L}\p{N}_$]*|\d[\p{L}\p{N}_.]*|::|[^\s\w]"""
 )
 _SUBQUERY = "("
-_LEVEL = "struct<scope:int,root:int,kind:string,infrom:boolean,src:int>"
+# kinds of words; those from IDENT on are names
+OPEN, CLOSE, COMMA, DOT, SEMICOLON, STRING, NUMBER, CASTS, SIGN = range(1, 10)
+SELECT, FROM, JOIN, WITH, AS, ON, ENDS, ORDER, UNION, END, RECURSIVE, OVER, INTERVAL, WINDOW, WORD = range(10, 25)
+IDENT, CASTING, EXTRACT, TYPE, FRAME = range(30, 35)
+# kinds of brackets
+BRACKET, QUERY, OVER_WINDOW, CAST, FIELD, LIST, NAMED_WINDOW = range(7)
+# what the last name was
+NOTHING, REF, NAME, ALIAS, SOURCE, REST, SKIPPED, CTE, WINDOWS, UNIT, COLUMN = range(11)
+_LEVEL = "struct<scope:int,root:int,kind:int,infrom:boolean,src:int>"
 _STATE = {
-    "now": _LEVEL, "stack": f"array<{_LEVEL}>", "parents": "array<int>", "outer": "array<int>", "prev": "string", "prev2": "string", "last": "string",
-    "with_depth": "int", "want": "boolean", "union": "boolean", "sources": "array<struct<scope:int,name:string,alias:string>>",
+    "now": _LEVEL, "stack": f"array<{_LEVEL}>", "parents": "array<int>", "outer": "array<int>", "prev": "string", "prev2": "string", "k1": "int",
+    "last": "int", "with_depth": "int", "want": "boolean", "union": "boolean", "sources": "array<struct<scope:int,name:string,alias:string>>",
     "names": "array<struct<scope:int,kind:string,name:string>>", "refs": "array<struct<scope:int,of:string,col:string>>",
 }
 
@@ -60,131 +68,148 @@ def _read(sql: Column) -> Column:
     windows, lists of columns) keep the scope. A level of brackets knows whether it is in a FROM clause, and whether a
     source (1), its alias (2) or the rest of a dotted name (3) is due.
     """
-    level = _struct(_LEVEL, 0, 0, "select", False, 0)
-    empty = {"string": F.lit(""), "boolean": F.lit(False), "int": F.lit(-1), _LEVEL: level}
-    start = F.struct(
-        *[(F.array(F.lit(-1)) if f in ("parents", "outer") else empty.get(k, F.array())).cast(k).alias(f) for f, k in _STATE.items()]
-    )
-    done = F.aggregate(_words_of(sql), start, _step)
+    level = _struct(_LEVEL, 0, 0, QUERY, False, 0)
+    empty = {"string": F.lit(""), "boolean": F.lit(False), "int": F.lit(0), _LEVEL: level}
+    first_of = {"parents": F.array(F.lit(-1)), "outer": F.array(F.lit(-1)), "with_depth": F.lit(-1)}
+    start = F.struct(*[first_of.get(f, empty.get(k, F.array())).cast(k).alias(f) for f, k in _STATE.items()])
+    words = F.transform(_words_of(sql), lambda t: F.struct(t.alias("t"), _kind(t).alias("k")))
+    done = F.aggregate(words, start, lambda s, w: _step(s, w["t"], w["k"]))
     return F.struct(*[done[f].alias(f) for f in ("parents", "outer", "sources", "names", "refs")])
 
 
-def _step(s: Column, t: Column) -> Column:
-    now, prev, last = s["now"], s["prev"], s["last"]
-    kind, src = now["kind"], now["src"]
-    scope = now["scope"]
-    keyword = t.isin(*KEYWORDS)
-    ident = t.rlike(r"^[\p{L}_]|\W.|^\d+[\p{L}_]") & ~keyword & (t != "::") & ~t.rlike(r"^[\d.]+$")
-    opens, closes, selects = t == "(", t == ")", t == "select"
+def _kind(t: Column) -> Column:
+    """The kind of a word, told once, so that the fold compares numbers only."""
+    single = {"(": OPEN, ")": CLOSE, ",": COMMA, ".": DOT, ";": SEMICOLON, "'": STRING, "::": CASTS}
+    named = {
+        SELECT: ("select",), FROM: ("from",), JOIN: ("join",), WITH: ("with",), AS: ("as",), ON: ("on", "using"), ORDER: ("order",), END: ("end",),
+        UNION: ("union", "except", "intersect"), RECURSIVE: ("recursive",), OVER: ("over",), INTERVAL: ("interval",), WINDOW: ("window",),
+        ENDS: ("where", "group", "having", "limit", "qualify", "offset", "fetch"),
+    }
+    out = F.when(t.rlike(r"^[^\p{L}\p{N}_]$|^::$"), _chosen(t, {k: (w,) for w, k in single.items()}, SIGN))
+    out = out.when(t.isin(*KEYWORDS), _chosen(t, named, WORD)).when(t.rlike(r"^\d[\d.]*$"), NUMBER)
+    types = tuple(x for x in LITERAL_TYPES if x != "interval")
+    special = (*CAST_FUNCTIONS, "extract", *types, *WINDOW_WORDS)
+    return out.when(t.isin(*special), _chosen(t, {CASTING: CAST_FUNCTIONS, EXTRACT: ("extract",), TYPE: types}, FRAME)).otherwise(IDENT)
+
+
+def _chosen(t: Column, words: dict, other: int) -> Column:
+    out = F.when(F.lit(False), 0)
+    for kind, said in words.items():
+        out = out.when(t.isin(*said), kind)
+    return out.otherwise(other)
+
+
+def _step(s: Column, t: Column, k: Column) -> Column:
+    now, k1, last = s["now"], s["k1"], s["last"]
+    scope, kind, src = now["scope"], now["kind"], now["src"]
+    in_select = kind == QUERY
+    windowed = (kind == OVER_WINDOW) | (kind == NAMED_WINDOW)
     back = F.try_element_at(s["stack"], F.lit(-1))
-    in_select = kind == "select"
     depth = F.size(s["stack"])
     # what a name is, the first that holds
-    window_word = (kind == "window") & t.isin(*WINDOW_WORDS)
-    due = F.when(~ident | window_word, "")
     due = (
-        due.when(s["want"], "cte")
-        .when(kind == "list", "name")
-        .when((kind == "cast") & (prev == "as") | (last == "type"), "type")
-        .when((prev == "::") | (prev == "over") | ((kind == "extract") & (prev == "(")), "type")
-        .when((prev == ".") & (src == 3), "rest")
-        .when(prev == ".", "column")
-        .when(in_select & (src == 1), "source")
-        .when(in_select & (src == 2), "alias")
-        .when((prev == "window") | ((last == "windows") & (prev == ",")), "window")
-        .when((prev == "as") & (kind != "cast"), "name")
-        .when(in_select & (last.isin("ref", "name") | prev.isin(")", "'", "end") | prev.rlike(r"^\d")), "name")
-        .otherwise("ref")
+        F.when((k < IDENT) | ((k == FRAME) & windowed), NOTHING)
+        .when(s["want"], CTE)
+        .when(k1 == DOT, F.when(src == 3, REST).otherwise(COLUMN))
+        .when(kind == LIST, NAME)
+        .when((last == SKIPPED) | (k1 == CASTS) | (k1 == OVER) | ((kind == CAST) & (k1 == AS)) | ((kind == FIELD) & (k1 == OPEN)), SKIPPED)
+        .when(in_select & (src == 1), SOURCE)
+        .when(in_select & (src == 2), ALIAS)
+        .when((k1 == WINDOW) | ((last == WINDOWS) & (k1 == COMMA)), WINDOWS)
+        .when(k1 == AS, NAME)
+        .when(in_select & ((last == REF) | (last == NAME) | (k1 == CLOSE) | (k1 == STRING) | (k1 == END) | (k1 == NUMBER)), NAME)
+        .otherwise(REF)
     )
-    is_due = lambda *w: due.isin(*w)
-    called = opens & (last == "ref")
-    literal = (t == "'") & (last == "ref") & prev.isin(*LITERAL_TYPES)
+    # the one-element array names it, so that it is told once
+    return F.transform(F.array(due), lambda d: _stepped(s, t, k, d, now, k1, last, scope, kind, src, in_select, back, depth))[0]
+
+
+def _stepped(s, t, k, due, now, k1, last, scope, kind, src, in_select, back, depth) -> Column:
+    closes, opens, selects = k == CLOSE, k == OPEN, k == SELECT
+    literal = (k == STRING) & (last == REF) & (k1 == TYPE)
     refs = (
-        F.when(is_due("ref"), F.concat(s["refs"], F.array(_ref(scope, F.lit(""), t))))
-        .when(is_due("column") & (last == "ref"), F.concat(_all_but_last(s["refs"]), F.array(_ref(scope, s["prev2"], t))))
-        .when(called | literal, _all_but_last(s["refs"]))
+        F.when(due == REF, F.concat(s["refs"], F.array(_ref(scope, F.lit(""), t))))
+        .when((due == COLUMN) & (last == REF), F.concat(_all_but_last(s["refs"]), F.array(_ref(scope, s["prev2"], t))))
+        .when((opens & (last == REF)) | literal, _all_but_last(s["refs"]))
         .otherwise(s["refs"])
     )
     one = F.try_element_at(s["sources"], F.lit(-1))
     source = lambda sc, name, alias: F.array(_struct("struct<scope:int,name:string,alias:string>", sc, name, alias))
-    derived = closes & (back["src"] == 1) & in_select
     sources = (
-        F.when(is_due("source"), F.concat(s["sources"], source(scope, t, "")))
-        .when(is_due("rest"), F.concat(_all_but_last(s["sources"]), source(one["scope"], t, "")))
-        .when(is_due("alias"), F.concat(_all_but_last(s["sources"]), source(one["scope"], one["name"], t)))
-        .when(derived, F.concat(s["sources"], source(back["scope"], _SUBQUERY, "")))
+        F.when(due == SOURCE, F.concat(s["sources"], source(scope, t, "")))
+        .when(due == REST, F.concat(_all_but_last(s["sources"]), source(one["scope"], t, "")))
+        .when(due == ALIAS, F.concat(_all_but_last(s["sources"]), source(one["scope"], one["name"], t)))
+        .when(closes & (back["src"] == 1) & in_select, F.concat(s["sources"], source(back["scope"], _SUBQUERY, "")))
         # a table function
-        .when(opens & in_select & (src == 2) & (last == "source"), F.concat(_all_but_last(s["sources"]), source(one["scope"], _SUBQUERY, "")))
+        .when(opens & in_select & (src == 2) & (last == SOURCE), F.concat(_all_but_last(s["sources"]), source(one["scope"], _SUBQUERY, "")))
         .otherwise(s["sources"])
     )
-    declares = F.when(is_due("cte"), "cte").when(is_due("name", "window"), "name")
-    names = F.when(declares.isNotNull(), F.concat(s["names"], F.array(_struct("struct<scope:int,kind:string,name:string>", scope, declares, t)))).otherwise(s["names"])
-
-    nested = (selects | (t == "with")) & (prev == "(")
-    beside = selects & ~nested & s["union"]
-    parent = F.when(nested, scope).otherwise(F.get(s["parents"], scope))
-    parents = F.when(nested | beside, F.concat(s["parents"], F.array(parent))).otherwise(s["parents"])
-    # a subquery that is a source, or declared by WITH, doesn't see the sources around it
-    apart = nested & ((back["src"] == 1) | (s["with_depth"] == depth - 1))
-    beyond = F.when(nested & ~apart, scope).otherwise(F.get(s["outer"], scope))
-    outer = F.when(nested | beside, F.concat(s["outer"], F.array(beyond))).otherwise(s["outer"])
+    declared = (due == CTE) | (due == NAME) | (due == WINDOWS)
+    name = _struct("struct<scope:int,kind:string,name:string>", scope, F.when(due == CTE, "cte").otherwise("name"), t)
+    nested = (selects | (k == WITH)) & (k1 == OPEN)
+    beside = selects & (k1 != OPEN) & s["union"]
+    grows = nested | beside
     new_scope = F.size(s["parents"])
+    # a subquery that is a source, or declared by WITH, doesn't see the sources around it
+    apart = (back["src"] == 1) | (s["with_depth"] == depth - 1)
     inner_kind = (
-        F.when((prev == "over") | ((prev == "as") & (last == "windows")), "window")
-        .when(prev.isin(*CAST_FUNCTIONS), "cast")
-        .when(prev == "extract", "extract")
-        .when(last.isin("cte", "alias"), "list")
-        .otherwise("bracket")
+        F.when(k1 == OVER, OVER_WINDOW)
+        .when((k1 == AS) & (last == WINDOWS), NAMED_WINDOW)
+        .when(k1 == CASTING, CAST)
+        .when(k1 == EXTRACT, FIELD)
+        .when((last == CTE) | (last == ALIAS), LIST)
+        .otherwise(BRACKET)
     )
-    ends_from = t.isin("where", "group", "having", "order", "limit", "window", "union", "except", "intersect", "qualify", "offset", "fetch")
+    ends_from = (k == ENDS) | (k == ORDER) | (k == WINDOW) | (k == UNION)
     new_src = (
-        F.when((t == "from") | (t == "join") | ((t == ",") & now["infrom"]), 1)
-        .when(ends_from | t.isin("on", "using"), 0)
-        .when(is_due("source", "rest"), 2)
-        .when((t == ".") & (src == 2) & last.isin("source", "rest"), 3)
-        .when(is_due("alias"), 0)
+        F.when((k == FROM) | (k == JOIN) | ((k == COMMA) & now["infrom"]), 1)
+        .when(ends_from | (k == ON) | (due == ALIAS), 0)
+        .when((due == SOURCE) | (due == REST), 2)
+        .when((k == DOT) & (src == 2) & ((last == SOURCE) | (last == REST)), 3)
         .otherwise(src)
     )
     new_now = (
         F.when(opens, _struct(_LEVEL, scope, scope, inner_kind, False, 0))
         # what closed was the source that a FROM clause waited for
         .when(closes, F.when(back["src"] == 1, _struct(_LEVEL, back["scope"], back["root"], back["kind"], back["infrom"], 2)).otherwise(back))
-        .when(nested, _struct(_LEVEL, new_scope, new_scope, "select", False, 0))
-        .when(beside, _struct(_LEVEL, new_scope, now["root"], "select", False, 0))
-        .when(selects, _struct(_LEVEL, scope, now["root"], "select", False, 0))
+        .when(nested, _struct(_LEVEL, new_scope, new_scope, QUERY, False, 0))
+        .when(beside, _struct(_LEVEL, new_scope, now["root"], QUERY, False, 0))
+        .when(selects, _struct(_LEVEL, scope, now["root"], QUERY, False, 0))
         # an ORDER BY after UNION speaks of the first SELECT's columns
-        .when(in_select, _struct(_LEVEL, F.when(t == "order", now["root"]).otherwise(scope), now["root"], kind, F.when(ends_from, False).when(t == "from", True).otherwise(now["infrom"]), new_src))
+        .when(in_select, _struct(_LEVEL, F.when(k == ORDER, now["root"]).otherwise(scope), now["root"], kind, F.when(ends_from, False).otherwise((k == FROM) | now["infrom"]), new_src))
         .otherwise(now)
     )
-    with_ = (t == "with") & prev.isin("", "(", ";")
-    listed = (s["with_depth"] == depth) & (t == ",") & (now["infrom"] == F.lit(False))
+    with_ = (k == WITH) & ((k1 == 0) | (k1 == OPEN) | (k1 == SEMICOLON))
+    listed = (s["with_depth"] == depth) & (k == COMMA) & ~now["infrom"]
     new_last = (
-        F.when(ident, F.when(due == "column", "ref").when(due == "window", "windows").otherwise(due))
-        .when((t == "interval") | literal & (prev == "interval") | ((last == "interval") & t.rlike(r"^\d")), F.when(t == "interval", "interval").otherwise("type"))
-        .when((t == ".") & last.isin("ref", "source", "rest"), last)
-        .when((last == "windows") & (t.isin("as", ",")), "windows")
-        .when(closes & (kind == "window") & (back["kind"] == "select") & (s["prev2"] != "over"), "windows")
-        .when((last == "cte") & (t == "as"), "")
-        .otherwise("")
+        F.when(k >= IDENT, F.when(due == COLUMN, REF).otherwise(due))
+        .when(k == INTERVAL, UNIT)
+        # the unit of an interval is no name
+        .when((last == UNIT) & ((k == NUMBER) | (k == STRING)), SKIPPED)
+        .when((k == DOT) & ((last == REF) | (last == SOURCE) | (last == REST)), last)
+        .when((last == WINDOWS) & ((k == AS) | (k == COMMA)), WINDOWS)
+        .when(closes & (kind == NAMED_WINDOW), WINDOWS)
+        .otherwise(NOTHING)
     )
     new = {
         "now": new_now,
         "stack": F.when(opens, F.concat(s["stack"], F.array(now))).when(closes, _all_but_last(s["stack"])).otherwise(s["stack"]),
-        "parents": parents,
-        "outer": outer,
+        "parents": F.when(grows, F.concat(s["parents"], F.array(F.when(nested, scope).otherwise(F.get(s["parents"], scope))))).otherwise(s["parents"]),
+        "outer": F.when(grows, F.concat(s["outer"], F.array(F.when(nested & ~apart, scope).otherwise(F.get(s["outer"], scope))))).otherwise(s["outer"]),
         "prev": t,
         # of a dotted name the part before the dot
-        "prev2": F.when(t == ".", prev).otherwise(F.when(prev == ".", s["prev2"]).otherwise(prev)),
+        "prev2": F.when((k1 == DOT) & (k != DOT), s["prev2"]).otherwise(s["prev"]),
+        "k1": k,
         "last": new_last,
         "with_depth": F.when(with_, depth).when(selects & (s["with_depth"] == depth), -1).otherwise(s["with_depth"]),
-        "want": F.when(with_ | listed, True).when(t == "recursive", s["want"]).otherwise(False),
-        "union": F.when(t.isin("union", "except", "intersect"), True).when(selects, False).otherwise(s["union"]),
+        "want": with_ | listed | ((k == RECURSIVE) & s["want"]),
+        "union": (k == UNION) | (s["union"] & ~selects),
         "sources": sources,
-        "names": names,
+        "names": F.when(declared, F.concat(s["names"], F.array(name))).otherwise(s["names"]),
         "refs": refs,
     }
     # a bracket that closes too often changes nothing
-    return F.when(closes & (depth == 0), s).otherwise(F.struct(*[new[f].cast(k).alias(f) for f, k in _STATE.items()]))
+    return F.when(closes & (depth == 0), s).otherwise(F.struct(*[new[f].cast(x).alias(f) for f, x in _STATE.items()]))
 
 
 def _ref(scope: Column, of: Column, col: Column) -> Column:
