@@ -350,6 +350,11 @@ def _with_paths(df: DataFrame) -> DataFrame:
         catalog.paths_from(F.col("_graph"), F.col("_primary.key")),
         lambda p: F.exists("_others", lambda t: t["key"] == p["to_table"]),
     )
+    # the steps with the names as declared, found once
+    spelled = lambda x: F.struct(
+        *[x[f].alias(f) for f in ("from_table", "from_col", "to_table", "to_col")], _declared(x["from_table"]).alias("from_name"), _declared(x["to_table"]).alias("to_name")
+    )
+    found = F.transform(found, lambda p: F.struct(p["to_table"].alias("to_table"), F.transform(p["steps"], spelled).alias("steps")))
     df = settled(df.withColumn("paths", found), "paths")
     steps = F.array_distinct(F.flatten(F.transform("paths", lambda p: p["steps"])))
     reached = F.size("paths") == F.size("_others")
@@ -361,7 +366,7 @@ def _declared(key: Column) -> Column:
 
 
 def _step_text(s: Column) -> Column:
-    return _text(" JOIN ", _declared(s["to_table"]), " ON ", _declared(s["from_table"]), ".", s["from_col"], " = ", _declared(s["to_table"]), ".", s["to_col"])
+    return _text(" JOIN ", s["to_name"], " ON ", s["from_name"], ".", s["from_col"], " = ", s["to_name"], ".", s["to_col"])
 
 
 def _of_first(tables: Column, column) -> Column:
@@ -468,6 +473,7 @@ def _joined(df: DataFrame) -> DataFrame:
         (F.size("_totals") == 0) & (F.size("_measured") > 1) & F.exists("_measured", off_path)
     )
     df = settled(df.withColumn("_fans", F.col("agg").isNotNull() & F.coalesce(fans_out, F.lit(False))), "_fans")
+    df = settled(df.withColumn("_tests", F.when(F.col("_fans"), _tests())), "_tests")
 
     source = _text(primary["name"], F.array_join(F.transform("steps", _step_text), ""))
     where = _clause("WHERE", F.nullif(F.array_join(F.transform("_conds", lambda c: c["text"]), " AND "), F.lit("")), sep=" AND ")
@@ -518,35 +524,57 @@ def _joined(df: DataFrame) -> DataFrame:
     return df.withColumns({"_join_sql": sql, "_join_unused": F.concat(F.array_compact(unused), values, _said_comparisons(lost))})
 
 
+def _path_of(table: Column) -> Column:
+    return first(F.filter("paths", lambda p: p["to_table"] == table))["steps"]
+
+
+def _conds_of(keys: Column) -> Column:
+    """Texts of the filters about some tables."""
+    return F.transform(F.filter("_conds", lambda c: F.array_contains(keys, c["table"])), lambda c: c["text"])
+
+
+def _all_of(parts: Column) -> Column:
+    return F.when(F.size(parts) > 0, _text(" WHERE ", F.array_join(parts, " AND "))).otherwise("")
+
+
+def _tests() -> Column:
+    """(table, text): the tables off all ways to totals, with all that hangs on them, as tests by IN of the table they hang on."""
+    on_paths = F.array_distinct(F.flatten(F.transform("_measured", lambda m: F.transform(_path_of(m), lambda x: x["to_table"]))))
+    off = F.filter("steps", lambda x: ~F.array_contains(on_paths, x["to_table"]))
+    # where a step off the ways begins, and the steps beyond it
+    roots = F.filter(off, lambda x: ~F.exists(off, lambda y: y["to_table"] == x["from_table"]))
+    with_rest = F.transform(
+        roots,
+        lambda r: F.struct(
+            r.alias("step"),
+            F.filter(
+                off,
+                lambda x: (x["to_table"] != r["to_table"])
+                & F.exists(_path_of(x["to_table"]), lambda y: y["to_table"] == r["to_table"]),
+            ).alias("rest"),
+        ),
+    )
+    return F.transform(
+        with_rest,
+        lambda w: F.struct(
+            w["step"]["from_table"].alias("table"),
+            _text(
+                w["step"]["from_name"], ".", w["step"]["from_col"], " IN (SELECT ", w["step"]["to_name"], ".", w["step"]["to_col"], " FROM ", w["step"]["to_name"],
+                F.array_join(F.transform(w["rest"], _step_text), ""),
+                _all_of(_conds_of(F.concat(F.array(w["step"]["to_table"]), F.transform(w["rest"], lambda x: x["to_table"])))), ")",
+            ).alias("text"),
+        ),
+    )
+
+
 def _added_up(primary: Column, who: Column, tie: Column) -> Column:
     """The statement whose totals are added up by key before they meet. Totals of the listed table itself are plain."""
     agg = F.col("agg")
     here = F.col("_primary.key")
-    path_of = lambda m: first(F.filter("paths", lambda p: p["to_table"] == m))["steps"]
     measured = F.filter("_measured", lambda m: m != here)
-    on_paths = F.array_distinct(F.flatten(F.transform(measured, lambda m: F.transform(path_of(m), lambda s: s["to_table"]))))
-    conds = lambda keys: F.transform(F.filter("_conds", lambda c: F.array_contains(keys, c["table"])), lambda c: c["text"])
-    joined = lambda parts, word, sep: F.when(F.size(parts) > 0, _text(f" {word} ", F.array_join(parts, sep))).otherwise("")
-
-    def below(r: Column) -> Column:
-        """Steps beyond the table a step leads to."""
-        return F.filter(
-            "steps",
-            lambda s: (s["to_table"] != r["to_table"]) & F.exists("paths", lambda p: (p["to_table"] == s["to_table"]) & F.exists(p["steps"], lambda x: x["to_table"] == r["to_table"])),
-        )
-
-    def tests(keys: Column) -> Column:
-        """Tables off all ways to totals that hang on one of the given tables, as tests by IN."""
-        off = F.filter("steps", lambda s: F.array_contains(keys, s["from_table"]) & ~F.array_contains(on_paths, s["to_table"]))
-        return F.transform(
-            off,
-            lambda r: _text(
-                _declared(r["from_table"]), ".", r["from_col"], " IN (SELECT ", _declared(r["to_table"]), ".", r["to_col"], " FROM ",
-                _declared(r["to_table"]), F.array_join(F.transform(below(r), _step_text), ""),
-                joined(conds(F.concat(F.array(r["to_table"]), F.transform(below(r), lambda s: s["to_table"]))), "WHERE", " AND "), ")",
-            ),
-        )
-
+    restricted = lambda keys: _all_of(
+        F.concat(_conds_of(keys), F.transform(F.filter("_tests", lambda x: F.array_contains(keys, x["table"])), lambda x: x["text"]))
+    )
     name_of = lambda m: F.substring_index(m["name"], ".", -1)
     is_avg = agg == "avg"
     totals_of = lambda m: F.filter("_totals", lambda x: x["table"] == m)
@@ -559,13 +587,13 @@ def _added_up(primary: Column, who: Column, tie: Column) -> Column:
         return F.when(F.size(totals_of(m)) > 0, F.array_join(F.transform(totals_of(m), one), ", ")).otherwise(_text("COUNT(*) AS count_", m))
 
     def derived(m: Column) -> Column:
-        path = path_of(m)
+        path = _path_of(m)
         keys = F.transform(path, lambda s: s["to_table"])
         head = first(path)
-        link = _text(_declared(head["to_table"]), ".", head["to_col"])
+        link = _text(head["to_name"], ".", head["to_col"])
         return _text(
-            F.when(F.size(measured) > 1, " LEFT JOIN (SELECT ").otherwise(" JOIN (SELECT "), link, " AS link, ", cells(m), " FROM ", _declared(head["to_table"]),
-            F.array_join(F.transform(F.slice(path, 2, 1 << 30), _step_text), ""), joined(F.concat(conds(keys), tests(keys)), "WHERE", " AND "),
+            F.when(F.size(measured) > 1, " LEFT JOIN (SELECT ").otherwise(" JOIN (SELECT "), link, " AS link, ", cells(m), " FROM ", head["to_name"],
+            F.array_join(F.transform(F.slice(path, 2, 1 << 30), _step_text), ""), restricted(keys),
             " GROUP BY ", link, ") AS per_", m, " ON ", primary["name"], ".", head["from_col"], " = per_", m, ".link",
         )
 
@@ -583,7 +611,7 @@ def _added_up(primary: Column, who: Column, tie: Column) -> Column:
     lead = F.coalesce(_alias(name_of(first(F.col("_totals")))), _text("count_", first(measured)))
     return _text(
         "SELECT ", F.concat_ws(", ", F.nullif(who, F.lit("")), F.concat(plain, F.transform(measured, outer))), " FROM ", primary["name"],
-        F.array_join(F.transform(measured, derived), ""), joined(F.concat(conds(F.array(here)), tests(F.array(here))), "WHERE", " AND "),
+        F.array_join(F.transform(measured, derived), ""), restricted(F.array(here)),
         F.when(who != "", _text(" GROUP BY ", who)).otherwise(""), " ORDER BY ", lead, " DESC", tie, _limit(),
     )
 
