@@ -9,7 +9,9 @@ Windows of a document and an item that meet on one diagonal (document position m
 together: the value that fills a slot must be the same wherever the item repeats a value, or the diagonal does
 not count. A document holds an item if ``coverage`` of the item's windows are found on consistent diagonals.
 
-Null and empty texts have no windows. Items with fewer literals than that can't be told apart and never match. A repeated
+An item without a window of so many literals (arithmetic, lists of names, scripts without blanks) is searched as it is: its words,
+numbers and names included, and its characters one by one where a script has no blanks, are one window that a document has to hold in
+full. Null and empty texts have no windows; items of fewer than ``EXACT`` words or such characters can't be told apart and never match. A repeated
 item or document is reported once per id and text; null ids are reported as null. Very long texts are read
 whole. The windows of the benchmark are broadcast only up to ``broadcast_windows`` of them; with more, the
 windows of all documents are shuffled to them instead, with the same result.
@@ -32,6 +34,8 @@ WINDOW = 8
 LITERALS = 4
 COVERAGE = 0.5
 BROADCAST_WINDOWS = 1_000_000
+# words (or characters of scripts without blanks) that an item without other windows needs to be searched as it is
+EXACT = 4
 # words remembered per task
 KNOWN = 300_000
 
@@ -66,6 +70,11 @@ def canonical(word: str, names: bool = True) -> tuple[str, str]:
 
 
 _PLACE = (NUMBER, NAME, UNIT)
+# words of letters that aren't literal
+_TYPED = frozenset(w.encode() for w in UNITS | NUMBERS)
+_EDGE_BYTES = "".join(c for c in _EDGE if c.isascii()).encode()
+# scripts that are written without blanks
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -78,10 +87,16 @@ class Reader:
         self.known: dict[bytes, int] = {}
         self.token = np.zeros((2, KNOWN), np.uint64)
         self.literal = np.zeros((2, KNOWN), bool)
-        powers = [1]
-        for _ in range(window):
-            powers.append(powers[-1] * int(_BASE) & (2**64 - 1))
-        self.powers = np.array(powers, np.uint64)
+        self.powers = np.ones(1, np.uint64)
+        self.inverses = np.ones(1, np.uint64)
+
+    def _grow(self, n: int) -> None:
+        """Powers of the base, and of its inverse modulo 2 ** 64, up to a place."""
+        if len(self.powers) < n:
+            n = max(n, 2 * len(self.powers), 4096)
+            inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+            self.powers = np.concatenate([[np.uint64(1)], np.full(n - 1, _BASE, np.uint64)]).cumprod(dtype=np.uint64)
+            self.inverses = np.concatenate([[np.uint64(1)], np.full(n - 1, inverse, np.uint64)]).cumprod(dtype=np.uint64)
 
     def _learn(self, word: bytes, lent: dict[bytes, int]) -> int:
         row = lent.get(word)
@@ -94,6 +109,11 @@ class Reader:
             if row >= self.token.shape[1]:
                 self.token = np.pad(self.token, ((0, 0), (0, row)))
                 self.literal = np.pad(self.literal, ((0, 0), (0, row)))
+        bare = word.strip(_EDGE_BYTES)
+        if bare.isalpha() and bare.islower() and bare not in _TYPED:  # ASCII letters, as most words are
+            self.token[:, row] = xxhash.xxh64_intdigest(bare)
+            self.literal[:, row] = True
+            return row
         token, value = canonical(word.decode())
         self.token[:, row] = xxhash.xxh64_intdigest(token) if token else 0
         self.literal[:, row] = bool(token) and token not in _PLACE
@@ -119,18 +139,32 @@ class Reader:
             token, literal = token[:, marks], literal[:, marks]
         return words, token, literal
 
-    def windows(self, token: np.ndarray, literal: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """(hashes, whether there are literals enough) of all windows of one length."""
-        n = len(token) - length + 1
+    def sums(self, token: np.ndarray) -> np.ndarray:
+        """Sums of the token hashes, each times its own power of the inverse base, from which windows of any length follow."""
+        self._grow(len(token) + 1)
+        return np.concatenate([[np.uint64(0)], np.cumsum(token * self.inverses[: len(token)], dtype=np.uint64)])
+
+    def windows(self, sums: np.ndarray, length: int, salt: int = 0) -> np.ndarray:
+        """Hashes of all windows of one length: a polynomial of the token hashes, modulo 2 ** 64, mixed at the end with the length."""
+        n = len(sums) - length
         if n < 1:
-            return np.zeros(0, np.int64), np.zeros(0, bool)
-        so_far = np.concatenate([[0], np.cumsum(literal)])
-        # a polynomial of the token hashes, modulo 2 ** 64, mixed at the end with the length
-        value = np.zeros(n, np.uint64)
-        for k in range(length):
-            value += token[k : k + n] * self.powers[length - 1 - k]
-        value = (value ^ (value >> np.uint64(29))) * _BASE + np.uint64(length)
-        return value.view(np.int64), so_far[length:] - so_far[:-length] >= self.literals
+            return np.zeros(0, np.int64)
+        value = (sums[length:] - sums[:n]) * self.powers[length - 1 : length - 1 + n]
+        value = (value ^ (value >> np.uint64(29))) * _BASE + np.uint64(length + salt)
+        return value.view(np.int64)
+
+    def plain(self, words: list[bytes]) -> np.ndarray:
+        """Hashes of the words as they are, but for case and punctuation around them, and of each character of scripts without blanks."""
+        out = []
+        for word in words:
+            bare = word.decode().strip(_EDGE).lower()
+            pieces = re.findall(f"{_UNSPACED.pattern}|[^{_UNSPACED.pattern[1:-1]}]+", bare) if _UNSPACED.search(bare) else [bare]
+            out += [xxhash.xxh64_intdigest(p) for p in pieces if p.strip(_EDGE + "。、！？，．：；「」『』（）")]
+        return np.array(out, np.uint64)
+
+
+# tells windows of words as they are from template windows
+_PLAIN = 1 << 40
 
 
 def _slots(words: list[bytes], names: bool) -> list[str]:
@@ -152,26 +186,52 @@ def _read(window: int, literals: int, lengths: list[int] | None, wanted: np.ndar
         hint = np.zeros(1 << 20, bool)
         if wanted is not None:
             hint[wanted.view(np.uint64) >> np.uint64(44)] = True
+
+        def found(value: np.ndarray, ok: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+            """Places and hashes of the windows that are wanted."""
+            if wanted is not None:
+                near = hint[value.view(np.uint64) >> np.uint64(44)]
+                ok = near if ok is None else near & ok
+            at = np.flatnonzero(ok) if ok is not None else np.arange(len(value))
+            value = value[at]
+            if wanted is not None and len(at):
+                place = np.minimum(np.searchsorted(wanted, value), len(wanted) - 1)
+                hit = wanted[place] == value
+                at, value = at[hit], value[hit]
+            return at, value
+
         for frame in frames:
             rows = []
             for i, key, text in zip(frame["id"], frame["key"], frame["text"]):
                 words, token, literal = reader.tokens(text)
-                sizes = lengths if lengths is not None else [min(window, len(words))] if words else []
+                sizes = [n for n in lengths if n > 0] if lengths is not None else [min(window, len(words))] if words else []
+                alike = (token[0] == token[1]).all()
+                sums = [reader.sums(token[0])] if sizes else []
+                if sizes and not alike:
+                    sums.append(reader.sums(token[1]))
+                counts = [np.concatenate([[0], np.cumsum(x)]) for x in literal[: len(sums)]]
+                searched = False
                 for size in sizes:
-                    named, named_ok = reader.windows(token[0], literal[0], size)
-                    folded, folded_ok = reader.windows(token[1], literal[1], size)
-                    # a window without names is the same in both forms
-                    for form, value, ok in ((0, named, named_ok), (1, folded, folded_ok & (folded != named))):
-                        if wanted is not None:
-                            ok = ok & hint[value.view(np.uint64) >> np.uint64(44)]
-                        at = np.flatnonzero(ok)
-                        value = value[at]
-                        if wanted is not None and len(at):
-                            place = np.minimum(np.searchsorted(wanted, value), len(wanted) - 1)
-                            hit = wanted[place] == value
-                            at, value = at[hit], value[hit]
-                        for p, v in zip(at.tolist(), value.tolist()):
+                    named = None
+                    for form, (part, so_far) in enumerate(zip(sums, counts)):
+                        value = reader.windows(part, size)
+                        ok = so_far[size:] - so_far[: len(value)] >= literals
+                        searched |= bool(ok.any())
+                        # a window without names is the same in both forms
+                        if form:
+                            ok &= value != named
+                        named = value
+                        for p, v in zip(*(x.tolist() for x in found(value, ok))):
                             rows.append((i, key, p, size, v, _slots(words[p : p + size], not form)))
+                if lengths is None and not searched and words:
+                    plain = reader.plain(words)
+                    if len(plain) >= EXACT:
+                        rows.append((i, key, 0, -len(plain), int(reader.windows(reader.sums(plain), len(plain), _PLAIN)[0]), []))
+                elif lengths is not None and min(lengths, default=1) < 0:
+                    whole = reader.sums(reader.plain(words))
+                    for size in [n for n in lengths if n < 0]:
+                        for p, v in zip(*(x.tolist() for x in found(reader.windows(whole, -size, _PLAIN), None))):
+                            rows.append((i, key, p, size, v, []))
             yield pd.DataFrame(rows, columns="id key at size hash slots".split())
 
     return run

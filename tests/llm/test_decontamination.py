@@ -74,3 +74,86 @@ def test_query_finds_the_passages(spark, sf_dir, bound):
     docs, items = scan(spark, sf_dir, "documents"), scan(spark, sf_dir, "benchmark")
     want = {(d["doc_id"], i["item_id"]) for d in docs.collect() for i in items.collect() if flat(i["text"]) in flat(d["text"])}
     assert want and found(docs, items, broadcast_windows=bound) == want
+
+
+def test_items_without_literal_windows_are_searched_as_they_are(spark):
+    items = bench(spark, [(1, "What is 17 + 23?"), (2, "太郎は林檎を三つ持っています。"), (3, "Anna Berta Carla Dora Emil"), (4, "17 + 23"), (5, "十二")])
+    docs = frames.documents(
+        spark,
+        [
+            (1, "A test. what is 17 + 23 and then"),
+            (2, "What is 18 + 23? What is 17 - 25?"),
+            (3, "昔々、太郎は林檎を三つ持っています。それから"),
+            (4, "昔々、太郎は林檎を四つ持っています。"),
+            (5, "with anna, berta, carla, dora (emil) there"),
+            (6, "Anna Berta Dora Carla Emil; 17 + 23 and 十二"),
+        ],
+    )
+    for broadcast in (10, 0):
+        assert found(docs, items, broadcast_windows=broadcast) == {(1, 1), (3, 2), (5, 3)}
+
+
+def test_windows_equal_the_polynomial_of_their_tokens():
+    import numpy as np
+
+    reader = q.Reader(8, 4)
+    token = np.random.default_rng(1).integers(0, 1 << 63, 300, dtype=np.uint64) * np.uint64(2)
+    sums, base, wrap = reader.sums(token), int(q._BASE), (1 << 64) - 1
+    for length in (1, 5, 8, 299, 300):
+        for at, got in enumerate(reader.windows(sums, length).view(np.uint64).tolist()):
+            value = 0
+            for t in token[at : at + length].tolist():
+                value = (value * base + t) & wrap
+            assert got == ((value ^ value >> 29) * base + length) & wrap
+    assert len(reader.windows(sums, 301)) == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_templates_with_slots_equal_brute_force(spark, seed):
+    import random
+
+    rng = random.Random(seed)
+    literal = [f"w{chr(97 + k)}x" for k in range(20)]
+
+    def words(n):
+        return [rng.choice([rng.choice(literal)] * 4 + [str(rng.randrange(9)), rng.choice(["Ada", "Bob", "Cyd"]), "km"]) for _ in range(n)]
+
+    items = [(k, words(rng.randrange(9, 14))) for k in range(12)]
+
+    def changed(item):
+        """Other numbers, the same for equal ones, or another for each."""
+        same = {str(d): str(rng.randrange(100, 900)) for d in range(9)}
+        free = rng.random() < 0.4
+        return [(str(rng.randrange(100, 900)) if free else same[w]) if w.isdigit() else w for w in item]
+
+    docs = [(d, words(rng.randrange(5)) + (changed(rng.choice(items)[1]) if d % 2 else []) + words(rng.randrange(5))) for d in range(60)]
+
+    def windows(text, names):
+        out = []
+        for p in range(len(text) - 7):
+            part = [q.canonical(w, names) for w in text[p : p + 8]]
+            if sum(t not in (q.NUMBER, q.NAME, q.UNIT) for t, _ in part) >= 4:
+                out.append((p, tuple(t for t, _ in part), [(t, v) for t, v in part if v]))
+        return out
+
+    want = set()
+    for i, item in items:
+        mine = {n: windows(item, n) for n in (True, False)}
+        places = {p for n in mine for p, _, _ in mine[n]}
+        for d, text in docs:
+            held = set()
+            diagonals = {}
+            for n in mine:
+                for p, shape, slots in windows(text, n):
+                    for at, other, were in mine[n]:
+                        if shape == other:
+                            starts, pairs = diagonals.setdefault(p - at, (set(), set()))
+                            starts.add(at)
+                            pairs.update(zip(were, slots))
+            for starts, pairs in diagonals.values():
+                if len({w for w, _ in pairs}) == len(pairs):
+                    held |= starts
+            if places and len(held) >= 0.5 * len(places):
+                want.add((d, i))
+    got = found(frames.documents(spark, [(d, " ".join(t)) for d, t in docs]), bench(spark, [(i, " ".join(t)) for i, t in items]))
+    assert got == want and len(want) > 10
