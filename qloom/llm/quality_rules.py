@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from qloom.llm.shared import cut, words_of
+from qloom.llm.shared import cut, shared_folder, words_of
 from qloom.sources.tables import scan
 
 WINDOW = 8
@@ -180,7 +180,7 @@ def _model(voted: DataFrame) -> tuple[float, np.ndarray]:
 
 def judge(docs: DataFrame, text: str = "text", keep: list[str] = ("doc_id",), threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: the columns in ``keep``, the base features, base_failed, probability, kept."""
-    voted = cut(_voted(docs.select(*{*keep, text}), text).withColumn("row", F.struct(*[F.col(f"row.`{c}`") for c in keep])))
+    voted = cut(_voted(docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text])]), text).withColumn("row", F.struct(*[F.col(f"row.`{c}`") for c in keep])))
     probability = posterior(voted, *_model(voted))
     failed = base_failed(F.col("f"))
     return voted.select(
@@ -195,12 +195,13 @@ def judge(docs: DataFrame, text: str = "text", keep: list[str] = ("doc_id",), th
 def filter_documents(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the base and the posterior keep, unchanged.
 
-    Texts are measured twice, once for the model and once for the verdict, which costs less than to write
-    them all once more.
+    Texts are measured once: rows, features and votes go to a table in the shared folder, of which the model reads the votes alone.
     """
-    model = _model(_voted(docs.select(F.col(f"`{text}`").alias("text")), "text"))
-    voted = _voted(docs, text)
-    return voted.where(~base_failed(F.col("f")) & (posterior(voted, *model) >= threshold)).select("row.*")
+    folder = shared_folder(docs.sparkSession, "quality-votes")
+    _voted(docs, text).write.parquet(folder)
+    voted = docs.sparkSession.read.parquet(folder)
+    kept = ~base_failed(F.col("f")) & (posterior(voted, *_model(voted)) >= threshold)
+    return voted.where(kept).select("row.*").select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in docs.schema])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
