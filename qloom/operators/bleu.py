@@ -37,16 +37,19 @@ def tokens(col: Column) -> Column:
     return words(text)
 
 
+def _hashed(toks: Column) -> Column:
+    """Tokens as 64-bit numbers, so that sorting and set operations on n-grams compare numbers and not texts."""
+    return F.transform(toks, lambda t: F.xxhash64(t))
+
+
 def _longer(grams: Column, toks: Column, n: int) -> Column:
     """The n-grams that extend (n-1)-grams by one token each."""
     many = F.greatest(F.size(toks) - (n - 1), F.lit(0))
-    return F.zip_with(
-        F.slice(grams, F.lit(1), many), F.slice(toks, F.lit(n), many), lambda g, t: F.concat(g, F.lit(" "), t)
-    )
+    return F.zip_with(F.slice(grams, F.lit(1), many), F.slice(toks, F.lit(n), many), lambda g, t: F.xxhash64(g, t))
 
 
 def _numbered(grams: Column) -> Column:
-    """The same entries with repeats told apart: the second "a" becomes "a" and a mark with 2.
+    """The same entries with repeats told apart: the second "a" becomes the hash of "a" and 2.
 
     Equal entries meet by sorting. The one-element arrays name an intermediate result, so that it is
     worked out once and not inside the inner loops.
@@ -60,7 +63,7 @@ def _numbered(grams: Column) -> Column:
             gram = F.get(ordered, start)
             return F.transform(
                 F.sequence(F.lit(1), stop - start),
-                lambda k: F.when(k == 1, gram).otherwise(F.concat(gram, F.lit("\u0001"), k.cast("string"))),
+                lambda k: F.when(k == 1, gram).otherwise(F.xxhash64(gram, k)),
             )
 
         ends = lambda s: F.concat(F.slice(s, F.lit(2), F.size(s)), F.array(F.size(ordered)))
@@ -92,8 +95,8 @@ def bleu_counts(preds: DataFrame) -> DataFrame:
     df = preds.select(
         "label",
         scored.alias("scored"),
-        tokens(F.when(scored, F.coalesce("generated", F.lit(""))).otherwise("")).alias("h1"),
-        tokens(F.coalesce("reference", F.lit(""))).alias("r1"),
+        _hashed(tokens(F.when(scored, F.coalesce("generated", F.lit(""))).otherwise(""))).alias("h1"),
+        _hashed(tokens(F.coalesce("reference", F.lit("")))).alias("r1"),
         (scored & is_match(F.col("generated"), F.col("reference"))).alias("same"),
     )
     for n in ORDERS[1:]:
