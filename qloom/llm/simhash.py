@@ -6,9 +6,9 @@ paths differ; a pair of nodes whose error passes the budget is dropped with all
 The trie is spread over tasks by the pigeonhole rule: of ``distance`` + 1 blocks of bits, a linked pair has
 one block without an error. The fingerprints are therefore rotated so that each block leads once, and the
 walk starts at the nodes one block deep, paired with themselves, with no error yet. Equal fingerprints are
-one leaf. Where a node one block deep holds more than ``walk`` leaves it isn't walked in one task: its
-leaves meet instead at the ends of all paths with up to ``distance`` // 2 errors, and any two that link have
-such an end in common, or one apart for odd distances. Both ways are exact.
+one leaf. Pairs of nodes with more than ``walk`` leaves are rows of a table: each round takes them ``STEP`` bits down, joins the
+children that are there and drops the pairs whose error passes the budget. A pair of fewer leaves is walked to its end by one task. So
+a block of any size is the same walk, spread over more tasks.
 
 Texts: null and empty texts and texts without a word have fingerprint zero and link like any other. Very long
 texts are read whole. Rows with the same id and text are one document; a null id counts as the largest.
@@ -32,8 +32,10 @@ from qloom.sources.tables import scan
 BITS = 64
 SHINGLE = 3
 DISTANCE = 2
-# leaves below one node that a task walks in memory; more of them meet at path ends instead
+# leaves below a pair of nodes that one task walks in memory
 WALK = 4096
+# bits that a round takes the pairs of larger nodes down
+STEP = 7
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -141,36 +143,28 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _walk(distance: int):
-    """Edges within the nodes one block deep; the rows of a node arrive together, sorted."""
+    """Edges within the groups of leaves below pairs of nodes; the rows of a group arrive together."""
     lengths = [length for _, length in _rotations(distance)]
 
     def edges(turn: int, leaves: np.ndarray) -> pd.DataFrame:
+        leaves = np.sort(leaves)
         i, j = walk_pairs(leaves, lengths[turn], distance)
         u, v = _forest(len(leaves), i, j)
         back = _turned(leaves.view(np.int64), BITS - _rotations(distance)[turn][0])
         return pd.DataFrame({"a": back[u], "b": back[v]})
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held_turn, held = 0, np.zeros(0, np.uint64)
+        held: pd.DataFrame | None = None
         for frame in frames:
-            turns = frame["turn"].to_numpy()
-            leaves = frame["leaf"].to_numpy().view(np.uint64)
-            for turn in np.unique(turns):
-                now = leaves[turns == turn]
-                if turn == held_turn:
-                    now = np.concatenate([held, now])
-                elif len(held):
-                    yield edges(held_turn, held)
-                # Spark sorts by block only, so what was held and what comes are sorted together
-                now = np.sort(now)
-                # the last node may go on in the next batch
-                head = now >> np.uint64(BITS - lengths[turn])
-                stop = int(np.searchsorted(head, head[-1]))
-                if stop:
-                    yield edges(turn, now[:stop])
-                held_turn, held = int(turn), now[stop:]
-        if len(held):
-            yield edges(held_turn, held)
+            frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
+            turns, groups, leaves = (frame[c].to_numpy() for c in ("turn", "pair", "leaf"))
+            cuts = [0, *(np.flatnonzero((groups[1:] != groups[:-1]) | (turns[1:] != turns[:-1])) + 1).tolist()]
+            for a, b in zip(cuts, cuts[1:]):
+                yield edges(int(turns[a]), leaves[a:b].view(np.uint64))
+            # the last group may go on in the next batch
+            held = frame.iloc[cuts[-1] :]
+        if held is not None and len(held):
+            yield edges(int(held["turn"].iloc[0]), held["leaf"].to_numpy().view(np.uint64))
 
     return run
 
@@ -187,53 +181,86 @@ def _turn(x: Column, by: int) -> Column:
     return x if by == 0 else F.shiftleft(x, by).bitwiseOR(F.shiftrightunsigned(x, BITS - by))
 
 
-def _ends(leaf: Column, depth: int, errors: int) -> Column:
-    """The ends of all paths that leave the given one in at most ``errors`` bits below ``depth``."""
-    masks = [0]
-    for k in range(1, errors + 1):
-        masks += [sum(1 << b for b in bits) for bits in combinations(range(BITS - depth), k)]
-    return F.transform(F.array(*[F.lit(m) for m in masks]), lambda m: leaf.bitwiseXOR(m))
+def _masks(bits: int, errors: int) -> list[int]:
+    """Numbers of so many bits with at most so many set."""
+    return [sum(1 << b for b in at) for k in range(errors + 1) for at in combinations(range(bits), k)]
 
 
-def linked(leaves: DataFrame, distance: int = DISTANCE, walk: int = WALK) -> DataFrame:
+def linked(leaves: DataFrame, distance: int = DISTANCE, walk: int = WALK, step: int = STEP) -> DataFrame:
     """Edges (a, b) over the distinct values of column ``fp`` that connect what the links connect."""
     turns = _rotations(distance)
-    spun = leaves.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(k).alias("turn"), _turn(F.col("fp"), by).alias("leaf")) for k, (by, _) in enumerate(turns)])
-        ).alias("x")
-    ).select("x.*")
-    block = F.when(F.lit(False), F.lit(0).cast("long"))
-    for k, (_, length) in enumerate(turns):
-        block = block.when(F.col("turn") == k, F.shiftrightunsigned("leaf", BITS - length))
-    spun = cut(spun.withColumn("block", block))
-    crowded = spun.groupBy("turn", "block").count().where(F.col("count") > walk).select("turn", "block")
-    n = int(leaves.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    walked = (
-        spun.join(crowded, ["turn", "block"], "left_anti")
-        .repartition(n, "turn", "block")
-        .sortWithinPartitions("turn", "block")
-        .select("turn", "leaf")
-        .mapInPandas(_walk(distance), "a long, b long")
+    spark = leaves.sparkSession
+    spun = cut(
+        leaves.select(
+            F.explode(
+                F.array(*[F.struct(F.lit(k).alias("turn"), _turn(F.col("fp"), by).alias("leaf")) for k, (by, _) in enumerate(turns)])
+            ).alias("x")
+        ).select("x.*")
     )
-    # even distance: any two that link share an end half way; odd: one side goes a step further
-    inner = spun.join(crowded, ["turn", "block"], "left_semi")
-    meets = []
-    for k, (by, length) in enumerate(turns):
-        own = inner.where(F.col("turn") == k)
-        ends = own.select("leaf", F.explode(_ends(F.col("leaf"), length, (distance + 1) // 2)).alias("end"))
-        least = ends.groupBy("end").agg(F.min("leaf").alias("least"))
-        if distance % 2:
-            # an end is a leaf itself, or meets the ends of others with one error less
-            near = own.select("leaf", F.explode(_ends(F.col("leaf"), length, distance // 2)).alias("end"))
-            pairs = near.join(ends.withColumnRenamed("leaf", "least"), "end")
-        else:
-            pairs = ends.join(least, "end")
-        back = BITS - by if by else 0
-        meets.append(pairs.where("leaf <> least").select(_turn(F.col("leaf"), back).alias("a"), _turn(F.col("least"), back).alias("b")).distinct())
-    out = walked
-    for m in meets:
-        out = out.unionByName(m)
+
+    def node(level: int) -> Column:
+        """The path of a leaf so many rounds below its block."""
+        out = F.when(F.lit(False), F.lit(0).cast("long"))
+        for k, (_, length) in enumerate(turns):
+            out = out.when(F.col("turn") == k, F.shiftrightunsigned("leaf", BITS - min(length + level * step, BITS)))
+        return out
+
+    def bits(level: int) -> Column:
+        """How many bits a round takes the paths of a turn down."""
+        out = F.lit(0)
+        for k, (_, length) in enumerate(turns):
+            out = F.when(F.col("turn") == k, min(length + level * step, BITS) - min(length + (level - 1) * step, BITS)).otherwise(out)
+        return out
+
+    blocks = spun.groupBy("turn", node(0).alias("a")).agg(F.count("*").alias("n")).where("n > 1")
+    pairs = cut(blocks.select("turn", "a", F.col("a").alias("b"), F.lit(0).alias("error"), "n"))
+    own = spun.withColumn("node", node(0))
+    groups, ends = [], []
+    level = 0
+    while True:
+        small = pairs.where(F.col("n") <= walk)
+        sides = F.array_distinct(F.array("a", "b"))
+        asked = small.select("turn", F.xxhash64("turn", "a", "b", F.lit(level)).alias("pair"), F.explode(sides).alias("node"))
+        groups.append(own.join(asked, ["turn", "node"]).select("turn", "pair", "leaf"))
+        large = pairs.where(F.col("n") > walk)
+        if level and all(length + level * step >= BITS for _, length in turns):
+            break  # nodes are leaves: their pairs are in ``ends``
+        if large.isEmpty():
+            break
+        level += 1
+        # children of the nodes that are too large, with the numbers of their leaves
+        parents = large.select("turn", F.explode(F.array("a", "b")).alias("up")).distinct()
+        below = spun.withColumns({"up": node(level - 1), "node": node(level)})
+        children = cut(below.join(parents, ["turn", "up"], "left_semi").groupBy("turn", "up", "node").agg(F.count("*").alias("n")))
+        first = large.join(children.select("turn", F.col("up").alias("a"), F.col("node").alias("ca"), F.col("n").alias("na")), ["turn", "a"])
+        own_bits = bits(level)
+        flips = F.filter(F.array(*[F.lit(m).cast("long") for m in _masks(step, distance)]), lambda m: (F.bit_count(m) <= distance - F.col("error")) & (m < F.call_function("shiftleft", F.lit(1).cast("long"), own_bits)))
+        low = F.col("ca") - F.call_function("shiftleft", F.col("a"), own_bits)
+        reached = first.select(
+            "turn", "ca", "na", (F.col("a") == F.col("b")).alias("same"), "error", "b", low.alias("low"), own_bits.alias("bits"), F.explode(flips).alias("flip")
+        ).select(
+            "turn", "ca", "na", "same", (F.col("error") + F.bit_count("flip")).alias("error"),
+            (F.call_function("shiftleft", F.col("b"), F.col("bits")) + F.col("low").bitwiseXOR(F.col("flip"))).alias("cb"),
+        )
+        met = reached.where("not same or ca <= cb").join(children.select("turn", F.col("node").alias("cb"), F.col("n").alias("nb")), ["turn", "cb"])
+        total = F.when(F.col("ca") == F.col("cb"), F.col("na")).otherwise(F.col("na") + F.col("nb"))
+        pairs = cut(met.select("turn", F.col("ca").alias("a"), F.col("cb").alias("b"), "error", total.alias("n")).where("n > 1"))
+        own = spun.withColumn("node", node(level))
+        # where a turn's nodes are leaves, their pairs are links
+        at_end = [k for k, (_, length) in enumerate(turns) if length + level * step >= BITS]
+        if at_end:
+            done = pairs.where(F.col("turn").isin(at_end) & (F.col("a") != F.col("b")))
+            for k in at_end:
+                back = BITS - turns[k][0] if turns[k][0] else 0
+                ends.append(done.where(F.col("turn") == k).select(_turn(F.col("a"), back).alias("a"), _turn(F.col("b"), back).alias("b")))
+            pairs = pairs.where(~F.col("turn").isin(at_end))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = groups[0]
+    for g in groups[1:]:
+        rows = rows.unionByName(g)
+    out = rows.repartition(n, "turn", "pair").sortWithinPartitions("turn", "pair").mapInPandas(_walk(distance), "a long, b long")
+    for e in ends:
+        out = out.unionByName(e)
     return out
 
 

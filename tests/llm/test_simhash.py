@@ -53,7 +53,7 @@ def clustered(seed, n, spread):
     return sorted(out)
 
 
-@pytest.mark.parametrize("distance,walk", [(2, 4096), (2, 1), (1, 4096), (1, 1), (3, 4096), (3, 1), (0, 4096)])
+@pytest.mark.parametrize("distance,walk", [(2, 4096), (2, 1), (2, 20), (1, 4096), (1, 4), (3, 4096), (3, 6), (0, 4096), (0, 1)])
 def test_components_equal_brute_force(spark, distance, walk):
     values = clustered(distance * 10 + walk, 250, 5)
     want = naive_components([v & (1 << 64) - 1 for v in values], distance)
@@ -96,17 +96,33 @@ def test_blocks_that_run_over_arrow_batches(spark):
 def test_walk_over_batches_gives_the_components_of_one(size):
     rng = np.random.default_rng(size)
     values = rng.permutation(np.unique(rng.integers(0, 1 << 14, 300) << 9 | rng.integers(0, 4, 300) << 40))
-    rows = pd.DataFrame({"turn": 0, "leaf": values})
+    rows = pd.DataFrame({"turn": 0, "pair": values >> 40, "leaf": values}).sort_values("pair", kind="stable")
     batches = [rows[k : k + size] for k in range(0, len(rows), size)]
 
     def edges(frames):
         found = pd.concat(q._walk(2)(iter(frames)))
         return q._forest(len(values), *(np.searchsorted(np.sort(values), found[c].to_numpy()) for c in "ab"))
 
-    for got, want in zip(edges(batches), edges([rows.sort_values("leaf")])):
+    for got, want in zip(edges(batches), edges([rows])):
         assert got.tolist() == want.tolist()
 
 
+def test_a_crowded_block_among_others(spark):
+    # a block of 900 leaves is taken down as rows, the others are walked at once
+    rng = np.random.default_rng(9)
+    crowd = [int(x) for x in rng.integers(0, 1 << 30, 450)]
+    values = sorted({*crowd, *(x ^ (1 << int(rng.integers(0, 30))) for x in crowd), *(int(x) for x in rng.integers(-(1 << 62), 1 << 62, 200))})
+    want = naive_components([v & (1 << 64) - 1 for v in values], 2)
+    frame = spark.createDataFrame([(v,) for v in values], "fp long")
+    got = {r["node"]: r["label"] for r in components(q.linked(frame, walk=100)).collect()}
+    groups, expected = {}, {}
+    for v in values:
+        groups.setdefault(got.get(v, v), set()).add(v & (1 << 64) - 1)
+    for v, r in want.items():
+        expected.setdefault(r, set()).add(v)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
+
+
 def test_chain_of_nodes(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(200)] + [(500, 501), (501, 500), (7, 7)], "a long, b long")
     got = {r["node"]: r["label"] for r in components(edges).collect()}
