@@ -22,8 +22,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import ArrayType, LongType
 
+from qloom.functions.stages import settled
 from qloom.llm.shared import boxed, cut, unboxed
 from qloom.sources.tables import scan
 
@@ -54,15 +54,19 @@ def runs(lines: list[int], words: list[int], min_words: int) -> tuple[np.ndarray
     return starts, stops, value.view(np.int64)
 
 
-def _run_keys(min_words: int):
-    @F.pandas_udf(ArrayType(LongType()))
-    def of(lines: pd.Series, words: pd.Series) -> pd.Series:
+def _keys(min_words: int):
+    """Of each document: its distinct lines with words, their numbers of words up to ``min_words``, and the hashes of its runs."""
+
+    @F.pandas_udf("lines array<long>, n array<int>, runs array<long>")
+    def of(lines: pd.Series, words: pd.Series) -> pd.DataFrame:
         out = []
         for x, w in zip(lines, words):
+            x, w = np.asarray(x, np.int64), np.asarray(w, np.int64)
             starts, stops, hashes = runs(x, w, min_words)
+            own, first = np.unique(x[w > 0], return_index=True)
             # a run of one line has that line's key
-            out.append(np.unique(hashes[stops - starts > 1]))
-        return pd.Series(out, dtype=object)
+            out.append((own, np.minimum(w[w > 0][first], min_words).astype(np.int32), np.unique(hashes[stops - starts > 1])))
+        return pd.DataFrame(out, columns=["lines", "n", "runs"])
 
     return of
 
@@ -198,17 +202,21 @@ def aligned_blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """One row per block to delete: the later document (id, key), the earlier (ref, ref_key), where it starts in each (0-based line), its lines and words."""
     rows = cut(lines_of(docs, doc_id, text))
     place = F.struct(F.isnull("id").alias("none"), "id", "key")
-    single = F.transform(F.array_distinct(F.expr("filter(lines, (x, i) -> words[i] > 0)")), lambda x: F.struct(x.alias("line"), F.lit(False).alias("run")))
-    long = F.transform(_run_keys(min_words)("lines", "words"), lambda x: F.struct(x.alias("line"), F.lit(True).alias("run")))
-    held = rows.select(place.alias("at"), F.explode(F.concat(single, long)).alias("x")).select("at", "x.*")
+    keyed = rows.select(place.alias("at"), _keys(min_words)("lines", "words").alias("k")).select("at", "k.*")
+    single = F.zip_with("lines", "n", lambda x, n: F.struct(x.alias("line"), F.lit(False).alias("run"), n.alias("n")))
+    long = F.transform("runs", lambda x: F.struct(x.alias("line"), F.lit(True).alias("run"), F.lit(min_words).alias("n")))
+    held = keyed.select("at", F.explode(F.concat(single, long)).alias("x")).select("at", "x.*")
+    # a short line tells something only where it is rare; every block that others hold is made of runs
+    tells = F.col("run") | (F.col("df") <= rare) | (F.col("n") >= min_words)
+    shared = held.groupBy("line", "run").agg(F.count("*").alias("df"), F.min("at").alias("first"), F.max("n").alias("n"))
     # both cut, so that the join stands alone and adaptive execution may split a line that very many documents hold
-    shared = cut(held.groupBy("line", "run").agg(F.count("*").alias("df"), F.min("at").alias("first")).where("df > 1"))
+    shared = cut(shared.where((F.col("df") > 1) & tells).drop("n"))
     known = cut(held.join(shared, ["line", "run"]))
-    to_first = known.where("at <> first").select("at", F.col("first").alias("ref"))
+    to_first = known.where("at <> first").select("at", F.col("first").alias("ref"), "n")
     # rare lines only, so that the window never holds more than ``rare`` rows of a line
-    few = known.where(~F.col("run") & (F.col("df") <= rare)).select("line", "at")
-    to_last = few.withColumn("ref", F.lag("at").over(Window.partitionBy("line").orderBy("at"))).where("ref is not null").select("at", "ref")
-    pairs = to_first.unionByName(to_last).distinct()
+    few = known.where(~F.col("run") & (F.col("df") <= rare)).select("line", "at", "first", "n")
+    to_last = few.withColumn("ref", F.lag("at").over(Window.partitionBy("line").orderBy("at"))).where("ref is not null and ref <> first").select("at", "ref", "n")
+    pairs = to_first.unionByName(to_last).groupBy("at", "ref").agg(F.sum("n").alias("n")).where(F.col("n") >= min_words)
     pairs = pairs.select(F.col("at.id").alias("id"), F.col("at.key").alias("key"), F.col("ref.id").alias("ref"), F.col("ref.key").alias("ref_key"))
     p, a, b = pairs.alias("p"), rows.alias("a"), rows.alias("b")
     same = lambda i, k, x: F.col(f"p.{i}").eqNullSafe(F.col(f"{x}.id")) & (F.col(f"p.{k}") == F.col(f"{x}.key"))
@@ -238,9 +246,12 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_c
     same = F.col("l.id").eqNullSafe(F.col("r.id")) & (F.col("l.key") == F.col("r.key"))
     joined = own.alias("l").join(gone.alias("r"), same, "left").select("row", "gone")
     old = F.col(f"row.`{text}`")
-    new = F.when(F.col("gone").isNull(), old).otherwise(
-        F.array_join(F.filter(F.split(old, "\n", -1), lambda x, i: ~F.array_contains("gone", i)), "\n")
-    )
+    lines = F.when(F.col("gone").isNotNull(), F.split(old, "\n", -1))
+    joined = settled(joined.withColumn("lines", lines), "lines")
+    # the numbers of the lines that stay, by one set of those that go
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    joined = settled(joined.withColumn("stay", F.when(F.col("gone").isNotNull(), stay)), "stay")
+    new = F.when(F.col("gone").isNull(), old).otherwise(F.array_join(F.transform("stay", lambda i: F.get("lines", i)), "\n"))
     joined = joined.withColumn("new", new)
     out = []
     for c in docs.columns:

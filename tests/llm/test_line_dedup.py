@@ -129,3 +129,25 @@ def test_empty_tables(spark, rows):
     docs = frames.documents(spark, rows)
     assert q.deduplicate(docs).count() == len(rows)
     assert q.aligned_blocks(docs).count() == 0
+
+
+def test_a_document_that_loses_very_many_lines(spark):
+    import time
+
+    lines = [f"line {k} has six words here" for k in range(60_000)]
+    docs = frames.documents(spark, [(1, "\n".join(lines)), (2, "\n".join(["first words"] + lines + ["last words"]))])
+    start = time.perf_counter()
+    got = {r["doc_id"]: r["text"] for r in q.deduplicate(docs).collect()}
+    assert got == {1: "\n".join(lines), 2: "first words\nlast words"}
+    assert time.perf_counter() - start < 60
+
+
+def test_short_lines_that_many_documents_share_pair_nothing(spark, monkeypatch):
+    docs = [(k, f"Home\nAbout us\nown words of document {k} " + " ".join(f"w{k}x{j}" for j in range(60)) + "\nAll rights reserved") for k in range(40)]
+    aligned = []
+    real = q.blocks
+    monkeypatch.setattr(q, "blocks", lambda *a: aligned.append(1) or real(*a))
+    assert q.aligned_blocks(frames.documents(spark, docs)).count() == 0
+    # pairs are made before the alignment: none is left for it
+    plan_rows = q.aligned_blocks(frames.documents(spark, docs + [(50, docs[3][1])])).select("id", "ref").distinct().collect()
+    assert [tuple(r) for r in plan_rows] == [(50, 3)]
