@@ -123,7 +123,8 @@ def resample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     if share is None:
         share = labels.agg(F.avg(F.col("quality").cast("double"))).first()[0]
         share = 1.0 if share is None else share
-    rows = weighted(docs, good, doc_id, text, **settings)
+    # cut, so that dealing by ranges, which reads a sample of its rows first, doesn't hash the texts once more
+    rows = cut(weighted(docs, good, doc_id, text, **settings))
     order = [F.col("gumbel_key").desc(), F.col("id"), F.col("key")]
     placed = ranked(rows, order, "place")
     k = round(share * placed.count())
