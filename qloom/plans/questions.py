@@ -116,8 +116,8 @@ def join_paths(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def read(spark: SparkSession, sf: str) -> DataFrame:
-    return features.question_features(part_corpus(spark, sf).select("row_id", "ddl", "question"))
+def read(spark: SparkSession, sf: str, *wanted: str) -> DataFrame:
+    return features.question_features(part_corpus(spark, sf).select("row_id", "ddl", "question"), wanted or None)
 
 
 def expected(**columns: str) -> str:
@@ -136,22 +136,22 @@ def joined(col: Column | str) -> Column:
 
 @query("feat_limit", expected(limit_n=case(ECONOMY="p_size", STANDARD="p_size", SMALL="p_size")))
 def feat_limit(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf).select("row_id", "limit_n")
+    return read(spark, sf, "limit_n").select("row_id", "limit_n")
 
 
 @query("feat_year", expected(year="p_size + 1980"))
 def feat_year(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf).select("row_id", "year")
+    return read(spark, sf, "year").select("row_id", "year")
 
 
 @query("feat_status", expected(status=case(ECONOMY="s", MEDIUM="s")))
 def feat_status(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf).select("row_id", "status")
+    return read(spark, sf, "status").select("row_id", "status")
 
 
 @query("feat_aggregate", expected(agg=case(ECONOMY="'sum'", PROMO="'avg'", LARGE="'sum'")))
 def feat_aggregate(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf).select("row_id", "agg")
+    return read(spark, sf, "agg").select("row_id", "agg")
 
 
 @query(
@@ -164,17 +164,17 @@ def feat_aggregate(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def feat_flags(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf).select("row_id", "wants_distinct", "wants_count", "has_discount", "select_all")
+    return read(spark, sf, "wants_distinct", "wants_count", "has_discount", "select_all").select("row_id", "wants_distinct", "wants_count", "has_discount", "select_all")
 
 
 @query("feat_anti", expected(wants_anti="p_type = 'MEDIUM'"))
 def feat_anti(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf).select("row_id", "wants_anti")
+    return read(spark, sf, "wants_anti").select("row_id", "wants_anti")
 
 
 @query("feat_direction", expected(order_desc="p_type NOT IN ('PROMO', 'SMALL')"))
 def feat_direction(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf).select("row_id", "order_desc")
+    return read(spark, sf, "order_desc").select("row_id", "order_desc")
 
 
 @query(
@@ -191,7 +191,7 @@ def feat_direction(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def feat_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf).select("row_id", joined("cols_named").alias("cols_named"))
+    return read(spark, sf, "cols_named").select("row_id", joined("cols_named").alias("cols_named"))
 
 
 @query(
@@ -208,7 +208,7 @@ def feat_columns(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def feat_tables(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf).select("row_id", joined("tables_named").alias("tables_named"))
+    return read(spark, sf, "tables_named").select("row_id", joined("tables_named").alias("tables_named"))
 
 
 @query(
@@ -223,7 +223,7 @@ def feat_tables(spark: SparkSession, sf: str) -> DataFrame:
 )
 def feat_comparisons(spark: SparkSession, sf: str) -> DataFrame:
     return (
-        read(spark, sf)
+        read(spark, sf, "comparisons")
         .select("row_id", F.explode("comparisons").alias("c"))
         .select("row_id", "c.col", "c.op", F.col("c.value").cast("double").alias("value"))
     )
@@ -231,17 +231,17 @@ def feat_comparisons(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("feat_values", expected(value_words=case("''", STANDARD="'Berlin'")))
 def feat_values(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf).select("row_id", joined("value_words").alias("value_words"))
+    return read(spark, sf, "value_words").select("row_id", joined("value_words").alias("value_words"))
 
 
 @query("feat_tiebreak", expected(tie_col=case(ECONOMY="'customer_id'"), tie_dir=case(ECONOMY="'asc'")))
 def feat_tiebreak(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf).select("row_id", "tie_col", "tie_dir")
+    return read(spark, sf, "tie_col", "tie_dir").select("row_id", "tie_col", "tie_dir")
 
 
 @query("feat_by_column", expected(order_col=case(SMALL="'play_count'"), group_col=case(LARGE="'tier'")))
 def feat_by_column(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf).select("row_id", "order_col", "group_col")
+    return read(spark, sf, "order_col", "group_col").select("row_id", "order_col", "group_col")
 
 
 def involved(spark: SparkSession, sf: str) -> DataFrame:

@@ -166,7 +166,7 @@ def shop_drafts(spark: SparkSession, sf: str) -> DataFrame:
 @query("question_reading", f"SELECT p_partkey AS row_id, {_expected(lambda c: c.reading)} AS reading FROM part")
 def question_reading(spark: SparkSession, sf: str) -> DataFrame:
     """Comparisons, year bounds and status of each question, as one text."""
-    read = features.question_features(shop_corpus(spark, sf))
+    read = features.question_features(shop_corpus(spark, sf), ("comparisons", "years", "status", "status_not"))
     compared = F.transform("comparisons", lambda c: F.concat_ws(" ", F.nullif(c["col"], F.lit("")), c["op"], c["number"]))
     years = F.transform("years", lambda y: F.concat_ws(" ", y["op"], y["year"].cast("string")))
     status = F.coalesce(F.concat(F.when(F.col("status_not"), "!").otherwise(""), F.col("status")), F.lit(""))
