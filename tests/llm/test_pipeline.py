@@ -67,5 +67,5 @@ def test_every_query_is_registered():
     from qloom.llm import queries
 
     named = {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES}
-    assert named == set(range(1, 11)) and set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
+    assert named == set(range(1, 14)) and set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(queries.ORACLES) <= set(entry.oracle_sql())
