@@ -17,6 +17,9 @@ Files are gzip, one member per record. They are written to a shared folder under
 task share, and a manifest (one row per file, cut by a checkpoint) tells which count. Each file is converted and read as a stream, one
 record in memory at a time; a file is closed at ``file_records`` records or ``file_bytes`` bytes, which bounds what is gathered for it.
 
+Damaged places of old archives (lines that are no header, records cut off, unknown versions) are passed over and listed by
+``damage``; the records around them are converted.
+
 Null and empty pages are records with an empty payload; null URLs are written as ``about:blank``, and blanks and control characters
 in URLs are percent-encoded when pages are written. The key of a page is its page_id and travels as an HTTP header. Null keys
 are allowed: such pages refer to others, others refer to them only where all keys of a digest are null.
@@ -29,7 +32,7 @@ import hashlib
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import datetime, timedelta, timezone
 
 import pandas as pd
@@ -79,13 +82,14 @@ class Unpacked:
 
     def _fill(self) -> bool:
         while True:
-            raw = self.packer.unused_data
+            raw = self.packer.unconsumed_tail or self.packer.unused_data
             if self.packer.eof:
                 self.packer = zlib.decompressobj(31)
             raw = raw or self.stream.read(self.piece)
             if not raw:
                 return False
-            if got := self.packer.decompress(raw):
+            # what a piece unpacks to is bounded too
+            if got := self.packer.decompress(raw, 16 * self.piece):
                 self.buffer = self.buffer[self.start :] + got
                 self.start = 0
                 return True
@@ -137,11 +141,18 @@ def arc_record(url: str, date: str, content_type: str, block: bytes, version: in
     return arc_header({**given, **more, "Archive-length": str(len(block))}, version) + b"\n" + block + b"\n"
 
 
-def read_arc(path: str) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """(offset, fields, block) of the version block and of each record, in order."""
+def read_arc(path: str, bad: Callable[[int, str], None] | None = None) -> Iterator[tuple[int, dict[str, str], bytes]]:
+    """(offset, fields, block) of the version block and of each record, in order.
+
+    With ``bad``, damage is told to it as (offset, reason) and reading goes on at the next line that is a header: one with all
+    fields, a date of digits and a length. A file of an unknown version, and what follows a record cut off by the file's
+    end, are left. Without it, damage is a ValueError.
+    """
     source = Unpacked(path)
+    names: list[str] = []
+    lost = False
+    offset = 0
     try:
-        names: list[str] = []
         while True:
             offset = source.offset
             line = source.line()
@@ -151,20 +162,30 @@ def read_arc(path: str) -> Iterator[tuple[int, dict[str, str], bytes]]:
                 continue  # some writers leave more newlines between records than they should
             text = line.decode("utf-8", "replace").rstrip("\r")
             if not names:
-                declared = int(text.rsplit(" ", 1)[1])
-                block = source.take(declared)
-                head = block.decode("utf-8", "replace").split("\n")
-                version = int(head[0].split()[0])
+                declared = text.rsplit(" ", 1)[-1]
+                block = source.take(int(declared)) if declared.isascii() and declared.isdigit() else b""
+                head = block.decode("utf-8", "replace").split()
+                version = int(head[0]) if head and head[0].isascii() and head[0].isdigit() else None
                 if version not in FIELDS:
                     raise ValueError(f"ARC version {version} is unknown")
                 names = FIELDS[version].split()
             parts = text.rsplit(" ", len(names) - 1)
-            if len(parts) != len(names):
-                raise ValueError(f"the header line at {offset} has {len(parts)} fields, not {len(names)}")
             fields = dict(zip(names, parts))
+            if len(parts) != len(names) or not (fields["Archive-length"].isascii() and fields["Archive-length"].isdigit() and fields["Archive-date"].isdigit()):
+                if bad is None:
+                    raise ValueError(f"the header line at {offset} has {len(parts)} fields, not {len(names)}, or no length")
+                if not lost:
+                    bad(offset, "no header line")
+                lost = True
+                continue
+            lost = False
             if offset:
                 block = source.take(int(fields["Archive-length"]))
             yield offset, fields, block
+    except (ValueError, zlib.error) as e:
+        if bad is None:
+            raise
+        bad(offset, str(e)[:200])
     finally:
         source.close()
 
@@ -308,7 +329,7 @@ def index_arc(files: DataFrame) -> DataFrame:
         for f in frames:
             for name, path in zip(f["name"], f["path"]):
                 rows = []
-                for offset, fields, block in read_arc(path):
+                for offset, fields, block in read_arc(path, _skip):
                     http = http_payload(block)
                     if offset and http:
                         k = http[0].get(KEY_HEADER.lower(), "")
@@ -321,6 +342,24 @@ def index_arc(files: DataFrame) -> DataFrame:
     return _each(files).mapInPandas(run, INDEX).withColumn("key", unboxed(F.col("key")))
 
 
+def _skip(offset: int, reason: str) -> None:
+    """Damaged places are passed over; ``damage`` lists them."""
+
+
+def damage(files: DataFrame) -> DataFrame:
+    """The damaged places of ARC files, (name, offset, reason): what conversion leaves out."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows: list[tuple] = []
+            for name, path in zip(f["name"], f["path"]):
+                for _ in read_arc(path, lambda offset, reason, name=name: rows.append((name, offset, reason))):
+                    pass
+            yield pd.DataFrame(rows, columns=["name", "offset", "reason"])
+
+    return _each(files).mapInPandas(run, "name string, offset long, reason string")
+
+
 def convert(files: DataFrame, folder: str, least: int = LEAST) -> DataFrame:
     """ARC files to WARC files, one for one; one row per file: name, path, n_records."""
     rows = cut(index_arc(files))
@@ -338,7 +377,7 @@ def convert(files: DataFrame, folder: str, least: int = LEAST) -> DataFrame:
             for name, path, refs in zip(f["name"], f["path"], f["again"]):
                 known = {r["offset"]: r for r in refs} if refs is not None else {}
                 out = Members(folder, name.replace(".arc", ".warc"))
-                for offset, fields, block in read_arc(path):
+                for offset, fields, block in read_arc(path, _skip):
                     out.add(converted(name, offset, fields, block, known.get(offset)))
                 out.close()
                 yield _frame([(name.replace(".arc", ".warc"), out.path, out.records - 1)], FILES)

@@ -107,3 +107,33 @@ def test_odd_rows(spark):
 def test_empty_table(spark):
     out, arc = run(spark, pages(spark, []))
     assert arc.count() == 0 and out.count() == 0
+
+
+def test_damaged_places_are_passed_over_and_listed(spark, tmp_path):
+    good = lambda k: q.arc_record(f"http://x/{k}", "19970102000000", "text/html", b"HTTP/1.0 200 OK\r\n\r\n" + bytes([97 + k]) * 150, 1, "a", 1)
+    head = q.arc_version_block("a", "19960101000000", 1)
+    whole = head + good(0) + b"torn header line\n<p>some html</p>\n\n" + good(1) + good(2)
+    paths = {"torn": whole, "cut": (head + good(0) + good(1))[:-60], "odd": head.replace(b"\n1 0 ", b"\n7 0 ") + good(0), "fine": head + good(0)}
+    files = []
+    for name, data in paths.items():
+        folder = tmp_path / name
+        folder.mkdir()
+        files.append((f"{name}.arc.gz", write(folder, data)))
+    frame = spark.createDataFrame([(n, p, 0) for n, p in files], "name string, path string, n_records long")
+    found = {(r["name"], r["reason"][:14]) for r in q.damage(frame).collect()}
+    assert found == {("torn.arc.gz", "no header line"), ("cut.arc.gz", "a record is cu"), ("odd.arc.gz", "ARC version 7 ")}
+    indexed = {}
+    for r in q.index_arc(frame).collect():
+        indexed.setdefault(r["name"], []).append(r["url"])
+    assert {k: sorted(v) for k, v in indexed.items()} == {
+        "torn.arc.gz": ["http://x/0", "http://x/1", "http://x/2"], "cut.arc.gz": ["http://x/0"], "fine.arc.gz": ["http://x/0"]
+    }
+
+
+def test_a_piece_that_unpacks_to_very_much(tmp_path):
+    data = q.arc_version_block("a", "19960101000000", 1) + q.arc_record("http://x/", "1997", "text/html", b"y" * 60_000_000, 1, "a", 1)
+    path = write(tmp_path, data)
+    source = q.Unpacked(path, 1 << 16)
+    assert source._fill() and len(source.buffer) <= 16 << 16
+    source.close()
+    assert [len(b) for _, _, b in q.read_arc(path)][1:] == [60_000_000]
