@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def settled(df: DataFrame, *columns: str) -> DataFrame:
@@ -15,3 +15,15 @@ def settled(df: DataFrame, *columns: str) -> DataFrame:
     """
     kept = [c for c in df.columns if c not in columns]
     return df.select(*kept, F.inline(F.array(F.struct(*columns))))
+
+
+def choose(*cases: tuple, other) -> Column:
+    """The value of the first case (condition, value) that holds.
+
+    It is ``CASE``, written as nested ``if``. Array functions aren't compiled, and there a ``CASE`` walks its list of branches
+    from the start for each one it tries.
+    """
+    out = other if isinstance(other, Column) else F.lit(other)
+    for condition, value in reversed(cases):
+        out = F.call_function("if", condition, value if isinstance(value, Column) else F.lit(value), out)
+    return out

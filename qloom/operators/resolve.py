@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from qloom.functions.ddl import first, with_tables
-from qloom.functions.stages import settled
+from qloom.functions.stages import choose, settled
 from qloom.operators.evaluation import rate
 
 # Words of the language that are never reported as names.
@@ -38,16 +38,19 @@ BRACKET, QUERY, OVER_WINDOW, CAST, FIELD, LIST, NAMED_WINDOW = range(7)
 # what the last name was
 NOTHING, REF, NAME, ALIAS, SOURCE, REST, SKIPPED, CTE, WINDOWS, UNIT, COLUMN = range(11)
 _LEVEL = "struct<scope:int,root:int,kind:int,infrom:boolean,src:int>"
+# Names are kept as places of their words, three numbers an entry: a fold copies its state after each word, and numbers are quickly copied.
+_ENTRIES = {"sources": ("scope", "name", "alias"), "names": ("scope", "cte", "name"), "refs": ("scope", "of", "col")}
 _STATE = {
-    "now": _LEVEL, "stack": f"array<{_LEVEL}>", "parents": "array<int>", "outer": "array<int>", "prev": "string", "prev2": "string", "k1": "int",
-    "last": "int", "with_depth": "int", "want": "boolean", "union": "boolean", "sources": "array<struct<scope:int,name:string,alias:string>>",
-    "names": "array<struct<scope:int,kind:string,name:string>>", "refs": "array<struct<scope:int,of:string,col:string>>",
+    "at": "int", "now": _LEVEL, "stack": f"array<{_LEVEL}>", "parents": "array<int>", "outer": "array<int>", "prev": "int", "prev2": "int", "k1": "int",
+    "last": "int", "with_depth": "int", "want": "boolean", "union": "boolean", **{f: "array<int>" for f in _ENTRIES},
 }
+# places of no word and of a subquery
+_NO_WORD, _DERIVED = -1, -2
 
 
 def _struct(kind: str, *values) -> Column:
     fields = [f.split(":")[0] for f in kind[len("struct<") : -1].split(",")]
-    return F.struct(*[(v if isinstance(v, Column) else F.lit(v)).alias(f) for f, v in zip(fields, values)]).cast(kind)
+    return F.struct(*[(v if isinstance(v, Column) else F.lit(v)).alias(f) for f, v in zip(fields, values)])
 
 
 def _all_but_last(items: Column) -> Column:
@@ -61,20 +64,32 @@ def _words_of(sql: Column) -> Column:
     return F.transform(raw, lambda t: F.when(F.startswith(t, F.lit("'")), "'").when(t.rlike(r"^[\"`]|^\[."), inner(t)).otherwise(t))
 
 
-def _read(sql: Column) -> Column:
-    """Scopes, sources, declared names and references of a statement, by one fold over its words.
+def _read(words: Column) -> Column:
+    """Scopes, sources, declared names and references of a statement, by one fold over the kinds of its words.
 
     Every SELECT has a scope of its own whose parent is the one around its bracket; brackets of other kinds (functions, casts,
     windows, lists of columns) keep the scope. A level of brackets knows whether it is in a FROM clause, and whether a
     source (1), its alias (2) or the rest of a dotted name (3) is due.
     """
     level = _struct(_LEVEL, 0, 0, QUERY, False, 0)
-    empty = {"string": F.lit(""), "boolean": F.lit(False), "int": F.lit(0), _LEVEL: level}
-    first_of = {"parents": F.array(F.lit(-1)), "outer": F.array(F.lit(-1)), "with_depth": F.lit(-1)}
+    empty = {"boolean": F.lit(False), "int": F.lit(0), _LEVEL: level}
+    first_of = {"parents": F.array(F.lit(-1)), "outer": F.array(F.lit(-1)), "with_depth": F.lit(-1), "prev": F.lit(_NO_WORD), "prev2": F.lit(_NO_WORD)}
     start = F.struct(*[first_of.get(f, empty.get(k, F.array())).cast(k).alias(f) for f, k in _STATE.items()])
-    words = F.transform(_words_of(sql), lambda t: F.struct(t.alias("t"), _kind(t).alias("k")))
-    done = F.aggregate(words, start, lambda s, w: _step(s, w["t"], w["k"]))
-    return F.struct(*[done[f].alias(f) for f in ("parents", "outer", "sources", "names", "refs")])
+    found = lambda done: F.struct(
+        done["parents"].alias("parents"), done["outer"].alias("outer"), *[_entries(done[f], words, f).alias(f) for f in _ENTRIES]
+    )
+    return F.aggregate(F.transform(words, _kind), start, _step, found)
+
+
+def _entries(numbers: Column, words: Column, of: str) -> Column:
+    """Sources, names or references with their words in place of their numbers."""
+    word = lambda i: F.get(words, i)
+    or_none = lambda i: choose((i == _NO_WORD, ""), other=word(i))
+    told = {"scope": lambda i: i, "cte": lambda i: i == 1, "of": or_none, "alias": or_none}
+    if of == "sources":
+        told["name"] = lambda i: choose((i == _DERIVED, _SUBQUERY), other=word(i))
+    entry = lambda _, n: F.struct(*[told.get(f, word)(F.get(numbers, 3 * n + i)).alias(f) for i, f in enumerate(_ENTRIES[of])])
+    return F.transform(F.slice(numbers, F.lit(1), (F.size(numbers) / 3).cast("int")), entry)
 
 
 def _kind(t: Column) -> Column:
@@ -99,121 +114,167 @@ def _chosen(t: Column, words: dict, other: int) -> Column:
     return out.otherwise(other)
 
 
-def _step(s: Column, t: Column, k: Column) -> Column:
-    now, k1, last = s["now"], s["k1"], s["last"]
-    scope, kind, src = now["scope"], now["kind"], now["src"]
-    in_select = kind == QUERY
+def _step(s: Column, k: Column) -> Column:
+    """The state after a word. Each kind of words has a step of its own, which tells only what such a word may change."""
+    return choose((k >= IDENT, _name_step(s, k)), (k > SIGN, _word_step(s, k)), (k > CLOSE, _sign_step(s, k)), other=_bracket_step(s, k))
+
+
+def _after(s: Column, k: Column, **new: Column) -> Column:
+    """The state with the fields that a word changes; of a dotted name ``prev2`` is the part before the dot."""
+    new |= {"at": s["at"] + 1, "prev": s["at"], "k1": k, "prev2": choose(((s["k1"] == DOT) & (k != DOT), s["prev2"]), other=s["prev"])}
+    return F.struct(*[(new[f].cast(x) if f in new else s[f]).alias(f) for f, x in _STATE.items()])
+
+
+def _level(of: Column, **new) -> Column:
+    return _struct(_LEVEL, *[new.get(f, of[f]) for f in ("scope", "root", "kind", "infrom", "src")])
+
+
+def _added(entries: Column, *numbers) -> Column:
+    return F.concat(entries, F.array(*[n if isinstance(n, Column) else F.lit(n) for n in numbers]))
+
+
+def _without_last(entries: Column) -> Column:
+    return F.slice(entries, F.lit(1), F.greatest(F.size(entries) - 3, F.lit(0)))
+
+
+def _of_last(entries: Column, place: int) -> Column:
+    return F.get(entries, F.size(entries) - 3 + place)
+
+
+def _name_step(s: Column, k: Column) -> Column:
+    k1, last = s["k1"], s["last"]
+    kind, src = s["now"]["kind"], s["now"]["src"]
     windowed = (kind == OVER_WINDOW) | (kind == NAMED_WINDOW)
-    back = F.try_element_at(s["stack"], F.lit(-1))
-    depth = F.size(s["stack"])
+    named = lambda due: _named(s, k, due)
+    windows = (k1 == WINDOW) | ((last == WINDOWS) & (k1 == COMMA))
+    ended = (last == REF) | (last == NAME) | (k1 == CLOSE) | (k1 == STRING) | (k1 == END) | (k1 == NUMBER)
     # what a name is, the first that holds
-    due = (
-        F.when((k < IDENT) | ((k == FRAME) & windowed), NOTHING)
-        .when(s["want"], CTE)
-        .when(k1 == DOT, F.when(src == 3, REST).otherwise(COLUMN))
-        .when(kind == LIST, NAME)
-        .when((last == SKIPPED) | (k1 == CASTS) | (k1 == OVER) | ((kind == CAST) & (k1 == AS)) | ((kind == FIELD) & (k1 == OPEN)), SKIPPED)
-        .when(in_select & (src == 1), SOURCE)
-        .when(in_select & (src == 2), ALIAS)
-        .when((k1 == WINDOW) | ((last == WINDOWS) & (k1 == COMMA)), WINDOWS)
-        .when(k1 == AS, NAME)
-        .when(in_select & ((last == REF) | (last == NAME) | (k1 == CLOSE) | (k1 == STRING) | (k1 == END) | (k1 == NUMBER)), NAME)
-        .otherwise(REF)
+    return choose(
+        ((k == FRAME) & windowed, named(NOTHING)),
+        (s["want"], named(CTE)),
+        (k1 == DOT, choose((src == 3, named(REST)), other=named(COLUMN))),
+        (kind == LIST, named(NAME)),
+        ((last == SKIPPED) | (k1 == CASTS) | (k1 == OVER) | ((kind == CAST) & (k1 == AS)) | ((kind == FIELD) & (k1 == OPEN)), named(SKIPPED)),
+        ((kind == QUERY) & (src == 1), named(SOURCE)),
+        ((kind == QUERY) & (src == 2), named(ALIAS)),
+        (windows, named(WINDOWS)),
+        ((k1 == AS) | ((kind == QUERY) & ended), named(NAME)),
+        other=named(REF),
     )
-    # the one-element array names it, so that it is told once
-    return F.transform(F.array(due), lambda d: _stepped(s, t, k, d, now, k1, last, scope, kind, src, in_select, back, depth))[0]
-
-
-def _stepped(s, t, k, due, now, k1, last, scope, kind, src, in_select, back, depth) -> Column:
-    closes, opens, selects = k == CLOSE, k == OPEN, k == SELECT
-    literal = (k == STRING) & (last == REF) & (k1 == TYPE)
-    refs = (
-        F.when(due == REF, F.concat(s["refs"], F.array(_ref(scope, F.lit(""), t))))
-        .when((due == COLUMN) & (last == REF), F.concat(_all_but_last(s["refs"]), F.array(_ref(scope, s["prev2"], t))))
-        .when((opens & (last == REF)) | literal, _all_but_last(s["refs"]))
-        .otherwise(s["refs"])
-    )
-    one = F.try_element_at(s["sources"], F.lit(-1))
-    source = lambda sc, name, alias: F.array(_struct("struct<scope:int,name:string,alias:string>", sc, name, alias))
-    sources = (
-        F.when(due == SOURCE, F.concat(s["sources"], source(scope, t, "")))
-        .when(due == REST, F.concat(_all_but_last(s["sources"]), source(one["scope"], t, "")))
-        .when(due == ALIAS, F.concat(_all_but_last(s["sources"]), source(one["scope"], one["name"], t)))
-        .when(closes & (back["src"] == 1) & in_select, F.concat(s["sources"], source(back["scope"], _SUBQUERY, "")))
-        # a table function
-        .when(opens & in_select & (src == 2) & (last == SOURCE), F.concat(_all_but_last(s["sources"]), source(one["scope"], _SUBQUERY, "")))
-        .otherwise(s["sources"])
-    )
-    declared = (due == CTE) | (due == NAME) | (due == WINDOWS)
-    name = _struct("struct<scope:int,kind:string,name:string>", scope, F.when(due == CTE, "cte").otherwise("name"), t)
+
+
+def _named(s: Column, k: Column, due: int) -> Column:
+    now, sources, refs, at = s["now"], s["sources"], s["refs"], s["at"]
+    scope = now["scope"]
+    new = {"last": F.lit(REF if due == COLUMN else due), "want": F.lit(False)}
+    if due == REF:
+        new["refs"] = _added(refs, scope, _NO_WORD, at)
+    if due == COLUMN:
+        new["refs"] = choose((s["last"] == REF, _added(_without_last(refs), scope, s["prev2"], at)), other=refs)
+    if due == SOURCE:
+        new |= {"now": _level(now, src=2), "sources": _added(sources, scope, at, _NO_WORD)}
+    if due == REST:
+        new |= {"now": _level(now, src=2), "sources": _added(_without_last(sources), _of_last(sources, 0), at, _NO_WORD)}
+    if due == ALIAS:
+        new |= {"now": _level(now, src=0), "sources": _added(_without_last(sources), _of_last(sources, 0), _of_last(sources, 1), at)}
+    if due in (CTE, NAME, WINDOWS):
+        new["names"] = _added(s["names"], scope, int(due == CTE), at)
+    return _after(s, k, **new)
+
+
+def _word_step(s: Column, k: Column) -> Column:
+    now, k1 = s["now"], s["k1"]
+    scope, src = now["scope"], now["src"]
+    depth = F.size(s["stack"])
+    back = F.try_element_at(s["stack"], F.lit(-1))
+    selects = k == SELECT
     nested = (selects | (k == WITH)) & (k1 == OPEN)
     beside = selects & (k1 != OPEN) & s["union"]
     grows = nested | beside
     new_scope = F.size(s["parents"])
     # a subquery that is a source, or declared by WITH, doesn't see the sources around it
     apart = (back["src"] == 1) | (s["with_depth"] == depth - 1)
-    inner_kind = (
-        F.when(k1 == OVER, OVER_WINDOW)
-        .when((k1 == AS) & (last == WINDOWS), NAMED_WINDOW)
-        .when(k1 == CASTING, CAST)
-        .when(k1 == EXTRACT, FIELD)
-        .when((last == CTE) | (last == ALIAS), LIST)
-        .otherwise(BRACKET)
-    )
     ends_from = (k == ENDS) | (k == ORDER) | (k == WINDOW) | (k == UNION)
-    new_src = (
-        F.when((k == FROM) | (k == JOIN) | ((k == COMMA) & now["infrom"]), 1)
-        .when(ends_from | (k == ON) | (due == ALIAS), 0)
-        .when((due == SOURCE) | (due == REST), 2)
-        .when((k == DOT) & (src == 2) & ((last == SOURCE) | (last == REST)), 3)
-        .otherwise(src)
-    )
-    new_now = (
-        F.when(opens, _struct(_LEVEL, scope, scope, inner_kind, False, 0))
-        # what closed was the source that a FROM clause waited for
-        .when(closes, F.when(back["src"] == 1, _struct(_LEVEL, back["scope"], back["root"], back["kind"], back["infrom"], 2)).otherwise(back))
-        .when(nested, _struct(_LEVEL, new_scope, new_scope, QUERY, False, 0))
-        .when(beside, _struct(_LEVEL, new_scope, now["root"], QUERY, False, 0))
-        .when(selects, _struct(_LEVEL, scope, now["root"], QUERY, False, 0))
+    new_src = choose(((k == FROM) | (k == JOIN), 1), (ends_from | (k == ON), 0), other=src)
+    new_now = choose(
+        (nested, _struct(_LEVEL, new_scope, new_scope, QUERY, False, 0)),
+        (beside, _struct(_LEVEL, new_scope, now["root"], QUERY, False, 0)),
+        (selects, _struct(_LEVEL, scope, now["root"], QUERY, False, 0)),
         # an ORDER BY after UNION speaks of the first SELECT's columns
-        .when(in_select, _struct(_LEVEL, F.when(k == ORDER, now["root"]).otherwise(scope), now["root"], kind, F.when(ends_from, False).otherwise((k == FROM) | now["infrom"]), new_src))
-        .otherwise(now)
+        (now["kind"] == QUERY, _level(now, scope=choose((k == ORDER, now["root"]), other=scope), infrom=~ends_from & ((k == FROM) | now["infrom"]), src=new_src)),
+        other=now,
     )
     with_ = (k == WITH) & ((k1 == 0) | (k1 == OPEN) | (k1 == SEMICOLON))
-    listed = (s["with_depth"] == depth) & (k == COMMA) & ~now["infrom"]
-    new_last = (
-        F.when(k >= IDENT, F.when(due == COLUMN, REF).otherwise(due))
-        .when(k == INTERVAL, UNIT)
-        # the unit of an interval is no name
-        .when((last == UNIT) & ((k == NUMBER) | (k == STRING)), SKIPPED)
-        .when((k == DOT) & ((last == REF) | (last == SOURCE) | (last == REST)), last)
-        .when((last == WINDOWS) & ((k == AS) | (k == COMMA)), WINDOWS)
-        .when(closes & (kind == NAMED_WINDOW), WINDOWS)
-        .otherwise(NOTHING)
+    return _after(
+        s, k,
+        now=new_now,
+        parents=choose((grows, F.concat(s["parents"], F.array(choose((nested, scope), other=F.get(s["parents"], scope))))), other=s["parents"]),
+        outer=choose((grows, F.concat(s["outer"], F.array(choose((nested & ~apart, scope), other=F.get(s["outer"], scope))))), other=s["outer"]),
+        last=choose((k == INTERVAL, UNIT), ((s["last"] == WINDOWS) & (k == AS), WINDOWS), other=NOTHING),
+        with_depth=choose((with_, depth), (selects & (s["with_depth"] == depth), -1), other=s["with_depth"]),
+        want=with_ | ((k == RECURSIVE) & s["want"]),
+        union=(k == UNION) | (s["union"] & ~selects),
+    )
+
+
+def _sign_step(s: Column, k: Column) -> Column:
+    now, last = s["now"], s["last"]
+    src = now["src"]
+    literal = (k == STRING) & (last == REF) & (s["k1"] == TYPE)
+    new_src = choose(
+        ((k == COMMA) & now["infrom"], 1), ((k == DOT) & (src == 2) & ((last == SOURCE) | (last == REST)), 3), other=src
     )
-    new = {
-        "now": new_now,
-        "stack": F.when(opens, F.concat(s["stack"], F.array(now))).when(closes, _all_but_last(s["stack"])).otherwise(s["stack"]),
-        "parents": F.when(grows, F.concat(s["parents"], F.array(F.when(nested, scope).otherwise(F.get(s["parents"], scope))))).otherwise(s["parents"]),
-        "outer": F.when(grows, F.concat(s["outer"], F.array(F.when(nested & ~apart, scope).otherwise(F.get(s["outer"], scope))))).otherwise(s["outer"]),
-        "prev": t,
-        # of a dotted name the part before the dot
-        "prev2": F.when((k1 == DOT) & (k != DOT), s["prev2"]).otherwise(s["prev"]),
-        "k1": k,
-        "last": new_last,
-        "with_depth": F.when(with_, depth).when(selects & (s["with_depth"] == depth), -1).otherwise(s["with_depth"]),
-        "want": with_ | listed | ((k == RECURSIVE) & s["want"]),
-        "union": (k == UNION) | (s["union"] & ~selects),
-        "sources": sources,
-        "names": F.when(declared, F.concat(s["names"], F.array(name))).otherwise(s["names"]),
-        "refs": refs,
-    }
-    # a bracket that closes too often changes nothing
-    return F.when(closes & (depth == 0), s).otherwise(F.struct(*[new[f].cast(x).alias(f) for f, x in _STATE.items()]))
+    return _after(
+        s, k,
+        now=choose(((now["kind"] == QUERY) & ((k == COMMA) | (k == DOT)), _level(now, src=new_src)), other=now),
+        refs=choose((literal, _without_last(s["refs"])), other=s["refs"]),
+        last=choose(
+            # the unit of an interval is no name
+            ((last == UNIT) & ((k == NUMBER) | (k == STRING)), SKIPPED),
+            ((k == DOT) & ((last == REF) | (last == SOURCE) | (last == REST)), last),
+            ((last == WINDOWS) & (k == COMMA), WINDOWS),
+            other=NOTHING,
+        ),
+        want=(k == COMMA) & (s["with_depth"] == F.size(s["stack"])) & ~now["infrom"],
+    )
 
 
-def _ref(scope: Column, of: Column, col: Column) -> Column:
-    return _struct("struct<scope:int,of:string,col:string>", scope, of, col)
+def _bracket_step(s: Column, k: Column) -> Column:
+    now, k1, last = s["now"], s["k1"], s["last"]
+    scope, kind = now["scope"], now["kind"]
+    in_select = kind == QUERY
+    opens = k == OPEN
+    back = F.try_element_at(s["stack"], F.lit(-1))
+    sources = s["sources"]
+    inner_kind = choose(
+        (k1 == OVER, OVER_WINDOW),
+        ((k1 == AS) & (last == WINDOWS), NAMED_WINDOW),
+        (k1 == CASTING, CAST),
+        (k1 == EXTRACT, FIELD),
+        ((last == CTE) | (last == ALIAS), LIST),
+        other=BRACKET,
+    )
+    opened = _after(
+        s, k,
+        now=_struct(_LEVEL, scope, scope, inner_kind, False, 0),
+        stack=F.concat(s["stack"], F.array(now)),
+        refs=choose((last == REF, _without_last(s["refs"])), other=s["refs"]),
+        # a table function
+        sources=choose((in_select & (now["src"] == 2) & (last == SOURCE), _added(_without_last(sources), _of_last(sources, 0), _DERIVED, _NO_WORD)), other=sources),
+        last=F.lit(NOTHING),
+        want=F.lit(False),
+    )
+    closed = _after(
+        s, k,
+        # what closed was the source that a FROM clause waited for
+        now=choose((back["src"] == 1, _level(back, src=2)), other=back),
+        stack=_all_but_last(s["stack"]),
+        sources=choose(((back["src"] == 1) & in_select, _added(sources, back["scope"], _DERIVED, _NO_WORD)), other=sources),
+        last=choose((kind == NAMED_WINDOW, WINDOWS), other=NOTHING),
+        want=F.lit(False),
+    )
+    # a bracket that closes too often changes nothing
+    return choose((opens, opened), (F.size(s["stack"]) > 0, closed), other=s.withField("at", s["at"] + 1))
 
 
 def with_unresolved(df: DataFrame, sql: str = "generated", ddl: str = "ddl") -> DataFrame:
@@ -224,8 +285,9 @@ def with_unresolved(df: DataFrame, sql: str = "generated", ddl: str = "ddl") ->
     may be its own and are not counted against the statement.
     """
     df = with_tables(df, ddl)
-    df = settled(df.withColumn("_read", _read(F.coalesce(F.col(sql), F.lit("")))), "_read")
-    df = df.withColumns({f"_{f}": F.col(f"_read.{f}") for f in ("parents", "outer", "sources", "names", "refs")}).drop("_read")
+    df = settled(df.withColumn("_words", _words_of(F.coalesce(F.col(sql), F.lit("")))), "_words")
+    df = settled(df.withColumn("_read", _read(F.col("_words"))), "_read")
+    df = df.withColumns({f"_{f}": F.col(f"_read.{f}") for f in ("parents", "outer", "sources", "names", "refs")}).drop("_read", "_words")
 
     def chains(up: str) -> Column:
         """Each scope with those around it."""
@@ -240,10 +302,10 @@ def with_unresolved(df: DataFrame, sql: str = "generated", ddl: str = "ddl") ->
     df = settled(df, "_around", "_view", "_sources", "_names", "_refs", "_parents")
 
     def seen_from(scope: Column, source: Column) -> Column:
-        return F.array_contains(F.get("_view", scope), source["scope"])
+        return F.exists(F.get("_view", scope), lambda x: x == source["scope"])
 
     def declared(source: Column) -> Column:
-        return F.exists("_names", lambda n: (n["kind"] == "cte") & (n["name"] == source["name"]) & F.array_contains(F.get("_around", source["scope"]), n["scope"]))
+        return F.exists("_names", lambda n: n["cte"] & (n["name"] == source["name"]) & F.exists(F.get("_around", source["scope"]), lambda x: x == n["scope"]))
 
     # of each source: its columns, null where they aren't known
     sources = F.transform(
@@ -272,14 +334,14 @@ def with_unresolved(df: DataFrame, sql: str = "generated", ddl: str = "ddl") ->
     strange = F.filter("_refs", lambda r: (r["of"] != "") & (F.size(behind(r)) == 0))
     missing = F.filter(
         "_refs",
-        lambda r: (r["of"] != "") & (F.size(behind(r)) > 0) & F.forall(behind(r), lambda s: s["cols"].isNotNull() & ~F.array_contains(s["cols"], r["col"])),
+        lambda r: (r["of"] != "") & (F.size(behind(r)) > 0) & F.forall(behind(r), lambda s: s["cols"].isNotNull() & ~F.exists(s["cols"], lambda c: c == r["col"])),
     )
     same_level = lambda r, n: (n["scope"] == r["scope"]) | (F.get("_parents", n["scope"]) == F.get("_parents", r["scope"]))
     loose = F.filter(
         "_refs",
         lambda r: (r["of"] == "")
-        & ~F.exists("_known", lambda s: seen_from(r["scope"], s) & (s["cols"].isNull() | F.array_contains(s["cols"], r["col"]) | (s["alias"] == r["col"]) | (s["name"] == r["col"])))
-        & ~F.exists("_names", lambda n: (n["kind"] == "name") & (n["name"] == r["col"]) & same_level(r, n)),
+        & ~F.exists("_known", lambda s: seen_from(r["scope"], s) & (s["cols"].isNull() | F.exists(s["cols"], lambda c: c == r["col"]) | (s["alias"] == r["col"]) | (s["name"] == r["col"])))
+        & ~F.exists("_names", lambda n: ~n["cte"] & (n["name"] == r["col"]) & same_level(r, n)),
     )
 
     def of_kind(kind: str, items: Column) -> Column:

@@ -72,3 +72,14 @@ def test_rates(spark):
     assert {r.label: r.resolvability_rate for r in resolve.resolvability(df).collect()} == {"a": 0.5, "b": 1.0}
     got = {r.label: (r.hallucination_rate, r.table_rate, r.column_rate) for r in resolve.hallucination(df).collect()}
     assert got == {"a": (0.5, 0.25, 0.25), "b": (0.0, 0.0, 0.0)}
+
+
+def test_fold_copies_no_text():
+    # its state is copied after each word, so texts in it would be copied as often as a statement has words
+    assert not [f for f, kind in resolve._STATE.items() if "string" in kind]
+
+
+def test_brackets_that_close_too_often_change_nothing(spark):
+    ddl = "CREATE TABLE t (a INT, b INT)"
+    df = spark.createDataFrame([("x", ") SELECT a ) , ghost FROM t ) ) AS u", ddl)], "label string, generated string, ddl string")
+    assert [tuple(u) for u in resolve.with_unresolved(df).first().unresolved] == [("column", "ghost")]
