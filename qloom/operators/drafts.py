@@ -193,7 +193,8 @@ def _anti(df: DataFrame) -> DataFrame:
     order = lambda t: F.contains(t["key"], F.lit("order")) & ~F.contains(t["key"], F.lit("item"))
     bridge = lambda t: ~negative(t) & order(t)
     positive = lambda t: ~negative(t) & ~bridge(t) & any_of(t["key"], POSITIVE_WORDS)
-    tables = F.col("involved")
+    # the columns are used more than once, so that Spark works them out for all rows: other questions have no tables here
+    tables = F.when(F.col("shape") == "anti", F.col("involved"))
     # the entity stands before the "never": "teams that never won a game" lists teams
     lead = F.regexp_extract("said", "^(.*?)(?:" + "|".join(ANTI_PHRASES) + ")", 1)
     before = lambda t: F.regexp_like(
@@ -266,7 +267,7 @@ def _spend(df: DataFrame, names: tuple[str, str, str]) -> DataFrame:
     """Columns for spend questions over customers, orders and their items."""
 
     def table(name: str) -> Column:
-        return first(F.filter("involved", lambda t: t["key"] == name))
+        return first(F.filter(F.when(F.col("shape") == "spend", F.col("involved")), lambda t: t["key"] == name))
 
     df = df.withColumns({"_customers": table(names[0]), "_orders": table(names[1]), "_items": table(names[2])})
     customers, orders, items = F.col("_customers"), F.col("_orders"), F.col("_items")

@@ -208,3 +208,11 @@ def test_tables_and_phrases_are_whole_words(spark):
     assert got[1].tables_named == ["customers"] and got[2].tables_named == ["customers"]
     assert got[3].tables_named == ["customers", "lamps", "orders"] and not got[3].wants_anti
     assert "order_items" in got[4].tables_named
+
+
+def test_parts_of_other_shapes_are_not_worked_out(spark):
+    ddl = "CREATE TABLE customers (customer_id INT PRIMARY KEY, full_name TEXT); CREATE TABLE orders (order_id INT, customer_id INT REFERENCES customers(customer_id), placed DATE)"
+    corpus = spark.createDataFrame([(1, ddl, "Show orders of customers in 2020"), (2, ddl, "customers that never placed orders")], "row_id int, ddl string, question string")
+    shaped = features.with_shape(features.with_involved(features.question_features(corpus)))
+    got = {r.row_id: (r.shape, r.who) for r in drafts._anti(shaped).selectExpr("row_id", "shape", "_who.key AS who").collect()}
+    assert got == {1: ("join", None), 2: ("anti", "customers")}
