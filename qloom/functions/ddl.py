@@ -113,9 +113,12 @@ def top_level_items(body: Column) -> Column:
         F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("open"), F.lit(0).alias("depth")
     )
 
+    # brackets are counted once per piece, as the fold writes the depth several times
+    pieces = F.transform(F.split(body, ","), lambda p: F.struct(p.alias("text"), (count(p, "(") - count(p, ")")).alias("opens")))
+
     def step(acc: Column, piece: Column) -> Column:
-        text = F.concat_ws(",", acc["open"], piece)
-        depth = acc["depth"] + count(piece, "(") - count(piece, ")")
+        text = F.concat_ws(",", acc["open"], piece["text"])
+        depth = acc["depth"] + piece["opens"]
         closed = depth == 0
         return F.struct(
             F.when(closed, F.concat(acc["done"], F.array(text))).otherwise(acc["done"]).alias("done"),
@@ -126,7 +129,7 @@ def top_level_items(body: Column) -> Column:
     def finish(acc: Column) -> Column:
         return F.concat(acc["done"], F.array_compact(F.array(acc["open"])))
 
-    return F.aggregate(F.split(body, ","), start, step, finish)
+    return F.aggregate(pieces, start, step, finish)
 
 
 _MARK = "\u0001"

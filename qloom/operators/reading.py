@@ -10,6 +10,8 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
+from qloom.functions.stages import choose
+
 # The words and phrases that open something.
 ABOVE_PHRASES = ("over", "above", r"greater\s+than", r"higher\s+than", r"more\s+than", "exceeding")
 BELOW_PHRASES = ("below", "under", r"less\s+than", r"lower\s+than", r"fewer\s+than")
@@ -41,7 +43,7 @@ _COMPARISON = "struct<col:string,op:string,value:decimal(18,4),number:string>"
 _STATE = {
     "prev": "string", "kind": "int", "prev2": "string", "kind2": "int", "col": "string", "op": "string", "ends": "int", "low": "string",
     "low_year": "boolean", "bound": "string", "bound_left": "int", "neg": "int", "found": f"array<{_COMPARISON}>",
-    "years": "array<struct<op:string,year:int>>", "statuses": "array<struct<word:string,negated:boolean>>", "words": "array<string>",
+    "years": "array<struct<op:string,year:int>>", "statuses": "array<struct<word:string,negated:boolean>>", "taken": "array<struct<at:int,n:int>>",
 }
 
 
@@ -61,19 +63,22 @@ def _marked(text: Column) -> Column:
 def _kind(t: Column, status_words: tuple[str, ...]) -> Column:
     """The kind of a token, told once, so that the fold compares numbers only."""
     negating = tuple(w for w in NEGATION_WORDS if w != "not")
-    return (
-        F.when(t.rlike(r"^\d+(?:\.\d+)?$"), F.when(t.rlike(f"^{YEAR}$"), YEAR_NUM).otherwise(NUM))
-        .when(t.isin("<", ">", "<=", ">="), SIGN)
-        .when(t.isin(".", ";", "?", "!"), STOP)
-        .when(t == ",", COMMA)
-        .when(t.isin(*status_words), STATUS)
-        .when(t.isin(*negating), NEGATES)
-        .when(t.isin(*(w for w in YEAR_BOUNDS if w != "to")), BOUND)
-        .when(t.isin(*LIMIT_WORDS), LIMIT)
-        .when(t.isin(*INTERVAL_WORDS), OPENS)
-        .when(t.isin("not", "to", "the", "is", "in", "during", "of", "and"), F.when(t == "not", NOT).when(t == "to", TO).when(t == "the", THE).when(t == "is", IS).when(t == "of", OF).when(t == "and", AND).otherwise(IN))
-        .when(t.rlike(r"^\D\w*$"), WORD)
-        .otherwise(ODD)
+    return choose(
+        (t.rlike(r"^\d+(?:\.\d+)?$"), choose((t.rlike(f"^{YEAR}$"), YEAR_NUM), other=NUM)),
+        (t.isin("<", ">", "<=", ">="), SIGN),
+        (t.isin(".", ";", "?", "!"), STOP),
+        (t == ",", COMMA),
+        (t.isin(*status_words), STATUS),
+        (t.isin(*negating), NEGATES),
+        (t.isin(*(w for w in YEAR_BOUNDS if w != "to")), BOUND),
+        (t.isin(*LIMIT_WORDS), LIMIT),
+        (t.isin(*INTERVAL_WORDS), OPENS),
+        (
+            t.isin("not", "to", "the", "is", "in", "during", "of", "and"),
+            choose((t == "not", NOT), (t == "to", TO), (t == "the", THE), (t == "is", IS), (t == "of", OF), (t == "and", AND), other=IN),
+        ),
+        (t.rlike(r"^\D\w*$"), WORD),
+        other=ODD,
     )
 
 
@@ -86,11 +91,30 @@ def read_words(text: Column, names: Column, status_words: tuple[str, ...]) -> Co
     bounds, unless the word before is one of ``names``.
     """
     raw = F.regexp_extract_all(_marked(text), F.lit(_TOKEN), F.lit(0))
-    tokens = F.transform(raw, lambda t: F.struct(t.alias("t"), _kind(t, status_words).alias("k")))
+    tokens = F.transform(raw, lambda t, i: F.struct(t.alias("t"), _kind(t, status_words).alias("k"), i.alias("at")))
     none = {"string": F.lit(""), "int": F.lit(0), "boolean": F.lit(False)}
     start = F.struct(*[none.get(kind, F.array()).cast(kind).alias(f) for f, kind in _STATE.items()])
-    done = F.aggregate(tokens, start, lambda s, t: _step(s, t["t"], t["k"], names))
-    return F.struct(*[done[f].alias(f) for f in ("found", "years", "statuses", "words")])
+
+    def told(tokens: Column, s: Column) -> Column:
+        return F.struct(*[s[f].alias(f) for f in ("found", "years", "statuses")], _words_left(tokens, s["taken"]).alias("words"))
+
+    # the one-element array names the tokens; the results are picked inside the fold, as each pick from outside would write the fold again
+    read = F.transform(
+        F.array(tokens), lambda ts: F.aggregate(ts, start, lambda s, t: _step(s, t["t"], t["k"], t["at"], names), lambda s: told(ts, s))
+    )
+    return F.get(read, F.lit(0))
+
+
+def _words_left(tokens: Column, taken: Column) -> Column:
+    """The words in their order, without those that comparisons took: at each place, so many of the words left before it."""
+
+    def without(left: Column, gone: Column) -> Column:
+        before = F.filter(left, lambda t: t["at"] < gone["at"])
+        kept = F.slice(before, F.lit(1), F.greatest(F.size(before) - gone["n"], F.lit(0)))
+        return F.flatten(F.array(kept, F.filter(left, lambda t: t["at"] > gone["at"])))
+
+    said = F.filter(tokens, lambda t: (t["k"] >= ODD) & (t["k"] != OPENS))
+    return F.transform(F.aggregate(taken, said, without), lambda t: t["t"])
 
 
 def _comparison(col: Column, op, number: Column) -> Column:
@@ -103,55 +127,68 @@ def _years(*pairs) -> Column:
     return F.array(*made)
 
 
-def _step(s: Column, t: Column, k: Column, names: Column) -> Column:
-    k1, k2, found, words = s["kind"], s["kind2"], s["found"], s["words"]
+def _step(s: Column, t: Column, k: Column, at: Column, names: Column) -> Column:
+    k1, k2, found = s["kind"], s["kind2"], s["found"]
     number, word = k <= YEAR_NUM, k >= ODD
     opening = (k == SIGN) | (k == OPENS)
     # the word that a comparison is about stands before it, or before its "is"
-    about = F.when(k1 == IS, F.when(k2 >= WORD, s["prev2"]).otherwise("")).when(k1 >= WORD, s["prev"]).otherwise("")
+    about = choose((k1 == IS, choose((k2 >= WORD, s["prev2"]), other="")), (k1 >= WORD, s["prev"]), other="")
     compared = number & (s["op"] != "")
     free = number & (s["op"] == "")
     closes = free & (s["ends"] == 1)
     in_years = (k == YEAR_NUM) & s["low_year"] & ~F.array_contains(names, s["col"])
     dated = (k == YEAR_NUM) & free & (s["ends"] == 0) & (k1 != LIMIT) & ~((k1 == THE) & (k2 == LIMIT))
-    bound = F.when(s["bound_left"] > 0, s["bound"]).when((k1 == IN) & (k2 == NOT), "<>").otherwise("=")
+    bound = choose((s["bound_left"] > 0, s["bound"]), ((k1 == IN) & (k2 == NOT), "<>"), other="=")
     # a comparison about no column is about the column named right behind its number: "over 5 minutes"
     said = F.try_element_at(found, F.lit(-1))
     unit = word & (k1 <= YEAR_NUM) & (F.size(found) > 0) & (said["number"] == s["prev"]) & F.array_contains(names, t) & ~F.array_contains(names, said["col"])
     all_but_last = lambda items: F.slice(items, F.lit(1), F.size(items) - 1)
-    bounds = F.when(t == "x", "")
-    for said_word, op in YEAR_BOUNDS.items():
-        bounds = bounds.when(t == said_word, op)
+    bounds = choose(*((t == said_word, op) for said_word, op in YEAR_BOUNDS.items()), other="")
     # "from 2019 to 2021": "to" bounds only what follows a number
     is_bound = (k == BOUND) | ((k == TO) & (k1 >= NUM) & (k1 <= YEAR_NUM))
-    # the word a comparison is about goes with it
-    taken = F.greatest(F.size(words) - F.when(k1 == IS, 2).otherwise(1), F.lit(0))
-    new = {
-        "prev": t,
-        "kind": k,
-        "prev2": s["prev"],
-        "kind2": k1,
-        "col": F.when(opening, about).otherwise(s["col"]),
-        "op": F.when(k == SIGN, t).when(number | (k == STOP), "").otherwise(s["op"]),
+    taken = F.struct(at.alias("at"), choose((k1 == IS, 2), other=1).alias("n"))
+    moved = {"prev": t, "kind": k, "prev2": s["prev"], "kind2": k1}
+    new = moved | {
+        "col": choose((opening, about), other=s["col"]),
+        "op": choose((k == SIGN, t), (number | (k == STOP), ""), other=s["op"]),
         # only "and" or "to" may stand between the ends of an interval, and nothing before them
-        "ends": F.when(k == OPENS, 2).when(s["ends"] == 0, 0).when(number, F.when(compared, s["ends"]).otherwise(s["ends"] - 1)).when(
-            (s["ends"] == 1) & ((k == AND) | (k == TO)), 1
-        ).otherwise(0),
-        "low": F.when(number & (s["ends"] == 2), t).otherwise(s["low"]),
-        "low_year": F.when(number & (s["ends"] == 2), k == YEAR_NUM).otherwise(s["low_year"]),
-        "bound": F.when(is_bound, bounds).otherwise(s["bound"]),
-        "bound_left": F.when(is_bound, _BOUND_REACH).when((s["bound_left"] == 0) | (k < ODD) | (k == IN) | (k == OF), 0).otherwise(s["bound_left"] - 1),
-        "neg": F.when((k == NOT) | (k == NEGATES), _REACH).when((s["neg"] == 0) | (k == STOP) | (k == COMMA) | (k == STATUS), 0).when(word, s["neg"] - 1).otherwise(s["neg"]),
-        "found": F.when(compared, F.concat(found, F.array(_comparison(s["col"], s["op"], t))))
-        .when(closes & ~in_years, F.concat(found, F.array(_comparison(s["col"], ">=", s["low"]), _comparison(s["col"], "<=", t))))
-        .when(unit, F.concat(all_but_last(found), F.array(_comparison(t, said["op"], said["number"]))))
-        .otherwise(found),
-        "years": F.when(closes & in_years, F.concat(s["years"], _years((">=", s["low"]), ("<=", t))))
-        .when(dated, F.concat(s["years"], _years((bound, t))))
-        .otherwise(s["years"]),
-        "statuses": F.when(k == STATUS, F.concat(s["statuses"], F.array(F.struct(t.alias("word"), (s["neg"] > 0).alias("negated"))))).otherwise(s["statuses"]),
-        "words": F.when(word & (k != OPENS), F.concat(words, F.array(t)))
-        .when(opening & (about != ""), F.slice(words, F.lit(1), taken))
-        .otherwise(words),
+        "ends": choose(
+            (k == OPENS, 2),
+            (s["ends"] == 0, 0),
+            (number, choose((compared, s["ends"]), other=s["ends"] - 1)),
+            ((s["ends"] == 1) & ((k == AND) | (k == TO)), 1),
+            other=0,
+        ),
+        "low": choose((number & (s["ends"] == 2), t), other=s["low"]),
+        "low_year": choose((number & (s["ends"] == 2), k == YEAR_NUM), other=s["low_year"]),
+        "bound": choose((is_bound, bounds), other=s["bound"]),
+        "bound_left": choose(
+            (is_bound, _BOUND_REACH), ((s["bound_left"] == 0) | (k < ODD) | (k == IN) | (k == OF), 0), other=s["bound_left"] - 1
+        ),
+        "neg": choose(
+            ((k == NOT) | (k == NEGATES), _REACH),
+            ((s["neg"] == 0) | (k == STOP) | (k == COMMA) | (k == STATUS), 0),
+            (word, s["neg"] - 1),
+            other=s["neg"],
+        ),
+        "found": choose(
+            (compared, F.concat(found, F.array(_comparison(s["col"], s["op"], t)))),
+            (closes & ~in_years, F.concat(found, F.array(_comparison(s["col"], ">=", s["low"]), _comparison(s["col"], "<=", t)))),
+            (unit, F.concat(all_but_last(found), F.array(_comparison(t, said["op"], said["number"])))),
+            other=found,
+        ),
+        "years": choose(
+            (closes & in_years, F.concat(s["years"], _years((">=", s["low"]), ("<=", t)))),
+            (dated, F.concat(s["years"], _years((bound, t)))),
+            other=s["years"],
+        ),
+        "statuses": choose(
+            (k == STATUS, F.concat(s["statuses"], F.array(F.struct(t.alias("word"), (s["neg"] > 0).alias("negated"))))), other=s["statuses"]
+        ),
+        # the word a comparison is about goes with it
+        "taken": choose((opening & (about != ""), F.concat(s["taken"], F.array(taken))), other=s["taken"]),
     }
-    return F.struct(*[new[f].cast(kind).alias(f) for f, kind in _STATE.items()])
+    # a word that opens nothing and meets nothing open only moves the place
+    plain = ((k == ODD) | (k == WORD) | (k >= TO)) & (k1 > YEAR_NUM) & (s["ends"] == 0) & (s["bound_left"] == 0) & (s["neg"] == 0)
+    state = lambda values: F.struct(*[values.get(f, s[f]).cast(kind).alias(f) for f, kind in _STATE.items()])
+    return choose((plain, state(moved)), other=state(new))

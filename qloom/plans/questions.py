@@ -244,8 +244,8 @@ def feat_by_column(spark: SparkSession, sf: str) -> DataFrame:
     return read(spark, sf, "order_col", "group_col").select("row_id", "order_col", "group_col")
 
 
-def involved(spark: SparkSession, sf: str) -> DataFrame:
-    return features.with_involved(read(spark, sf))
+def involved(spark: SparkSession, sf: str, *more: str) -> DataFrame:
+    return features.with_involved(read(spark, sf, *features.INVOLVES, *more))
 
 
 def keys(tables: Column | str) -> Column:
@@ -307,7 +307,8 @@ def resolve_numeric(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def group_column(spark: SparkSession, sf: str) -> DataFrame:
-    shaped = features.with_shape(involved(spark, sf)).where(F.col("shape") == "aggregate")
+    grouping = ("group_col", "group_words", "wants_groups", "spelled")
+    shaped = features.with_shape(involved(spark, sf, *grouping)).where(F.col("shape") == "aggregate")
     table = F.col("involved")[0]
     measure = features.measure_column(table, F.col("spelled"))
     return shaped.select("row_id", measure.alias("measure"), features.group_column(table, measure).alias("group_col"))

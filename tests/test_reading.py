@@ -5,7 +5,9 @@ import random
 import duckdb
 import pytest
 
-from qloom.operators import drafts, features
+from pyspark.sql import functions as F
+
+from qloom.operators import drafts, features, reading
 from qloom.plans.shop_corpus import SHOP
 
 READ = [
@@ -169,3 +171,27 @@ def test_names_that_need_quotes_are_quoted(spark):
     con = duckdb.connect()
     con.execute(ddl)
     assert con.execute(row.sql).description and row.sql.startswith('SELECT region, AVG("unit price") AS avg_unit_price FROM "price list"')
+
+
+def test_a_question_is_folded_once(spark):
+    """Each field picked from the fold's result from outside would write the fold into the plan again."""
+    read = reading.read_words(F.lower("question"), F.array(F.lit("pay")), features.STATUS_WORDS)
+    df = asked(spark, ["x"]).select(read.alias("read")).select("read.found", "read.years", "read.statuses", "read.words")
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_extract_all(") == 1
+
+
+def test_words_left_by_comparisons(spark):
+    """A comparison takes the word it is about, and an "is" before it."""
+    cases = {
+        "teams with pay over 5 and size is above 7 of berlin": "teams with and of berlin",
+        "pay over 5 over 6 x": "x",
+        "is over 5 x": "is x",
+        "b between between 3 and 4 x": "and x",
+        "a b > > 3 x": "a x",
+        "not shipped orders in 2020, by tier": "not shipped orders in by tier",
+    }
+    df = asked(spark, list(cases))
+    read = reading.read_words(F.col("question"), F.array(F.lit("pay")), features.STATUS_WORDS)
+    got = {r.question: " ".join(r.read.words) for r in df.select("question", read.alias("read")).collect()}
+    assert got == cases
